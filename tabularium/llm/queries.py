@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup
+from . import bpe, exact_dedup, packing
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +20,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op6_exact_dedup, op10_bpe)}
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op6_exact_dedup, op9_packing, op10_bpe)}
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
