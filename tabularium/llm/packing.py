@@ -195,7 +195,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     for part in sorted(counts):
         before[part] = seen
         seen += counts[part]
-    shared = spark.sparkContext.broadcast((before, made))
+    shared, names = spark.sparkContext.broadcast((before, made)), pieces.columns
 
     def place(batches):
         before, made = shared.value
@@ -205,7 +205,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             part = b.column("__tb_part").to_numpy()
             rank = b.column("__tb_row").to_numpy() + np.array([before[p] for p in part.tolist()], np.int64)
             run = np.searchsorted(made.starts, rank, "right") - 1
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in pieces.columns), pa.array(made.sequence[run] + rank - made.starts[run]), pa.array(made.offset[run])], names=[*pieces.columns, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(made.sequence[run] + rank - made.starts[run]), pa.array(made.offset[run])], names=[*names, "sequence_id", "offset"])
 
     return numbered.mapInArrow(place, StructType([*pieces.schema, StructField("sequence_id", LongType()), StructField("offset", LongType())]))
 
