@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language, packing, quality, toxicity
+from . import bpe, exact_dedup, language, near_dedup, packing, quality, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_documents(spark, sf_dir))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_documents(spark, sf_dir))
 
@@ -37,7 +41,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op3_language, op6_exact_dedup, op7_toxicity, op9_packing, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_quality, op3_language, op4_near_dedup, op6_exact_dedup, op7_toxicity, op9_packing, op10_bpe)}
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
