@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language, near_dedup, packing, quality, toxicity
+from . import bpe, exact_dedup, language, near_dedup, packing, quality, secrets, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(_documents(spark, sf_dir))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     return language.identify(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -41,11 +45,34 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op3_language, op4_near_dedup, op6_exact_dedup, op7_toxicity, op9_packing, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_secrets, op3_language, op4_near_dedup, op6_exact_dedup, op7_toxicity, op9_packing, op10_bpe)}
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _secret_spans_sql() -> str:
+    """(doc_id, spans) in DuckDB SQL: the texts between the matches and the matches add up to the offsets."""
+    each = []
+    for rank, rule in enumerate(secrets.RULES):
+        pattern = "'" + rule.pattern.replace("'", "''") + "'"
+        each.append(f"""
+            SELECT k, {rank} AS rank, '{rule.kind}' AS kind, unnest(range(1, len(m) + 1)) AS i, m, g, p
+            FROM (SELECT k, regexp_extract_all(t, {pattern}, 0) AS m, regexp_extract_all(t, {pattern}, {rule.group}) AS g, regexp_split_to_array(t, {pattern}) AS p FROM d)""")
+    long = " ".join(f"WHEN {rank} THEN {rule.least}" for rank, rule in enumerate(secrets.RULES))
+    sums = lambda what, upto: f"coalesce(list_sum(list_transform({what}[1:{upto}], lambda x: length(x))), 0)::BIGINT"
+    return f"""
+        d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
+        each AS ({" UNION ALL ".join(each)}),
+        span AS (SELECT k, rank, kind, {sums("p", "i")} + {sums("m", "i - 1")} AS s, {sums("p", "i")} + {sums("m", "i")} AS e FROM each WHERE length(g[i]) >= CASE rank {long} END)"""
+
+
+_WRITTEN = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank)"
+
 ORACLE_SQL = {
+    "op2_secrets": f"""
+        WITH {_secret_spans_sql()}
+        SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+               sha256(coalesce({_WRITTEN} FILTER (rank < {len(secrets.BASE)}), '')) AS base_sha256, coalesce({_WRITTEN} FILTER (rank >= 0), '') AS spans
+        FROM d LEFT JOIN span USING (k) GROUP BY d.k, d.doc_id""",
     "op6_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
         FROM (SELECT doc_id, sha256({_NORM}) AS text_sha256 FROM documents) WINDOW g AS (PARTITION BY text_sha256)""",
