@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language, near_dedup, packing, quality, secrets, toxicity
+from . import bpe, exact_dedup, language, line_dedup, near_dedup, packing, quality, secrets, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,11 +41,15 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_lines(_documents(spark, sf_dir))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_secrets, op3_language, op4_near_dedup, op6_exact_dedup, op7_toxicity, op9_packing, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_secrets, op3_language, op4_near_dedup, op6_exact_dedup, op7_toxicity, op8_line_dedup, op9_packing, op10_bpe)}
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -76,4 +80,21 @@ ORACLE_SQL = {
     "op6_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
         FROM (SELECT doc_id, sha256({_NORM}) AS text_sha256 FROM documents) WINDOW g AS (PARTITION BY text_sha256)""",
+    "op8_line_dedup": rf"""
+        WITH d AS (SELECT row_number() OVER () AS k, doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        e AS (SELECT k, md5(coalesce(text, '')) AS dh, unnest(range(1, len(lines) + 1)) AS pos, lines FROM d),
+        l AS (SELECT k, dh, pos, list_filter(regexp_split_to_array(regexp_replace(lines[pos], '[^{line_dedup.WHITE}]*[0-9][^{line_dedup.WHITE}]*', '<*>', 'g'), '[{line_dedup.WHITE}]+'), lambda t: t <> '') AS toks FROM e),
+        t AS (SELECT *, len(toks) AS n, toks[1:{line_dedup.DEPTH}] AS lead FROM l WHERE len(toks) >= {line_dedup.MIN_TOKENS}),
+        often AS (SELECT n, lead FROM t GROUP BY n, lead HAVING count(DISTINCT dh) >= {line_dedup.MIN_DOCS}),
+        f AS (SELECT t.* FROM t JOIN often USING (n, lead)),
+        x AS (SELECT n, lead, unnest(range(1, n + 1)) AS place, toks FROM f),
+        votes AS (SELECT n, lead, place, toks[place] AS token, count(*) AS w FROM x GROUP BY ALL),
+        modal AS (SELECT n, lead, place, max({{'w': w, 't': token}}).t AS token FROM votes GROUP BY n, lead, place),
+        template AS (SELECT n, lead, list(token ORDER BY place) AS modal FROM modal GROUP BY n, lead),
+        named AS (SELECT f.*, CASE WHEN len(list_filter(range(1, f.n + 1), lambda i: toks[i] = modal[i] AND toks[i] <> '<*>')) >= f.n * {line_dedup.SIMILAR} THEN [] ELSE toks END AS own FROM f JOIN template USING (n, lead)),
+        gone AS (SELECT n, lead, own FROM named GROUP BY n, lead, own HAVING count(DISTINCT dh) >= {line_dedup.MIN_DOCS}),
+        lost AS (SELECT k, list(pos) AS lost FROM named JOIN gone USING (n, lead, own) GROUP BY k)
+        SELECT doc_id, CASE WHEN lost IS NULL THEN text ELSE array_to_string(list_transform(list_filter(range(1, len(lines) + 1), lambda i: NOT list_contains(lost, i)), lambda i: lines[i]), chr(10)) END AS text,
+               len(lines) AS n_lines, coalesce(len(lost), 0) AS n_dropped
+        FROM d LEFT JOIN lost USING (k)""",
 }
