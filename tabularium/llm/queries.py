@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language, line_dedup, near_dedup, packing, quality, secrets, toxicity
+from . import bpe, exact_dedup, language, line_dedup, near_dedup, neighbours, packing, quality, secrets, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_documents(spark, sf_dir))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_documents(spark, sf_dir))
 
@@ -49,7 +53,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_secrets, op3_language, op4_near_dedup, op6_exact_dedup, op7_toxicity, op8_line_dedup, op9_packing, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_secrets, op3_language, op4_near_dedup, op5_neighbours, op6_exact_dedup, op7_toxicity, op8_line_dedup, op9_packing, op10_bpe)}
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
