@@ -200,3 +200,24 @@ def identify(docs: DataFrame, vocabulary_path: str, folds: int = 4, held: int =
     """Fit on the rows outside the held-out fold, predict all: doc_id, held_out, lang_pred, score."""
     model = fit(docs, ~fold(F.col("doc_id"), folds, held), vocabulary_path)
     return predict(docs, model).select("doc_id", fold(F.col("doc_id"), folds, held).alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, vocabulary_path: str, folds: int = 4, held: int = 2) -> DataFrame:
+    """Rows of ``docs`` that get a language; each is decided by its own text, in place, and all columns stay.
+
+    With nothing to learn from, the rows with a letter stay.
+    """
+    import pyarrow as pa
+
+    model = fit(docs.select("doc_id", "text", "lang"), ~fold(F.col("doc_id"), folds, held), vocabulary_path)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        model = shared.value
+        score = model.scorer() if model else None
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            keep = [n != "und" for n in score(texts)[0]] if score and texts else [bool(t and LETTERS.search(t)) for t in texts]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
