@@ -1,7 +1,7 @@
 """Section state and table rows: the one ordered, stateful operator.
 
 Pages of a document are gathered into one sorted array (a document is bounded), then a document is folded in a
-``mapInPandas`` batch; nothing else in the engine is imperative. What the fold needs of the rules is a small, frozen
+``mapInArrow`` batch; nothing else in the engine is imperative. What the fold needs of the rules is a small, frozen
 rule set that travels with the function.
 """
 
@@ -228,15 +228,17 @@ def gather_pages(pages: DataFrame) -> DataFrame:
 
 def extract_rows(documents: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
     """Result records of ``documents`` (doc_id, template_id, pages); a template without rules gives none."""
-    import pandas as pd
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
 
     kind = documents.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", kind), *T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in RECORD))])
-    names = schema.fieldNames()
+    arrow = to_arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
-            out = [{"doc_id": d, **r} for d, t, pages in zip(batch["doc_id"], batch["template_id"], batch["pages"]) if t in rules for r in fold_document([(p["page_no"], p["text"], p["tables"]) for p in pages], rules[t])]
-            yield pd.DataFrame(out, columns=names)
+            rows = batch.to_pylist()
+            out = [{"doc_id": r["doc_id"], **found} for r in rows if r["template_id"] in rules for found in fold_document([(p["page_no"], p["text"], p["tables"]) for p in r["pages"]], rules[r["template_id"]])]
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
-    return documents.select("doc_id", "template_id", "pages").mapInPandas(run, schema)
+    return documents.select("doc_id", "template_id", "pages").mapInArrow(run, schema)
