@@ -39,20 +39,29 @@ MIN_SHARE = 0.01
 #: How far a bucket's gain evens out its spread over texts: 0 not at all, 1 wholly.
 GAIN = 0.3
 ROUNDS = 300
+#: Words without their marks whose numbers a worker keeps.
+CORES = 600_000
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 #: A word is read up to here when its n-grams are taken; longer runs are cut into several such parts.
 PART = 40
 
 
-def buckets(word: str) -> np.ndarray:
-    """Buckets of a word: itself and the n-grams between its edge marks."""
-    core = EDGES.sub("", word.lower())
-    found = []
+def core_of(word: str) -> str:
+    """A word without the marks at its edges, in lower case."""
+    word = word.lower()
+    return word if word.isalnum() else EDGES.sub("", word)
+
+
+def buckets(core: str) -> list[int]:
+    """Buckets of a word's core: itself and the n-grams (of its UTF-8 bytes) between edge marks."""
+    crc, found = zlib.crc32, []
     for at in range(0, max(len(core), 1), PART):
-        marked = f"<{core[at : at + PART]}>"
-        found.append(zlib.crc32(marked.encode("utf-8", "replace")))
-        found += [zlib.crc32(marked[i : i + n].encode("utf-8", "replace"), 7) for n in GRAMS for i in range(len(marked) - n + 1)]
-    return np.array(found, np.int64) % BUCKETS
+        marked = f"<{core[at : at + PART]}>".encode("utf-8", "replace")
+        found.append(crc(marked) % BUCKETS)
+        n = len(marked)
+        for size in GRAMS:
+            found += [crc(marked[i : i + size], 7) % BUCKETS for i in range(n - size + 1)]
+    return found
 
 
 class Bags:
@@ -65,7 +74,7 @@ class Bags:
             words = text.split()
             for w in words:
                 if w not in own:
-                    own[w] = buckets(w).astype(np.int32)
+                    own[w] = np.array(buckets(core_of(w)), np.int32)
             some = [own[w] for w in words]
             if some:
                 sizes = np.array([*map(len, some)])
@@ -153,8 +162,20 @@ class _Sums:
 
 
 def _scorer(model: Model, threshold: float):
+    weights = model.projected.tolist()
+    cores: dict[str, float] = {}
+
     def rows(words: list[str]) -> np.ndarray:
-        return np.array([[model.projected[buckets(w)].mean()] for w in words], np.float32)
+        if len(cores) > CORES:
+            cores.clear()
+        out = []
+        for w in words:
+            core = core_of(w)
+            if (value := cores.get(core)) is None:
+                found = buckets(core)
+                value = cores[core] = sum([weights[b] for b in found]) / len(found)
+            out.append(value)
+        return np.array(out, np.float32)[:, None]
 
     table = WordTable(rows, 1)
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .common import clean_text
 
 #: Words whose rows a worker keeps; the table is emptied when full.
-TABLE = 400_000
+TABLE = 600_000
 #: Words of about so many texts are looked up at once.
 SLICE_WORDS = 60_000
 
