@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import DOTALL_FLAGS, collapse, first_group, java_pattern, nonblank
+from ..functions.text import DOTALL_FLAGS, clean, collapse, first_group, fold, java_pattern, nonblank
 
 #: Forms carry codes of this shape where a validation key would stand.
 FORM_CODE = r"(?i)^FO-ANL-\d+$"
@@ -61,17 +61,24 @@ def planning_code(text: Column) -> Column:
     return F.regexp_substr(text, F.lit(r"CA\d+/\d{4}"))
 
 
+# Small words that a title writes in lower case.
+SMALL_WORDS = ["a", "as", "da", "das", "de", "do", "dos", "e", "em", "para"]
+
+
 def is_heading(line: Column) -> Column:
-    """A short line of words that starts with a capital and ends without a stop."""
-    n = F.size(F.split(line, r"\s+"))
-    return F.char_length(line).between(4, 80) & n.between(1, 10) & F.rlike(line, F.lit("^[A-Z]")) & ~F.rlike(line, F.lit(r"[.;,]$")) & ~F.rlike(line, F.lit(r"\d{3,}"))
+    """A line of one to ten words without digits or colon, in capitals or with its words capitalised."""
+    words = F.regexp_extract_all(line, F.lit("([A-Za-zÀ-ÿ]+)"), F.lit(1))
+    title = F.filter(words, lambda w: ~fold(w).isin(SMALL_WORDS))
+    capitals = F.upper(line) == line
+    shape = F.char_length(line).between(3, 100) & ~F.rlike(line, F.lit("[0-9:]")) & ~F.rlike(line, F.lit("[.,;\u037e]$")) & F.size(words).between(1, 10) & ~F.rlike(line, F.lit("(?i)^[IVXLCDM]+$"))
+    return shape & ((F.size(words) > 1) | capitals) & (capitals | ((F.size(title) > 0) & F.forall(title, lambda w: F.rlike(w, F.lit("^[A-ZÀ-Þ]")))))
 
 
-def headings(pages: DataFrame, known: list[str], fold: Column | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+def headings(pages: DataFrame, known: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:
     """Lines that look like headings and that no known pattern explains: (key, titulo, ocorrencias)."""
     lines = pages.select(key, F.explode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line")).select(key, nonblank(F.col("line")).alias("line"))
     unknown = reduce(lambda a, p: a & ~F.rlike("line", F.lit(java_pattern(p))), known, F.lit(True))
-    return lines.where(is_heading(F.col("line")) & unknown).groupBy(key, F.lower("line").alias("titulo")).agg(F.count("*").alias("ocorrencias"))
+    return lines.where(is_heading(F.col("line")) & unknown).groupBy(key, fold(F.col("line")).alias("titulo")).agg(F.count("*").alias("ocorrencias"))
 
 
 def carry_forward(pages: DataFrame, key: str, order: list[str], value: Column, name: str) -> DataFrame:
@@ -89,20 +96,28 @@ def pending_from_previous(pages: DataFrame, key: str, order: list[str], value: C
     return pages.withColumn(name, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
 
 
-def field_audit(docs: DataFrame, rules: list[tuple[str, str, str]], values: dict[str, Column], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each document and (campo, label pattern, pattern): occurrences, value and status.
+def label_of(pattern: str) -> str | None:
+    """A rule's label: its text up to and with the colon before white space."""
+    at = pattern.find(r":\s*")
+    return pattern[: at + 1] if at >= 0 else None
+
 
-    A value that holds the label of another field is contaminated.
+def field_audit(docs: DataFrame, rules: list[tuple[str, str, str]], values: dict[str, Column] | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each document and rule (schema, campo, pattern): occurrences, value, other fields' labels in it, status.
+
+    ``values`` gives what was extracted; a field without it has its pattern's first group.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    each = []
-    for campo, label, pattern in rules:
+    labels = [(s, c, label) for s, c, p in rules if (label := label_of(p))]
+
+    def audit(schema: str, campo: str, pattern: str) -> Column:
         n = F.regexp_count(body, F.lit(DOTALL_FLAGS + pattern))
-        labels = F.regexp_count(body, F.lit(java_pattern(label)))
-        value = values.get(campo, first_group(body, pattern))
-        inside = F.array_compact(F.array(*(F.when(F.rlike(value, F.lit(java_pattern(other))), F.lit(c)) for c, other, _ in rules if c != campo))) if len(rules) > 1 else F.array().cast("array<string>")
+        value = clean((values or {}).get(campo, first_group(body, pattern)), 500)
+        others = [F.when(F.rlike(value, F.lit(DOTALL_FLAGS + label)), F.lit(c)) for s, c, label in labels if (s, c) != (schema, campo)]
+        inside = F.array_sort(F.array_distinct(F.array_compact(F.array(*others)))) if others else F.array().cast("array<string>")
         status = (
-            F.when((n == 0) & (labels == 0), "nao_aplicavel").when(value.isNull() & (n == 0), "rotulo_sem_valor").when(value.isNull(), "nao_extraido").when(F.size(inside) > 0, "valor_contaminado").otherwise("ok")
+            F.when((n > 0) & value.isNull(), "encontrado_sem_extracao").when((n == 0) & value.isNotNull(), "extraido_sem_correspondencia").when(value.isNotNull() & (F.size(inside) > 0), "possivel_contaminacao").when(n > 0, "ok").otherwise("nao_aplicavel")
         )
-        each.append(F.struct(F.lit(campo).alias("campo"), n.cast("long").alias("ocorrencias"), value.substr(1, 500).alias("valor"), F.array_join(F.array_sort(inside), "; ").alias("contaminado_por"), status.alias("status")))
-    return docs.select(key, F.explode(F.array(*each)).alias("a")).select(key, "a.*")
+        return F.struct(F.lit(schema).alias("schema_origem"), F.lit(campo).alias("campo"), n.cast("long").alias("ocorrencias_detectadas"), value.alias("valor_extraido"), F.nullif(F.array_join(inside, "; "), F.lit("")).alias("campos_detectados_no_valor"), status.alias("status"))
+
+    return docs.select(key, F.explode(F.array(*(audit(*r) for r in rules))).alias("a")).select(key, "a.*")

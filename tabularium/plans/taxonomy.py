@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import FALSE_WORDS, TRUE_WORDS, is_config_marker, java_pattern, token
 from ..operators.classify import DetectionRule, Template
+from ..operators.packaging import PackagingRules
 from ..operators.rows import RuleSet, SectionRule
 from .contracts import LAYOUT_FIELDS, RESULTS, TABLES
 
@@ -175,6 +176,7 @@ class Compiled:
     detection: list[DetectionRule]
     rows: dict[str, RuleSet]
     fields: dict[str, dict[str, list[tuple[str, str]]]]  # template -> group -> (campo, pattern)
+    packaging: dict[str, PackagingRules]
 
 
 def compile_rules(tables: dict[str, DataFrame]) -> Compiled:
@@ -216,7 +218,9 @@ def compile_rules(tables: dict[str, DataFrame]) -> Compiled:
             tuple(section(r, a) for r, a in own.get("category_alias", [])), tuple(section(r, a) for r, a in ordered), tuple(section(r, a) for r, a in own.get("category_type", [])),
             tuple((r.regex, record_type(r.tipo_registro)) for r, _ in own.get("continuation", []) if r.tipo_registro), tuple((r.regex, r.campo.removesuffix("_col")) for r, _ in own.get("header_alias", []) if r.campo), layouts,
         )
-    return Compiled([*templates.values()], detection, rows, fields)
+    roles = PackagingRules.__dataclass_fields__
+    packaging = {t: PackagingRules(**{role: tuple(p for c, p in own.get("packaging_preservatives", []) if c == role) for role in roles}) for t, own in fields.items()}
+    return Compiled([*templates.values()], detection, rows, fields, packaging)
 
 
 def output_tabs(tables: dict[str, DataFrame]) -> list[str]:

@@ -182,29 +182,35 @@ def section_matches_dedup(spark, sf_dir):
     return S.section_matches(pages, rules, "page_id", "page_no", "html").select("page_id", "campo", "valor")
 
 
+_SMALL = "[" + ", ".join(f"'{w}'" for w in S.SMALL_WORDS) + "]"
+
+
 @query(
-    r"""WITH l AS (SELECT doc_id, trim(regexp_replace(unnest(string_split(coalesce(text, ''), chr(10))), '[\t\n\x0B\f\r ]+', ' ', 'g')) AS line FROM documents)
-       SELECT doc_id, lower(line) AS titulo, count(*) AS ocorrencias FROM l
-       WHERE length(line) BETWEEN 4 AND 80 AND len(string_split(line, ' ')) BETWEEN 1 AND 10 AND regexp_matches(line, '^[A-Z]') AND NOT regexp_matches(line, '[.;,]$') AND NOT regexp_matches(line, '\d{3,}') AND NOT regexp_matches(line, 'licen[sc]e', 'i')
+    rf"""WITH l AS (SELECT page_id, trim(regexp_replace(unnest(string_split(regexp_replace(coalesce(html, ''), '<[^>]*>', chr(10), 'g'), chr(10))), '[\t\n\x0B\f\r ]+', ' ', 'g')) AS line FROM pages),
+            w AS (SELECT *, regexp_extract_all(line, '([A-Za-zÀ-ÿ]+)', 1) AS ws FROM l),
+            t AS (SELECT *, list_filter(ws, lambda x: NOT list_contains({_SMALL}, strip_accents(lower(x)))) AS tw FROM w)
+       SELECT page_id, lower(strip_accents(line)) AS titulo, count(*) AS ocorrencias FROM t
+       WHERE length(line) BETWEEN 3 AND 100 AND NOT regexp_matches(line, '[0-9:]') AND NOT regexp_matches(line, '[.,;]$') AND len(ws) BETWEEN 1 AND 10 AND NOT regexp_matches(line, '(?i)^[IVXLCDM]+$')
+         AND (len(ws) > 1 OR upper(line) = line) AND (upper(line) = line OR (len(tw) > 0 AND len(list_filter(tw, lambda x: NOT regexp_matches(x, '^[A-ZÀ-Þ]'))) = 0)) AND NOT regexp_matches(line, 'licen[sc]e', 'i')
        GROUP BY ALL"""
 )
 def heading_discovery(spark, sf_dir):
-    return S.headings(table(spark, sf_dir, "documents"), ["licen[sc]e"])
+    pages = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("html", "<[^>]*>", "\n").alias("text"))
+    return S.headings(pages, ["licen[sc]e"], "page_id")
 
 
-AUDITED = [("licenca", "licen[sc]ed?", "licensed under the ([a-z]+)"), ("versao", "version", r"version ([0-9.]+)"), ("token", "token", 'token = "([0-9a-f]+)"')]
+AUDITED = [("sample", "licenca", r"licen[sc]ed under:?\s*(the [a-z]+)"), ("sample", "versao", r"version:?\s*([0-9.]+)"), ("client", "token", r'token = "([0-9a-f]*)"'), ("client", "resto", r"the:?\s*(apache.{0,60})")]
 
 
 @query(
-    r"""WITH r(i, campo, label, pattern) AS (VALUES (0, 'licenca', 'licen[sc]ed?', 'licensed under the ([a-z]+)'), (1, 'versao', 'version', 'version ([0-9.]+)'), (2, 'token', 'token', 'token = "([0-9a-f]+)"')),
-           v AS (SELECT doc_id, r.*, len(regexp_extract_all(coalesce(text, ''), '(?is)' || pattern)) AS n, len(regexp_extract_all(coalesce(text, ''), '(?i)' || label)) AS k,
-                        CASE WHEN regexp_matches(coalesce(text, ''), '(?is)' || pattern) THEN regexp_extract(coalesce(text, ''), '(?is)' || pattern, 1) END AS valor FROM documents, r),
-           x AS (SELECT v.*, (SELECT string_agg(o.campo, '; ' ORDER BY o.campo) FROM r o WHERE o.campo <> v.campo AND regexp_matches(v.valor, o.label, 'i')) AS inside FROM v)
-       SELECT doc_id, campo, n AS ocorrencias, valor[:500] AS valor, coalesce(inside, '') AS contaminado_por,
-              CASE WHEN n = 0 AND k = 0 THEN 'nao_aplicavel' WHEN n = 0 THEN 'rotulo_sem_valor' WHEN valor IS NULL THEN 'nao_extraido' WHEN inside IS NOT NULL THEN 'valor_contaminado' ELSE 'ok' END AS status FROM x"""
+    r"""WITH r(schema_origem, campo, pattern, label) AS (VALUES ('sample', 'licenca', 'licen[sc]ed under:?\s*(the [a-z]+)', NULL), ('sample', 'versao', 'version:?\s*([0-9.]+)', NULL), ('client', 'token', 'token = "([0-9a-f]*)"', NULL), ('client', 'resto', 'the:?\s*(apache.{0,60})', NULL)),
+           v AS (SELECT doc_id, r.*, len(regexp_extract_all(coalesce(text, ''), '(?is)' || pattern)) AS n,
+                        CASE WHEN regexp_matches(coalesce(text, ''), '(?is)' || pattern) THEN nullif(trim(regexp_replace(regexp_extract(coalesce(text, ''), '(?is)' || pattern, 1), '\s+', ' ', 'g')), '') END AS valor FROM documents, r)
+       SELECT doc_id, schema_origem, campo, n AS ocorrencias_detectadas, valor[:500] AS valor_extraido, NULL::VARCHAR AS campos_detectados_no_valor,
+              CASE WHEN n > 0 AND valor IS NULL THEN 'encontrado_sem_extracao' WHEN n = 0 AND valor IS NOT NULL THEN 'extraido_sem_correspondencia' WHEN n > 0 THEN 'ok' ELSE 'nao_aplicavel' END AS status FROM v"""
 )
 def field_audit_status(spark, sf_dir):
-    return S.field_audit(table(spark, sf_dir, "documents"), AUDITED, {})
+    return S.field_audit(table(spark, sf_dir, "documents"), AUDITED)
 
 
 @query("SELECT event_id, user_id, last_value(CASE WHEN event_type = 'signup' OR event_id % 7 = 0 THEN event_type END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS secao FROM events")
