@@ -46,7 +46,8 @@ def run(pages: DataFrame, rules: Compiled, first_pages: int = 3) -> dict[str, Da
     """``pages``: doc_id, page_no, text, tables, and optionally path.
 
     Exact texts are extracted once: of equal documents the first path is canonical. Documents out of scope keep their
-    scores in classification_audit.
+    scores in classification_audit. The results are persisted, for every table after them reads them; unpersist
+    ``results_extract`` when all is written.
     """
     texts = document_text(pages)
     paths = pages.groupBy("doc_id").agg(F.min("path" if "path" in pages.columns else F.col("doc_id").cast("string")).alias("path"))
@@ -71,7 +72,7 @@ def run(pages: DataFrame, rules: Compiled, first_pages: int = 3) -> dict[str, Da
 
     sample, client = header("sample", SAMPLE), header("client", CLIENT)
     ids = sample.select("nome_do_arquivo", "id_amostra")
-    results = results_extract(records.where(F.col("theme_id").contains("agua")).join(ids, "nome_do_arquivo", "left"))
+    results = results_extract(records.where(F.col("theme_id").contains("agua")).join(ids, "nome_do_arquivo", "left")).persist()
     packaging = _fill(extract_packaging(gathered, rules.packaging).join(identity, "doc_id"), PACKAGING)
     errors = validate(results, RESULTS_CONTRACT, "results_extract", parameter="parameter").unionByName(validate(sample, SAMPLE_CONTRACT, "sample")).unionByName(validate(client, CLIENT_CONTRACT, "client"))
     none = results.limit(0).select("nome_do_arquivo", F.lit("ok").alias("status"))
