@@ -36,6 +36,22 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_kept: dict = {}
+
+
+def worker_keep(owner, make):
+    """What an operator keeps in a Python worker from task to task; only one owner's things are kept at a time."""
+    if owner not in _kept:
+        _kept.clear()
+        _kept[owner] = make()
+    return _kept[owner]
+
+
+def worker_release() -> None:
+    """Let go of what another operator left in this Python worker."""
+    _kept.clear()
+
+
 def clean_text(name: str = "text") -> Column:
     """Null counts as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import clean_text
+from .common import clean_text, worker_release
 from .words import WordTable, fold, score_texts, segment_sums, slices, thin
 
 LETTERS = regex.compile(r"\p{L}+")
@@ -213,6 +213,7 @@ def keep_identified(docs: DataFrame, vocabulary_path: str, folds: int = 4, held:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        worker_release()
         model = shared.value
         score = model.scorer() if model else None
         for batch in batches:

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom_filter, bloom_probe, bloom_words, clean_text, lookup, stash
+from .common import bloom_filter, bloom_probe, bloom_words, clean_text, lookup, stash, worker_release
 from .components import components
 
 SHINGLE = 3
@@ -62,6 +62,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     from pyspark.sql.types import LongType, StructField, StructType
 
     def run(batches):
+        worker_release()
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([*map(fingerprint, b.column("text").to_pylist())], pa.int64())], names=["doc_id", "fp"])
 

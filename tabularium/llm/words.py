@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import clean_text
+from .common import clean_text, worker_release
 
 #: Words whose rows a worker keeps; the table is emptied when full.
 TABLE = 600_000
@@ -114,6 +114,7 @@ def score_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[n
     names, types = added.fieldNames(), [to_arrow_type(f.dataType) for f in added]
 
     def run(batches):
+        worker_release()
         score = make()
         for batch in batches:
             texts = batch.column("text").to_pylist()
