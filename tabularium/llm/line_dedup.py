@@ -31,8 +31,8 @@ FIELD = "<*>"
 
 def tokens(line: Column) -> Column:
     """Tokens of a line; those with a digit are variable fields."""
-    masked = F.regexp_replace(line, rf"[^{WHITE}]*[0-9][^{WHITE}]*", FIELD)
-    return F.filter(F.split(masked, f"[{WHITE}]+"), lambda t: t != "")
+    masked = F.when(F.rlike(line, F.lit("[0-9]")), F.regexp_replace(line, rf"[^{WHITE}]*[0-9][^{WHITE}]*", FIELD)).otherwise(line)
+    return F.split(F.trim(masked, F.lit("\t\n\x0b\f\r ")), f"[{WHITE}]+")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
