@@ -1,6 +1,7 @@
 """Quality classifier: attention-based multiple-instance learning.
 
 A document is a bag of passages of PASSAGE words (the last may be shorter); every passage of the whole text is encoded.
+A run of non-space longer than PART counts as several words, its pieces of PART characters (the last may be shorter).
 The encoding is the mean over its words of fixed features (shapes of the word and signed hashes of its letter trigrams),
 with the share of distinct words. Gated attention, a_k ~ exp(w . (tanh(V h_k) * sigmoid(U h_k))), and a linear head on
 the attention-weighted mean of the passages are learnt together from the documents' labels by Adam in numpy.
@@ -30,7 +31,7 @@ HIDDEN = 16
 #: Labelled documents of each class that the model is fitted on, at most about.
 SAMPLE = 2000
 THRESHOLD = 0.3
-#: Trigrams of a word are taken up to here; a longer run of non-space is described by its shape and these.
+#: Longer runs of non-space, as in texts without spaces, are cut into pieces of so many characters.
 PART = 40
 LATIN = re.compile(r"[^\W\d_]")
 
@@ -54,7 +55,7 @@ def word_features(words: list[str]) -> np.ndarray:
         row[9] = letters == 0
         row[10] = n - letters - digits > 2
         row[11] = n <= 3
-        core = f"<{w[:PART].lower()}>"
+        core = f"<{w.lower()}>"
         for i in range(len(core) - 2):
             h = zlib.crc32(core[i : i + 3].encode("utf-8", "replace"))
             row[SHAPES + h % HASHED] += 0.5 if h & 0x10000 else -0.5
@@ -64,7 +65,7 @@ def word_features(words: list[str]) -> np.ndarray:
 def encode(words: WordTable, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Passages of texts, one under the other, and how many each text has."""
     bags, sizes = [], []
-    for found, counts, n in slices(texts):
+    for found, counts, n in slices(texts, PART):
         at = words.of(found)
         passages = np.maximum(-(-counts // PASSAGE), 1)
         lengths = np.full(passages.sum(), PASSAGE)

@@ -53,11 +53,13 @@ class WordTable:
         return self.rows[at]
 
 
-def slices(texts: list[str]) -> Iterator[tuple[list[str], np.ndarray, int]]:
-    """Words of consecutive texts, the number of words of each, and the number of texts."""
+def slices(texts: list[str], part: int | None = None) -> Iterator[tuple[list[str], np.ndarray, int]]:
+    """Words of consecutive texts, the number of words of each, and the number of texts; with ``part``, longer words are cut into pieces of so many characters."""
     words, counts = [], []
     for text in texts:
         own = text.split()
+        if part and own and max(map(len, own)) > part:
+            own = [w[k : k + part] for w in own for k in range(0, len(w), part)]
         words += own
         counts.append(len(own))
         if len(words) > SLICE_WORDS:

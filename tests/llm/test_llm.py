@@ -268,6 +268,18 @@ def test_quality(spark):
     assert {r.score for r in quality.classify(docs, labels.where("false").withColumnRenamed("label", "quality")).collect()} == {0.5}
 
 
+def test_quality_reads_texts_without_spaces_whole():
+    start = "".join(chr(0x4E00 + i) for i in range(quality.PART))
+    good, bad = ["".join(chr(a + i % 50) for i in range(3000)) for a in (0x5000, 0x6000)]
+    table = words.WordTable(quality.word_features, quality.HASHED + quality.SHAPES)
+    bags, sizes = quality.encode(table, [start + good, start + bad, "a b"])
+    assert sizes.tolist() == [2, 2, 1]  # 3,040 characters are 76 pieces of PART, 64 to a passage
+    assert not np.allclose(bags[:2], bags[2:4])
+    sample = [(start + (good if i % 2 else bad)[i:], i % 2) for i in range(60)]
+    scores, predicted = quality._scorer(quality.fit(sample[:40]), 0.5)([t for t, _ in sample[40:]])
+    assert predicted.tolist() == [y for _, y in sample[40:]]
+
+
 def test_fold_is_crc32(spark):
     got = spark.range(50).select("id", words.fold(F.col("id"), 5, 0).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in got)
