@@ -2,10 +2,13 @@
 
 Lines are parsed to a fixed depth: tokens with a digit become ``<*>``, then the number of tokens and the first DEPTH
 tokens lead to a leaf. A leaf's template has at each place the token of most of its lines; a line at least SIMILAR of
-whose tokens agree with it belongs to the template (what differs is a variable field), any other line stands for itself.
-A template that MIN_DOCS or more different texts have is dropped, all its lines in all documents.
+whose tokens agree with it belongs to the template (what differs is a variable field). The lines left over make the
+leaf's next template in the same way, as long as the last one took in a line and MIN_DOCS lines are left; lines that no
+template took in stand for themselves. A template that MIN_DOCS or more different texts have is dropped, all its lines in
+all documents.
 
-Exact copies of a text count once, so that copied documents alone make no template recur. Leaves in too few texts are
+Exact copies of a text count once among those texts, so that copied documents alone make no template recur; for the
+token of most lines every line counts, those of copies too. Leaves in too few texts are
 left out before their lines are looked at; both that test and the choice of documents to rewrite use Bloom filters of
 bounded size, so that texts are not shuffled unless they lose a line.
 
@@ -16,6 +19,8 @@ result. Other columns are kept.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +51,17 @@ def _line_hash() -> Column:
     return F.xxhash64("leaf", "toks").alias("lh")
 
 
+def _judged(forms: DataFrame, similar: float, total: int) -> DataFrame:
+    """``forms`` (leaf, toks, weight, lh) with ``own``: whether a line agrees with the template that its leaf has among them."""
+    votes = forms.select("leaf", "weight", F.posexplode("toks").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.sum("weight").alias("weight"))
+    modal = votes.groupBy("leaf", "place").agg(F.max(F.struct("weight", "token")).alias("top"))
+    template = modal.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("place", F.col("top.token").alias("token")))).alias("modal"))
+    sizes = forms.groupBy("leaf").agg(F.count("*").alias("forms"))
+    paired = lookup(forms, template.join(sizes, "leaf"), "leaf", "forms", total)
+    agree = F.size(F.filter(F.zip_with("toks", F.col("modal.token"), lambda a, b: (a == b) & (a != FIELD)), lambda x: x))
+    return paired.select(*forms.columns, (agree >= F.size("toks") * similar).alias("own"))
+
+
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILAR) -> DataFrame:
     """(doc_id, dh, pos) of the lines whose template recurs."""
     slim = stash(_lines(docs).select("doc_id", "dh", "pos", "leaf", _line_hash()), "lines")
@@ -54,15 +70,21 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SI
     bloom = stash(bloom_filter(often.select(F.xxhash64("leaf").alias("__tb_x")), "__tb_x", words), "bloom")
     near = lambda df: bloom_probe(df, bloom, F.xxhash64("leaf"), words, "__tb_maybe").where("__tb_maybe").drop("__tb_maybe")
     distinct = stash(near(_lines(docs)).groupBy("leaf", "toks").agg(F.count("*").alias("weight")).withColumn("lh", F.xxhash64("leaf", "toks")), "distinct")
-    votes = distinct.select("leaf", "weight", F.posexplode("toks").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.sum("weight").alias("weight"))
-    modal = votes.groupBy("leaf", "place").agg(F.max(F.struct("weight", "token")).alias("top"))
-    template = modal.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("place", F.col("top.token").alias("token")))).alias("modal"))
-    sizes = distinct.groupBy("leaf").agg(F.count("*").alias("forms"))
-    template = template.join(sizes, "leaf")
     total = slim.count()
-    paired = lookup(distinct.select("leaf", "lh", "toks"), template, "leaf", "forms", total)
-    agree = F.size(F.filter(F.zip_with("toks", F.col("modal.token"), lambda a, b: (a == b) & (a != FIELD)), lambda x: x))
-    named = stash(paired.select("lh", F.when(agree >= F.size("toks") * similar, F.xxhash64("leaf", F.lit("template"))).otherwise(F.col("lh")).alias("template")), "named")
+    rounds, left = [], distinct
+    while True:
+        judged = stash(_judged(left, similar, total), "judged")
+        name = F.when(F.col("own"), F.xxhash64("leaf", F.lit("template"), F.lit(len(rounds)))).otherwise(F.col("lh"))
+        rounds.append(judged.select("lh", F.lit(len(rounds)).alias("round"), name.alias("template")))
+        over = F.sum(F.when(F.col("own"), 0).otherwise(F.col("weight")))
+        onward = judged.groupBy("leaf").agg(F.count("*").alias("forms"), F.max("own").alias("onward"), over.alias("over")).where(F.col("onward") & (F.col("over") >= min_docs)).drop("over")
+        left = stash(lookup(judged.where(~F.col("own")), onward, "leaf", "forms", total).where("onward").select(*distinct.columns), "left")
+        if left.isEmpty():
+            break
+    named = rounds[0]
+    if len(rounds) > 1:  # the last round that a line was in names it
+        named = reduce(DataFrame.unionByName, rounds).groupBy("lh").agg(F.max_by("template", "round").alias("template"))
+    named = stash(named.select("lh", "template"), "named")
     here = near(slim)
     counts = here.groupBy("lh").agg(F.count("*").alias("uses"))
     marked = lookup(here, named.join(counts, "lh"), "lh", "uses", total)

@@ -146,6 +146,15 @@ def test_line_dedup(spark):
     assert got[6] == (None, 1, 0) and got[7] == ("", 1, 0)
 
 
+def test_line_dedup_finds_each_template_of_a_leaf(spark):
+    name = lambda i: "abcdefghij"[i // 10] + "klmnopqrst"[i % 10]
+    edited = [(i, f"This page was last edited by the user {name(i)} here") for i in range(40)]
+    copied = [(100 + i, "This page shows how to cook some very good rice") for i in range(120)]  # one text
+    moved = [(300 + i, f"This page has been moved from the {name(i)} site today") for i in range(20)]
+    got = {r.doc_id: r.n_dropped for r in line_dedup.drop_lines(spark.createDataFrame(edited + copied + moved, "doc_id long, text string")).collect()}
+    assert {i for i, n in got.items() if n} == {i for i, _ in edited + moved} and len(got) == 180
+
+
 TOKENS = ["", "<|endoftext|>a<|endoftext|>", "x" * 3000, " \n\n a  b\t\tc ", "it's we'll I'LL", "\x1cfoo\x1d!! \x85   x", "Ünïcodé ﬁ ΑΣ ΌΣΟΣ 中文字 😀 é", "a b", "İstanbul ſecret", "abc" * 500 + " 0123456789" * 50, "́a b́"]
 
 
