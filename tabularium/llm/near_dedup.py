@@ -56,18 +56,20 @@ def fingerprint(text: str) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (signed long) of every row of (doc_id, text)."""
+def fingerprints(docs: DataFrame, *keys: str) -> DataFrame:
+    """doc_id, ``keys``, fp (signed long) of every row of (doc_id, text, ``keys``)."""
     import pyarrow as pa
     from pyspark.sql.types import LongType, StructField, StructType
 
+    names = ["doc_id", *keys]
+
     def run(batches):
         worker_release()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([*map(fingerprint, b.column("text").to_pylist())], pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*map(b.column, names), pa.array([*map(fingerprint, b.column("text").to_pylist())], pa.int64())], names=[*names, "fp"])
 
-    slim = docs.select("doc_id", clean_text().alias("text"))
-    return slim.mapInArrow(run, StructType([slim.schema["doc_id"], StructField("fp", LongType())]))
+    slim = docs.select(*names, clean_text().alias("text"))
+    return slim.mapInArrow(run, StructType([*(slim.schema[c] for c in names), StructField("fp", LongType())]))
 
 
 def _ring(fp: Column, start: int, length: int) -> Column:
@@ -98,13 +100,18 @@ def links(fps: DataFrame) -> DataFrame:
     return met.where(budget).select("a", "b")
 
 
+def _placed(prints: DataFrame) -> DataFrame:
+    """Each fingerprint of ``prints`` (doc_id, fp): fp, copies (its rows), first (its least doc_id), root (null: no link)."""
+    groups = stash(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "groups")
+    roots = components(links(groups.select("fp")))
+    return groups.join(roots, groups.fp == roots.node, "left").select("fp", "copies", "first", "root")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every row of (doc_id, text)."""
     prints = stash(fingerprints(docs), "prints")
     rows = prints.count()
-    groups = stash(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "groups")
-    roots = components(links(groups.select("fp")))
-    placed = groups.join(roots, groups.fp == roots.node, "left").select("fp", "copies", "first", "root")
+    placed = _placed(prints)
     named = placed.where("root is not null").groupBy("root").agg(F.min("first").alias("least"), F.count("*").alias("members"))
     linked = lookup(placed.where("root is not null"), named, "root", "members", rows).select("fp", "copies", F.col("least").alias("component_id"))
     alone = placed.where("root is null").select("fp", "copies", F.col("first").alias("component_id"))
@@ -113,19 +120,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest doc_id; all columns stay.
+    """``docs`` with one row of each component, that of the smallest doc_id (a null one comes last); all columns stay.
 
-    Rows that no dropped doc_id can be are passed straight through; only the others are joined. Rows without doc_id stay.
+    Rows are told apart by doc_id and a hash of the text, so a repeated doc_id loses only the rows that are near copies;
+    rows that repeat both are one row. Of several texts with the smallest doc_id one stays. Rows that surely need not go
+    are passed straight through; only the others are joined.
     """
-    found = near_duplicates(docs.select("doc_id", "text"))
-    dropped = stash(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__tb_id")).distinct(), "dropped")
-    return without(docs, dropped)
+    prints = stash(fingerprints(docs.select("doc_id", "text", _text_key()), "__tb_text"), "prints")
+    total = prints.count()
+    # fingerprints of one row without a link are alone: nothing of theirs can go
+    crowded = stash(_placed(prints).where("root is not null or copies > 1").select("fp", "copies", F.coalesce("root", "fp").alias("component")), "crowded")
+    rows = stash(lookup(prints, crowded, "fp", "copies", total).where("component is not null").select("doc_id", "__tb_text", "component"), "crowd")
+    keep = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__tb_text")).alias("keep"))
+    keep = keep.select(F.col("keep.doc_id").alias("__tb_id"), F.col("keep.__tb_text").alias("__tb_key"), F.lit(True).alias("__tb_keep"))
+    keys = rows.groupBy("doc_id", "__tb_text").agg(F.count("*").alias("n"))
+    judged = keys.join(keep, F.col("doc_id").eqNullSafe(F.col("__tb_id")) & (F.col("__tb_text") == F.col("__tb_key")), "left")
+    dropped = judged.where("__tb_keep is null or n > 1").select(F.col("doc_id").alias("__tb_id"), F.col("__tb_text").alias("__tb_key"), F.coalesce("__tb_keep", F.lit(False)).alias("__tb_keep"))
+    return without(docs, stash(dropped, "dropped"))
+
+
+def _text_key() -> Column:
+    return F.xxhash64(clean_text()).alias("__tb_text")
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not among ``dropped`` (__tb_id)."""
+    """Rows of ``docs`` whose doc_id and text are not among ``dropped`` (__tb_id, __tb_key); one row where __tb_keep is set."""
     words = bloom_words(dropped.count())
-    bloom = stash(bloom_filter(dropped.select(F.xxhash64("__tb_id").alias("__tb_x")), "__tb_x", words), "bloom")
-    probed = bloom_probe(docs, bloom, F.xxhash64("doc_id"), words, "__tb_maybe")
-    rest = probed.where("__tb_maybe").join(dropped, F.col("doc_id") == F.col("__tb_id"), "left_anti")
-    return probed.where(~F.col("__tb_maybe")).select(*docs.columns).unionByName(rest.select(*docs.columns))
+    bloom = stash(bloom_filter(dropped.select(F.xxhash64("__tb_id", "__tb_key").alias("__tb_x")), "__tb_x", words), "bloom")
+    probed = bloom_probe(docs.withColumn("__tb_text", _text_key()), bloom, F.xxhash64("doc_id", "__tb_text"), words, "__tb_maybe")
+    found = probed.where("__tb_maybe").join(dropped, F.col("doc_id").eqNullSafe(F.col("__tb_id")) & (F.col("__tb_text") == F.col("__tb_key")), "left")
+    rest = found.where("__tb_keep is null")
+    once = found.where("__tb_keep").dropDuplicates(["doc_id", "__tb_text"])
+    return probed.where(~F.col("__tb_maybe")).select(*docs.columns).unionByName(rest.select(*docs.columns)).unionByName(once.select(*docs.columns))

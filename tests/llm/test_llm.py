@@ -100,6 +100,13 @@ def test_near_duplicates(spark, docs):
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {1, 3, 5, 6, 7, 8, None}
 
 
+def test_drop_near_duplicates_by_row(spark):
+    one, two, three, four = (" ".join(f"{w}{i}" for i in range(60)) for w in ("river", "stone", "cloud", "paper"))
+    rows = [(0, one), (1, one.upper()), (1, two), (2, three), (2, three.upper()), (2, three), (None, four), (None, four.upper()), (None, one), (5, "alone here")]
+    left = near_dedup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.text.lower()) for r in left) == Counter([(0, one), (1, two), (2, three), (None, four), (5, "alone here")])
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 101 + i) for i in range(50)] + [(7, 7)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
