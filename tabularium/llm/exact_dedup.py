@@ -1,7 +1,7 @@
-"""Exact dedup: two-pass Bloom filtering, DataFrame functions only.
+"""Exact dedup: an exact count of hashes, then a Bloom filter of the repeated ones; DataFrame functions only.
 
-Pass 1 counts 64-bit hashes of the normalised texts (combined map-side, so a hot text is one row a task) and sets the
-repeated ones in a Bloom filter of bounded size. Pass 2 probes the filter: a row whose hash is surely single passes
+Pass 1 counts 64-bit hashes of the normalised texts (combined map-side, so a hot text is one row a task; each distinct
+hash is shuffled, single ones too) and sets the repeated ones in a Bloom filter of bounded size. Pass 2 probes the filter: a row whose hash is surely single passes
 straight through; only the others shuffle, by their full SHA-256. A full filter makes more rows shuffle, never a
 different result.
 
