@@ -1,27 +1,25 @@
-"""Line dedup by a log-template tree, DataFrame functions only.
-
-Lines are parsed to a fixed depth: tokens with a digit become ``<*>``, then the number of tokens and the first DEPTH
-tokens lead to a leaf. A leaf's template has at each place the token of most of its lines; a line at least SIMILAR of
-whose tokens agree with it belongs to the template (what differs is a variable field). The lines left over make the
-leaf's next template in the same way, as long as the last one took in a line and MIN_DOCS lines are left; lines that no
-template took in stand for themselves. A template that MIN_DOCS or more different texts have is dropped, all its lines in
-all documents.
-
-Exact copies of a text count once among those texts, so that copied documents alone make no template recur; for the
-token of most lines every line counts, those of copies too. Leaves in too few texts are
-left out before their lines are looked at; both that test and the choice of documents to rewrite use Bloom filters of
-bounded size, so that texts are not shuffled unless they lose a line.
-
-Defined results: a null text counts as empty and stays null; lines with fewer than MIN_TOKENS tokens always stay.
-Repeated rows lose the same lines. Ties between tokens go to the one that sorts last. An empty table gives an empty
-result. Other columns are kept.
+"""Line dedup by a log-template tree of fixed depth, DataFrame functions only.
+
+A line's tokens are its runs of non-space; tokens with a digit become fields, ``<*>`` (a line of fields alone keeps its
+tokens as they are, so that different rows of numbers stay different). The number of tokens and the first DEPTH tokens
+lead to a leaf of the tree. Within a leaf a token is constant at its place when MIN_DOCS different texts have it there;
+all other tokens are fields. The constants of a line, with their places, are its template, if they make up SIMILAR of
+its tokens; any other line stands for itself. So a leaf has as many templates as it needs. A template that MIN_DOCS
+different texts have recurs, and all its lines are dropped in all documents; short lines are treated like any other.
+
+Every count is of different texts: copies of a text count once, in the votes too, and so does a text that repeats a
+line. Lines are parsed once and written with their leaves; leaves in too few texts are left out before any token is
+looked at. That test and the choice of documents to rewrite use Bloom filters of bounded size, so that texts are not
+shuffled unless they lose a line. Joins split hot keys (``lookup``). Keys are 64-bit hashes.
+
+Defined results: a null text counts as empty and stays null; blank lines stay. Repeated rows lose the same lines. There
+are no ties: a line's template does not depend on any order. A line without spaces is one token. An empty table gives an
+empty result. Other columns are kept, but for columns named n_lines and n_dropped, which the operator's own replace.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bloom_filter, bloom_probe, bloom_words, clean_text, lookup, stash
@@ -29,82 +27,88 @@ from .common import bloom_filter, bloom_probe, bloom_words, clean_text, lookup,
 DEPTH = 2
 SIMILAR = 0.7
 MIN_DOCS = 3
-MIN_TOKENS = 4
 WHITE = r"\x09-\x0d\x20"
 FIELD = "<*>"
+#: Lines with a digit, or white space other than single spaces between tokens.
+UNEVEN = r"[0-9\x09\x0b-\x0d]|\x20\x20|^\x20|\x20$"
+#: From the start of a token, so that a long run is looked at once.
+WITH_DIGIT = rf"(?<![^{WHITE}])[^{WHITE}0-9]*+[0-9][^{WHITE}]*+"
 
 
-def tokens(line: Column) -> Column:
-    """Tokens of a line; those with a digit are variable fields."""
-    masked = F.when(F.rlike(line, F.lit("[0-9]")), F.regexp_replace(line, rf"[^{WHITE}]*[0-9][^{WHITE}]*", FIELD)).otherwise(line)
-    return F.split(F.trim(masked, F.lit("\t\n\x0b\f\r ")), f"[{WHITE}]+")
+def form(line: Column) -> Column:
+    """The line's tokens, variable fields masked, between single spaces."""
+    even = F.trim(F.regexp_replace(line, f"[{WHITE}]+", " "))
+    masked = F.regexp_replace(even, WITH_DIGIT, FIELD)
+    constant = F.trim(F.replace(masked, F.lit(FIELD), F.lit(""))) != ""
+    return F.when(F.rlike(line, F.lit(UNEVEN)), F.when(constant, masked).otherwise(even)).otherwise(line)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Lines of MIN_TOKENS or more: doc_id, dh (of the text), pos, toks, leaf."""
+    """Lines that are not blank: doc_id, dh (of the text), pos, form, lh (of the form), leaf."""
     exploded = docs.select("doc_id", F.xxhash64(clean_text()).alias("dh"), F.posexplode(F.split(clean_text(), "\n")).alias("pos", "line"))
-    parsed = exploded.select("doc_id", "dh", "pos", tokens(F.col("line")).alias("toks")).where(F.size("toks") >= MIN_TOKENS)
-    return parsed.withColumn("leaf", F.xxhash64(F.size("toks"), F.slice("toks", 1, DEPTH)))
+    formed = exploded.where("line <> ''").select("doc_id", "dh", "pos", form(F.col("line")).alias("form")).where("form <> ''")
+    size = F.octet_length("form") - F.octet_length(F.replace("form", F.lit(" "), F.lit("")))
+    return formed.select("*", F.xxhash64("form").alias("lh"), F.xxhash64(size, F.substring_index("form", " ", DEPTH)).alias("leaf"))
+
+
+def _owners(near: DataFrame, min_docs: int) -> DataFrame:
+    """(lh, own): texts that have a form, ``min_docs`` of them where there are more; only so many leave a map task."""
+    seen = near.select("lh", "dh").distinct()
+    first = seen.withColumn("n", F.row_number().over(Window.partitionBy("lh").orderBy("dh"))).where(F.col("n") <= min_docs)
+    return first.groupBy("lh").agg(F.collect_list("dh").alias("own"))
 
 
-def _line_hash() -> Column:
-    return F.xxhash64("leaf", "toks").alias("lh")
+def _recurring(rows: DataFrame, key: str, min_docs: int) -> DataFrame:
+    """(key, uses) of the keys that ``min_docs`` different texts in ``own`` have; ``uses`` is how many rows have it."""
+    texts = rows.where(F.col(key).isNotNull()).select(key, F.posexplode("own").alias("i", "dh"))
+    uses = F.count(F.when(F.col("i") == 0, 1)).alias("uses")
+    return texts.groupBy(key).agg(uses, F.count_distinct("dh").alias("texts")).where(F.col("texts") >= min_docs).select(key, "uses")
 
 
-def _judged(forms: DataFrame, similar: float, total: int) -> DataFrame:
-    """``forms`` (leaf, toks, weight, lh) with ``own``: whether a line agrees with the template that its leaf has among them."""
-    votes = forms.select("leaf", "weight", F.posexplode("toks").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.sum("weight").alias("weight"))
-    modal = votes.groupBy("leaf", "place").agg(F.max(F.struct("weight", "token")).alias("top"))
-    template = modal.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("place", F.col("top.token").alias("token")))).alias("modal"))
-    sizes = forms.groupBy("leaf").agg(F.count("*").alias("forms"))
-    paired = lookup(forms, template.join(sizes, "leaf"), "leaf", "forms", total)
-    agree = F.size(F.filter(F.zip_with("toks", F.col("modal.token"), lambda a, b: (a == b) & (a != FIELD)), lambda x: x))
-    return paired.select(*forms.columns, (agree >= F.size("toks") * similar).alias("own"))
+def _named(forms: DataFrame, min_docs: int, similar: float, total: int) -> DataFrame:
+    """(lh, name, own): the template of each form (lh, leaf, form, own), or its own hash where it has none."""
+    tokens = forms.select("lh", "own", "leaf", F.posexplode(F.split("form", " ")).alias("place", "token"))
+    placed = tokens.select("lh", "own", F.when(F.col("token") != FIELD, F.xxhash64("leaf", "place", "token")).alias("key"))
+    frequent = stash(_recurring(placed, "key", min_docs), "constants")
+    marked = lookup(placed.select("lh", "key"), frequent, "key", "uses", total)
+    constant = F.when(F.col("uses").isNotNull(), F.col("key"))
+    made = marked.groupBy("lh").agg(F.count("*").alias("n"), F.count(constant).alias("k"), F.bit_xor(constant).alias("x"))
+    template = F.when(F.col("k") >= F.col("n") * similar, F.xxhash64(F.lit("template"), "x")).otherwise(F.col("lh"))
+    return made.select("lh", template.alias("name")).join(forms.select("lh", "own"), "lh")
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILAR) -> DataFrame:
     """(doc_id, dh, pos) of the lines whose template recurs."""
-    slim = stash(_lines(docs).select("doc_id", "dh", "pos", "leaf", _line_hash()), "lines")
-    often = stash(slim.select("leaf", "dh").distinct().groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf"), "leaves")
+    lines = stash(_lines(docs), "lines")
+    often = lines.select("leaf", "dh").distinct().groupBy("leaf").count().where(F.col("count") >= min_docs)
+    often = stash(often.select(F.xxhash64("leaf").alias("__tb_x")), "leaves")
     words = bloom_words(often.count())
-    bloom = stash(bloom_filter(often.select(F.xxhash64("leaf").alias("__tb_x")), "__tb_x", words), "bloom")
-    near = lambda df: bloom_probe(df, bloom, F.xxhash64("leaf"), words, "__tb_maybe").where("__tb_maybe").drop("__tb_maybe")
-    distinct = stash(near(_lines(docs)).groupBy("leaf", "toks").agg(F.count("*").alias("weight")).withColumn("lh", F.xxhash64("leaf", "toks")), "distinct")
-    total = slim.count()
-    rounds, left = [], distinct
-    while True:
-        judged = stash(_judged(left, similar, total), "judged")
-        name = F.when(F.col("own"), F.xxhash64("leaf", F.lit("template"), F.lit(len(rounds)))).otherwise(F.col("lh"))
-        rounds.append(judged.select("lh", F.lit(len(rounds)).alias("round"), name.alias("template")))
-        over = F.sum(F.when(F.col("own"), 0).otherwise(F.col("weight")))
-        onward = judged.groupBy("leaf").agg(F.count("*").alias("forms"), F.max("own").alias("onward"), over.alias("over")).where(F.col("onward") & (F.col("over") >= min_docs)).drop("over")
-        left = stash(lookup(judged.where(~F.col("own")), onward, "leaf", "forms", total).where("onward").select(*distinct.columns), "left")
-        if left.isEmpty():
-            break
-    named = rounds[0]
-    if len(rounds) > 1:  # the last round that a line was in names it
-        named = reduce(DataFrame.unionByName, rounds).groupBy("lh").agg(F.max_by("template", "round").alias("template"))
-    named = stash(named.select("lh", "template"), "named")
-    here = near(slim)
-    counts = here.groupBy("lh").agg(F.count("*").alias("uses"))
-    marked = lookup(here, named.join(counts, "lh"), "lh", "uses", total)
-    texts = marked.select("template", "dh").distinct().groupBy("template").agg(F.count("*").alias("texts")).where(F.col("texts") >= min_docs)
-    gone = named.join(texts, "template", "left_semi").select("lh").join(counts, "lh").withColumn("gone", F.lit(True))
-    return lookup(here, gone, "lh", "uses", total).where("gone").select("doc_id", "dh", "pos")
+    bloom = stash(bloom_filter(often, "__tb_x", words), "bloom")
+    near = stash(bloom_probe(lines, bloom, F.xxhash64("leaf"), words, "__tb_maybe").where("__tb_maybe").select(*lines.columns), "near")
+    total = near.count()
+    forms = stash(near.select("lh", "leaf", "form").distinct().join(_owners(near, min_docs), "lh"), "forms")
+    tokens = forms.agg(F.sum(F.size(F.split("form", " ")))).first()[0] or 0
+    named = stash(_named(forms, min_docs, similar, tokens), "named")
+    gone = lookup(named, _recurring(named, "name", min_docs), "name", "uses", total).where("uses is not null").select("lh")
+    sizes = near.groupBy("lh").agg(F.count("*").alias("lines"))
+    return lookup(near.select("doc_id", "dh", "pos", "lh"), gone.join(sizes, "lh"), "lh", "lines", total).where("lines is not null").select("doc_id", "dh", "pos")
 
 
 def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILAR) -> DataFrame:
     """``docs`` with recurring lines taken out of text, and n_lines and n_dropped added; other columns are kept."""
-    lost = stash(dropped_lines(docs.select("doc_id", "text"), min_docs, similar).groupBy(F.col("doc_id").alias("__tb_id"), F.col("dh").alias("__tb_dh")).agg(F.collect_set("pos").alias("__tb_lost")), "lost")
+    lost = dropped_lines(docs.select("doc_id", "text"), min_docs, similar)
+    lost = stash(lost.groupBy(F.col("doc_id").alias("__tb_id"), F.col("dh").alias("__tb_dh")).agg(F.collect_set("pos").alias("__tb_lost")), "lost")
     words = bloom_words(lost.count())
     bloom = stash(bloom_filter(lost.select(F.xxhash64("__tb_id", "__tb_dh").alias("__tb_x")), "__tb_x", words), "bloom")
     keyed = docs.withColumn("__tb_key", F.xxhash64(clean_text()))
     probed = bloom_probe(keyed, bloom, F.xxhash64("doc_id", "__tb_key"), words, "__tb_maybe")
-    columns = [c for c in docs.columns if c != "text"]
+    own = {"text", "n_lines", "n_dropped"}
+    columns = [c for c in docs.columns if c.lower() not in own]
     lines = F.split("text", "\n")
-    whole = probed.where(~F.col("__tb_maybe")).select(*columns, "text", F.coalesce(F.size(lines), F.lit(1)).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"))
+    n_lines = F.coalesce(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(1)).cast("long").alias("n_lines")
+    whole = probed.where(~F.col("__tb_maybe")).select(*columns, "text", n_lines, F.lit(0).cast("long").alias("n_dropped"))
     some = probed.where("__tb_maybe").join(lost, F.col("doc_id").eqNullSafe(F.col("__tb_id")) & (F.col("__tb_key") == F.col("__tb_dh")), "left")
     left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("__tb_lost", i)), "\n")
     n = F.coalesce(F.size("__tb_lost"), F.lit(0))
-    cut = some.select(*columns, F.when(F.col("__tb_lost").isNotNull(), left).otherwise(F.col("text")).alias("text"), F.coalesce(F.size(lines), F.lit(1)).cast("long").alias("n_lines"), F.when(n > 0, n).otherwise(0).cast("long").alias("n_dropped"))
+    cut = some.select(*columns, F.when(F.col("__tb_lost").isNotNull(), left).otherwise(F.col("text")).alias("text"), n_lines, F.when(n > 0, n).otherwise(0).cast("long").alias("n_dropped"))
     return whole.unionByName(cut)

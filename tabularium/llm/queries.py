@@ -84,20 +84,23 @@ ORACLE_SQL = {
     "op6_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
         FROM (SELECT doc_id, sha256({_NORM}) AS text_sha256 FROM documents) WINDOW g AS (PARTITION BY text_sha256)""",
-    "op8_line_dedup": rf"""
+    # written from the method: a token is constant at its place in a leaf where three different texts have it there
+    "op8_line_dedup": r"""
         WITH d AS (SELECT row_number() OVER () AS k, doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-        e AS (SELECT k, md5(coalesce(text, '')) AS dh, unnest(range(1, len(lines) + 1)) AS pos, lines FROM d),
-        l AS (SELECT k, dh, pos, list_filter(regexp_split_to_array(regexp_replace(lines[pos], '[^{line_dedup.WHITE}]*[0-9][^{line_dedup.WHITE}]*', '<*>', 'g'), '[{line_dedup.WHITE}]+'), lambda t: t <> '') AS toks FROM e),
-        t AS (SELECT *, len(toks) AS n, toks[1:{line_dedup.DEPTH}] AS lead FROM l WHERE len(toks) >= {line_dedup.MIN_TOKENS}),
-        often AS (SELECT n, lead FROM t GROUP BY n, lead HAVING count(DISTINCT dh) >= {line_dedup.MIN_DOCS}),
-        f AS (SELECT t.* FROM t JOIN often USING (n, lead)),
-        x AS (SELECT n, lead, unnest(range(1, n + 1)) AS place, toks FROM f),
-        votes AS (SELECT n, lead, place, toks[place] AS token, count(*) AS w FROM x GROUP BY ALL),
-        modal AS (SELECT n, lead, place, max({{'w': w, 't': token}}).t AS token FROM votes GROUP BY n, lead, place),
-        template AS (SELECT n, lead, list(token ORDER BY place) AS modal FROM modal GROUP BY n, lead),
-        named AS (SELECT f.*, CASE WHEN len(list_filter(range(1, f.n + 1), lambda i: toks[i] = modal[i] AND toks[i] <> '<*>')) >= f.n * {line_dedup.SIMILAR} THEN [] ELSE toks END AS own FROM f JOIN template USING (n, lead)),
-        gone AS (SELECT n, lead, own FROM named GROUP BY n, lead, own HAVING count(DISTINCT dh) >= {line_dedup.MIN_DOCS}),
-        lost AS (SELECT k, list(pos) AS lost FROM named JOIN gone USING (n, lead, own) GROUP BY k)
+        e AS (SELECT k, coalesce(text, '') AS body, unnest(range(1, len(lines) + 1)) AS pos, lines FROM d),
+        r AS (SELECT k, body, pos, list_filter(regexp_split_to_array(lines[pos], '[\x09-\x0d\x20]+'), lambda t: t <> '') AS raw FROM e),
+        m AS (SELECT *, list_transform(raw, lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS masked FROM r WHERE len(raw) > 0),
+        l AS (SELECT k, body, pos, CASE WHEN len(list_filter(masked, lambda t: t <> '<*>')) > 0 THEN masked ELSE raw END AS toks FROM m),
+        t AS (SELECT *, len(toks) AS n, toks[1:2] AS lead FROM l),
+        leaf AS (SELECT n, lead FROM t GROUP BY n, lead HAVING count(DISTINCT body) >= 3),
+        f AS (SELECT DISTINCT n, lead, toks, body FROM t JOIN leaf USING (n, lead)),
+        p AS (SELECT n, lead, toks, body, unnest(range(1, n + 1)) AS place FROM f),
+        constant AS (SELECT n, lead, place, toks[place] AS token FROM p WHERE toks[place] <> '<*>' GROUP BY ALL HAVING count(DISTINCT body) >= 3),
+        marked AS (SELECT DISTINCT p.n, p.lead, p.toks, p.place, c.token FROM p LEFT JOIN constant c ON p.n = c.n AND p.lead = c.lead AND p.place = c.place AND p.toks[p.place] = c.token),
+        template AS (SELECT n, lead, toks, list(coalesce(token, '<*>') ORDER BY place) AS template, count(token) AS constants FROM marked GROUP BY n, lead, toks),
+        named AS (SELECT n, lead, toks, CASE WHEN constants >= 0.7 * n THEN template ELSE toks END AS name FROM template),
+        gone AS (SELECT n, lead, name FROM named JOIN f USING (n, lead, toks) GROUP BY n, lead, name HAVING count(DISTINCT body) >= 3),
+        lost AS (SELECT k, list(pos) AS lost FROM t JOIN named USING (n, lead, toks) JOIN gone USING (n, lead, name) GROUP BY k)
         SELECT doc_id, CASE WHEN lost IS NULL THEN text ELSE array_to_string(list_transform(list_filter(range(1, len(lines) + 1), lambda i: NOT list_contains(lost, i)), lambda i: lines[i]), chr(10)) END AS text,
                len(lines) AS n_lines, coalesce(len(lost), 0) AS n_dropped
         FROM d LEFT JOIN lost USING (k)""",

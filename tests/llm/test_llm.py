@@ -144,12 +144,12 @@ def test_trigram_queries_hold_for_every_match():
 
 def test_line_dedup(spark):
     def body(i):
-        return f"Copyright {2000 + i} the example authors of this\nunique text number {'abcdefghij'[i]}{'klmnopqrst'[i]} stands right here alone {'uvwxyzabcd'[i]}\nshort"
+        return f"Copyright {2000 + i} the example authors of this\n{'abcdefghij'[i]}{'klmnopqrst'[i]} is the unique text that stands right here alone\nshort"
 
     rows = [(i, body(i)) for i in range(6)] + [(6, None), (7, ""), (0, body(0))]
     got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in line_dedup.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for i in range(6):
-        assert "Copyright" not in got[i][0] and got[i][0].endswith("short") and got[i][1] == 3
+        assert got[i][0].endswith("stands right here alone") and "\n" not in got[i][0] and got[i][1:] == (3, 2)
     assert got[6] == (None, 1, 0) and got[7] == ("", 1, 0)
 
 
@@ -162,6 +162,58 @@ def test_line_dedup_finds_each_template_of_a_leaf(spark):
     assert {i for i, n in got.items() if n} == {i for i, _ in edited + moved} and len(got) == 180
 
 
+LINES = [
+    *((i, f"The server host {w} answered with the code of all good") for i, w in enumerate("abcdef")),
+    *((10 + i, f"The server is {w} going down for some very short time") for i, w in enumerate("ghijk")),  # a second template of a leaf
+    *((100 + i, "Copyright notice that fifty copies of one text have here") for i in range(50)),
+    *((200 + i, f"Copyright notice of the year {i} for the author {w}\nOf {w * 3} alone") for i, w in enumerate("lmnop")),
+    *((300 + i, f"{w * 4}\nRead more") for i, w in enumerate("abc")),  # a short line
+    *((310 + i, f"Read\t {w * 5}") for i, w in enumerate("abc")),  # two tokens agree with no other line
+    *((320 + i, f"{i} 2 {i}\n1 2 3 4\n \n{w * 6}") for i, w in enumerate("abc")),  # fields only: exact repeats go
+    (330, "once xy\nonce xy\nonce xy"),  # often, but in one text
+    (331, "z" * 300_000 + "1"),
+    (332, None),
+    (None, "\u3000 no id"),
+]
+
+
+def spec_lines(rows):
+    """(row, line) of the lines that go, by the docstring."""
+    found = {}
+    for k, (_, text) in enumerate(rows):
+        for pos, line in enumerate((text or "").split("\n")):
+            raw = re.findall(r"[^\x09-\x0d\x20]+", line)
+            masked = ["<*>" if re.search("[0-9]", t) else t for t in raw]
+            if raw:
+                found[k, pos] = tuple(masked if {*masked} != {"<*>"} else raw)
+    texts = defaultdict(set)
+    leaf = lambda toks: (len(toks), toks[:2])
+    for (k, _), toks in found.items():
+        for place, t in enumerate(toks):
+            texts[leaf(toks), place, t].add(rows[k][1])
+    template, having = {}, defaultdict(set)
+    for (k, pos), toks in found.items():
+        constant = tuple(t if t != "<*>" and len(texts[leaf(toks), place, t]) >= 3 else None for place, t in enumerate(toks))
+        template[k, pos] = (leaf(toks), constant) if len(toks) - constant.count(None) >= 0.7 * len(toks) else toks
+        having[template[k, pos]].add(rows[k][1])
+    return {at for at, name in template.items() if len(having[name]) >= 3}
+
+
+def test_line_dedup_by_brute_force(spark):
+    df = spark.createDataFrame([(i, t, 7, "x") for i, t in LINES], "doc_id long, text string, N_Lines int, __y string").repartition(3)
+    out = line_dedup.drop_lines(df)
+    assert sorted(out.columns) == ["__y", "doc_id", "n_dropped", "n_lines", "text"]
+    gone = spec_lines(LINES)
+    want = Counter()
+    for k, (i, text) in enumerate(LINES):
+        lines = (text or "").split("\n")
+        lost = [pos for pos in range(len(lines)) if (k, pos) in gone]
+        want[i, text if not lost else "\n".join(x for pos, x in enumerate(lines) if pos not in lost), len(lines), len(lost)] += 1
+    assert Counter((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in out.collect()) == want
+    dropped = {LINES[k][0] for k, _ in gone}
+    assert dropped == {*range(6), *range(10, 15), *range(200, 205), *range(300, 303), *range(320, 323)}
+
+
 TOKENS = ["", "<|endoftext|>a<|endoftext|>", "x" * 3000, " \n\n a  b\t\tc ", "it's we'll I'LL", "\x1cfoo\x1d!! \x85   x", "Ünïcodé ﬁ ΑΣ ΌΣΟΣ 中文字 😀 é", "a b", "İstanbul ſecret", "abc" * 500 + " 0123456789" * 50, "́a b́"]
 
 
