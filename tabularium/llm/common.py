@@ -21,9 +21,11 @@ MAX_WORDS = 1 << 20
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a local one only where none is set, as in tests."""
+    """The shared folder of ``spark.checkpoint.dir``. Where none is set, one of this machine, if no other runs tasks."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="tabularium-")
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
@@ -36,6 +38,14 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstash(df: DataFrame) -> None:
+    """Delete what ``stash`` wrote, once everything that reads it is itself written."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _kept: dict = {}
 
 
@@ -94,6 +104,31 @@ def bloom_probe(df: DataFrame, bloom: DataFrame, h: Column, words: int, flag: st
     )
 
 
+class CountFilter:
+    """Keys that several rows have, as a counting Bloom filter of one hash and a bounded number of cells.
+
+    Pass 1 counts the rows of each cell (combined map-side, so a task sends one small row a cell at most) and keeps the
+    cells with ``least`` rows or more, packed into words of 64. ``probe`` is pass 2: where ``flag`` is false, fewer than
+    ``least`` rows have the key. More rows than cells make more rows pass, never fewer.
+    """
+
+    def __init__(self, keys: DataFrame, key: str, least: int):
+        self.rows = keys.count()
+        self.words = bloom_words(self.rows)
+        met = keys.groupBy(self._cell(F.col(key)).alias("cell")).count().where(F.col("count") >= least)
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("cell").bitwiseAND(F.lit(63)))
+        self.filter = stash(met.groupBy(F.shiftright("cell", 6).alias("__tb_word")).agg(F.bit_or(bit).alias("__tb_bits")), "met")
+
+    def _cell(self, key: Column) -> Column:
+        return F.xxhash64(key).bitwiseAND(F.lit(64 * self.words - 1).cast("long")).cast("int")
+
+    def probe(self, df: DataFrame, key: str, flag: str = "__tb_maybe") -> DataFrame:
+        """Add ``flag``. The filter has at most ``words`` rows and is broadcast."""
+        celled = df.withColumn("__tb_cell", self._cell(F.col(key))).withColumn("__tb_word", F.shiftright("__tb_cell", 6))
+        met = F.getbit("__tb_bits", F.col("__tb_cell").bitwiseAND(F.lit(63))) == 1
+        return celled.join(F.broadcast(self.filter), "__tb_word", "left").withColumn(flag, F.coalesce(met, F.lit(False))).drop("__tb_cell", "__tb_word", "__tb_bits")
+
+
 def lookup(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """Left join of ``rows`` with one row per group in ``groups``; ``size`` is how many of ``rows`` a group has.
 
