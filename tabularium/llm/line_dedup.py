@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bloom_filter, bloom_probe, bloom_words, clean_text, lookup, stash
+from .common import CountFilter, bloom_filter, bloom_probe, bloom_words, clean_text, lookup, stash, unstash
 
 DEPTH = 2
 SIMILAR = 0.7
@@ -60,21 +60,22 @@ def _owners(near: DataFrame, min_docs: int) -> DataFrame:
 
 def _recurring(rows: DataFrame, key: str, min_docs: int) -> DataFrame:
     """(key, uses) of the keys that ``min_docs`` different texts in ``own`` have; ``uses`` is how many rows have it."""
-    texts = rows.where(F.col(key).isNotNull()).select(key, F.posexplode("own").alias("i", "dh"))
+    texts = rows.select(key, F.posexplode("own").alias("i", "dh"))
     uses = F.count(F.when(F.col("i") == 0, 1)).alias("uses")
     return texts.groupBy(key).agg(uses, F.count_distinct("dh").alias("texts")).where(F.col("texts") >= min_docs).select(key, "uses")
 
 
-def _named(forms: DataFrame, min_docs: int, similar: float, total: int) -> DataFrame:
+def _named(forms: DataFrame, min_docs: int, similar: float) -> DataFrame:
     """(lh, name, own): the template of each form (lh, leaf, form, own), or its own hash where it has none."""
-    tokens = forms.select("lh", "own", "leaf", F.posexplode(F.split("form", " ")).alias("place", "token"))
-    placed = tokens.select("lh", "own", F.when(F.col("token") != FIELD, F.xxhash64("leaf", "place", "token")).alias("key"))
-    frequent = stash(_recurring(placed, "key", min_docs), "constants")
-    marked = lookup(placed.select("lh", "key"), frequent, "key", "uses", total)
-    constant = F.when(F.col("uses").isNotNull(), F.col("key"))
-    made = marked.groupBy("lh").agg(F.count("*").alias("n"), F.count(constant).alias("k"), F.bit_xor(constant).alias("x"))
-    template = F.when(F.col("k") >= F.col("n") * similar, F.xxhash64(F.lit("template"), "x")).otherwise(F.col("lh"))
-    return made.select("lh", template.alias("name")).join(forms.select("lh", "own"), "lh")
+    tokens = forms.select("lh", "own", "leaf", F.posexplode(F.split("form", " ")).alias("place", "token")).where(F.col("token") != FIELD)
+    placed = tokens.select("lh", "own", F.xxhash64("leaf", "place", "token").alias("key"))
+    # most tokens of most lines are met too seldom to be constant: those never leave their task
+    met = CountFilter(placed.select("key", F.explode("own")), "key", min_docs)
+    often = met.probe(placed, "key").where("__tb_maybe").select("lh", "own", "key")
+    frequent = stash(_recurring(often, "key", min_docs), "constants")
+    made = lookup(often.select("lh", "key"), frequent, "key", "uses", met.rows).where("uses is not null").groupBy("lh").agg(F.count("*").alias("k"), F.bit_xor("key").alias("x"))
+    template = F.when(F.col("k") >= F.size(F.split("form", " ")) * similar, F.xxhash64(F.lit("template"), "x"))
+    return forms.join(made, "lh", "left").select("lh", F.coalesce(template, F.col("lh")).alias("name"), "own")
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SIMILAR) -> DataFrame:
@@ -85,10 +86,11 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similar: float = SI
     words = bloom_words(often.count())
     bloom = stash(bloom_filter(often, "__tb_x", words), "bloom")
     near = stash(bloom_probe(lines, bloom, F.xxhash64("leaf"), words, "__tb_maybe").where("__tb_maybe").select(*lines.columns), "near")
+    unstash(lines)
     total = near.count()
     forms = stash(near.select("lh", "leaf", "form").distinct().join(_owners(near, min_docs), "lh"), "forms")
-    tokens = forms.agg(F.sum(F.size(F.split("form", " ")))).first()[0] or 0
-    named = stash(_named(forms, min_docs, similar, tokens), "named")
+    named = stash(_named(forms, min_docs, similar), "named")
+    unstash(forms)
     gone = lookup(named, _recurring(named, "name", min_docs), "name", "uses", total).where("uses is not null").select("lh")
     sizes = near.groupBy("lh").agg(F.count("*").alias("lines"))
     return lookup(near.select("doc_id", "dh", "pos", "lh"), gone.join(sizes, "lh"), "lh", "lines", total).where("lines is not null").select("doc_id", "dh", "pos")
