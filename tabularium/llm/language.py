@@ -7,11 +7,13 @@ prediction is the language with the largest posterior.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0. Characters that the vocabulary lacks
 have one small probability in all languages. Nothing to learn from: every text is ``und``. Ties go to the language that
-sorts first. Repeated rows are scored alike.
+sorts first. Repeated rows are scored alike. Words of any length are scored whole; EM learns from parts of LONG letters of
+longer ones. Rows without lang are not learnt from. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -20,13 +22,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import clean_text, worker_release
+from .common import clean_text, worker_keep
 from .words import WordTable, fold, score_texts, segment_sums, slices, thin
 
 LETTERS = regex.compile(r"\p{L}+")
 START = "▁"
 UNKNOWN = 1e-7
-#: Words longer than this are summed with rescaling, one at a time.
+#: No language: the name that a text gets which is no likelier in any language than by chance.
+CHANCE = "\0"
+#: Words longer than this are summed with rescaling, one at a time; EM learns from their parts of so many letters.
 LONG = 40
 #: Documents of each language that the model is fitted on, at most about.
 SAMPLE = 600
@@ -40,29 +44,37 @@ def vocabulary(path: str) -> list[str]:
 
 
 class Lattice:
-    """Finds the pieces in words. An id of -1 marks a mere beginning of pieces."""
+    """Finds the pieces in words by a trie, at all starts of many words at once."""
 
     def __init__(self, pieces: list[str]):
         self.size = len(pieces)
         self.longest = max(map(len, pieces), default=1)
-        self.ids: dict[str, int] = {p[:k]: -1 for p in pieces for k in range(1, len(p))}
-        self.ids |= {p: i for i, p in enumerate(pieces)}
+        states = {"": 0} | {p: k for k, p in enumerate(sorted({p[:k] for p in pieces for k in range(1, len(p) + 1)}), 1)}
+        arcs = sorted((states[p[:-1]] << 21 | ord(p[-1]), k) for p, k in states.items() if p)
+        self.arcs = np.array([a for a, _ in arcs] + [1 << 62], np.int64)
+        self.targets = np.array([k for _, k in arcs] + [0], np.int64)
+        self.piece = np.full(len(states), -1, np.int32)  # -1: a mere beginning of pieces
+        self.piece[[states[p] for p in pieces]] = np.arange(len(pieces))
 
     def of(self, words: list[str]) -> np.ndarray:
         """Ids [word, start, length - 1] for words of one length; ``size`` stands for none, ``size + 1`` for unknown."""
-        n, t, get = len(words), len(words[0]), self.ids.get
-        out = np.full((n, t, min(self.longest, t)), self.size, np.int32)
-        for k, w in enumerate(words):
-            own = out[k]
-            for i in range(t):
-                for j in range(i + 1, t + 1):
-                    if (found := get(w[i:j])) is None:
-                        break
-                    if found >= 0:
-                        own[i, j - i - 1] = found
-                if own[i, 0] == self.size:
-                    own[i, 0] = self.size + 1
-        return out
+        n, t = len(words), len(words[0])
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        out = np.full((n * t, min(self.longest, t)), self.size, np.int32)
+        start, state, room = np.arange(n * t), np.zeros(n * t, np.int64), np.tile(np.arange(t, 0, -1), n)
+        for k in range(out.shape[1]):
+            inside = room > k
+            start, state, room = start[inside], state[inside], room[inside]
+            arc = state << 21 | chars[start + k]
+            at = np.searchsorted(self.arcs, arc)
+            on = self.arcs[at] == arc
+            start, state, room = start[on], self.targets[at[on]], room[on]
+            if not len(start):
+                break
+            found = self.piece[state]
+            out[start[found >= 0], k] = found[found >= 0]
+        out[out[:, 0] == self.size, 0] = self.size + 1
+        return out.reshape(n, t, -1)
 
 
 def forward(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -105,14 +117,18 @@ def word_logs(words: list[str], lattice: Lattice, table: np.ndarray) -> np.ndarr
 
 
 def fit_pieces(words: dict[str, int], lattice: Lattice, rounds: int = 4, smooth: float = 0.05) -> np.ndarray:
-    """Piece probabilities of one language by EM; words of up to LONG letters are used. The last two entries: none, unknown."""
+    """Piece probabilities of one language by EM. The last two entries: none, unknown."""
     v = lattice.size
+    parts: dict[str, int] = {}
+    for word, n in words.items():
+        for k in range(0, len(word), LONG):
+            parts[word[k : k + LONG]] = parts.get(word[k : k + LONG], 0) + n
     p = np.full(v + 2, 1.0 / max(v, 1))
     p[v], p[v + 1] = 0, UNKNOWN
     groups = []
-    for _, group in groupby(sorted((w for w in words if len(w) <= LONG), key=len), key=len):
+    for _, group in groupby(sorted(parts, key=len), key=len):
         own = [*group]
-        groups.append((lattice.of(own), np.array([words[w] for w in own], float)))
+        groups.append((lattice.of(own), np.array([parts[w] for w in own], float)))
     for _ in range(rounds):
         counts = np.zeros(v + 2)
         for ids, weight in groups:
@@ -140,14 +156,23 @@ class Model:
     pieces: list[str]
     table: np.ndarray  # [piece, language]
 
+    def with_chance(self) -> "Model":
+        """With a further language, CHANCE, in which every piece is as likely; it is as frequent as all others together."""
+        even = np.full(len(self.table), 1.0 / max(len(self.pieces), 1))
+        even[len(self.pieces) :] = self.table[len(self.pieces) :, 0]
+        return Model([*self.languages, CHANCE], np.append(self.prior, 0.0), self.pieces, np.column_stack([self.table, even]))
+
     def scorer(self):
         lattice, width = Lattice(self.pieces), len(self.languages)
 
+        # runs that differ in marks and case share their words
+        known = WordTable(lambda new: word_logs(new, lattice, self.table), width)
+
         def rows(runs: list[str]) -> np.ndarray:
             """For a run of non-space: a flag for letters, and the sum of its words' logarithms by language."""
             own = [[START + w for w in LETTERS.findall(r.lower())] for r in runs]
             counts = np.array([*map(len, own)])
-            sums = segment_sums(word_logs([w for ws in own for w in ws], lattice, self.table), counts)
+            sums = segment_sums(known.take([w for ws in own for w in ws]), counts)
             return np.concatenate([(counts > 0)[:, None], sums], axis=1)
 
         words = WordTable(rows, width + 1)
@@ -203,22 +228,33 @@ def identify(docs: DataFrame, vocabulary_path: str, folds: int = 4, held: int =
 
 
 def keep_identified(docs: DataFrame, vocabulary_path: str, folds: int = 4, held: int = 2) -> DataFrame:
-    """Rows of ``docs`` that get a language; each is decided by its own text, in place, and all columns stay.
+    """Rows of ``docs`` in one of the languages learnt; a null lang becomes the predicted one, and all columns stay.
 
-    With nothing to learn from, the rows with a letter stay.
+    A text is rejected if it is null or has no letter, or if no language explains it better than chance does: that is, if
+    pieces of even probability, a further column of the model, have the largest posterior. Each row is decided by its own
+    text, in place; rows that repeat a doc_id are decided each. With nothing to learn from, the rows with a letter stay.
     """
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     model = fit(docs.select("doc_id", "text", "lang"), ~fold(F.col("doc_id"), folds, held), vocabulary_path)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    key, shared = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(model and model.with_chance())
+    at = docs.columns.index("lang")
 
     def run(batches):
-        worker_release()
         model = shared.value
-        score = model.scorer() if model else None
+        score = worker_keep(key, model.scorer) if model else None
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            keep = [n != "und" for n in score(texts)[0]] if score and texts else [bool(t and LETTERS.search(t)) for t in texts]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            if not texts:
+                continue
+            if score:
+                found = score(texts)[0]
+                keep = pa.array([n not in ("und", CHANCE) for n in found], pa.bool_())
+                named = pc.coalesce(batch.column("lang"), pa.array(found, batch.column("lang").type))
+                batch = batch.set_column(at, batch.schema.field(at), named)
+            else:
+                keep = pa.array([bool(t and LETTERS.search(t)) for t in texts], pa.bool_())
+            yield batch.filter(keep)
 
     return docs.mapInArrow(run, docs.schema)

@@ -6,13 +6,14 @@ text costs little more than its look-ups. Whole texts are read, a few hundred at
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import clean_text, worker_release
+from .common import clean_text, worker_keep
 
 #: Words whose rows a worker keeps; the table is emptied when full.
 TABLE = 600_000
@@ -106,18 +107,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
 
 
 def score_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[np.ndarray]]], columns: str) -> DataFrame:
-    """doc_id and ``columns`` of every row of (doc_id, text); ``make`` is called once in each task's worker."""
+    """doc_id and ``columns`` of every row of (doc_id, text); ``make`` is called once in each Python worker."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import StructType
 
-    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    key, slim = uuid.uuid4().hex, docs.select("doc_id", F.col("text").cast("string").alias("text"))
     added = StructType.fromDDL(columns)
     names, types = added.fieldNames(), [to_arrow_type(f.dataType) for f in added]
 
     def run(batches):
-        worker_release()
-        score = make()
+        score = worker_keep(key, make)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             made = score(texts) if texts else [[] for _ in names]
