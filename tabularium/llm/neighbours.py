@@ -5,17 +5,19 @@ which the rows that share a prefix with a query are one run. For a query the sea
 any row shares and ascends in all trees at once, one bit at a time, until the runs hold enough candidates; these are
 scored exactly. Inner products become angles by one further coordinate that makes all rows equally long.
 
-Rows are dealt into blocks by a hash of their id, each block with a forest of its own, and the queries, in blocks too,
-visit every block; only the best ``k`` of each visit are shuffled. No block depends on what its vectors are, so one
-vector with a third of the rows makes no task larger. How many candidates it takes is a share of the rows,
-CANDIDATES: for vectors spread evenly round the sphere (the 20th neighbour of the test data has a cosine of 0.36) no
-smaller share gives a recall of 0.9; for clustered vectors a much smaller one will do.
+Rows are dealt into blocks by a hash of id and vector, each block with a forest of its own, and the queries, in blocks as
+large, visit every block: a row is copied once for each block of queries, which are a twentieth of the rows or fewer, and
+only the best ``k`` of each visit are shuffled. No block depends on what its vectors are, so one vector or id with a third
+of the rows makes no task larger. How many candidates it takes is a share of the rows at every size, CANDIDATES: for
+vectors spread evenly round the sphere (the 20th neighbour of the test data has a cosine of 0.36) no much smaller share
+gives a recall of 0.9; for clustered vectors one will do.
 
 The projections are fitted on at most about SAMPLE rows; every row is indexed.
 
 Defined results: vectors that are null, empty, zero, of another length than most (ties: the longer), or hold null or
 non-finite components take no part, nor do rows without id. Rows that repeat an id and a vector are one. Ties go to the
-smaller vec_id. With fewer candidates than ``k`` all are returned; an empty table gives an empty result.
+smaller vec_id. A product beyond the range of doubles is infinite, and one without a value (infinities that cancel) comes
+last. With fewer candidates than ``k`` all are returned; an empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,11 +31,10 @@ from .common import stash
 TREES = 32
 BITS = 24
 #: Share of a block's rows that the ascent gathers, copies of a row from several trees counted each time.
-CANDIDATES = 0.55
-#: The ascent gathers so many at least, copies counted: among few rows the nearest are not much nearer than others.
-LEAST_GATHERED = 3000
+CANDIDATES = 1.25
 SAMPLE = 20_000
-LEAST_BLOCK, MOST_BLOCK, QUERY_BLOCK = 4096, 65536, 1024
+#: Rows of a block, and the bytes of its vectors that bound them for long vectors.
+LEAST_BLOCK, MOST_BLOCK, MOST_BYTES = 4096, 65536, 1 << 26
 
 
 def usable(table: DataFrame) -> DataFrame:
@@ -46,6 +47,12 @@ def usable(table: DataFrame) -> DataFrame:
     return rows.where(F.size("embedding") == (most[0] if most else 0)).dropDuplicates(["vec_id", "embedding"])
 
 
+def lengths(rows: np.ndarray) -> np.ndarray:
+    """Euclidean, without overflow or underflow on the way."""
+    most = np.abs(rows).max(1, initial=0)
+    return most * np.sqrt(((rows / np.where(most > 0, most, 1)[:, None]) ** 2).sum(1))
+
+
 class Hashes:
     """Projections and thresholds of all trees, fitted on a sample."""
 
@@ -73,9 +80,9 @@ def search(hashes: Hashes, ids: np.ndarray, rows: np.ndarray, query_ids: np.ndar
     codes = hashes.codes(hashes.level(rows))
     orders = [np.argsort(c, kind="stable") for c in codes]
     trees = [c[o] for c, o in zip(codes, orders)]
-    units = queries / np.sqrt((queries * queries).sum(1))[:, None]
+    units = queries / lengths(queries)[:, None]
     wanted = hashes.codes(np.column_stack([units, np.zeros(len(units))]))
-    enough = max(LEAST_GATHERED, share * len(ids))
+    enough = share * len(ids)
     low, high = np.zeros((2, TREES, len(queries)), np.int64)
     open_ = np.ones(len(queries), bool)
     for depth in range(BITS, -1, -1):  # ascend in all trees at once
@@ -96,25 +103,32 @@ def search(hashes: Hashes, ids: np.ndarray, rows: np.ndarray, query_ids: np.ndar
         at = np.flatnonzero(taken)
         if not len(at):
             continue
-        rough = rows[at] @ query
-        if len(at) > k:
-            least = np.partition(rough, len(at) - k)[len(at) - k]
-            at = at[rough >= least - 1e-9 * max(1.0, abs(least))]
-        score = (rows[at] * query).sum(1)  # equal vectors get equal sums, wherever they lie
-        best = np.lexsort((ids[at], -score))[:k]
+        with np.errstate(over="ignore", invalid="ignore"):
+            rough = rows[at] @ query
+            if len(at) > k and np.isfinite(rough).all():
+                least = np.partition(rough, len(at) - k)[len(at) - k]
+                at = at[rough >= least - 1e-9 * max(1.0, abs(least))]
+            score = (rows[at] * query).sum(1)  # equal vectors get equal sums, wherever they lie
+        best = np.lexsort((ids[at], -np.nan_to_num(score, nan=-np.inf, posinf=np.inf, neginf=-np.inf), np.isnan(score)))[:k]
         out[0].append(np.full(len(best), query_ids[j]))
         out[1].append(ids[at[best]])
         out[2].append(score[best])
     return [np.concatenate(c) if c else np.zeros(0, d) for c, d in zip(out, (np.int64, np.int64, np.float64))]
 
 
+def _length():
+    """A row's Euclidean length, without overflow or underflow on the way."""
+    most = F.array_max(F.transform("embedding", F.abs))
+    return most * F.sqrt(F.aggregate(F.transform("embedding", lambda x: x / most), F.lit(0.0), lambda a, x: a + x * x))
+
+
 def nearest(table: DataFrame, k: int = 20, every: int = 20, share: float = CANDIDATES) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of each row whose vec_id is divisible by ``every``."""
     import pyarrow as pa
 
     spark = table.sparkSession
     rows = stash(usable(table), "vectors")
-    n, longest = rows.agg(F.count("*"), F.max(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)))).first()
+    n, longest = rows.agg(F.count("*"), F.max(_length())).first()
     part = F.pmod(F.xxhash64(F.lit("sample"), F.col("vec_id")), F.lit(1 << 20))
     sample = rows.where(part < F.lit(int((1 << 20) * min(1.0, SAMPLE / max(n, 1))))) if n > SAMPLE else rows
     sample = np.array([r[0] for r in sample.orderBy("vec_id").select("embedding").collect()], float)
@@ -122,22 +136,23 @@ def nearest(table: DataFrame, k: int = 20, every: int = 20, share: float = CANDI
         sample = np.array([r[0] for r in rows.limit(2).select("embedding").collect()] * 2, float)
     shared = spark.sparkContext.broadcast(Hashes(sample, longest) if n else None)
     queries = rows.where(F.col("vec_id") % every == 0)
-    size = min(MOST_BLOCK, max(LEAST_BLOCK, n // 12))
-    blocks, query_blocks = max(1, -(-n // size)), max(1, -(-queries.count() // QUERY_BLOCK))
-    deal = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), F.col("vec_id")), F.lit(count)).cast("int")
+    most = max(1, min(MOST_BLOCK, MOST_BYTES // (8 * sample.shape[1]))) if n else 1
+    size = min(most, max(LEAST_BLOCK, n // 12))
+    blocks, query_blocks = max(1, -(-n // size)), max(1, -(-queries.count() // most))
+    deal = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "vec_id", "embedding"), F.lit(count)).cast("int")
     left = rows.select(deal("row", blocks).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"), "vec_id", "embedding")
-    right = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), deal("query", query_blocks).alias("query_block"), "vec_id", "embedding")
+    right = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), deal("query", query_blocks).alias("query_block"), F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
 
     def visit(block: pa.Table, own: pa.Table) -> pa.Table:
         if not block.num_rows or not own.num_rows:
             found = [np.zeros(0, d) for d in (np.int64, np.int64, np.float64)]
         else:
-            read = lambda t: (t.column("vec_id").to_numpy().astype(np.int64), t.column("embedding").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1))
+            read = lambda t: (t.column(2).to_numpy().astype(np.int64), t.column(3).combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1))
             found = search(shared.value, *read(block), *read(own), k, share)
         return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, found))))
 
     keys = ["block", "query_block"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(visit, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.isnan("score"), F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

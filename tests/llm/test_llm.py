@@ -375,6 +375,38 @@ def test_neighbours(spark):
     assert neighbours.nearest(spark.createDataFrame(odd[:4], "vec_id long, embedding array<double>").where("vec_id = 1000")).count() == 0
 
 
+def test_neighbours_of_extreme_vectors(spark):
+    huge, tiny = ([(i, [s * 10.0 ** (e + i % 3)] * 4) for i in range(40)] for e, s in ((199, 1), (-201, 1)))
+    for rows in (huge, tiny, [(i, [1e200, -1e200, 1e200, -1e200] if i % 2 else [1e200] * 4) for i in range(40)]):
+        got = defaultdict(list)
+        for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), share=1e9).sort("rank").collect():
+            got[r.query_id].append((r.vec_id, r.score))
+        x = np.array([v for _, v in rows])
+        for q, found in got.items():
+            with np.errstate(all="ignore"):
+                s = (x * x[q]).sum(1)
+            best = [i for i in np.lexsort((np.arange(40), -np.where(np.isnan(s), 0, s), np.isnan(s))) if i != q][:20]
+            assert [i for i, _ in found] == best and [repr(v) for _, v in found] == [repr(float(s[i])) for i in best]
+        assert {*got} == {0, 20}
+
+
+def test_neighbours_reach_the_recall_at_several_sizes():
+    for n in (400, 3000):
+        rng = np.random.default_rng(n)
+        x = rng.normal(size=(n, 64))
+        x /= np.sqrt((x * x).sum(1))[:, None]
+        hashes, ids, q = neighbours.Hashes(x, 1.0), np.arange(n), np.arange(0, n, 20)
+        found = neighbours.search(hashes, ids, x, q, x[q], 20, neighbours.CANDIDATES)
+        hits = 0
+        for i in q:
+            s = x @ x[i]
+            s[i] = -np.inf
+            hits += len({*np.argsort(-s)[:20]} & {*found[1][found[0] == i]})
+        assert hits / (20 * len(q)) >= 0.9
+        few = neighbours.search(hashes, ids, x, q, x[q], 20, 0.1)  # the forest decides: a small share finds less
+        assert sum(len({*few[1][few[0] == i]}) for i in q) <= 20 * len(q) and not np.array_equal(few[1], found[1])
+
+
 @pytest.mark.parametrize("run", [exact_dedup.duplicate_groups, exact_dedup.drop_duplicates, near_dedup.near_duplicates, secrets.digests, line_dedup.drop_lines, lambda d: bpe.encode_digests(d, public_tokenizers.path("byte_bpe_50k.json"))])
 def test_empty_tables(docs, run):
     assert run(docs.limit(0)).count() == 0
