@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean, java_pattern
+from ..functions.text import clean, collapse, fold, java_pattern
 from ..plans.contracts import LAYOUT_FIELDS
-from .rows import RuleSet, State, collapse, fold, header_field, is_header, layout_of
+from .rows import MEASURED, RuleSet, base_layout, by_template, header_field, is_header, layout_in_force
 
 # How a page's text names the columns of a table whose header is not in the table.
 PAGE_HEADER = {
@@ -24,63 +22,81 @@ HEADER_LINES, HEADER_FIELDS = 4, 3
 CONFIDENT = 0.8
 
 
-def expected_fields(tipo: str | None, rules: RuleSet) -> list[str]:
-    layout = rules.layouts.get(tipo or "") or rules.layouts.get("AMOSTRA", {})
-    return ["parameter", *(f for f in LAYOUT_FIELDS if layout.get(f) is not None)]
-
-
-def page_header(text: str | None, expected: list[str]) -> tuple[str | None, list[str]]:
-    """The run of lines that names most expected fields (the shortest of equals), and the fields as they stand there."""
-    lines = [x for x in (text or "").splitlines() if x.strip()]
-    best: tuple[int, int] | None = None
-    found: tuple[str | None, list[str]] = (None, [])
-    for n in range(1, HEADER_LINES + 1):
-        for i in range(len(lines) - n + 1):
-            joined = " ".join(lines[i : i + n])
-            norm = fold(joined)
-            at = {f: m.start() for f in expected if f in PAGE_HEADER and (m := re.search(PAGE_HEADER[f], norm))}
-            if "parameter" in at and len(at) >= HEADER_FIELDS and (best is None or (-len(at), len(joined)) < best):
-                best, found = (-len(at), len(joined)), (joined, sorted(at, key=at.get))
-    return found
-
-
-def positions(state: State, rules: RuleSet, named: list[str]) -> dict[str, int]:
-    """Column of each field: as the page names them, else by the layout in force."""
-    if "parameter" in named and "resultado" in named:
-        return {f: i for i, f in enumerate(named)}
-    return {"parameter": 0, **{f: i for f, i in layout_of(state, rules).items() if i is not None}}
-
-
-def confident(rows: list[list], at: dict[str, int], expected: list[str]) -> bool:
-    wanted = [at[f] for f in expected if f in at]
-    data = [r for r in rows if any(collapse(c) for c in r)]
-    if not wanted or not data:
-        return False
-    wide = sum(len(r) > max(wanted) for r in data) / len(data)
-    i = at.get("resultado")
-    valued = 1.0 if i is None else sum(len(r) > i and bool(re.search(r"^[<>]=?|[+-]?\d", str(r[i] or ""))) for r in data) / len(data)
-    return wide >= CONFIDENT and valued >= CONFIDENT
-
-
-def table_audit(rows: list[list], state: State, rules: RuleSet, page_text: str | None = None) -> dict:
-    """Header, mapped, unmapped and absent columns, and status of one result table."""
-    expected = expected_fields(state.tipo_registro, rules)
-    header = next((r for r in rows[:3] if is_header(r)), None)
-    if header is None:
-        own = state.layout if state.layout_tipo == state.tipo_registro else None
-        title, named = (None, []) if own else page_header(page_text, expected)
-        at = positions(state, rules, named)
-        sure = confident(rows, at, named or expected)
-        status = ("fallback_cabecalho_texto_layout_confiavel" if sure else "fallback_cabecalho_texto_layout_incompleto") if title else "fallback_layout_confiavel" if sure else "fallback"
-        effective = named or sorted(at, key=at.get) or expected
-        return {"cabecalho_detectado": collapse(title) or None, "colunas_mapeadas": None, "colunas_sem_mapeamento": None, "campos_esperados": "; ".join(effective), "campos_opcionais_ausentes": None, "usou_fallback": True, "status": status}
-    columns = [c for c in map(collapse, header) if c]
-    fields = {c: header_field(c, rules, parameter=True) for c in columns}
-    unmapped = [c for c in columns if fields[c] is None]
-    absent = [f for f in expected if f != "parameter" and f not in fields.values()]
-    status = ("alerta_descoberta_com_opcional_ausente" if absent else "alerta_descoberta") if unmapped else "ok_com_opcional_ausente" if absent else "ok"
-    mapped = "; ".join(f"{c} -> {fields[c]}" for c in columns if fields[c])
-    return {"cabecalho_detectado": " | ".join(columns), "colunas_mapeadas": mapped, "colunas_sem_mapeamento": "; ".join(unmapped), "campos_esperados": "; ".join(expected), "campos_opcionais_ausentes": "; ".join(absent), "usou_fallback": False, "status": status}
+def expected_fields(rules: dict[str, RuleSet]) -> Column:
+    """Fields that the layout of the type of record has, the parameter first."""
+    base = by_template(rules, lambda r: base_layout(r, F.col("tipo_registro")), "map<string,int>")
+    return F.concat(F.array(F.lit("parameter")), F.filter(F.array(*map(F.lit, LAYOUT_FIELDS)), lambda f: F.map_contains_key(base, f)))
+
+
+def page_headers(tables: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys``, titulo, nomeados: the lines of the page that name most of the fields in ``esperados``, and those in order.
+
+    Windows of up to HEADER_LINES lines with text are tried; of equals the shortest text wins, then the first. Tables
+    without such a window are left out.
+    """
+    lines = F.filter(F.split(F.coalesce("text", F.lit("")), r"\R"), lambda x: F.trim(x) != "")
+    counted = tables.withColumn("linhas_texto", lines).select(*keys, "esperados", "linhas_texto", F.posexplode("linhas_texto").alias("i", "_"))
+    windows = counted.select(*keys, "esperados", "linhas_texto", "i", F.explode(F.array(*map(F.lit, range(1, HEADER_LINES + 1)))).alias("n")).where(F.col("i") + F.col("n") <= F.size("linhas_texto"))
+    windows = windows.withColumn("titulo", F.array_join(F.expr("slice(linhas_texto, i + 1, n)"), " ")).withColumn("norm", fold(F.col("titulo")))
+    places = F.array(*(F.struct(F.regexp_instr("norm", F.lit(p)).alias("em"), F.lit(f).alias("campo")) for f, p in PAGE_HEADER.items()))
+    windows = windows.withColumn("achados", F.filter(places, lambda x: (x["em"] > 0) & F.array_contains("esperados", x["campo"])))
+    usable = windows.where((F.size("achados") >= HEADER_FIELDS) & F.exists("achados", lambda x: x["campo"] == "parameter"))
+    rank = F.struct(-F.size("achados"), F.char_length("titulo"), "i", "n")
+    best = usable.groupBy(*keys).agg(F.min_by(F.struct("titulo", "achados"), rank).alias("m"))
+    return best.select(*keys, F.col("m.titulo").alias("titulo"), F.transform(F.array_sort(F.col("m.achados")), lambda x: x["campo"]).alias("nomeados"))
+
+
+def confident(rows: Column, at: Column, wanted: Column) -> Column:
+    """Whether enough of a table's rows reach the wanted columns, and have a result where ``at`` puts it."""
+    data = F.filter(rows, lambda r: F.exists(r, lambda c: F.coalesce(collapse(c) != "", F.lit(False))))
+    last = F.array_max(F.transform(F.filter(wanted, lambda f: F.map_contains_key(at, f)), lambda f: F.try_element_at(at, f)))
+    share = lambda cond: F.size(F.filter(data, cond)) >= F.size(data) * CONFIDENT
+    value = F.try_element_at(at, F.lit("resultado"))
+    valued = value.isNull() | share(lambda r: F.rlike(F.coalesce(F.get(r, value), F.lit("")), F.lit(MEASURED)))
+    return F.coalesce((F.size(data) > 0) & share(lambda r: F.size(r) > last) & valued, F.lit(False))
+
+
+def table_audit(states: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
+    """Header, mapped, unmapped and absent columns, and status of each table that is read (``states``: ``rows.sections``)."""
+    keys = ["doc_id", "page_no", "tabela_indice"]
+    tables = states.where(F.col("lida") & (F.col("linha") == 0)).withColumn("esperados", expected_fields(rules))
+    header = F.try_element_at(F.filter(F.slice("linhas", 1, 3), is_header), F.lit(1))
+    tables = tables.withColumn("cab", header).withColumn("proprio", F.coalesce(F.col("vigente.tipo") == F.col("tipo_registro"), F.lit(False)))
+    shown = ["categoria", "subcategoria", "tipo_registro", "local"]
+    texts = lambda x: F.array_join(x, "; ")
+
+    # the table has a header: which columns it maps
+    columns = F.filter(F.transform("cab", lambda c: collapse(F.coalesce(c, F.lit("")))), lambda c: c != "")
+    named = by_template(rules, lambda r: F.transform(F.col("colunas"), lambda c: F.struct(c.alias("c"), header_field(r, c, parameter=True).alias("f"))), "array<struct<c:string,f:string>>")
+    own = tables.where("cab is not null").withColumn("colunas", columns).withColumn("nomes", named)
+    unmapped = F.transform(F.filter("nomes", lambda x: x["f"].isNull()), lambda x: x["c"])
+    absent = F.filter("esperados", lambda f: (f != "parameter") & ~F.exists("nomes", lambda x: F.coalesce(x["f"] == f, F.lit(False))))
+    own = own.withColumn("sem", unmapped).withColumn("ausentes", absent)
+    some, gone = F.size("sem") > 0, F.size("ausentes") > 0
+    status = F.when(some & gone, "alerta_descoberta_com_opcional_ausente").when(some, "alerta_descoberta").when(gone, "ok_com_opcional_ausente").otherwise("ok")
+    mapped = texts(F.transform(F.filter("nomes", lambda x: x["f"].isNotNull()), lambda x: F.concat(x["c"], F.lit(" -> "), x["f"])))
+    with_header = own.select(
+        *keys, *shown, F.array_join("colunas", " | ").alias("cabecalho_detectado"), mapped.alias("colunas_mapeadas"), texts(F.col("sem")).alias("colunas_sem_mapeamento"),
+        texts(F.col("esperados")).alias("campos_esperados"), texts(F.col("ausentes")).alias("campos_opcionais_ausentes"), F.lit(False).alias("usou_fallback"), status.alias("status"),
+    )
+
+    # it has none: the page's text may name the columns, else the layout in force tells
+    bare = tables.where("cab is null")
+    bare = bare.join(page_headers(bare.where(~F.col("proprio")).select(*keys, "esperados", "text"), keys), keys, "left")
+    by_page = F.array_contains("nomeados", "parameter") & F.array_contains("nomeados", "resultado")
+    place = F.map_from_entries(F.transform("nomeados", lambda f, i: F.struct(f, i)))
+    first = F.create_map(F.lit("parameter"), F.lit(0))
+    bare = bare.withColumn("at", F.when(by_page, place).otherwise(F.map_concat(first, F.map_filter(layout_in_force(rules), lambda k, v: k != "parameter"))))
+    sure = confident(F.col("linhas"), F.col("at"), F.coalesce("nomeados", "esperados"))
+    named_by_text = F.col("titulo").isNotNull()
+    status = F.when(named_by_text & sure, "fallback_cabecalho_texto_layout_confiavel").when(named_by_text, "fallback_cabecalho_texto_layout_incompleto").when(sure, "fallback_layout_confiavel").otherwise("fallback")
+    placed = F.transform(F.array_sort(F.transform(F.map_entries("at"), lambda e: F.struct(e["value"].alias("v"), e["key"].alias("k")))), lambda e: e["k"])
+    none = F.lit(None).cast("string")
+    without = bare.select(
+        *keys, *shown, F.nullif(collapse(F.col("titulo")), F.lit("")).alias("cabecalho_detectado"), none.alias("colunas_mapeadas"), none.alias("colunas_sem_mapeamento"),
+        texts(F.coalesce("nomeados", placed)).alias("campos_esperados"), none.alias("campos_opcionais_ausentes"), F.lit(True).alias("usou_fallback"), status.alias("status"),
+    )
+    return with_header.unionByName(without).withColumnRenamed("page_no", "pagina")
 
 
 def known_sections(docs: DataFrame, sections: dict[str, tuple[list[str], list[str]]], extracted: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

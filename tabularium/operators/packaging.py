@@ -1,18 +1,26 @@
-"""Packaging and preservatives: container rows of a section's table, the section and the sample carried over pages."""
+"""Packaging and preservatives: container rows of a section's tables, as DataFrame stages.
+
+A page starts the section if its text names it. A page after one that starts the section without giving a row is in the
+section too; whether a page gave one hangs, where it starts the section, on that page alone, so one ``lag`` tells. The
+sample that a page names is good for the pages after it until some rows are found: a window over the page's events.
+"""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-from .rows import collapse, joined
+from ..functions.text import DOTALL_FLAGS, nonblank
+from .rows import row_text
 
 COLUMNS = ["id_amostra", "identificacao_amostra", "embalagem", "volume", "preservacao", "metodos"]
-WIDTH = 4
+CELLS = ["embalagem", "volume", "preservacao", "metodos"]
+#: Rows above a header that may name the sample.
+ABOVE = 2
+TABLE = "array<struct<propria:boolean,cabecalho:int,acima:string,validas:array<array<string>>>>"
 
 
 @dataclass(frozen=True)
@@ -29,68 +37,69 @@ class PackagingRules:
         return all((self.section_start, self.table_header, self.container_value, self.volume_value))
 
 
-def any_of(patterns: tuple[str, ...], text: str) -> bool:
-    return any(re.search(p, text, re.IGNORECASE | re.DOTALL) for p in patterns)
+def _pattern(p: str) -> str:
+    return DOTALL_FLAGS + p.replace("(?P<", "(?<")
+
+
+def any_of(patterns: tuple[str, ...], text: Column) -> Column:
+    found = F.lit(False)
+    for p in patterns:
+        found = found | F.coalesce(F.rlike(text, F.lit(_pattern(p))), F.lit(False))
+    return found
 
 
-def named_sample(patterns: tuple[str, ...], text: str) -> str | None:
+def named_sample(patterns: tuple[str, ...], text: Column) -> Column:
+    """What the first pattern that matches says: its first group, or the whole match where that is empty."""
+    found = None
     for p in patterns:
-        if m := re.search(p, text, re.IGNORECASE | re.DOTALL):
-            return collapse(m.group(1) if m.re.groups and m.group(1) else m.group(0)) or None
-    return None
-
-
-def data_rows(table: list[list], header: int, rules: PackagingRules) -> list[list[str]]:
-    """Rows below the header with four filled cells, a container first and a volume second."""
-    cut = [[collapse(c) for c in [*row, *[None] * WIDTH][:WIDTH]] for row in table[header + 1 :]]
-    return [r for r in cut if all(r) and any_of(rules.container_value, r[0]) and any_of(rules.volume_value, r[1])]
-
-
-def fold_pages(pages: list, rules: PackagingRules) -> Iterator[dict]:
-    """Container rows of a document's pages (page_no, text, tables), in order."""
-    if not rules.complete():
-        return
-    waiting, carried = False, None
-    for _, text, tables in pages:
-        text = text or ""
-        starts = any_of(rules.section_start, text)
-        here = named_sample(rules.sample_identification, text)
-        if starts and here:
-            carried = here
-        found = False
-        for table in tables or []:
-            rows = [[*r] for r in table or []]
-            if not rows or not (starts or waiting or any_of(rules.section_start, " ".join(map(joined, rows)))):
-                continue
-            header = next((i for i, r in enumerate(rows) if any_of(rules.table_header, joined(r))), None)
-            above = None
-            if header is not None:
-                above = next((n for r in rows[max(0, header - 2) : header][::-1] if (n := named_sample(rules.sample_identification, joined(r)))), None)
-            elif (starts or waiting) and any_of(rules.table_header, text):
-                header = -1
-            else:
-                continue
-            name = above or here or carried
-            number = re.search(r"\d+", name or "")
-            for row in data_rows(rows, header, rules):
-                found = True
-                yield dict(zip(COLUMNS, [number.group(0) if number else None, name, *row]))
-        waiting = starts and not found
-        if found:
-            carried = None
-
-
-def extract_packaging(documents: DataFrame, rules: dict[str, PackagingRules]) -> DataFrame:
-    """Container rows of ``documents`` (doc_id, template_id, pages), whose pages are gathered and sorted."""
-    import pyarrow as pa
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    schema = T.StructType([documents.schema["doc_id"], *T.StructType.fromDDL(", ".join(f"{c} string" for c in COLUMNS))])
-    arrow = to_arrow_schema(schema)
-
-    def run(batches):
-        for batch in batches:
-            out = [{"doc_id": r["doc_id"], **row} for r in batch.to_pylist() if r["template_id"] in rules for row in fold_pages([(p["page_no"], p["text"], p["tables"]) for p in r["pages"]], rules[r["template_id"]])]
-            yield pa.RecordBatch.from_pylist(out, schema=arrow)
-
-    return documents.select("doc_id", "template_id", "pages").mapInArrow(run, schema)
+        whole = F.regexp_extract(text, _pattern(p), 0)
+        value = F.coalesce(F.nullif(F.regexp_extract(text, _pattern(p), 1), F.lit("")), whole) if re.compile(p).groups else whole
+        cond = F.rlike(text, F.lit(_pattern(p)))
+        found = F.when(cond, nonblank(value)) if found is None else found.when(cond, nonblank(value))
+    return F.lit(None).cast("string") if found is None else found
+
+
+def table_facts(rules: PackagingRules, rows: Column, in_text: Column) -> Column:
+    """struct(propria: names the section, cabecalho: 0-based row of the header, acima: sample named above it, validas)."""
+    headed = F.transform(rows, lambda r: any_of(rules.table_header, row_text(r)))
+    header = F.nullif(F.array_position(headed, True), F.lit(0)).cast("int") - 1
+    above = F.reverse(F.slice(rows, F.greatest(header - ABOVE, F.lit(0)) + 1, F.least(header, F.lit(ABOVE))))
+    named = F.filter(F.transform(above, lambda r: named_sample(rules.sample_identification, row_text(r))), lambda n: n.isNotNull())
+    below = F.slice(rows, F.coalesce(header + 1, F.lit(0)) + 1, F.size(rows))
+    cut = F.transform(below, lambda r: F.transform(F.sequence(F.lit(1), F.lit(len(CELLS))), lambda i: nonblank(F.try_element_at(r, i))))
+    valid = F.filter(cut, lambda r: F.forall(r, lambda c: c.isNotNull()) & any_of(rules.container_value, F.get(r, F.lit(0))) & any_of(rules.volume_value, F.get(r, F.lit(1))))
+    usable = F.when(header.isNotNull() | in_text, valid).otherwise(F.array().cast("array<array<string>>"))
+    section = any_of(rules.section_start, F.array_join(F.transform(rows, row_text), " "))
+    return F.struct(section.alias("propria"), header.alias("cabecalho"), F.when(header.isNotNull(), F.try_element_at(named, F.lit(1))).alias("acima"), usable.alias("validas"))
+
+
+def _one(pages: DataFrame, rules: PackagingRules) -> DataFrame:
+    body = F.coalesce(F.col("text"), F.lit(""))
+    tables = F.transform(F.coalesce("tables", F.array().cast("array<array<array<string>>>")), lambda t: F.transform(F.coalesce(t, F.array().cast("array<array<string>>")), lambda r: F.coalesce(r, F.array().cast("array<string>"))))
+    read = pages.select("doc_id", "page_no", any_of(rules.section_start, body).alias("inicia"), named_sample(rules.sample_identification, body).alias("aqui"), any_of(rules.table_header, body).alias("no_texto"), tables.alias("t"))
+    return read.withColumn("t", F.transform("t", lambda rows: table_facts(rules, rows, F.col("no_texto"))).cast(TABLE))
+
+
+def extract_packaging(pages: DataFrame, rules: dict[str, PackagingRules]) -> DataFrame:
+    """Container rows (doc_id, COLUMNS, in order of pagina, tabela_indice, linha) of ``pages`` (doc_id, template_id, page_no, text, tables)."""
+    found = None
+    for template, own in rules.items():
+        if own.complete():
+            part = _one(pages.where(F.col("template_id") == template), own)
+            found = part if found is None else found.unionByName(part)
+    if found is None:
+        nothing = [F.lit(None).cast("string").alias(c) for c in COLUMNS]
+        return pages.limit(0).select("doc_id", F.col("page_no").alias("pagina"), F.lit(0).alias("tabela_indice"), F.lit(0).alias("linha"), *nothing)
+    gives = lambda active: F.exists("t", lambda t: (F.size(t["validas"]) > 0) & F.when(t["cabecalho"].isNotNull(), active | t["propria"]).otherwise(active))
+    order = Window.partitionBy("doc_id").orderBy("page_no")
+    staged = found.withColumn("espera", F.coalesce(F.lag(F.col("inicia") & ~gives(F.lit(True))).over(order), F.lit(False)))
+    staged = staged.withColumn("ativa", F.col("inicia") | F.col("espera")).withColumn("deu", gives(F.col("ativa")))
+    # after a page: its rows end what was carried, else the sample that a starting page names is carried on
+    named = F.when(F.col("inicia") & F.col("aqui").isNotNull(), F.struct(F.col("aqui").alias("v")))
+    after = F.when(F.col("deu"), F.struct(F.lit(None).cast("string").alias("v"))).otherwise(named)
+    carried = F.last(after, True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    staged = staged.withColumn("levada", carried["v"])
+    tables = staged.select("doc_id", "page_no", "ativa", "aqui", "levada", F.posexplode("t").alias("i", "t"))
+    tables = tables.where(F.when(F.col("t.cabecalho").isNotNull(), F.col("ativa") | F.col("t.propria")).otherwise(F.col("ativa")))
+    rows = tables.select("doc_id", F.col("page_no").alias("pagina"), (F.col("i") + 1).alias("tabela_indice"), F.coalesce("t.acima", "aqui", "levada").alias("identificacao_amostra"), F.posexplode("t.validas").alias("linha", "c"))
+    return rows.select("doc_id", "pagina", "tabela_indice", "linha", F.regexp_substr("identificacao_amostra", F.lit(r"\d+")).alias("id_amostra"), "identificacao_amostra", *(F.get("c", F.lit(k)).alias(c) for k, c in enumerate(CELLS)))

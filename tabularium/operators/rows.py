@@ -1,25 +1,34 @@
-"""Section state and table rows: the one ordered, stateful operator.
-
-Pages of a document are gathered into one sorted array (a document is bounded), then a document is folded in a
-``mapInArrow`` batch; nothing else in the engine is imperative. What the fold needs of the rules is a small, frozen
-rule set that travels with the function.
+"""Sections and result rows of page tables, as DataFrame stages.
+
+1. ``events`` explodes pages into their tables and rows and marks them: what a row's text says of the section (patterns of
+   the rules, as columns), whether it is a header, which quality-control continuation a table's first row names. What a
+   page's text leaves to the next page becomes an event at that page's start.
+2. ``carried`` carries the section over a document's events by windows: the last section named, the quality-control type,
+   and the last header's layout. A general title leaves a section with a subcategory as it is; that is a matter of runs
+   of the same category, so it takes no fold.
+3. ``sections`` settles which tables are read. Titles and headers inside a table count only if it is read, and that may
+   hang on what earlier tables said, so stages 2 and 3 are repeated until no table changes: each round is right for at
+   least one more table of every document, and documents as they are settle in the first or second.
+4. ``result_rows`` filters and projects the rows of the tables that are read.
+
+Everything is partitioned by document; a document is bounded. Rules are configuration and become literal patterns.
 """
 
 from __future__ import annotations
 
-import re
-import unicodedata
-from collections.abc import Iterator
-from dataclasses import dataclass, field, replace
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..functions.text import cell, collapse, fold, java_pattern
 from ..plans.contracts import LAYOUT_FIELDS
+from .sections import report_code
 
-# Header words, and lines that are no results.
-HEADER_FIRST, HEADER_SECOND = {"analise", "parametros"}, {"resultado", "numero do cq", "unidade"}
+# Header words, header cells, and lines that are no results.
+HEADER_FIRST, HEADER_SECOND = ["analise", "parametros"], ["resultado", "numero do cq", "unidade"]
 EXACT_ALIASES = {
     "analise": "parameter", "parametro": "parameter", "parametros": "parameter", "unidade": "unidade", "unid": "unidade",
     "resultado": "resultado", "resultados": "resultado", "cq": "numero_cq", "duplicata": "duplicata",
@@ -30,22 +39,15 @@ PATTERN_ALIASES = {
     "quantidade_adicionada": "quantidade adicionada|^qtd adicionada$", "recuperacao_percentual": "recuperacao",
     "copam_cerh": "copam|cerh|deliberacao normativa", "conama": "conama",
 }
-NO_RESULT = re.compile(r"data\s+coleta|data\s+recebimento|responsabilidade|tipo\s+de\s+coleta", re.IGNORECASE)
-REPORT_CODE = re.compile(r"Relat[oó]rio\s+Anal[ií]tico(?:\s+Parcial)?\s+(\d+/\d+\.\d+(?:\.[A-Za-z0-9]+)*)", re.IGNORECASE)
-QA_TYPES = {"BRANCO", "DUPLICATA", "RECUPERACAO"}
-
-
-def collapse(x: object) -> str:
-    return re.sub(r"\s+", " ", str(x or "")).strip()
-
+NO_RESULT = r"data\s+coleta|data\s+recebimento|responsabilidade|tipo\s+de\s+coleta"
+MEASURED = r"^[<>]=?|[+-]?\d"
+QA_TYPES = ["BRANCO", "DUPLICATA", "RECUPERACAO"]
 
-def fold(x: object) -> str:
-    plain = "".join(c for c in unicodedata.normalize("NFKD", str(x or "")) if not unicodedata.combining(c))
-    return collapse(plain).casefold()
-
-
-def joined(row: list) -> str:
-    return " ".join(str(c) for c in row if c)
+#: Rows of a table that may hold its header, and that are looked at for results where there is none.
+HEADER_ROWS, LOOKED_AT, WIDE, ENOUGH = 2, 5, 5, 2
+#: What a text says of the section; ``geral``: by a rule that names no subcategory.
+SECTION = "struct<categoria:string,subcategoria:string,tipo_registro:string,local:string,geral:boolean>"
+ORDER = ["page_no", "tabela_indice", "linha"]
 
 
 @dataclass(frozen=True)
@@ -71,173 +73,226 @@ class RuleSet:
     outside_labs: tuple[str, ...] = ()  # folded beginnings of titles that name another laboratory, not a section after their dash
 
 
-@dataclass(frozen=True)
-class State:
-    categoria: str | None = None
-    subcategoria: str | None = None
-    tipo_registro: str = "AMOSTRA"
-    local: str | None = None
-    layout: dict | None = None
-    layout_tipo: str | None = None
-
-
-def search(pattern: str, text: str) -> re.Match | None:
-    return re.search(pattern, text, re.IGNORECASE)
-
-
-def titled(state: State, text: str, rules: RuleSet) -> State | None:
-    """The state after a section title, None if the text is none. A generic title keeps a specific subcategory."""
-    raw = collapse(text)
-    norm = fold(raw)
-    if not norm:
-        return None
-    for r in rules.subcategories:
-        if search(r.regex, norm):
-            return replace(state, categoria=r.categoria, subcategoria=r.subcategoria or raw, tipo_registro=r.tipo_registro, local=r.local)
-    after, part = norm, None
-    if " - " in raw and not norm.startswith(rules.outside_labs):
-        after, part = fold(raw.split(" - ", 1)[1]), raw
+def matches(text: Column, pattern: str) -> Column:
+    return F.rlike(text, F.lit(java_pattern(pattern)))
+
+
+def first_of(options: list[tuple[Column, Column]], kind: str) -> Column:
+    """The value of the first condition that holds, else null."""
+    return F.coalesce(F.lit(None).cast(kind), *(F.when(c, v.cast(kind)) for c, v in options))
+
+
+def by_template(rules: dict[str, RuleSet], make: Callable[[RuleSet], Column], kind: str) -> Column:
+    return first_of([(F.col("template_id") == t, make(r)) for t, r in rules.items()], kind)
+
+
+def row_text(cells: Column) -> Column:
+    return F.array_join(F.filter(cells, lambda c: c != ""), " ")
+
+
+# ---- what a text says of the section
+
+
+def _section(categoria: Column, sub: Column, tipo: str, local: str, geral: bool = False) -> Column:
+    return F.struct(categoria.alias("categoria"), sub.alias("subcategoria"), F.lit(tipo).alias("tipo_registro"), F.lit(local).alias("local"), F.lit(geral).alias("geral"))
+
+
+def title(rules: RuleSet, raw: str = "raw", norm: str = "norm", after: str = "after") -> Column:
+    """Section of a title; columns: its text, that folded, and what follows its first dash (null without one)."""
+    own = F.col(raw)
+    outside = reduce(lambda a, lab: a | F.col(norm).startswith(lab), rules.outside_labs, F.lit(False))
+    rest = F.when(~outside, F.col(after))
+    part = F.when(rest.isNotNull(), own)
+    options = [(matches(F.col(norm), r.regex), _section(F.lit(r.categoria), F.lit(r.subcategoria) if r.subcategoria else own, r.tipo_registro, r.local)) for r in rules.subcategories]
     for r in rules.categories:
-        if search(r.regex, after) or search(r.regex, norm):
-            if state.categoria == r.categoria and state.subcategoria and not r.subcategoria:
-                return state
-            return replace(state, categoria=r.categoria, subcategoria=r.subcategoria or part, tipo_registro="AMOSTRA", local=r.local)
-    return None
-
-
-def entered(state: State, text: str, rules: RuleSet) -> State | None:
-    """The state after a title or a record-type line, None if the text is neither."""
-    if (new := titled(state, text, rules)) is not None:
-        return new
-    for r in rules.types:
-        if search(r.regex, text):
-            own = collapse(text) if r.extrair_subcategoria and "-" in text else None
-            return replace(state, categoria=r.categoria, subcategoria=own, tipo_registro=r.tipo_registro, local="laboratorio")
-    return None
-
-
-def pending(page_text: str, rules: RuleSet) -> State | None:
-    """The section that a page's text leaves to the next page."""
-    last = None
-    for line in (page_text or "").splitlines():
-        found = titled(State(), line, rules)
-        if found and not (last and last.categoria == found.categoria and last.subcategoria and not found.subcategoria):
-            last = found
-    return last
+        found = F.coalesce(matches(rest, r.regex), F.lit(False)) | matches(F.col(norm), r.regex)
+        options.append((found, _section(F.lit(r.categoria), F.lit(r.subcategoria) if r.subcategoria else part, "AMOSTRA", r.local, not r.subcategoria)))
+    return F.when(F.col(norm) != "", first_of(options, SECTION))
+
+
+def record_type(rules: RuleSet, text: str, raw: str = "raw") -> Column:
+    """Section of a line that names a type of record."""
+    none = F.lit(None).cast("string")
+    own = lambda r: F.when(F.col(text).contains("-"), F.col(raw)) if r.extrair_subcategoria else none
+    return first_of([(matches(F.col(text), r.regex), _section(F.lit(r.categoria), own(r), r.tipo_registro, "laboratorio")) for r in rules.types], SECTION)
 
 
-def is_header(row: list) -> bool:
-    return len(row) >= 2 and fold(row[0]) in HEADER_FIRST and fold(row[1]) in HEADER_SECOND
+def titled(df: DataFrame, text: Column, rules: dict[str, RuleSet], types: bool, name: str) -> DataFrame:
+    """Add ``name``: what ``text`` says of the section, as a title or (with ``types``) as a type of record."""
+    read = df.withColumn("texto", text).withColumn("raw", collapse(F.coalesce("texto", F.lit(""))))
+    read = read.withColumn("norm", fold(F.col("raw"))).withColumn("after", F.when(F.col("raw").contains(" - "), fold(F.regexp_extract("raw", r"(?s)^.*? - (.*)$", 1))))
+    mark = by_template(rules, title, SECTION)
+    if types:
+        mark = F.coalesce(mark, by_template(rules, lambda r: record_type(r, "texto"), SECTION))
+    return read.withColumn(name, mark).drop("texto", "raw", "norm", "after")
 
 
-def header_field(value: object, rules: RuleSet, parameter: bool = False) -> str | None:
+def left_to_next_page(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
+    """doc_id, template_id, page_no, secao: the last section that the text of the page before names.
+
+    A title without subcategory does not displace one with a subcategory of the same category.
+    """
+    lines = pages.select("doc_id", "template_id", "page_no", F.posexplode(F.split(F.coalesce("text", F.lit("")), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")).alias("n", "line"))
+    named = titled(lines, F.col("line"), rules, False, "secao").where("secao is not null")
+    order = Window.partitionBy("doc_id", "page_no").orderBy("n")
+    changes = F.coalesce(F.lag("secao.categoria").over(order) != F.col("secao.categoria"), F.lit(True)).cast("int")
+    runs = named.withColumn("run", changes).withColumn("run", F.sum("run").over(order))
+    rank = F.struct("run", F.col("secao.subcategoria").isNotNull(), "n")
+    last = runs.groupBy("doc_id", "page_no").agg(F.max_by("secao", rank).alias("secao"))
+    every = pages.select("doc_id", "template_id", "page_no").join(last, ["doc_id", "page_no"], "left")
+    shifted = every.withColumn("secao", F.lag("secao").over(Window.partitionBy("doc_id").orderBy("page_no")))
+    return shifted.where("secao is not null").withColumn("secao", F.col("secao").withField("geral", F.lit(False)))
+
+
+# ---- headers and layouts
+
+
+def is_header(cells: Column) -> Column:
+    at = lambda i: fold(F.try_element_at(cells, F.lit(i)))
+    return (F.size(cells) >= 2) & at(1).isin(HEADER_FIRST) & at(2).isin(HEADER_SECOND)
+
+
+def header_field(rules: RuleSet, value: Column, parameter: bool = False) -> Column:
+    """Field that a header cell names: by the rules' aliases, by exact ones, by patterns; with ``parameter`` that one too."""
     text = fold(value)
-    if not text:
-        return None
-    names = [f for p, f in rules.header_aliases if search(p, text)] + [EXACT_ALIASES.get(text)] + [f for f, p in PATTERN_ALIASES.items() if search(p, text)]
-    return next((n for n in names if n and (parameter or n != "parameter")), None)
-
-
-def header_layout(row: list, rules: RuleSet) -> dict[str, int] | None:
-    found = {f: i for i, v in enumerate(row) if (f := header_field(v, rules))}
-    return found if "resultado" in found else None
-
-
-def layout_of(state: State, rules: RuleSet) -> dict[str, int]:
-    own = state.layout if state.layout_tipo == state.tipo_registro else None
-    return own or rules.layouts.get(state.tipo_registro) or rules.layouts.get("AMOSTRA", {})
-
-
-def is_result_table(rows: list, state: State, rules: RuleSet) -> bool:
-    if any(is_header(r) for r in rows[:2]):
-        return True
-    if not state.categoria or state.tipo_registro != "AMOSTRA":
-        return False
-    at = layout_of(state, rules).get("resultado")
-    at = 1 if at is None else at
-    good = [r for r in rows[:5] if len(r) >= 5 and len(r) > at and fold(r[0]) and re.search(r"^[<>]=?|[+-]?\d", str(r[at] or "").strip())]
-    return len(good) >= 2
-
-
-def continued(state: State, rows: list, rules: RuleSet) -> State | None:
-    """The state of a quality-control table that goes on without a title, None if the table is none."""
-    if not rows or len(rows[0]) < 2:
-        return None
-    text = " ".join(str(c or "") for c in rows[0])
-    tipo = next((t for p, t in rules.continuations if search(p, text)), None)
-    if not tipo:
-        return None
-    return replace(state, tipo_registro=state.tipo_registro if state.tipo_registro in QA_TYPES else tipo, subcategoria=state.subcategoria or state.categoria, local="laboratorio")
-
-
-def read_row(state: State, row: list, rules: RuleSet) -> tuple[State, dict | None]:
-    if sum(bool(c) for c in row) < 2:
-        return state, None
-    if is_header(row):
-        found = header_layout(row, rules)
-        return (replace(state, layout=found, layout_tipo=state.tipo_registro) if found else state), None
-    text, parameter = joined(row), collapse(row[0])
-    if NO_RESULT.search(text) or not re.search(r"\d", text) or not parameter:
-        return state, None
-    layout = layout_of(state, rules)
-    at = lambda f: (collapse(row[i]) or None) if (i := layout.get(f)) is not None and i < len(row) else None
-    values = {f: at(f) for f in LAYOUT_FIELDS}
-    if not re.search(r"\d", values["resultado"] or ""):
-        return state, None
-    values["unidade_resultado"] = values.pop("unidade")
-    return state, {"categoria": state.categoria, "subcategoria": state.subcategoria, "tipo_registro": state.tipo_registro, "local": state.local, "parametro": parameter, **values}
-
-
-def fold_document(pages: list, rules: RuleSet, code: str | None = None) -> Iterator[dict]:
-    """Records of a document's pages (page_no, text, tables), in order."""
-    state, waiting, seq = State(), None, 0
-    for page_no, text, tables in pages:
-        if found := REPORT_CODE.search(text or ""):
-            code = collapse(found.group(1))
-        if waiting:
-            state = replace(state, categoria=waiting.categoria, subcategoria=waiting.subcategoria, tipo_registro=waiting.tipo_registro, local=waiting.local)
-        for table_no, table in enumerate(tables or [], 1):
-            rows = [list(r) for r in table] if table is not None else []
-            if not rows:
-                continue
-            if (new := entered(state, joined(rows[0]), rules)) is not None:
-                state, rows = new, rows[1:]
-            goes_on = continued(state, rows, rules)
-            state = goes_on or state
-            if not state.categoria or not (goes_on or is_result_table(rows, state, rules)):
-                continue
-            for row in rows:
-                if (new := entered(state, joined(row), rules)) is not None:
-                    state = new
-                    continue
-                state, record = read_row(state, row, rules)
-                if record:
-                    seq += 1
-                    yield {"pagina": page_no, "tabela_indice": table_no, "seq": seq, "codigo_laudo": code, **record}
-        waiting = pending(text, rules)
-
-
-RECORD = [("pagina", "int"), ("tabela_indice", "int"), ("seq", "int"), *((c, "string") for c in ("codigo_laudo", "categoria", "subcategoria", "tipo_registro", "local", "parametro", *(f for f in LAYOUT_FIELDS if f != "unidade"), "unidade_resultado"))]
-
-
-def gather_pages(pages: DataFrame) -> DataFrame:
-    """One row a document with its pages in order."""
-    return pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_no", "text", "tables"))).alias("pages"))
-
-
-def extract_rows(documents: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
-    """Result records of ``documents`` (doc_id, template_id, pages); a template without rules gives none."""
-    import pyarrow as pa
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    kind = documents.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), *T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in RECORD))])
-    arrow = to_arrow_schema(schema)
-
-    def run(batches):
-        for batch in batches:
-            rows = batch.to_pylist()
-            out = [{"doc_id": r["doc_id"], **found} for r in rows if r["template_id"] in rules for found in fold_document([(p["page_no"], p["text"], p["tables"]) for p in r["pages"]], rules[r["template_id"]])]
-            yield pa.RecordBatch.from_pylist(out, schema=arrow)
-
-    return documents.select("doc_id", "template_id", "pages").mapInArrow(run, schema)
+    options = [(matches(text, p), F.lit(f)) for p, f in rules.header_aliases]
+    options += [(text == word, F.lit(f)) for word, f in EXACT_ALIASES.items()]
+    options += [(F.rlike(text, F.lit(p)), F.lit(f)) for f, p in PATTERN_ALIASES.items()]
+    names = [f for _, f in rules.header_aliases] + [*EXACT_ALIASES.values()] + [*PATTERN_ALIASES]
+    return F.when(text != "", first_of([o for o, f in zip(options, names) if parameter or f != "parameter"], "string"))
+
+
+def header_layout(rules: RuleSet, cells: Column) -> Column:
+    """Field -> 0-based column (the last that names it); null without a result column."""
+    names = F.transform(cells, lambda c: F.coalesce(header_field(rules, c), F.lit("")))
+    entries = F.transform(F.array(*map(F.lit, LAYOUT_FIELDS)), lambda f: F.struct(f.alias("f"), (F.size(cells) - F.array_position(F.reverse(names), f)).cast("int").alias("i")))
+    found = F.map_from_entries(F.filter(entries, lambda e: e["i"] < F.size(cells)))
+    return F.when(F.map_contains_key(found, "resultado"), found)
+
+
+def _literal(layout: dict[str, int]) -> Column:
+    return F.create_map(*(F.lit(x) for kv in layout.items() for x in kv)).cast("map<string,int>") if layout else F.create_map().cast("map<string,int>")
+
+
+def base_layout(rules: RuleSet, tipo: Column) -> Column:
+    known = [(tipo == t, _literal(own)) for t, own in rules.layouts.items() if own]
+    return F.coalesce(first_of(known, "map<string,int>"), _literal(rules.layouts.get("AMOSTRA", {})))
+
+
+# ---- stages
+
+
+def events(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
+    """One row for each table (``linha`` 0, with its rows in ``linhas``), each row of a table, and each section left to a page.
+
+    ``pages``: doc_id, template_id, page_no, text, tables. A first row that names a section belongs to the table's own
+    event and not to its rows.
+    """
+    own = pages.where(F.col("template_id").isin([*rules]))
+    tables = own.select("doc_id", "template_id", "page_no", "text", F.posexplode("tables").alias("t", "todas")).where(F.size("todas") > 0)
+    tables = tables.withColumn("todas", F.transform("todas", lambda r: F.coalesce(r, F.array().cast("array<string>"))))
+    tables = titled(tables, row_text(F.get("todas", F.lit(0))), rules, True, "secao")
+    tables = tables.withColumn("linhas", F.when(F.col("secao").isNull(), F.col("todas")).otherwise(F.slice("todas", 2, F.size("todas"))))
+    first = F.try_element_at("linhas", F.lit(1))
+    spoken = F.array_join(F.transform(first, lambda c: F.coalesce(c, F.lit(""))), " ")
+    goes_on = F.when(F.size(first) >= 2, by_template(rules, lambda r: first_of([(matches(spoken, p), F.lit(t)) for p, t in r.continuations], "string"), "string"))
+    keys = ["doc_id", "template_id", "page_no", (F.col("t") + 1).alias("tabela_indice")]
+    heads = tables.select(*keys, F.lit(0).alias("linha"), "secao", goes_on.alias("continua"), "linhas", "text", F.lit(None).cast("array<string>").alias("celulas"))
+    rows = tables.select(*keys, F.posexplode("linhas").alias("n", "celulas"))
+    rows = titled(rows, row_text(F.col("celulas")), rules, True, "secao").withColumn("linha", F.col("n") + 1).drop("n")
+    waiting = left_to_next_page(own, rules).withColumns({"tabela_indice": F.lit(0), "linha": F.lit(0)})
+    found = heads.unionByName(rows, allowMissingColumns=True).unionByName(waiting, allowMissingColumns=True)
+    header = F.col("secao").isNull() & F.coalesce(is_header(F.col("celulas")), F.lit(False))
+    return found.withColumn("cabecalho", header).withColumn("layout", F.when(header, by_template(rules, lambda r: header_layout(r, F.col("celulas")), "map<string,int>")))
+
+
+def carried(marked: DataFrame) -> DataFrame:
+    """Add the section in force at each event, after it: categoria, subcategoria, tipo_registro, local; and ``vigente``.
+
+    ``marked`` has ``vale``: whether the event's title or header counts. ``vigente`` is the last header's layout and the
+    type of record that it was read for.
+    """
+    whole = Window.partitionBy("doc_id").orderBy(*ORDER)
+    named = marked.withColumn("s", F.when(F.col("vale"), F.col("secao")))
+    before = F.last("s.categoria", True).over(whole.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.col("s").isNotNull() & (~F.col("s.geral") | F.coalesce(before != F.col("s.categoria"), F.lit(True)))
+    named = named.withColumn("starts", starts).withColumn("run", F.sum(F.col("starts").cast("int")).over(whole))
+    run = Window.partitionBy("doc_id", "run").orderBy(*ORDER)
+    # once a subcategory is known in a run, general titles of the same category change nothing
+    known = F.coalesce(F.col("s.subcategoria").isNotNull() | F.col("continua").isNotNull(), F.lit(False))
+    locked = F.coalesce(F.max(known).over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))
+    named = named.withColumn("base", F.when(F.col("s").isNotNull() & (F.col("starts") | ~locked), F.col("s")))
+    named = named.withColumn("base", F.last("base", True).over(run))
+    quality = F.first(F.when(F.col("continua").isin(QA_TYPES), F.col("continua")), True).over(run)
+    other = F.last("continua", True).over(run)
+    goes_on = other.isNotNull()
+    done = named.withColumns(
+        {
+            "categoria": F.col("base.categoria"),
+            "subcategoria": F.when(goes_on, F.coalesce("base.subcategoria", "base.categoria")).otherwise(F.col("base.subcategoria")),
+            "tipo_registro": F.when(F.col("base.tipo_registro").isin(QA_TYPES), F.col("base.tipo_registro")).otherwise(F.coalesce(quality, other, "base.tipo_registro", F.lit("AMOSTRA"))),
+            "local": F.when(goes_on, "laboratorio").otherwise(F.col("base.local")),
+        }
+    )
+    header = F.when(F.col("vale") & F.col("layout").isNotNull(), F.struct(F.col("layout"), F.col("tipo_registro").alias("tipo")))
+    return done.withColumn("vigente", F.last(header, True).over(whole)).drop("s", "starts", "run", "base")
+
+
+def layout_in_force(rules: dict[str, RuleSet]) -> Column:
+    own = F.when(F.col("vigente.tipo") == F.col("tipo_registro"), F.col("vigente.layout"))
+    return F.coalesce(own, by_template(rules, lambda r: base_layout(r, F.col("tipo_registro")), "map<string,int>"))
+
+
+def _read(states: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
+    """Add ``lida``: whether the event's table is read, by the section in force at its own event."""
+    table = Window.partitionBy("doc_id", "page_no", "tabela_indice")
+    of_head = lambda x: F.max(F.when(F.col("linha") == 0, x)).over(table)
+    at = of_head(F.coalesce(F.try_element_at(layout_in_force(rules), F.lit("resultado")), F.lit(1)))
+    judged = states.withColumn("at", at)
+    value = F.trim(F.coalesce(F.try_element_at("celulas", F.col("at") + 1), F.lit("")))
+    good = (F.size("celulas") >= WIDE) & (F.size("celulas") > F.col("at")) & (fold(F.get("celulas", F.lit(0))) != "") & F.rlike(value, F.lit(MEASURED))
+    count = lambda cond, upto: F.sum(F.when(F.col("linha").between(1, upto) & cond, 1).otherwise(0)).over(table)
+    head = (F.col("linha") == 0) & F.col("categoria").isNotNull()
+    headed = count(F.coalesce(is_header(F.col("celulas")), F.lit(False)), HEADER_ROWS) > 0
+    measured = of_head(F.col("tipo_registro") == "AMOSTRA") & (count(F.coalesce(good, F.lit(False)), LOOKED_AT) >= ENOUGH)
+    read = F.coalesce(F.max(head).over(table), F.lit(False)) & (of_head(F.col("continua").isNotNull()) | headed | measured)
+    return judged.withColumn("lida", F.coalesce(read, F.lit(False))).drop("at")
+
+
+def sections(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
+    """``events`` with the section in force, ``vigente`` and ``lida``. Its stages are persisted; unpersist when done."""
+    found = events(pages, rules).persist()
+    inside = (F.col("linha") > 0) & (F.col("secao").isNotNull() | F.col("layout").isNotNull())
+    used = found.withColumn("vale", F.lit(True))
+    last = None
+    while True:
+        now = _read(carried(used), rules).persist()
+        # a mark inside a table counts if the table is read; it was used as ``vale``
+        if now.where(inside & (F.col("vale") != F.col("lida"))).isEmpty():
+            break
+        if last is not None:
+            last.unpersist()
+        last = now
+        used = now.withColumn("vale", F.when(F.col("linha") == 0, F.lit(True)).otherwise(F.col("lida"))).select(*found.columns, "vale")
+    return now
+
+
+RECORD = ["codigo_laudo", "categoria", "subcategoria", "tipo_registro", "local", "parametro", *(f for f in LAYOUT_FIELDS if f != "unidade"), "unidade_resultado"]
+
+
+def result_rows(states: DataFrame, pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
+    """doc_id, pagina, tabela_indice, seq and RECORD of each result, in order; ``states`` as ``sections`` gives them.
+
+    The report's code is that of the page, or the last one before it.
+    """
+    code = F.last(report_code(F.coalesce("text", F.lit(""))), True).over(Window.partitionBy("doc_id").orderBy("page_no"))
+    codes = pages.select("doc_id", "page_no", code.alias("codigo_laudo"))
+    rows = states.where(F.col("lida") & (F.col("linha") > 0) & F.col("secao").isNull() & ~F.col("cabecalho"))
+    text, cells = row_text(F.col("celulas")), F.col("celulas")
+    likely = (F.size(F.filter(cells, lambda c: c != "")) >= 2) & F.rlike(text, F.lit(r"(?U)\d")) & ~matches(text, NO_RESULT)
+    rows = rows.where(likely).withColumn("colunas", layout_in_force(rules)).withColumn("parametro", cell(cells, F.lit(0)))
+    at = lambda f: cell(cells, F.try_element_at("colunas", F.lit(f)))
+    rows = rows.withColumns({("unidade_resultado" if f == "unidade" else f): at(f) for f in LAYOUT_FIELDS})
+    rows = rows.where(F.col("parametro").isNotNull() & F.rlike("resultado", F.lit(r"(?U)\d")))
+    seq = F.row_number().over(Window.partitionBy("doc_id").orderBy(*ORDER))
+    return rows.join(codes, ["doc_id", "page_no"], "left").select("doc_id", F.col("page_no").alias("pagina"), "tabela_indice", seq.alias("seq"), *RECORD)

@@ -14,7 +14,7 @@ from ..operators import duplicates as D
 from ..operators.normalize import results_extract
 from ..operators.packaging import extract_packaging
 from ..operators.reconcile import reconcile
-from ..operators.rows import extract_rows, gather_pages
+from ..operators.rows import result_rows, sections as section_states
 from ..operators.sections import header_table, section_matches
 from ..operators.validate import validate
 from ..sources.documents import document_text
@@ -57,8 +57,9 @@ def run(pages: DataFrame, rules: Compiled, first_pages: int = 3) -> dict[str, Da
     scoped = C.winners(classified, rules.templates).withColumn("hash_texto", text_hash(F.col("text")))
     first = D.canonical(scoped, "hash_texto", "path", ~D.filled(F.col("text"))).where("path = canonico").drop("canonico")
     identity = first.select("doc_id", "nome_do_arquivo", "id_taxonomia", "nome_taxonomia", "versao_template", "template_id", "theme_id")
-    gathered = gather_pages(pages).join(identity.select("doc_id", "template_id"), "doc_id")
-    records = extract_rows(gathered, rules.rows).join(identity, "doc_id")
+    own = pages.join(identity.select("doc_id", "template_id"), "doc_id")
+    states = section_states(own, rules.rows)
+    records = result_rows(states, own, rules.rows).join(identity, "doc_id")
 
     def header(group: str, columns: list[str]) -> DataFrame:
         parts = []
@@ -73,7 +74,7 @@ def run(pages: DataFrame, rules: Compiled, first_pages: int = 3) -> dict[str, Da
     sample, client = header("sample", SAMPLE), header("client", CLIENT)
     ids = sample.select("nome_do_arquivo", "id_amostra")
     results = results_extract(records.where(F.col("theme_id").contains("agua")).join(ids, "nome_do_arquivo", "left")).persist()
-    packaging = _fill(extract_packaging(gathered, rules.packaging).join(identity, "doc_id"), PACKAGING)
+    packaging = _fill(extract_packaging(own, rules.packaging).join(identity, "doc_id"), PACKAGING)
     errors = validate(results, RESULTS_CONTRACT, "results_extract", parameter="parameter").unionByName(validate(sample, SAMPLE_CONTRACT, "sample")).unionByName(validate(client, CLIENT_CONTRACT, "client"))
     none = results.limit(0).select("nome_do_arquivo", F.lit("ok").alias("status"))
     out = {"results_extract": results, "sample": sample, "client": client, "packaging_preservatives": packaging, "classification_audit": audit, "validation_errors": errors}

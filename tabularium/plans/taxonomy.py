@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,9 +72,8 @@ def weight(text: object, default: float = 0.0) -> float:
 def record_type(text: str | None) -> str | None:
     if not (text or "").strip():
         return None
-    from ..operators.rows import fold
-
-    return RECORD_TYPES.get(re.sub(r"[^a-z]+", "", fold(text)), text.strip().upper())
+    plain = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).lower()
+    return RECORD_TYPES.get(re.sub(r"[^a-z]+", "", plain), text.strip().upper())
 
 
 def problems(tables: dict[str, DataFrame]) -> DataFrame:

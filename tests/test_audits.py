@@ -1,29 +1,56 @@
-from tabularium.operators import audits as A
-from tabularium.operators.rows import RuleSet, State
-
-RULES = RuleSet(layouts={"AMOSTRA": {"resultado": 1, "unidade": 2, "lq": 3}})
-STATE = State("c", None, "AMOSTRA")
-ROW = ["Ferro", "0,5", "mg/L", "0,1"]
-
-
-def status(rows, text=None, state=STATE):
-    return A.table_audit(rows, state, RULES, text)["status"]
+import pytest
 
-
-def test_table_statuses():
-    assert status([["Análise", "Resultado", "Unidade", "LQ"], ROW]) == "ok"
-    assert status([["Análise", "Resultado", "Unidade"], ROW]) == "ok_com_opcional_ausente"
-    assert status([["Análise", "Resultado", "Unidade", "LQ", "Cor"], ROW]) == "alerta_descoberta"
-    assert status([["Análise", "Resultado", "Cor"], ROW]) == "alerta_descoberta_com_opcional_ausente"
-    assert status([ROW, ROW]) == "fallback_layout_confiavel"
-    assert status([ROW, ["x"], ["y"]]) == "fallback"
-    assert status([ROW], "Parâmetros Resultados\nUnidade LQ") == "fallback_cabecalho_texto_layout_confiavel"
-    assert status([["x"]], "Parâmetros Resultados Unidade") == "fallback_cabecalho_texto_layout_incompleto"
-
-
-def test_header_details():
-    got = A.table_audit([["Análise", "Resultado", "Cor"]], STATE, RULES)
-    assert got["colunas_mapeadas"] == "Análise -> parameter; Resultado -> resultado" and got["colunas_sem_mapeamento"] == "Cor" and got["campos_opcionais_ausentes"] == "unidade; lq"
+from tabularium.operators import audits as A
+from tabularium.operators import rows as G
+
+RULES = {"t": G.RuleSet(categories=(G.SectionRule("^secao", "c"),), layouts={"AMOSTRA": {"resultado": 1, "unidade": 2, "lq": 3}})}
+ROW = ["Ferro", "0,5", "mg/L", "0,1", "x"]
+HEAD = ["Análise", "Resultado", "Unidade", "LQ"]
+
+
+@pytest.fixture(scope="module")
+def audited(spark):
+    """Audit rows of tables, each in a document of its own, whose first row names the section."""
+
+    def run(*cases):
+        rows = [(i, "t", 1, text, [[["Seção"], *own] for own in tables]) for i, (text, *tables) in enumerate(cases)]
+        df = spark.createDataFrame(rows, "doc_id int, template_id string, page_no int, text string, tables array<array<array<string>>>")
+        return A.table_audit(G.sections(df, RULES), RULES).orderBy("doc_id", "tabela_indice").collect()
+
+    return run
+
+
+def test_table_statuses(audited):
+    wide, bare = [ROW, ROW], ["x"]
+    cases = {
+        "ok": (None, [HEAD, ROW]),
+        "ok_com_opcional_ausente": (None, [HEAD[:3], ROW]),
+        "alerta_descoberta": (None, [[*HEAD, "Cor"], ROW]),
+        "alerta_descoberta_com_opcional_ausente": (None, [[*HEAD[:2], "Cor"], ROW]),
+        "fallback_layout_confiavel": (None, wide),
+        "fallback": (None, [*wide, bare, bare]),
+        "fallback_cabecalho_texto_layout_confiavel": ("Parâmetros Resultados\nUnidade LQ", wide),
+        "fallback_cabecalho_texto_layout_incompleto": ("Parâmetros Resultados\nUnidade LQ", [*wide, bare]),
+    }
+    assert [r.status for r in audited(*cases.values())] == [*cases]
+
+
+def test_header_details(audited):
+    (got,) = audited((None, [[*HEAD[:2], "Cor"], ROW]))
+    assert got.colunas_mapeadas == "Análise -> parameter; Resultado -> resultado" and got.colunas_sem_mapeamento == "Cor" and got.campos_opcionais_ausentes == "unidade; lq"
+    assert got.campos_esperados == "parameter; resultado; unidade; lq" and got.cabecalho_detectado == "Análise | Resultado | Cor" and not got.usou_fallback
+
+
+def test_page_headers(audited):
+    # of windows that name as much the shortest counts, of those the first; fields stand as the text has them
+    text = "LQ da unidade\nAnálise e unidade e resultado\nResultado e unidade e análise"
+    (got,) = audited((text, [ROW, ROW]))
+    assert got.cabecalho_detectado == "LQ da unidade Análise e unidade e resultado" and got.campos_esperados == "lq; unidade; parameter; resultado" and got.usou_fallback
+    (got,) = audited(("Resultado e unidade e análise\nanálise e unidade e resultado", [ROW, ROW]))
+    assert got.campos_esperados == "resultado; unidade; parameter"
+    # a header read before gives the layout, whatever the page says
+    got = audited((text, [["Análise", "Unidade", "Resultado"], ["p", "mg/L", "1"]], [["a", "b", "1", "d", "e"], ["a", "b", "2", "d", "e"]]))
+    assert (got[1].cabecalho_detectado, got[1].campos_esperados, got[1].status) == (None, "parameter; unidade; resultado", "fallback_layout_confiavel")
 
 
 def test_sections_and_tables(spark):

@@ -1,12 +1,11 @@
 import json
-from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from tabularium.functions.text import text_hash
 from tabularium.operators import classify as C
 from tabularium.operators import duplicates as D
-from tabularium.operators import rows as G
 from tabularium.operators.sections import section_matches, validation_keys
 from tabularium.operators.validate import validate
 from tabularium.plans import batch, taxonomy
@@ -14,43 +13,6 @@ from tabularium.plans.contracts import RESULTS, RESULTS_CONTRACT
 from tabularium.sources import documents, sinks
 from tabularium.streaming import incremental
 
-RULES = G.RuleSet(
-    categories=(G.SectionRule("resultados analiticos", "Resultados"), G.SectionRule("fisico", "Fisico-quimico")),
-    subcategories=(G.SectionRule("^metais dissolvidos", "Resultados", "Metais dissolvidos"),),
-    types=(G.SectionRule("brancos? de", "QAQC", tipo_registro="BRANCO", extrair_subcategoria=True),),
-    continuations=((r"^CQ-\d+", "BRANCO"),),
-    layouts={"AMOSTRA": {"resultado": 1, "unidade": 2, "lq": 3}},
-)
-HEADER = ["Análise", "Resultado", "Unidade", "LQ", "Data de início"]
-
-
-def test_titles_keep_a_specific_subcategory():
-    s = G.titled(G.State(), "Metais dissolvidos", RULES)
-    assert (s.categoria, s.subcategoria) == ("Resultados", "Metais dissolvidos")
-    assert G.titled(s, "Resultados Analíticos", RULES) == s
-    assert G.titled(G.State(), "Ensaio - Físico", RULES).subcategoria == "Ensaio - Físico"
-    assert G.titled(G.State(), "Lab X - Físico", replace(RULES, outside_labs=("lab x",))).subcategoria is None
-    assert G.titled(s, "nada", RULES) is None
-    assert G.entered(s, "Branco de campo - x", RULES).tipo_registro == "BRANCO"
-
-
-def test_fold_carries_sections_and_layouts_over_pages():
-    pages = [
-        (1, "Relatório Analítico 12/2024.5\nResultados analíticos", [[["Metais dissolvidos"], HEADER, ["Ferro", "< 0,5", "mg/L", "0,5", "01/02/2024"], ["Data coleta 1", "2"]]]),
-        (2, "", [[["Zinco", "0,7", "mg/L", "0,1", "02/02/2024"], ["Cobre", "0,2", "mg/L", "0,1", "02/02/2024"]]]),
-        (3, "", [[["CQ-1", "3", "mg/L"], ["CQ-2", "x", "mg/L"]]]),
-    ]
-    got = [*G.fold_document(pages, RULES)]
-    # the generic title at the foot of page 1 starts the next page afresh, so the subcategory is no longer there
-    assert [(r["parametro"], r["subcategoria"], r["tipo_registro"], r["resultado"], r["codigo_laudo"]) for r in got] == [
-        ("Ferro", "Metais dissolvidos", "AMOSTRA", "< 0,5", "12/2024.5"),
-        ("Zinco", None, "AMOSTRA", "0,7", "12/2024.5"),
-        ("Cobre", None, "AMOSTRA", "0,2", "12/2024.5"),
-        ("CQ-1", "Resultados", "BRANCO", "3", "12/2024.5"),
-    ]
-    assert got[0]["data_inicio"] == "01/02/2024"
-
-
 def test_classification_statuses(spark):
     templates = [C.Template("agua", 50, 1), C.Template("solo", 50, 2)]
     rules = [C.DetectionRule("agua", "required", "água"), C.DetectionRule("agua", "positive", "rio", 60), C.DetectionRule("agua", "negative", "solo"), C.DetectionRule("solo", "positive", "solo", 60)]
@@ -75,6 +37,21 @@ def test_duplicates(spark):
     got = {r.nome_do_arquivo: (r.tipo_duplicidade, r.arquivo_referencia) for r in D.duplicate_audit(df).collect()}
     assert got == {"a.pdf": ("duplicado_exato_arquivo", "b.pdf"), "b.pdf": ("duplicado_exato_arquivo", "a.pdf"), "c.pdf": ("possivel_versao_substituta", "a.pdf"), "d.pdf": ("duplicado_textual", "e.pdf"), "e.pdf": ("duplicado_textual", "d.pdf")}
     assert [r[0] for r in D.paths_to_skip(df).collect()] == ["/x/b.pdf"]
+    # files without text are labelled, but none is skipped
+    empty = df.where("nome_do_arquivo in ('d.pdf', 'e.pdf')").withColumn("hash_texto", text_hash(F.lit(" ")))
+    assert D.paths_to_skip(empty).count() == 0 and {r.tipo_duplicidade for r in D.duplicate_audit(empty).collect()} == {"duplicado_textual"}
+
+
+def test_duplicate_candidates(spark):
+    docs = spark.createDataFrame([("a.pdf", "/x/a.pdf", "Cancela e  substitui", "h1"), ("b.pdf", "/x/b.pdf", None, "h2"), ("c.pdf", "/x/c.pdf", "Relatório revisado", "h3")], "nome_do_arquivo string, caminho_arquivo string, text string, hash_arquivo string")
+    results = spark.createDataFrame([("a.pdf", "1", "x", "5"), ("a.pdf", "1", "y", "6"), ("b.pdf", "2", "y", "6"), ("b.pdf", "2", "x", "5"), ("c.pdf", "1", "y", "6"), ("c.pdf", "1", "x", "5")], "nome_do_arquivo string, id_amostra string, parameter string, resultado string")
+    sample = spark.createDataFrame([("a.pdf", "9", "poço"), ("b.pdf", None, None)], "nome_do_arquivo string, id_amostra string, identificacao_amostra string")
+    got = {r.nome_do_arquivo: r for r in D.duplicate_candidates(docs, results, sample).collect()}
+    assert [(got[f].id_amostra, got[f].chave_laudo, got[f].possui_indicador_versao) for f in sorted(got)] == [("9", "identificacao_amostra=poço", True), ("2", "id_amostra=2", False), ("1", "id_amostra=1", True)]
+    assert got["a.pdf"].assinatura_resultados == got["c.pdf"].assinatura_resultados != got["b.pdf"].assinatura_resultados
+    plan = spark.createDataFrame([("/x/a.pdf", "/x/a.pdf"), ("/y/z.pdf", "/x/a.pdf")], "caminho_arquivo string, canonico string")
+    again = D.reattached(D.duplicate_candidates(docs, results, sample), plan).collect()
+    assert [(r.nome_do_arquivo, r.caminho_arquivo, r.id_amostra) for r in again] == [("z.pdf", "/y/z.pdf", "9")]
 
 
 def test_sections(spark):

@@ -1,25 +1,39 @@
-from tabularium.operators.packaging import PackagingRules, extract_packaging, fold_pages
+import pytest
+
+from tabularium.operators.packaging import COLUMNS, PackagingRules, extract_packaging
 from tabularium.operators.sections import label_of
 
 RULES = PackagingRules(("embalagens",), ("recipiente",), (r"amostra\s+(\d+ - \w+)",), ("pl[aá]stico|vidro",), (r"\d+\s*mL",))
 TABLE = [["Recipiente", "Volume", "Preservação", "Métodos"], ["Plástico", "500 mL", "Gelo", "SM 1"], ["Vidro", "x", "Gelo", "SM 2"], ["Vidro", "1 mL", "", "SM 3"]]
+ROW = {"id_amostra": "12", "identificacao_amostra": "12 - poço", "embalagem": "Plástico", "volume": "500 mL", "preservacao": "Gelo", "metodos": "SM 1"}
+
+
+@pytest.fixture
+def found(spark):
+    def run(pages, rules=RULES):
+        rows = [("d", "t", i, text, tables) for i, (text, tables) in enumerate(pages, 1)]
+        df = spark.createDataFrame(rows, "doc_id string, template_id string, page_no int, text string, tables array<array<array<string>>>")
+        return [{c: r[c] for c in COLUMNS} for r in extract_packaging(df, {"t": rules}).orderBy("pagina", "tabela_indice", "linha").collect()]
+
+    return run
 
 
-def test_section_on_the_page_before():
-    got = [*fold_pages([(1, "Embalagens da amostra 12 - poço", [[["Embalagens"]]]), (2, "", [TABLE]), (3, "", [TABLE])], RULES)]
-    assert got == [{"id_amostra": "12", "identificacao_amostra": "12 - poço", "embalagem": "Plástico", "volume": "500 mL", "preservacao": "Gelo", "metodos": "SM 1"}]
+def test_section_on_the_page_before(found):
+    assert found([("Embalagens da amostra 12 - poço", [[["Embalagens"]]]), ("", [TABLE]), ("", [TABLE])]) == [ROW]
 
 
-def test_header_in_the_page_text_and_name_above_the_header():
-    assert len([*fold_pages([(1, "Embalagens\nRecipiente Volume", [TABLE[1:]])], RULES)]) == 1
-    named = [["Amostra 7 - rio"], *TABLE]
-    assert [r["id_amostra"] for r in fold_pages([(1, "embalagens amostra 9 - x", [named])], RULES)] == ["7"]
-    assert not [*fold_pages([(1, "outra", [TABLE])], RULES)] and not [*fold_pages([(1, "embalagens", [TABLE])], PackagingRules())]
+def test_header_in_the_page_text_and_name_above_the_header(found):
+    assert len(found([("Embalagens\nRecipiente Volume", [TABLE[1:]])])) == 1
+    assert [r["id_amostra"] for r in found([("embalagens amostra 9 - x", [[["Amostra 7 - rio"], *TABLE]])])] == ["7"]
+    assert [r["id_amostra"] for r in found([("embalagens amostra 9 - x", [[["Amostra 7 - rio"], ["Amostra 8 - mar"], ["x"], *TABLE]])])] == ["8"]
+    assert not found([("outra", [TABLE])]) and not found([("embalagens", [TABLE])], PackagingRules())
 
 
-def test_extraction(spark):
-    docs = spark.createDataFrame([("a", "t", [(1, "Embalagens", [TABLE])]), ("b", "u", [(1, "Embalagens", [TABLE])]), ("c", "t", None)][:2], "doc_id string, template_id string, pages array<struct<page_no:int,text:string,tables:array<array<array<string>>>>>")
-    assert [(r.doc_id, r.embalagem) for r in extract_packaging(docs, {"t": RULES}).collect()] == [("a", "Plástico")]
+def test_the_sample_is_carried_until_rows_are_found(found):
+    pages = [("Embalagens amostra 12 - poço", None), ("Embalagens", [TABLE]), ("Embalagens", [TABLE, None]), (None, None)]
+    assert [r["id_amostra"] for r in found(pages)] == ["12", None]
+    # a table that names the section itself is read anywhere, but its page does not hand the section on
+    assert [r["id_amostra"] for r in found([("x", [[["Embalagens"], *TABLE]]), ("y", [TABLE])])] == [None]
 
 
 def test_labels():
