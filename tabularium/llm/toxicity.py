@@ -2,7 +2,7 @@
 
 A word is the bag of itself and its character n-grams, hashed to buckets, so a misspelling that training never saw still
 shares most of its vectors with the word it imitates. A text's vector is the mean over its words. Embeddings and
-softmax weights are trained together by Adam on a bounded sample of labelled documents.
+softmax weights are trained together by gradient descent with momentum on a bounded sample of labelled documents.
 
 With two classes the softmax sees only the projection of a vector on the difference of the two weight rows, so when
 scoring a word is one number; nothing else about it is kept.
@@ -42,8 +42,6 @@ ROUNDS = 300
 #: Words without their marks whose numbers a worker keeps.
 CORES = 600_000
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
-#: A word is read up to here when its n-grams are taken; longer runs are cut into several such parts.
-PART = 40
 
 
 def core_of(word: str) -> str:
@@ -53,14 +51,11 @@ def core_of(word: str) -> str:
 
 
 def buckets(core: str) -> list[int]:
-    """Buckets of a word's core: itself and the n-grams (of its UTF-8 bytes) between edge marks."""
-    crc, found = zlib.crc32, []
-    for at in range(0, max(len(core), 1), PART):
-        marked = f"<{core[at : at + PART]}>".encode("utf-8", "replace")
-        found.append(crc(marked) % BUCKETS)
-        n = len(marked)
-        for size in GRAMS:
-            found += [crc(marked[i : i + size], 7) % BUCKETS for i in range(n - size + 1)]
+    """Buckets of a word's core: itself and all its n-grams (of its UTF-8 bytes) between edge marks."""
+    crc, marked = zlib.crc32, f"<{core}>".encode("utf-8", "replace")
+    found, n = [crc(marked) % BUCKETS], len(marked)
+    for size in GRAMS:
+        found += [crc(marked[i : i + size], 7) % BUCKETS for i in range(n - size + 1)]
     return found
 
 
