@@ -1,11 +1,11 @@
-"""Measures in laboratory text -> operator, bounds, unit: pure Column expressions."""
+"""Measures in laboratory text -> operator, bounds, unit: columns in stages, each pattern evaluated once a cell."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import MEASURE_MARKERS, collapse, fold, let, pt_number
+from .text import MEASURE_MARKERS, collapse, fold, pt_number
 
 # The known units, in the order in which they are tried at a place.
 UNITS = (
@@ -39,53 +39,64 @@ def _without_unit(x: Column, unit: Column) -> Column:
     return F.when(unit.isNull(), x).otherwise(collapse(cut))
 
 
-def parse_measure(original: Column, both: bool = False) -> Column:
-    """struct(operador, minimo, maximo, unidade). ``both``: a single value sets both bounds whatever its operator."""
+def _staged(df: DataFrame, names: list[str], *stages: dict) -> DataFrame:
+    """Add columns ``<name>__<key>`` for every name, a stage at a time: a stage's columns are there for the next."""
+    for stage in stages:
+        df = df.withColumns({f"{n}__{key}": make(n) for n in names for key, make in stage.items()})
+    return df
 
-    def cut(text: Column) -> Column:
-        return let(known_unit(text), lambda unit: F.struct(unit.alias("unit"), _without_unit(text, unit).alias("bare"), F.upper(text).isin(MEASURE_MARKERS).alias("blank")))
 
-    def signed(t: Column) -> Column:
-        folded = fold(t["bare"])
-        named = let(folded, lambda f: F.when(f.rlike(r"^(max\.|max |maximo)"), F.lit("max")).when(f.rlike(r"^(min\.|min |minimo)"), F.lit("min")))
-        sign = F.coalesce(named, F.nullif(F.regexp_extract(t["bare"], SIGN, 1), F.lit("")))
-        return let(sign, lambda s: F.struct(s.alias("sign"), F.when(s.isNotNull(), F.regexp_replace(t["bare"], PREFIX, "")).otherwise(t["bare"]).alias("rest"), t["unit"].alias("unit"), t["blank"].alias("blank")))
+def parse_measures(df: DataFrame, texts: dict[str, Column], both: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with a struct(operador, minimo, maximo, unidade) of the text of each name.
 
-    def bounds(t: Column) -> Column:
-        rest = t["rest"]
-        ranged, single = F.rlike(rest, F.lit(RANGE)), F.rlike(rest, F.lit(SINGLE))
-        inner = F.nullif(F.regexp_extract(rest, SINGLE, 1), F.lit(""))
-        found = F.struct(
-            ranged.alias("ranged"), single.alias("single"), F.when(ranged, t["sign"]).otherwise(F.coalesce(t["sign"], F.when(single, inner))).alias("operator"),
-            pt_number(F.regexp_extract(rest, SINGLE, 2)).alias("number"), pt_number(F.regexp_extract(rest, RANGE, 1)).alias("low"), pt_number(F.regexp_extract(rest, RANGE, 2)).alias("high"),
-        )
-        return let(found, lambda f: chosen(t, f))
-
-    def chosen(t: Column, f: Column) -> Column:
-        upper, lower = (F.lit(False), F.lit(False)) if both else (F.coalesce(f["operator"].isin("max", "<", "<="), F.lit(False)), F.coalesce(f["operator"].isin("min", ">", ">="), F.lit(False)))
-        low = F.when(f["ranged"], f["low"]).when(f["single"] & ~upper, f["number"])
-        high = F.when(f["ranged"], f["high"]).when(f["single"] & ~lower, f["number"])
-        unless = lambda x, kind, name: F.when(~t["blank"], x).cast(kind).alias(name)
-        return F.struct(unless(f["operator"], "string", "operador"), unless(low, "double", "minimo"), unless(high, "double", "maximo"), unless(t["unit"], "string", "unidade"))
-
-    return let(let(let(collapse(F.coalesce(original, F.lit(""))), cut), signed), bounds)
-
-
-def parse_result(original: Column, fallback: Column | None = None) -> Column:
-    """struct(valor, qualificador, unidade) of a result cell and the unit column beside it.
+    For names in ``both`` a single value sets both bounds whatever its operator.
+    """
+    c = lambda n, key: F.col(f"{n}__{key}")
+    blank_to_null = lambda x: F.nullif(x, F.lit(""))
+    capital = lambda n: F.when(F.rlike(c(n, "bare"), F.lit("(?i)^m")), fold(c(n, "bare")))
+    named = lambda n: F.when(F.rlike(c(n, "word"), F.lit(r"^(max\.|max |maximo)")), "max").when(F.rlike(c(n, "word"), F.lit(r"^(min\.|min |minimo)")), "min")
+
+    def measure(n: str) -> Column:
+        ranged, single = c(n, "low") != "", c(n, "number") != ""
+        operator = F.when(ranged, c(n, "sign")).otherwise(F.coalesce(c(n, "sign"), F.when(single, blank_to_null(F.regexp_extract(c(n, "rest"), SINGLE, 1)))))
+        of = lambda *signs: F.lit(False) if n in both else F.coalesce(operator.isin(*signs), F.lit(False))
+        number = pt_number(c(n, "number"))
+        low = F.when(ranged, pt_number(c(n, "low"))).when(single & ~of("max", "<", "<="), number)
+        high = F.when(ranged, pt_number(c(n, "high"))).when(single & ~of("min", ">", ">="), number)
+        unless = lambda x, name: F.when(~c(n, "blank"), x).alias(name)
+        return F.struct(unless(operator, "operador"), unless(low, "minimo"), unless(high, "maximo"), unless(c(n, "unit"), "unidade"))
+
+    names = [*texts]
+    staged = _staged(
+        df, names,
+        {"text": lambda n: collapse(F.coalesce(texts[n], F.lit("")))},
+        {"unit": lambda n: known_unit(c(n, "text")), "blank": lambda n: F.upper(c(n, "text")).isin(MEASURE_MARKERS)},
+        {"bare": lambda n: _without_unit(c(n, "text"), c(n, "unit"))},
+        {"word": capital},
+        {"sign": lambda n: F.coalesce(named(n), blank_to_null(F.regexp_extract(c(n, "bare"), SIGN, 1)))},
+        {"rest": lambda n: F.when(c(n, "sign").isNotNull(), F.regexp_replace(c(n, "bare"), PREFIX, "")).otherwise(c(n, "bare"))},
+        {"low": lambda n: F.regexp_extract(c(n, "rest"), RANGE, 1), "high": lambda n: F.regexp_extract(c(n, "rest"), RANGE, 2), "number": lambda n: F.regexp_extract(c(n, "rest"), SINGLE, 2)},
+    )
+    return staged.select(*df.columns, *(measure(n).alias(n) for n in names))
+
+
+def parse_results(df: DataFrame, texts: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """``df`` with a struct(valor, qualificador, unidade) of each (result cell, unit column beside it).
 
     The sign of a value and the whole exponent of ``x 10 n`` count.
     """
-    fallback = F.lit(None).cast("string") if fallback is None else fallback
-
-    def found(text: Column) -> Column:
-        blank = F.upper(text).isin(MEASURE_MARKERS)
-        value = pt_number(F.regexp_extract(text, RESULT, 2)) * F.pow(F.lit(10.0), F.coalesce(F.regexp_extract(text, RESULT, 3).try_cast("int"), F.lit(0)))
-        mark = F.coalesce(F.nullif(F.regexp_extract(text, r"^\s*([<>])", 1), F.lit("")), F.nullif(F.regexp_extract(text, RESULT, 1), F.lit("")))
-        unit = F.when(blank, fallback).otherwise(F.coalesce(known_unit(text), known_unit(fallback)))
-        return F.struct(F.when(~blank, value).alias("valor"), F.when(~blank, mark).alias("qualificador"), unit.alias("unidade"))
-
-    return let(collapse(F.coalesce(original, F.lit(""))), found)
+    c = lambda n, key: F.col(f"{n}__{key}")
+    mark = lambda n: F.coalesce(F.nullif(F.regexp_extract(c(n, "text"), r"^\s*([<>])", 1), F.lit("")), F.nullif(F.regexp_extract(c(n, "text"), RESULT, 1), F.lit("")))
+    value = lambda n: pt_number(c(n, "number")) * F.pow(F.lit(10.0), F.coalesce(c(n, "power").try_cast("int"), F.lit(0)))
+    unless = lambda n, x, name: F.when(~c(n, "blank"), x).alias(name)
+    names = [*texts]
+    staged = _staged(
+        df, names,
+        {"text": lambda n: collapse(F.coalesce(texts[n][0], F.lit(""))), "beside": lambda n: texts[n][1]},
+        {"blank": lambda n: F.upper(c(n, "text")).isin(MEASURE_MARKERS), "number": lambda n: F.regexp_extract(c(n, "text"), RESULT, 2), "power": lambda n: F.regexp_extract(c(n, "text"), RESULT, 3)},
+    )
+    unit = lambda n: F.when(c(n, "blank"), c(n, "beside")).otherwise(F.coalesce(known_unit(c(n, "text")), known_unit(c(n, "beside")))).alias("unidade")
+    return staged.select(*df.columns, *(F.struct(unless(n, value(n), "valor"), unless(n, mark(n), "qualificador"), unit(n)).alias(n) for n in names))
 
 
 def is_complex_note(x: Column) -> Column:

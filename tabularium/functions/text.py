@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column
@@ -31,11 +30,6 @@ def fold_tables() -> tuple[str, str]:
     return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once, however often ``body`` uses it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def collapse(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"(?U)\s+", " "))
 
@@ -86,6 +80,12 @@ def pt_number(x: Column) -> Column:
     return F.when(t.contains(","), dotted).otherwise(t).try_cast("double")
 
 
+def strict_decimal(x: Column) -> Column:
+    """A coordinate as reports write it: with a comma, dots are thousands and go; anything but a number is null."""
+    t = F.trim(x)
+    return F.when(F.rlike(t, F.lit(r"^[+-]?[\d.]*,?\d+$")), pt_number(t))
+
+
 def scaled_number(x: Column) -> Column:
     """A number that may be followed by ``x 10 n``; null if the text is anything else."""
     pattern = r"(?i)^([+-]?\d+(?:[,.]\d+)?)(?:\s*x\s*10\s*([+-]?\d+))?$"

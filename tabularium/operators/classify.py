@@ -51,25 +51,24 @@ def _first(labels: list[tuple[Column, str]]) -> Column:
     return F.coalesce(F.lit(None).cast("string"), *(F.when(c, F.lit(name)) for c, name in labels))
 
 
-def template_score(template: Template, rules: list[DetectionRule], text: Column, path: Column) -> Column:
-    """struct(template_id, score, score_minimo, prioridade, status, matched) of one document."""
-    own = [r for r in rules if r.template_id == template.template_id]
-    hit = {r: F.coalesce(F.rlike(haystack(r.source, text, path), F.lit(java_pattern(r.regex))), F.lit(False)) for r in own}
-    of = lambda kind: [r for r in own if r.rule_type == kind]
-    missing = _first([(~hit[r], r.label) for r in of("required")])
-    negative = _first([(hit[r], r.label) for r in of("negative")])
-    total = reduce(Column.__add__, [F.when(hit[r], F.lit(float(r.peso))).otherwise(F.lit(0.0)) for r in of("positive")], F.lit(0.0))
+def template_score(template: Template, rules: list[DetectionRule], hits: str) -> Column:
+    """struct(template_id, score, score_minimo, prioridade, status, matched) from ``hits``, a column of one boolean a rule."""
+    own = [(r, F.col(hits)[i]) for i, r in enumerate(rules) if r.template_id == template.template_id]
+    of = lambda kind: [(r, hit) for r, hit in own if r.rule_type == kind]
+    none = F.array().cast("array<string>")
+    missing = _first([(~hit, r.label) for r, hit in of("required")])
+    negative = _first([(hit, r.label) for r, hit in of("negative")])
+    total = reduce(Column.__add__, [F.when(hit, F.lit(float(r.peso))).otherwise(F.lit(0.0)) for r, hit in of("positive")], F.lit(0.0))
     # required rules count as matched up to the first that misses
     before, sofar = [], F.lit(True)
-    for r in of("required"):
-        sofar = sofar & hit[r]
+    for r, hit in of("required"):
+        sofar = sofar & hit
         before.append(F.when(sofar, F.lit(f"required:{r.label}")))
-    matched = F.array_compact(F.array(*before)) if before else F.array().cast("array<string>")
-    positives = [F.when(hit[r], F.lit(f"positive:{r.label}")) for r in of("positive")]
-    positives = F.array_compact(F.array(*positives)) if positives else F.array().cast("array<string>")
+    matched = F.array_compact(F.array(*before)) if before else none
+    positives = [F.when(hit, F.lit(f"positive:{r.label}")) for r, hit in of("positive")]
+    positives = F.array_compact(F.array(*positives)) if positives else none
     matched = F.when(missing.isNotNull(), matched).when(negative.isNotNull(), F.concat(matched, F.array(F.concat(F.lit("negative:"), negative)))).otherwise(F.concat(matched, positives))
-    scored = missing.isNull() & negative.isNull()
-    score = F.when(scored, total).otherwise(F.lit(0.0))
+    score = F.when(missing.isNull() & negative.isNull(), total).otherwise(F.lit(0.0))
     status = (
         F.when(missing.isNotNull(), F.concat(F.lit("required_missing:"), missing))
         .when(negative.isNotNull(), F.concat(F.lit("negative_matched:"), negative))
@@ -82,14 +81,20 @@ def template_score(template: Template, rules: list[DetectionRule], text: Column,
 
 
 def classify(docs: DataFrame, templates: list[Template], rules: list[DetectionRule], text: str = "text", path: str | None = None) -> DataFrame:
-    """``docs`` with ``scores`` (one struct a template, the winner marked) and ``template_id`` (null: out of scope)."""
+    """``docs`` with ``scores`` (one struct a template, the winner marked) and ``template_id`` (null: out of scope).
+
+    Every rule's pattern is evaluated once a document, into an array of booleans that all else is derived from.
+    """
     where = F.coalesce(F.col(path), F.lit("")) if path else F.lit("")
-    scored = docs.withColumn("scores", F.array(*(template_score(t, rules, F.coalesce(F.col(text), F.lit("")), where) for t in templates)))
-    candidates = F.filter("scores", lambda s: s["status"] == "candidate")
+    body = F.coalesce(F.col(text), F.lit(""))
+    hit = [F.coalesce(F.rlike(haystack(r.source, body, where), F.lit(java_pattern(r.regex))), F.lit(False)) for r in rules]
+    found = docs.withColumn("__hits", F.array(*hit) if hit else F.array().cast("array<boolean>"))
+    scored = found.withColumn("__scores", F.array(*(template_score(t, rules, "__hits") for t in templates))).drop("__hits")
+    candidates = F.filter("__scores", lambda s: s["status"] == "candidate")
     best = F.array_max(F.transform(candidates, lambda s: F.struct(s["score"], (-s["prioridade"]).alias("p"), s["template_id"])))
     won = scored.withColumn("template_id", best["template_id"])
     mark = lambda s: s.withField("status", F.when((s["status"] == "candidate") & (s["template_id"] == F.col("template_id")), F.lit("winner")).otherwise(s["status"]))
-    return won.withColumn("scores", F.transform("scores", mark))
+    return won.withColumn("scores", F.transform("__scores", mark)).drop("__scores")
 
 
 def classification_audit(classified: DataFrame, *keys: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import is_complex_note, parse_measure, parse_result
+from ..functions.measures import is_complex_note, parse_measures, parse_results
 from ..functions.text import is_blank_measure
 from ..plans.contracts import RESULTS, TIPO_LABELS
 
@@ -31,28 +31,27 @@ def tipo_label(tipo: Column) -> Column:
 
 
 def results_extract(rows: DataFrame) -> DataFrame:
-    """``rows``: the output of the row fold (see ``rows.extract_rows``)."""
-    c = F.col
-    have = lambda name: c(name) if name in rows.columns else F.lit(None).cast("string")
+    """``rows``: what ``rows.result_rows`` gives, with the documents' identity."""
+    measured = ["conama", "copam_cerh", "ld", "lq", "incerteza", "faixa_aceitacao"]
+    have = lambda name: F.col(name) if name in rows.columns else F.lit(None).cast("string")
     original = lambda name: F.when(~is_blank_measure(have(name)), have(name))
     written = lambda name: F.when(F.trim(have(name)) != "", have(name))
-    result = parse_result(have("resultado"), F.when(~is_blank_measure(have("unidade_resultado")), have("unidade_resultado")))
+    parsed = parse_measures(rows, {f"__{f}": have(f) for f in measured}, both=("__faixa_aceitacao",))
+    parsed = parse_results(parsed, {"__resultado": (have("resultado"), original("unidade_resultado"))})
+    part = lambda f, p: F.col(f"__{f}.{p}")
     values: dict[str, Column] = {
         "acm_data_hora_extracao": F.lit(None).cast("string"), "tipo": tipo_label(have("tipo_registro")), "parameter": have("parametro"), "unidade": have("unidade_resultado"),
         "acm_codigo_laudo": report_suffix(have("codigo_laudo")), "acm_data_inicio": start_of(have("data_inicio")), "local": F.coalesce(have("local"), F.lit("laboratorio")),
-        "acm_resultado_tratado": result["valor"], "acm_qualificador": result["qualificador"], "acm_unidade": result["unidade"],
+        "acm_resultado_tratado": part("resultado", "valor"), "acm_qualificador": part("resultado", "qualificador"), "acm_unidade": part("resultado", "unidade"),
+        "acm_incerteza_valor": part("incerteza", "minimo"), "acm_incerteza_unidade": part("incerteza", "unidade"),
+        **{f: original(f) for f in ("ld", "lq", "incerteza", "faixa_aceitacao")}, **{f: written(f) for f in ("conama", "copam_cerh")},
+        **{f"acm_{f}_{p}": part(f, p) for f in ("ld", "lq") for p in ("minimo", "maximo", "unidade")},
+        **{f"acm_faixa_aceitacao_{p}": part("faixa_aceitacao", p) for p in ("operador", "minimo", "maximo", "unidade")},
     }
     for f in ("conama", "copam_cerh"):
-        m, note = parse_measure(have(f)), F.coalesce(is_complex_note(have(f)), F.lit(False))
-        values |= {f: written(f)} | {f"acm_{f}_{p}": F.when(~note, m[p]) for p in ("operador", "minimo", "maximo", "unidade")}
-    for f in ("ld", "lq"):
-        m = parse_measure(have(f))
-        values |= {f: original(f)} | {f"acm_{f}_{p}": m[p] for p in ("minimo", "maximo", "unidade")}
-    m = parse_measure(have("incerteza"))
-    values |= {"incerteza": original("incerteza"), "acm_incerteza_valor": m["minimo"], "acm_incerteza_unidade": m["unidade"]}
-    m = parse_measure(have("faixa_aceitacao"), both=True)
-    values |= {"faixa_aceitacao": original("faixa_aceitacao")} | {f"acm_faixa_aceitacao_{p}": m[p] for p in ("operador", "minimo", "maximo", "unidade")}
-    out = rows.select(*(values.get(name, have(name)).alias(name) for name in RESULTS))
+        note = F.coalesce(is_complex_note(have(f)), F.lit(False))
+        values |= {f"acm_{f}_{p}": F.when(~note, part(f, p)) for p in ("operador", "minimo", "maximo", "unidade")}
+    out = parsed.select(*(values.get(name, have(name)).alias(name) for name in RESULTS))
     strip = [f.name for f in out.schema if f.dataType.simpleString() == "string" and f.name not in KEPT]
     return out.withColumns({name: F.trim(name) for name in strip}).select(*RESULTS)
 

@@ -1,4 +1,4 @@
-"""Document reconciliation: every source is counted once per document, then the small counts are joined."""
+"""Document reconciliation: rows of all sources become counts of one shape, and one aggregate by document adds them up."""
 
 from __future__ import annotations
 
@@ -52,23 +52,43 @@ def reconcile(results: DataFrame, sample: DataFrame, client: DataFrame, packagin
     Errors belong to the file that they name (column nome_do_arquivo).
     """
     key = "nome_do_arquivo"
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
-    frames = [results, sample, client, packaging]
-    files = results.select(key).union(sample.select(key)).union(client.select(key)).where(F.col(key).isNotNull()).distinct()
-    firsts = [f.groupBy(key).agg(*(F.min_by(F.col(c).cast("string"), F.when(F.col(c).isNotNull(), F.lit(i))).alias(c) if c in f.columns else F.lit(None).cast("string").alias(c) for c in IDENTITY)) for i, f in enumerate(frames)]
-    named = reduce(DataFrame.unionByName, [f.withColumn("__o", F.lit(i)) for i, f in enumerate(firsts)]).groupBy(key).agg(*(F.min_by(c, F.when(F.col(c).isNotNull(), F.col("__o"))).alias(c) for c in IDENTITY))
-    counts = results.groupBy(key).agg(F.count("*").alias("resultados_extraidos"), F.sum((F.trim(F.coalesce("parameter", F.lit(""))) == "").cast("long")).alias("parametros_sem_nome"))
-    dates = sample.groupBy(key).agg(F.count("*").alias("registros_sample"), F.min_by(F.struct(*DATES), F.struct(*(F.col(d).cast("string") for d in DATES))).alias("d"))
-    dates = dates.select(key, "registros_sample", temporal_status(*(parse_date(F.col("d")[d]) for d in DATES)).alias("coerencia_temporal"))
-    size = lambda f, name: f.groupBy(key).agg(F.count("*").alias(name))
+    text = lambda df, c: F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
+    filled = lambda x: F.nullif(F.trim(x), F.lit(""))
+    counts = ["resultados_extraidos", "registros_sample", "registros_client", "embalagens_extraidas", "n_tabela", "alertas_tabela", "n_secao", "alertas_secao", "n_campo", "alertas_campo", "erros_validacao", "parametros_sem_nome", "parametros_com_unidades_divergentes"]
+
+    def part(df: DataFrame, place: int, ones: dict[str, Column], own: dict[str, Column] | None = None) -> DataFrame:
+        """Rows of one source: its place among the tables, counts, and identity (first, least and greatest value)."""
+        own = own or {}
+        of = lambda name, otherwise: own.get(name, otherwise).alias(name)
+        identity = [x for c in IDENTITY for x in (of(f"first_{c}", text(df, c)), of(f"least_{c}", filled(text(df, c))), of(f"most_{c}", filled(text(df, c))))]
+        dates = F.struct(*(text(df, d).alias(d) for d in DATES)) if place == 1 else F.lit(None).cast("struct<" + ",".join(f"{d}:string" for d in DATES) + ">")
+        return df.select(F.col(key), F.lit(place).alias("place"), *(ones.get(c, F.lit(0)).cast("long").alias(c) for c in counts), *identity, dates.alias("dates"))
+
+    # results are many: first by parameter, of which units are compared
+    named = F.trim(F.coalesce("parameter", F.lit(""))) != ""
+    unit = F.when(F.trim("acm_unidade") != "", F.col("acm_unidade"))
+    firsts = [x for c in IDENTITY for x in (F.min(text(results, c)).alias(f"first_{c}"), F.min(filled(text(results, c))).alias(f"least_{c}"), F.max(filled(text(results, c))).alias(f"most_{c}"))]
+    by_parameter = results.groupBy(key, "parameter").agg(F.count("*").alias("n"), F.coalesce(F.min(unit) != F.max(unit), F.lit(False)).alias("differ"), *firsts)
+    own = {f"{w}_{c}": F.col(f"{w}_{c}") for w in ("first", "least", "most") for c in IDENTITY}
+    nobody = {f"{w}_{c}": F.lit(None).cast("string") for w in ("first", "least", "most") for c in IDENTITY}
+    one = F.lit(1)
+    alert = lambda accepted: (~F.coalesce("status", F.lit("")).isin(accepted)).cast("long")
     parts = [
-        named, counts, dates, size(client, "registros_client"), size(packaging, "embalagens_extraidas"), unit_divergence(results),
-        alert_counts(table_audit, TABLE_OK, "tabela"), alert_counts(section_audit, SECTION_OK, "secao"), alert_counts(field_audit, FIELD_OK, "campo"),
-        size(errors, "erros_validacao"), *(identity_divergence(frames, c) for c in IDENTITY),
+        part(by_parameter, 0, {"resultados_extraidos": F.col("n"), "parametros_sem_nome": F.when(~named, F.col("n")).otherwise(0), "parametros_com_unidades_divergentes": (named & F.col("differ")).cast("long")}, own),
+        part(sample, 1, {"registros_sample": one}), part(client, 2, {"registros_client": one}), part(packaging, 3, {"embalagens_extraidas": one}),
+        part(table_audit, 4, {"n_tabela": one, "alertas_tabela": alert(TABLE_OK)}, nobody),
+        part(section_audit, 4, {"n_secao": one, "alertas_secao": alert(SECTION_OK)}, nobody),
+        part(field_audit, 4, {"n_campo": one, "alertas_campo": alert(FIELD_OK)}, nobody),
+        part(errors, 4, {"erros_validacao": one}, nobody),
     ]
-    wide = reduce(lambda a, b: a.join(b, key, "left"), parts, files)
+    first = lambda c: F.min(F.when(F.col(f"first_{c}").isNotNull(), F.struct("place", f"first_{c}")))[f"first_{c}"].alias(c)
+    wide = reduce(DataFrame.unionByName, parts).where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.min("place").alias("place"), *(F.sum(c).alias(c) for c in counts), *(first(c) for c in IDENTITY), *((F.min(f"least_{c}") != F.max(f"most_{c}")).alias(f"diverge_{c}") for c in IDENTITY),
+        F.min("dates").alias("d"),
+    ).where("place < 3")
+    wide = wide.withColumn("coerencia_temporal", F.when(F.col("d").isNotNull(), temporal_status(*(parse_date(F.col("d")[d]) for d in DATES))))
     diverges = {c: F.coalesce(F.col(f"diverge_{c}"), F.lit(False)) for c in IDENTITY}
-    n = {c: zero(c) for c in ("resultados_extraidos", "registros_sample", "registros_client", "embalagens_extraidas", "n_tabela", "n_secao", "alertas_tabela", "alertas_secao", "alertas_campo", "erros_validacao", "parametros_sem_nome", "parametros_com_unidades_divergentes")}
+    n = {c: F.col(c) for c in counts}
     temporal = F.coalesce("coerencia_temporal", F.lit("nao_avaliado"))
     say = lambda cond, text, count=None: F.when(cond, F.lit(text) if count is None else F.concat(F.lit(text), count.cast("string"), F.lit(".")))
     severe = [

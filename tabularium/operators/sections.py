@@ -57,8 +57,20 @@ def report_code(text: Column) -> Column:
     return F.nullif(collapse(F.regexp_extract(text, r"(?iu)Relat[oó]rio\s+Anal[ií]tico(?:\s+Parcial)?\s+(\d+/\d+\.\d+(?:\.[A-Za-z0-9]+)*)", 1)), F.lit(""))
 
 
+def report_number(text: Column) -> Column:
+    """A report's number and, where it has one, its suffix of letters; white space before the number may be missing."""
+    p = r"(?iu)Relat.rio\s+Anal.tico(?:\s+Parcial)?\s*(\d+/\d+\.\d+(?:\.[A-Z]{1,2})?)"
+    return F.nullif(F.regexp_extract(text, p, 1), F.lit(""))
+
+
 def planning_code(text: Column) -> Column:
-    return F.regexp_substr(text, F.lit(r"CA\d+/\d{4}"))
+    return F.regexp_substr(text, F.lit(r"(?i)\bCA\d+/\d{4}\b"))
+
+
+def nonconformity(text: Column) -> Column:
+    """A description of a nonconformity without the planning and coordinate lines that run into it."""
+    bare = F.regexp_replace(text, r"(?iU)\s*Planejamento de Amostragem:\s*\S+\s*", " ")
+    return collapse(F.regexp_replace(bare, r"(?iU)\s*(?:Latitude|Longitude)\s*\(coordenada\s+real\)\s*:\s*[+-]?\d+(?:[.,]\d+)?\s*", " "))
 
 
 # Small words that a title writes in lower case.
@@ -107,17 +119,21 @@ def field_audit(docs: DataFrame, rules: list[tuple[str, str, str]], values: dict
 
     ``values`` gives what was extracted; a field without it has its pattern's first group.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
     labels = [(s, c, label) for s, c, p in rules if (label := label_of(p))]
+    staged = docs.withColumn("__body", F.coalesce(F.col(text), F.lit("")))
+    staged = staged.withColumns({f"__n{i}": F.regexp_count("__body", F.lit(DOTALL_FLAGS + p)) for i, (_, _, p) in enumerate(rules)})
+    own = lambda i, c, p: (values or {}).get(c, F.when(F.col(f"__n{i}") > 0, F.regexp_extract("__body", DOTALL_FLAGS + p, 1)))
+    staged = staged.withColumns({f"__v{i}": clean(own(i, c, p), 500) for i, (_, c, p) in enumerate(rules)})
 
-    def audit(schema: str, campo: str, pattern: str) -> Column:
-        n = F.regexp_count(body, F.lit(DOTALL_FLAGS + pattern))
-        value = clean((values or {}).get(campo, first_group(body, pattern)), 500)
+    def audit(i: int, schema: str, campo: str) -> Column:
+        n, value = F.col(f"__n{i}"), F.col(f"__v{i}")
         others = [F.when(F.rlike(value, F.lit(DOTALL_FLAGS + label)), F.lit(c)) for s, c, label in labels if (s, c) != (schema, campo)]
         inside = F.array_sort(F.array_distinct(F.array_compact(F.array(*others)))) if others else F.array().cast("array<string>")
-        status = (
-            F.when((n > 0) & value.isNull(), "encontrado_sem_extracao").when((n == 0) & value.isNotNull(), "extraido_sem_correspondencia").when(value.isNotNull() & (F.size(inside) > 0), "possivel_contaminacao").when(n > 0, "ok").otherwise("nao_aplicavel")
-        )
-        return F.struct(F.lit(schema).alias("schema_origem"), F.lit(campo).alias("campo"), n.cast("long").alias("ocorrencias_detectadas"), value.alias("valor_extraido"), F.nullif(F.array_join(inside, "; "), F.lit("")).alias("campos_detectados_no_valor"), status.alias("status"))
-
-    return docs.select(key, F.explode(F.array(*(audit(*r) for r in rules))).alias("a")).select(key, "a.*")
+        return F.struct(F.lit(schema).alias("schema_origem"), F.lit(campo).alias("campo"), n.cast("long").alias("ocorrencias_detectadas"), value.alias("valor_extraido"), F.nullif(F.array_join(inside, "; "), F.lit("")).alias("campos_detectados_no_valor"))
+
+    rows = staged.select(key, F.explode(F.array(*(audit(i, s, c) for i, (s, c, _) in enumerate(rules)))).alias("a")).select(key, "a.*")
+    found, valued = F.col("ocorrencias_detectadas") > 0, F.col("valor_extraido").isNotNull()
+    status = (
+        F.when(found & ~valued, "encontrado_sem_extracao").when(~found & valued, "extraido_sem_correspondencia").when(valued & F.col("campos_detectados_no_valor").isNotNull(), "possivel_contaminacao").when(found, "ok").otherwise("nao_aplicavel")
+    )
+    return rows.withColumn("status", status)

@@ -262,7 +262,7 @@ def _measure_query(name: str, both: bool) -> None:
     low, high = ("d", "d") if both else ("CASE WHEN sign IN ('max', '<', '<=') THEN NULL ELSE d END", "CASE WHEN sign IN ('min', '>', '>=') THEN NULL ELSE d END")
 
     def run(spark, sf_dir):
-        return measured(spark, sf_dir).withColumn("m", M.parse_measure(F.col("texto"), both)).select("l_orderkey", "l_linenumber", "m.*")
+        return M.parse_measures(measured(spark, sf_dir), {"m": F.col("texto")}, both=("m",) if both else ()).select("l_orderkey", "l_linenumber", "m.*")
 
     run.__name__ = name
     query(_MEASURED + f" SELECT l_orderkey, l_linenumber, CASE WHEN NOT blank THEN sign END AS operador, CASE WHEN blank THEN NULL WHEN r1 <> '' THEN d1 ELSE {low} END AS minimo, CASE WHEN blank THEN NULL WHEN r1 <> '' THEN d2 ELSE {high} END AS maximo, CASE WHEN NOT blank THEN unidade END AS unidade FROM v")(run)
@@ -278,7 +278,7 @@ _measure_query("parse_measure_duplicated", True)
               CASE WHEN NOT blank THEN nullif(regexp_extract(texto, '^([<>])', 1), '') END AS qualificador, CASE WHEN blank THEN 'mg/L' ELSE coalesce(unidade, 'mg/L') END AS unidade FROM b"""
 )
 def parse_result(spark, sf_dir):
-    return measured(spark, sf_dir).withColumn("m", M.parse_result(F.col("texto"), F.lit("mg/L"))).select("l_orderkey", "l_linenumber", "m.*")
+    return M.parse_results(measured(spark, sf_dir), {"m": (F.col("texto"), F.lit("mg/L"))}).select("l_orderkey", "l_linenumber", "m.*")
 
 
 @query(

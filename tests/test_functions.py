@@ -27,7 +27,7 @@ MEASURES = [
 def test_measures(spark):
     rows = [(i, t) for i, (t, _, _) in enumerate(MEASURES)]
     df = spark.createDataFrame(rows, "i int, t string")
-    got = {r.i: (tuple(r.one), tuple(r.both)) for r in df.select("i", M.parse_measure(F.col("t")).alias("one"), M.parse_measure(F.col("t"), True).alias("both")).collect()}
+    got = {r.i: (tuple(r.one), tuple(r.both)) for r in M.parse_measures(df, {"one": F.col("t"), "both": F.col("t")}, both=("both",)).collect()}
     for i, (text, both, want) in enumerate(MEASURES):
         assert got[i][both] == want, text
 
@@ -37,7 +37,7 @@ def test_measures(spark):
     [("1,2 x 10 3 UFC/mL", None, (1200.0, None, "UFC/mL")), ("< 0,5", "mg/L", (0.5, "<", "mg/L")), ("-19,5", None, (-19.5, None, None)), ("NA", "mg/L", (None, None, "mg/L")), ("7", "palmos", (7.0, None, None)), ("2 x 10 12", None, (2e12, None, None))],
 )
 def test_results(spark, text, unit, want):
-    row = spark.createDataFrame([(text, unit)], "t string, u string").select(M.parse_result(F.col("t"), F.col("u")).alias("r")).first().r
+    row = M.parse_results(spark.createDataFrame([(text, unit)], "t string, u string"), {"r": (F.col("t"), F.col("u"))}).first().r
     assert tuple(row) == want
 
 
