@@ -93,21 +93,6 @@ def headings(pages: DataFrame, known: list[str], key: str = "doc_id", text: str
     return lines.where(is_heading(F.col("line")) & unknown).groupBy(key, fold(F.col("line")).alias("titulo")).agg(F.count("*").alias("ocorrencias"))
 
 
-def carry_forward(pages: DataFrame, key: str, order: list[str], value: Column, name: str) -> DataFrame:
-    """The last non-null value so far, in order, within each document."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return pages.withColumn(name, F.last(value, ignorenulls=True).over(w))
-
-
-def pending_from_previous(pages: DataFrame, key: str, order: list[str], value: Column, name: str) -> DataFrame:
-    """The value that the page before left."""
-    from pyspark.sql import Window
-
-    return pages.withColumn(name, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
-
-
 def label_of(pattern: str) -> str | None:
     """A rule's label: its text up to and with the colon before white space."""
     at = pattern.find(r":\s*")

@@ -115,19 +115,30 @@ def text_hash_groups(spark, sf_dir):
 
 
 def candidates(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    path = F.concat(F.lit("/in/"), F.col("source"), F.lit("/"), F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit(".pdf"))
-    return docs.select(
-        F.element_at(F.split(path, "/"), -1).alias("nome_do_arquivo"), path.alias("caminho_arquivo"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("hash_arquivo"), X.text_hash(F.col("text")).alias("hash_texto"),
-        D.logical_key(F.lit(None).cast("string"), F.col("n_chars"), F.lit(None).cast("string"), F.col("lang")).alias("chave_laudo"), F.col("n_chars").cast("string").alias("id_amostra"),
-        F.col("lang").alias("assinatura_resultados"), F.rlike("text", F.lit("(?i)licensed under|version")).alias("possui_indicador_versao"),
-    )
+    """Candidates of the documents; some hold nothing but blanks, some say that they replace another report."""
+    docs, key = table(spark, sf_dir, "documents"), F.col("doc_id")
+    path = F.concat(F.lit("/in/"), F.col("source"), F.lit("/"), F.lpad(key.cast("string"), 12, "0"), F.lit(".pdf"))
+    said = F.when(key % 9 == 0, F.concat(F.coalesce("text", F.lit("")), F.lit(" Cancela e  substitui"))).otherwise(F.col("text"))
+    docs = docs.select("n_chars", "lang", F.element_at(F.split(path, "/"), -1).alias("nome_do_arquivo"), path.alias("caminho_arquivo"), F.when(key % 50 == 3, F.repeat(F.lit(" "), (key % 7).cast("int"))).otherwise(said).alias("text"))
+    docs = docs.withColumn("hash_arquivo", F.sha2(F.coalesce("text", F.lit("")), 256))
+    sample = docs.select("nome_do_arquivo", F.col("n_chars").alias("id_amostra"), F.col("lang").alias("data_coleta"))
+    results = docs.select("nome_do_arquivo", F.lit("0").alias("id_amostra"), F.col("lang").alias("resultado"), F.explode(F.array(F.lit("x"), F.lit("y"))).alias("parameter"))
+    return D.duplicate_candidates(docs, results, sample)
 
 
 _CANDIDATES = r"""
-    WITH c AS (SELECT lpad(doc_id::VARCHAR, 12, '0') || '.pdf' AS f, '/in/' || source || '/' || lpad(doc_id::VARCHAR, 12, '0') || '.pdf' AS p, sha256(coalesce(text, '')) AS hf,
-                      sha256(lower(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')))) AS ht, 'id_amostra=' || n_chars || '|data_coleta=' || lang AS k, n_chars::VARCHAR AS a, lang AS s,
-                      regexp_matches(text, 'licensed under|version', 'i') AS v FROM documents)"""
+    WITH t AS (SELECT *, CASE WHEN doc_id % 50 = 3 THEN repeat(' ', (doc_id % 7)::INT) WHEN doc_id % 9 = 0 THEN coalesce(text, '') || ' Cancela e  substitui' ELSE text END AS body FROM documents),
+    c AS (SELECT lpad(doc_id::VARCHAR, 12, '0') || '.pdf' AS f, '/in/' || source || '/' || lpad(doc_id::VARCHAR, 12, '0') || '.pdf' AS p, sha256(coalesce(body, '')) AS hf,
+                 sha256(lower(trim(regexp_replace(coalesce(body, ''), '\s+', ' ', 'g')))) AS ht, 'id_amostra=' || n_chars || coalesce('|data_coleta=' || lang, '') AS k, n_chars::VARCHAR AS a, coalesce(lang, '') AS s,
+                 doc_id % 9 = 0 AND doc_id % 50 <> 3 AS v, trim(coalesce(body, '')) = '' AS blank FROM t)"""
+
+
+@query(_CANDIDATES + " SELECT f AS nome_do_arquivo, ht AS hash_texto, k AS chave_laudo, a AS id_amostra, v AS possui_indicador_versao, count(*) OVER (PARTITION BY s) AS iguais FROM c")
+def dup_candidates(spark, sf_dir):
+    from pyspark.sql import Window
+
+    same = F.count("*").over(Window.partitionBy("assinatura_resultados")).alias("iguais")
+    return candidates(spark, sf_dir).select("nome_do_arquivo", "hash_texto", "chave_laudo", "id_amostra", "possui_indicador_versao", same)
 
 
 @query(
@@ -146,7 +157,7 @@ def dup_status(spark, sf_dir):
     return D.duplicate_audit(candidates(spark, sf_dir)).select("nome_do_arquivo", "tipo_duplicidade", "grupo_duplicidade", "arquivo_referencia")
 
 
-@query(_CANDIDATES + """ SELECT p AS caminho_arquivo FROM (SELECT p, row_number() OVER (PARTITION BY hf ORDER BY lower(p)) AS i, row_number() OVER (PARTITION BY ht ORDER BY lower(p)) AS j FROM c) WHERE i > 1 OR j > 1""")
+@query(_CANDIDATES + """ SELECT p AS caminho_arquivo FROM (SELECT p, row_number() OVER (PARTITION BY hf ORDER BY lower(p)) AS i, CASE WHEN blank THEN 1 ELSE row_number() OVER (PARTITION BY ht ORDER BY lower(p)) END AS j FROM c) WHERE i > 1 OR j > 1""")
 def dup_skip_set(spark, sf_dir):
     return D.paths_to_skip(candidates(spark, sf_dir))
 
@@ -156,9 +167,18 @@ def exact_dup_plan(spark, sf_dir):
     return D.canonical(candidates(spark, sf_dir), "hash_arquivo", "caminho_arquivo").select("caminho_arquivo", "canonico")
 
 
-@query("SELECT doc_id, coalesce(regexp_matches(text, 'licensed under|revis(ed|ion)|version', 'i'), false) AS indicador FROM documents")
+@query("SELECT doc_id, doc_id % 4 <> 0 AS indicador FROM documents")
 def version_marker(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.rlike("text", F.lit("(?i)licensed under|revis(ed|ion)|version")), F.lit(False)).alias("indicador"))
+    said = F.array(*map(F.lit, ["", " SUBSTITUI O RELATÓRIO anterior", "\nRelatorio  Revisado", " que retifica outro"]))
+    text = F.concat(F.coalesce("text", F.lit("")), F.element_at(said, (F.col("doc_id") % 4 + 1).cast("int")))
+    return table(spark, sf_dir, "documents").select("doc_id", D.version_marker(text).alias("indicador"))
+
+
+@query(_CANDIDATES + """, g AS (SELECT p, f, a, first_value(p) OVER (PARTITION BY hf ORDER BY lower(p)) AS first FROM c) SELECT g.f AS nome_do_arquivo, g.p AS caminho_arquivo, c.a AS id_amostra FROM g JOIN c ON c.p = g.first WHERE g.p <> g.first""")
+def dup_reattached(spark, sf_dir):
+    found = candidates(spark, sf_dir)
+    plan = D.canonical(found, "hash_arquivo", "caminho_arquivo").select("caminho_arquivo", "canonico")
+    return D.reattached(found, plan).select("nome_do_arquivo", "caminho_arquivo", "id_amostra")
 
 
 # ---- fields and sections
@@ -199,7 +219,7 @@ def heading_discovery(spark, sf_dir):
     return S.headings(pages, ["licen[sc]e"], "page_id")
 
 
-AUDITED = [("sample", "licenca", r"licen[sc]ed under:?\s*(the [a-z]+)"), ("sample", "versao", r"version:?\s*([0-9.]+)"), ("client", "token", r'token = "([0-9a-f]*)"'), ("client", "resto", r"the:?\s*(apache.{0,60})")]
+AUDITED = [("sample", "licenca", r"licen[sc]ed under:?\s*(the [a-z]+)"), ("sample", "versao", r"version:?\s*([0-9.]+)"), ("client", "token", r'token = "([0-9a-f]*)"'), ("client", "resto", r"the:?\s*(apache.{0,60})"), ("client", "tudo", r"licen[sc]ed under:\s*(.{0,80})")]
 
 
 @query(
@@ -213,17 +233,6 @@ def field_audit_status(spark, sf_dir):
     return S.field_audit(table(spark, sf_dir, "documents"), AUDITED)
 
 
-@query("SELECT event_id, user_id, last_value(CASE WHEN event_type = 'signup' OR event_id % 7 = 0 THEN event_type END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS secao FROM events")
-def carry_forward_section(spark, sf_dir):
-    title = F.when((F.col("event_type") == "signup") | (F.col("event_id") % 7 == 0), F.col("event_type"))
-    return S.carry_forward(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], title, "secao").select("event_id", "user_id", "secao")
-
-
-@query("SELECT conv_id, turn, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS pendente FROM conversations")
-def pending_page(spark, sf_dir):
-    return S.pending_from_previous(table(spark, sf_dir, "conversations"), "conv_id", ["turn"], F.col("role"), "pendente").select("conv_id", "turn", "pendente")
-
-
 # ---- measures (I13-I18, F9): texts built from integers
 
 _UNITS = ["mg/L", "%", "NTU", "µg/L", "UFC/100 mL"]
@@ -310,26 +319,6 @@ def results_projection_labels(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", tipo.alias("tipo"), N.report_suffix(code).alias("sufixo"), N.start_of(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("inicio"))
 
 
-@query("SELECT l_orderkey, count(*) AS linhas, avg(CASE WHEN l_quantity > 5 THEN 1.0 ELSE 0.0 END) >= 0.8 AS confiavel FROM lineitem GROUP BY 1")
-def layout_confidence(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("linhas"), (F.avg(F.when(F.col("l_quantity") > 5, 1.0).otherwise(0.0)) >= 0.8).alias("confiavel"))
-
-
-@query(
-    """SELECT tipo, max(i) FILTER (campo = 'resultado') AS resultado, max(i) FILTER (campo = 'unidade') AS unidade, max(i) FILTER (campo = 'lq') AS lq
-       FROM (VALUES ('AMOSTRA', 'resultado', 1), ('AMOSTRA', 'unidade', 2), ('AMOSTRA', 'lq', 3), ('BRANCO', 'resultado', 2), ('BRANCO', 'unidade', 3)) AS l(tipo, campo, i) GROUP BY tipo"""
-)
-def layout_pivot(spark, sf_dir):
-    rows = [("AMOSTRA", "resultado", 1), ("AMOSTRA", "unidade", 2), ("AMOSTRA", "lq", 3), ("BRANCO", "resultado", 2), ("BRANCO", "unidade", 3)]
-    return spark.createDataFrame(rows, "tipo string, campo string, i int").groupBy("tipo").pivot("campo", ["resultado", "unidade", "lq"]).agg(F.max("i"))
-
-
-@query("SELECT l_orderkey, l_linenumber, upper(l_returnflag) AS tipo, l_quantity AS valor FROM lineitem WHERE l_linestatus = 'O' AND l_quantity > 10 AND l_returnflag <> 'R'")
-def row_filter_project(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").where((F.col("l_linestatus") == "O") & (F.col("l_quantity") > 10) & (F.col("l_returnflag") != "R"))
-    return rows.select("l_orderkey", "l_linenumber", F.upper("l_returnflag").alias("tipo"), F.col("l_quantity").alias("valor"))
-
-
 # ---- validation
 
 ORDER_CONTRACT = Contract(
@@ -350,22 +339,6 @@ def validation_errors(spark, sf_dir):
     return validate(orders, ORDER_CONTRACT, "orders", parameter="o_orderkey").select(F.col("parameter").alias("o_orderkey"), "field", "type")
 
 
-@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_discount * 1000 > l_quantity * 2 AND l_tax > 0.04")
-def validate_range(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").where((F.col("l_discount") * 1000 > F.col("l_quantity") * 2) & (F.col("l_tax") > 0.04)).select("l_orderkey", "l_linenumber")
-
-
-@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')")
-def fk_violations(spark, sf_dir):
-    known = table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
-    return table(spark, sf_dir, "lineitem").join(known, "l_orderkey", "left_anti").select("l_orderkey", "l_linenumber")
-
-
-@query("SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 1")
-def duplicate_ids(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("n")).where("n > 1")
-
-
 # ---- reconciliation
 
 
