@@ -57,15 +57,25 @@ QUERIES = {f.__name__: f for f in (op1_quality, op2_secrets, op3_language, op4_n
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Kind, pattern, group that is measured, and characters that it has at least: as the contract gives the base ones.
+_SPANS = [
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+    ("github", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
+    ("pem", "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 0),
+]
+
+
 def _secret_spans_sql() -> str:
     """(doc_id, spans) in DuckDB SQL: the texts between the matches and the matches add up to the offsets."""
     each = []
-    for rank, rule in enumerate(secrets.RULES):
-        pattern = "'" + rule.pattern.replace("'", "''") + "'"
+    for rank, (kind, regex, group, _) in enumerate(_SPANS):
+        pattern = "'" + regex.replace("'", "''") + "'"
         each.append(f"""
-            SELECT k, {rank} AS rank, '{rule.kind}' AS kind, unnest(range(1, len(m) + 1)) AS i, m, g, p
-            FROM (SELECT k, regexp_extract_all(t, {pattern}, 0) AS m, regexp_extract_all(t, {pattern}, {rule.group}) AS g, regexp_split_to_array(t, {pattern}) AS p FROM d)""")
-    long = " ".join(f"WHEN {rank} THEN {rule.least}" for rank, rule in enumerate(secrets.RULES))
+            SELECT k, {rank} AS rank, '{kind}' AS kind, unnest(range(1, len(m) + 1)) AS i, m, g, p
+            FROM (SELECT k, regexp_extract_all(t, {pattern}, 0) AS m, regexp_extract_all(t, {pattern}, {group}) AS g, regexp_split_to_array(t, {pattern}) AS p FROM d)""")
+    long = " ".join(f"WHEN {rank} THEN {least}" for rank, (*_, least) in enumerate(_SPANS))
     sums = lambda what, upto: f"coalesce(list_sum(list_transform({what}[1:{upto}], lambda x: length(x))), 0)::BIGINT"
     return f"""
         d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
@@ -79,7 +89,7 @@ ORACLE_SQL = {
     "op2_secrets": f"""
         WITH {_secret_spans_sql()}
         SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
-               sha256(coalesce({_WRITTEN} FILTER (rank < {len(secrets.BASE)}), '')) AS base_sha256, coalesce({_WRITTEN} FILTER (rank >= 0), '') AS spans
+               sha256(coalesce({_WRITTEN} FILTER (rank < 3), '')) AS base_sha256, coalesce({_WRITTEN} FILTER (rank >= 0), '') AS spans
         FROM d LEFT JOIN span USING (k) GROUP BY d.k, d.doc_id""",
     "op6_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
