@@ -30,8 +30,8 @@ def tipo_label(tipo: Column) -> Column:
     return F.coalesce(F.try_element_at(labels, tipo), tipo)
 
 
-def results_extract(rows: DataFrame) -> DataFrame:
-    """``rows``: what ``rows.result_rows`` gives, with the documents' identity."""
+def results_extract(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``rows``: what ``rows.result_rows`` gives, with the documents' identity; columns in ``keep`` follow as they are."""
     measured = ["conama", "copam_cerh", "ld", "lq", "incerteza", "faixa_aceitacao"]
     have = lambda name: F.col(name) if name in rows.columns else F.lit(None).cast("string")
     original = lambda name: F.when(~is_blank_measure(have(name)), have(name))
@@ -51,9 +51,9 @@ def results_extract(rows: DataFrame) -> DataFrame:
     for f in ("conama", "copam_cerh"):
         note = F.coalesce(is_complex_note(have(f)), F.lit(False))
         values |= {f"acm_{f}_{p}": F.when(~note, part(f, p)) for p in ("operador", "minimo", "maximo", "unidade")}
-    out = parsed.select(*(values.get(name, have(name)).alias(name) for name in RESULTS))
-    strip = [f.name for f in out.schema if f.dataType.simpleString() == "string" and f.name not in KEPT]
-    return out.withColumns({name: F.trim(name) for name in strip}).select(*RESULTS)
+    out = parsed.select(*(values.get(name, have(name)).alias(name) for name in RESULTS), *keep)
+    strip = [f.name for f in out.schema if f.dataType.simpleString() == "string" and f.name in RESULTS and f.name not in KEPT]
+    return out.withColumns({name: F.trim(name) for name in strip}).select(*RESULTS, *keep)
 
 
 def normalize(rows: DataFrame, theme: str = "theme_id") -> DataFrame:

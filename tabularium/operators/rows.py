@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import cell, collapse, fold, java_pattern
 from ..plans.contracts import LAYOUT_FIELDS
+from ..sources.scratch import settle
 from .sections import report_code
 
 # Header words, header cells, and lines that are no results.
@@ -260,21 +261,16 @@ def _read(states: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
 
 
 def sections(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
-    """``events`` with the section in force, ``vigente`` and ``lida``. Its stages are persisted; unpersist when done."""
-    found = events(pages, rules).persist()
+    """``events`` with the section in force, ``vigente`` and ``lida``, written to the shared folder (``settle``)."""
+    found = settle(events(pages, rules), "events")
     inside = (F.col("linha") > 0) & (F.col("secao").isNotNull() | F.col("layout").isNotNull())
     used = found.withColumn("vale", F.lit(True))
-    last = None
     while True:
-        now = _read(carried(used), rules).persist()
+        now = settle(_read(carried(used), rules), "sections")
         # a mark inside a table counts if the table is read; it was used as ``vale``
         if now.where(inside & (F.col("vale") != F.col("lida"))).isEmpty():
-            break
-        if last is not None:
-            last.unpersist()
-        last = now
+            return now
         used = now.withColumn("vale", F.when(F.col("linha") == 0, F.lit(True)).otherwise(F.col("lida"))).select(*found.columns, "vale")
-    return now
 
 
 RECORD = ["codigo_laudo", "categoria", "subcategoria", "tipo_registro", "local", "parametro", *(f for f in LAYOUT_FIELDS if f != "unidade"), "unidade_resultado"]

@@ -87,10 +87,17 @@ def is_heading(line: Column) -> Column:
 
 
 def headings(pages: DataFrame, known: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Lines that look like headings and that no known pattern explains: (key, titulo, ocorrencias)."""
+    """Lines that look like headings and that no known pattern explains: (key, titulo, ocorrencias).
+
+    Where ``pages`` has a column ``tables``, lines that say what a cell of the document's tables says are left out.
+    """
     lines = pages.select(key, F.explode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line")).select(key, nonblank(F.col("line")).alias("line"))
     unknown = reduce(lambda a, p: a & ~F.rlike("line", F.lit(java_pattern(p))), known, F.lit(True))
-    return lines.where(is_heading(F.col("line")) & unknown).groupBy(key, fold(F.col("line")).alias("titulo")).agg(F.count("*").alias("ocorrencias"))
+    found = lines.where(is_heading(F.col("line")) & unknown).groupBy(key, fold(F.col("line")).alias("titulo")).agg(F.count("*").alias("ocorrencias"))
+    if "tables" not in pages.columns:
+        return found
+    cells = pages.select(key, F.explode(F.flatten(F.flatten(F.transform("tables", lambda t: F.filter(t, lambda r: r.isNotNull()))))).alias("cell"))
+    return found.join(cells.select(key, fold(F.col("cell")).alias("titulo")).where("titulo <> ''").distinct(), [key, "titulo"], "left_anti")
 
 
 def label_of(pattern: str) -> str | None:

@@ -1,27 +1,39 @@
-"""The batch: documents in, output tables and audits out, one lazy plan; and the incremental store of extractions."""
+"""The batch: documents in, output tables and audits out; and the incremental store of extractions.
+
+Documents are classified once; the scoped ones, the section stages of ``operators.rows`` and each output are written to the
+shared folder as they are made (``sources.scratch.settle``), for the audits after them read them again and again.
+"""
 
 from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import text_hash
+from ..functions.text import first_group, strict_decimal, text_hash
+from ..operators import audits as A
 from ..operators import classify as C
 from ..operators import duplicates as D
+from ..operators import rows as G
+from ..operators import sections as S
 from ..operators.normalize import results_extract
 from ..operators.packaging import extract_packaging
 from ..operators.reconcile import reconcile
-from ..operators.rows import result_rows, sections as section_states
-from ..operators.sections import header_table, section_matches
 from ..operators.validate import validate
 from ..sources.documents import document_text
-from .contracts import CLIENT, CLIENT_CONTRACT, PACKAGING, PREFIX, RESULTS_CONTRACT, SAMPLE, SAMPLE_CONTRACT
-from .taxonomy import Compiled
+from ..sources.scratch import settle
+from .contracts import CLIENT, CLIENT_CONTRACT, PACKAGING, PACKAGING_CONTRACT, PREFIX, RESULTS_CONTRACT, SAMPLE, SAMPLE_CONTRACT, TABLES
+from .taxonomy import Compiled, known_patterns
 
-ENGINE = "tabularium-1"
+ENGINE = "tabularium-2"
+KEY = "nome_do_arquivo"
+FROM_FILE_NAME = "DERIVADO_DO_NOME_DO_PDF"
+TEXT_SECTIONS = ["notes", "general_considerations", "conformity_statement", "validation_key", "revision_reason"]
+SECTION_AUDIT = [KEY, "pagina", "tabela_indice", "objeto_tipo", "secao", "titulo_detectado", "ocorrencias_detectadas", "registros_extraidos", "status"]
 
 
 def signature(rules: Compiled) -> str:
@@ -38,55 +50,181 @@ def store_extraction(rows: DataFrame, path: str, sign: str) -> None:
     rows.withColumn("signature", F.lit(sign)).write.mode("append").partitionBy("signature").parquet(path)
 
 
-def _fill(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(*(F.col(c).cast("string").alias(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns))
+def load_extraction(spark: SparkSession, path: str, sign: str) -> DataFrame | None:
+    """What the store has for a signature; None without a store."""
+    try:
+        return spark.read.parquet(path).where(F.col("signature") == sign).drop("signature")
+    except Exception as error:  # no store yet
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return None
+
+
+def _fill(df: DataFrame, columns: list[str], *more: str) -> DataFrame:
+    return df.select(*(F.col(c).cast("string").alias(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns), *more)
+
+
+def _by_template(rules: Compiled, make: Callable[[str], Column | None]) -> Column:
+    """``make`` of each template for its own documents; one expression for all of them."""
+    found = F.lit(None).cast("string")
+    for t in rules.templates:
+        if (value := make(t.template_id)) is not None:
+            found = F.when(F.col("template_id") == t.template_id, value.cast("string")).otherwise(found)
+    return found
+
+
+def header_tables(docs: DataFrame, rules: Compiled) -> tuple[DataFrame, DataFrame]:
+    """The sample and client rows of scoped documents (with their text), all templates at once.
+
+    Identity and coordinates come from the metadata rules where a template has them, else from the table's own rules.
+    """
+    text = F.col("text")
+    patterns = lambda t, group, campo: [p for c, p in rules.fields.get(t, {}).get(group, []) if c == campo and p != FROM_FILE_NAME]
+
+    def own(group: str, campo: str) -> Column:
+        return _by_template(rules, lambda t: first_group(text, p[-1]) if (p := patterns(t, group, campo)) else None)
+
+    def meta(campo: str, otherwise: Column) -> Column:
+        said = lambda t: S.field(text, [(p, 1 if "(" in p.replace("(?", "") else 0) for p in found]) if (found := patterns(t, "metadata", campo)) else None
+        return F.coalesce(_by_template(rules, said), otherwise)
+
+    sample = {c: own("sample", c) for c in SAMPLE if c not in PREFIX}
+    sample |= {c: meta(c, sample[c]) for c in ("id_amostra", "data_coleta", "latitude", "longitude")}
+    sample |= {"planejamento_amostragem": S.planning_code(sample["planejamento_amostragem"]), "descricao_nao_conformidade": S.nonconformity(sample["descricao_nao_conformidade"])}
+    sample |= {c: strict_decimal(sample[c]) for c in ("latitude", "longitude", "latitude_real", "longitude_real")}
+    client = {c: own("client", c) for c in CLIENT if c not in PREFIX}
+    client |= {"id_amostra": meta("id_amostra", client["id_amostra"])}
+    identity = [KEY, "id_taxonomia", "nome_taxonomia", "versao_template"]
+    table = lambda values, columns: _fill(docs.select(*identity, *(v.alias(c) for c, v in values.items())), columns)
+    return table(sample, SAMPLE), table(client, CLIENT)
+
+
+def text_sections(pages: DataFrame, rules: Compiled, group: str, ids: DataFrame) -> DataFrame | None:
+    """A text table: every match of the group's rules for the table's own columns; form codes are no validation keys."""
+    columns, found = TABLES[group], None
+    for t in rules.templates:
+        own = [(c, p, 1 if "(" in p.replace("(?", "") else 0) for c, p in rules.fields.get(t.template_id, {}).get(group, []) if c in columns and c not in PREFIX]
+        if own:
+            part = S.section_matches(pages.where(F.col("template_id") == t.template_id), own, KEY)
+            found = part if found is None else found.unionByName(part)
+    if found is None:
+        return None
+    if group == "validation_key":
+        found = found.where(~F.rlike("valor", F.lit(S.FORM_CODE)))
+    named = found.join(ids, KEY, "left")
+    return _fill(named.withColumn(columns[-1], F.col("valor")), columns)
+
+
+def section_audit(docs: DataFrame, pages: DataFrame, rules: Compiled, extracted: dict[str, DataFrame], tables: DataFrame) -> DataFrame:
+    """Known sections, headings that no rule knows, and tables that no audit and no rule explains."""
+    parts, none = [], F.lit(None)
+    counts = [df.groupBy(KEY).agg(F.count("*").alias("registros")).withColumn("secao", F.lit(g)) for g, df in extracted.items()]
+    counted = reduce(DataFrame.unionByName, counts) if counts else docs.limit(0).select(KEY, none.cast("long").alias("registros"), none.cast("string").alias("secao"))
+    audited = tables.select(KEY, F.col("pagina").alias("page_no"), "tabela_indice")
+    for t in rules.templates:
+        groups = rules.fields.get(t.template_id, {})
+        role = lambda g, name: [p for c, p in groups.get(g, []) if c == name]  # noqa: B023, E731
+        known = {g: (role(g, "section_start") or [p for c, p in groups[g] if c in TABLES[g]], role(g, "audit_ignore")) for g in (*TEXT_SECTIONS, "packaging_preservatives") if g in groups}
+        own_docs, own_pages, patterns = docs.where(F.col("template_id") == t.template_id), pages.where(F.col("template_id") == t.template_id), known_patterns(rules, t.template_id)
+        if known:
+            s = A.known_sections(own_docs, known, counted, KEY)
+            parts.append(s.select(KEY, none.cast("int").alias("pagina"), none.cast("int").alias("tabela_indice"), F.lit("secao").alias("objeto_tipo"), "secao", none.cast("string").alias("titulo_detectado"), "ocorrencias", "registros", "status"))
+        h = S.headings(own_pages, patterns, KEY)
+        parts.append(h.select(KEY, none.cast("int").alias("pagina"), none.cast("int").alias("tabela_indice"), F.lit("titulo").alias("objeto_tipo"), none.cast("string").alias("secao"), F.col("titulo").alias("titulo_detectado"), "ocorrencias", F.lit(0).cast("long").alias("registros"), F.lit("titulo_nao_mapeado").alias("status")))
+        u = A.unmapped_tables(own_pages, audited, patterns, KEY)
+        parts.append(u.select(KEY, F.col("page_no").alias("pagina"), "tabela_indice", F.lit("tabela").alias("objeto_tipo"), none.cast("string").alias("secao"), "titulo_detectado", F.lit(1).cast("long").alias("ocorrencias"), F.lit(0).cast("long").alias("registros"), "status"))
+    return reduce(DataFrame.unionByName, parts).toDF(*SECTION_AUDIT)
+
+
+def _numbered(df: DataFrame, *order: str) -> DataFrame:
+    """With a row number within the document: a number over all rows would need all of them in one place."""
+    return df.withColumn("__n", F.row_number().over(Window.partitionBy(KEY).orderBy(*order)))
 
 
 def run(pages: DataFrame, rules: Compiled, first_pages: int = 3) -> dict[str, DataFrame]:
-    """``pages``: doc_id, page_no, text, tables, and optionally path.
+    """``pages``: doc_id, page_no, text, tables, and optionally path, hash_arquivo and erro.
 
-    Exact texts are extracted once: of equal documents the first path is canonical. Documents out of scope keep their
-    scores in classification_audit. The results are persisted, for every table after them reads them; unpersist
-    ``results_extract`` when all is written.
+    Documents whose first pages (0: this is left out) have text and no template stay what those pages make them; the rest
+    is read in full. Of documents of one theme with equal texts the first path is extracted, and the others are attached
+    again to the duplicate audit and the summary. Documents that could not be read have ``erro``. Row numbers of
+    validation errors count within a document.
     """
-    texts = document_text(pages)
-    paths = pages.groupBy("doc_id").agg(F.min("path" if "path" in pages.columns else F.col("doc_id").cast("string")).alias("path"))
-    docs = texts.join(paths, "doc_id").withColumn("nome_do_arquivo", F.element_at(F.split("path", "/"), -1))
-    classified = C.classify(docs, rules.templates, rules.detection, path="path")
-    audit = C.classification_audit(classified, "nome_do_arquivo")
-    scoped = C.winners(classified, rules.templates).withColumn("hash_texto", text_hash(F.col("text")))
-    first = D.canonical(scoped, "hash_texto", "path", ~D.filled(F.col("text"))).where("path = canonico").drop("canonico")
-    identity = first.select("doc_id", "nome_do_arquivo", "id_taxonomia", "nome_taxonomia", "versao_template", "template_id", "theme_id")
-    own = pages.join(identity.select("doc_id", "template_id"), "doc_id")
-    states = section_states(own, rules.rows)
-    records = result_rows(states, own, rules.rows).join(identity, "doc_id")
-
-    def header(group: str, columns: list[str]) -> DataFrame:
-        parts = []
-        for t in rules.templates:
-            patterns = {c: p for c, p in rules.fields.get(t.template_id, {}).get(group, []) if c in columns and c not in PREFIX}
-            parts.append(_fill(header_table(first.where(F.col("template_id") == t.template_id), patterns, ["nome_do_arquivo", "id_taxonomia", "nome_taxonomia", "versao_template"]), columns))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-    sample, client = header("sample", SAMPLE), header("client", CLIENT)
-    ids = sample.select("nome_do_arquivo", "id_amostra")
-    results = results_extract(records.where(F.col("theme_id").contains("agua")).join(ids, "nome_do_arquivo", "left")).persist()
-    packaging = _fill(extract_packaging(own, rules.packaging).join(identity, "doc_id"), PACKAGING)
-    errors = validate(results, RESULTS_CONTRACT, "results_extract", parameter="parameter").unionByName(validate(sample, SAMPLE_CONTRACT, "sample")).unionByName(validate(client, CLIENT_CONTRACT, "client"))
-    none = results.limit(0).select("nome_do_arquivo", F.lit("ok").alias("status"))
-    out = {"results_extract": results, "sample": sample, "client": client, "packaging_preservatives": packaging, "classification_audit": audit, "validation_errors": errors}
-    scoped_pages = pages.join(identity.select("doc_id", "nome_do_arquivo"), "doc_id")
-    for group in ("notes", "general_considerations", "conformity_statement", "validation_key", "revision_reason"):
-        found = [(c, p, 1 if "(" in p.replace("(?", "") else 0) for t in rules.templates for c, p in rules.fields.get(t.template_id, {}).get(group, [])]
+    for name in ("path", "hash_arquivo", "erro"):
+        if name not in pages.columns:
+            pages = pages.withColumn(name, F.col("doc_id").cast("string") if name == "path" else F.lit(None).cast("string"))
+    of_file = lambda df: df.withColumn(KEY, F.element_at(F.split("path", "/"), -1))
+    failed = of_file(pages.where(F.col("erro").isNotNull()).groupBy("doc_id").agg(F.min("path").alias("path"), F.min("erro").alias("erro")))
+    good = pages.join(failed.select("doc_id"), "doc_id", "left_anti")
+    if first_pages:
+        kept = C.preclassified(good, rules.templates, rules.detection, first_pages).select("doc_id").distinct()
+        good = good.join(kept.withColumn("__kept", F.lit(True)), "doc_id", "left").where(F.col("__kept") | (F.col("page_no") <= first_pages)).drop("__kept")
+    whole = document_text(good).join(good.groupBy("doc_id").agg(F.min("path").alias("path"), F.min("hash_arquivo").alias("hash_arquivo")), "doc_id")
+    classified = settle(C.classify(of_file(whole), rules.templates, rules.detection, path="path"), "classified")
+    scoped = C.winners(classified, rules.templates).withColumn("hash_texto", text_hash(F.concat_ws("|", "theme_id", "text")))
+    scoped = D.canonical(scoped, "hash_texto", "path", ~D.filled(F.col("text"))).withColumn("hash_arquivo", F.coalesce("hash_arquivo", F.sha2("text", 256)))
+    scoped = settle(scoped, "scoped")
+    first = scoped.where("path = canonico")
+    identity = first.select("doc_id", KEY, "id_taxonomia", "nome_taxonomia", "versao_template", "template_id", "theme_id")
+    own = settle(good.drop("path", "hash_arquivo", "erro").join(identity, "doc_id"), "pages")
+
+    sample, client = (settle(df, "header") for df in header_tables(first, rules))
+    ids = sample.select(KEY, "id_amostra", "id_taxonomia", "nome_taxonomia", "versao_template")
+    states = G.sections(own, rules.rows)
+    records = G.result_rows(states, own, rules.rows).join(identity, "doc_id")
+    water = records.where(F.col("theme_id").contains("agua"))
+    results = results_extract(water.join(ids.select(KEY, "id_amostra"), KEY, "left"), keep=("seq",))
+    results = settle(results, "results")
+    packaging = settle(_fill(extract_packaging(own, rules.packaging).join(identity, "doc_id"), PACKAGING, "pagina", "tabela_indice", "linha"), "packaging")
+
+    named = {g: settle(df, g) for g in TEXT_SECTIONS if (df := text_sections(own, rules, g, ids)) is not None}
+    tables = settle(A.table_audit(states, rules.rows).join(identity.select("doc_id", KEY), "doc_id").drop("doc_id"), "table-audit")
+    sections = section_audit(first.select(KEY, "template_id", "text"), own.select(KEY, "template_id", "page_no", "text", "tables"), rules, named | {"packaging_preservatives": packaging}, tables)
+    sections = settle(sections, "section-audit")
+    fields = []
+    for t in rules.templates:
+        found = [(g, c, p) for g in ("sample", "client") for c, p in rules.fields.get(t.template_id, {}).get(g, []) if p != FROM_FILE_NAME]
         if found:
-            out[group] = section_matches(scoped_pages, found, "nome_do_arquivo")
-    out["document_reconciliation_audit"] = reconcile(results, sample, client, packaging, none, none, none, errors)
+            fields.append(S.field_audit(first.where(F.col("template_id") == t.template_id), found, key=KEY))
+    none = ids.limit(0).select(KEY, F.lit("ok").alias("status"))
+    field_audit = settle(reduce(DataFrame.unionByName, fields), "field-audit") if fields else none
+
+    candidates = settle(D.duplicate_candidates(first.select(KEY, F.col("path").alias("caminho_arquivo"), "text", "hash_arquivo"), results, sample), "candidates")
+    plan = scoped.select(F.col("path").alias("caminho_arquivo"), "canonico", F.col("hash_arquivo").alias("__own"))
+    copies = D.reattached(candidates, plan).join(plan.select("caminho_arquivo", "__own"), "caminho_arquivo").withColumn("hash_arquivo", F.col("__own")).select(*candidates.columns)
+
+    errors = [
+        validate(_numbered(results, "seq").drop("seq"), RESULTS_CONTRACT, "results_extract", row_number="__n", parameter="parameter"),
+        validate(_numbered(sample, "id_amostra"), SAMPLE_CONTRACT, "sample", row_number="__n"), validate(_numbered(client, "id_amostra"), CLIENT_CONTRACT, "client", row_number="__n"),
+        validate(_numbered(packaging, "pagina", "tabela_indice", "linha").drop("pagina", "tabela_indice", "linha"), PACKAGING_CONTRACT, "packaging_preservatives", row_number="__n"),
+    ]
+    errors = settle(reduce(DataFrame.unionByName, errors), "errors")
+    results, packaging = results.drop("seq"), packaging.drop("pagina", "tabela_indice", "linha")
+    out = {"results_extract": results, "sample": sample, "client": client, "packaging_preservatives": packaging, **named}
+    out |= {
+        "table_extraction_audit": tables, "section_extraction_audit": sections, "field_extraction_audit": field_audit, "classification_audit": C.classification_audit(classified, KEY),
+        "duplicate_audit": D.duplicate_audit(settle(candidates.unionByName(copies), "duplicates")), "validation_errors": errors,
+        "document_reconciliation_audit": reconcile(results, sample, client, packaging, tables, sections, field_audit, errors),
+    }
+    out["resumo"] = summary(classified, scoped, results, failed)
     return out
 
 
-def summary(classified: DataFrame) -> DataFrame:
-    """Documents by status and template."""
-    return C.classification_summary(classified).groupBy("status", "template_id").agg(F.count("*").alias("documentos"))
+def summary(classified: DataFrame, scoped: DataFrame, results: DataFrame, failed: DataFrame) -> DataFrame:
+    """One row for each document: identificado, duplicado, fora_escopo or erro; how many results; what went wrong."""
+    counts = results.groupBy(KEY).agg(F.count("*").alias("resultados"))
+    copies = scoped.where("path <> canonico").select("doc_id", F.element_at(F.split("canonico", "/"), -1).alias("duplicado_de"))
+    base = C.classification_summary(classified, "doc_id", KEY, "path").join(copies, "doc_id", "left").join(counts, KEY, "left")
+    status = F.when(F.col("duplicado_de").isNotNull(), "duplicado").otherwise(F.col("status"))
+    done = base.select(KEY, F.col("path").alias("caminho_arquivo"), "template_id", status.alias("status"), "scores", "duplicado_de", F.coalesce("resultados", F.lit(0)).alias("resultados"), F.lit(None).cast("string").alias("erro"))
+    lost = failed.select(KEY, F.col("path").alias("caminho_arquivo"), F.lit(None).cast("string").alias("template_id"), F.lit("erro").alias("status"), F.lit(None).cast("string").alias("scores"), F.lit(None).cast("string").alias("duplicado_de"), F.lit(0).cast("long").alias("resultados"), "erro")
+    return done.unionByName(lost)
+
+
+def classify_batch(pages: DataFrame, rules: Compiled, first_pages: int = 3) -> DataFrame:
+    """Status and scores of each document by its first pages (0: all); documents that could not be read have status erro."""
+    for name in ("path", "erro"):
+        if name not in pages.columns:
+            pages = pages.withColumn(name, F.col("doc_id").cast("string") if name == "path" else F.lit(None).cast("string"))
+    about = pages.groupBy("doc_id").agg(F.min("path").alias("path"), F.min("erro").alias("erro"))
+    done = C.classification_summary(C.classify(document_text(pages, most=first_pages or None).join(about, "doc_id"), rules.templates, rules.detection, path="path"), "path", "erro")
+    return done.select("path", F.when(F.col("erro").isNull(), F.col("template_id")).alias("template_id"), F.when(F.col("erro").isNull(), F.col("status")).otherwise("erro").alias("status"), "scores", "erro")

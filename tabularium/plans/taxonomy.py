@@ -43,9 +43,11 @@ class TaxonomyError(ValueError):
 
 
 def resolve(base: str, variable: str = "TAXONOMY_FILE", default: str = "config/taxonomy") -> str:
-    """The variable's path if set, taken from ``base`` unless absolute; else the default under ``base``."""
-    own = os.environ.get(variable)
-    return os.path.join(base, own or default)
+    """The variable's path if set, else the default. A bare name lies in the default's folder, a relative path under ``base``."""
+    own = os.environ.get(variable) or default
+    if own == os.path.basename(own):
+        own = os.path.join(os.path.dirname(default), own)
+    return os.path.join(base, own)
 
 
 def load(spark: SparkSession, path: str, kind: str = "json") -> dict[str, DataFrame]:
@@ -69,11 +71,16 @@ def weight(text: object, default: float = 0.0) -> float:
     return float(found.group(0).replace(",", ".")) if found else default
 
 
+def fold_text(text: str) -> str:
+    """Without accents, in lower case, white space collapsed; of a rule, on the driver."""
+    plain = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+    return " ".join(plain.split()).casefold()
+
+
 def record_type(text: str | None) -> str | None:
     if not (text or "").strip():
         return None
-    plain = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).lower()
-    return RECORD_TYPES.get(re.sub(r"[^a-z]+", "", plain), text.strip().upper())
+    return RECORD_TYPES.get(re.sub(r"[^a-z]+", "", fold_text(text)), text.strip().upper())
 
 
 def problems(tables: dict[str, DataFrame]) -> DataFrame:
@@ -92,6 +99,13 @@ def problems(tables: dict[str, DataFrame]) -> DataFrame:
     say(named.where("given <> nome"), "item_schema", "nome_divergente", F.col("given"))
     kind = F.element_at(F.split(F.regexp_extract("coluna_origem", r"(?i)rule_type\s*=\s*([^;]+)", 1), ";"), 1)
     say(items.where((F.col("schema") == "template_detection") & ~F.trim(kind).isin(RULE_TYPES)), "item_template", "rule_type_invalido", kind)
+    source = F.lower(F.trim(F.regexp_extract("coluna_origem", r"(?i)(?:^|;)\s*source\s*=\s*([^;]+)", 1)))
+    say(items.where((F.col("schema") == "template_detection") & (source != "") & (source != "text")), "item_template", "source_invalido", source)
+    priority = F.trim(F.regexp_extract("coluna_origem", r"(?i)(?:^|;)\s*prioridade\s*=\s*([^;]+)", 1))
+    say(items.where((priority != "") & ~F.rlike(priority, F.lit(r"^[+-]?\d+$"))), "item_template", "prioridade_invalida", priority)
+    if "template_id" in tables["template"].columns:
+        named = F.trim("template_id")
+        say(tables["template"].where(F.col("template_id").isNotNull() & named.isin("", "*")), "template", "template_id_invalido", named)
     layout = F.regexp_replace(F.trim("campo"), "_col$", "")
     say(items.where(F.col("schema").isin("layout", "header_alias") & ~layout.isin([*LAYOUT_FIELDS, "parameter"])), "item_template", "campo_de_layout_desconhecido", F.col("campo"))
     bare = [c.removeprefix("acm_") for c in RESULTS if c.startswith("acm_") and c != "acm_data_hora_extracao" and c.removeprefix("acm_") not in ("unidade", "codigo_laudo", "data_inicio")]
@@ -206,23 +220,38 @@ def compile_rules(tables: dict[str, DataFrame]) -> Compiled:
     def section(r, attrs: dict) -> SectionRule:
         return SectionRule(r.regex, attrs.get("categoria") or r.campo, attrs.get("subcategoria"), attrs.get("local", "laboratorio"), record_type(r.tipo_registro) or "AMOSTRA", attrs.get("extrair_subcategoria", "").lower() in TRUE_WORDS)
 
+    def by_priority(own: list) -> list:
+        return sorted(own, key=lambda x: (weight(x[1].get("prioridade"), 1e9), x[0].id))
+
     rows = {}
     for t, own in groups.items():
-        ordered = sorted(own.get("subcategory_alias", []), key=lambda x: (weight(x[1].get("prioridade"), 1e9), x[0].id))
+        ordered = by_priority(own.get("subcategory_alias", []))
+        labs = [fold_text(a["prefixo"]) for r, a in own.get("category_alias", []) if a.get("laboratorio_externo", "").lower() in TRUE_WORDS and a.get("prefixo")]
         layouts: dict[str, dict[str, int]] = {}
         for r, _ in own.get("layout", []):
             name = (r.campo or "").strip().removesuffix("_col")
             if name in LAYOUT_FIELDS and str(r.coluna_origem or "").strip().isdigit():
                 layouts.setdefault(record_type(r.tipo_registro) or "AMOSTRA", {})[name] = int(r.coluna_origem)
         rows[t] = RuleSet(
-            tuple(section(r, a) for r, a in own.get("category_alias", [])), tuple(section(r, a) for r, a in ordered), tuple(section(r, a) for r, a in own.get("category_type", [])),
-            tuple((r.regex, record_type(r.tipo_registro)) for r, _ in own.get("continuation", []) if r.tipo_registro), tuple((r.regex, r.campo.removesuffix("_col")) for r, _ in own.get("header_alias", []) if r.campo), layouts,
+            tuple(section(r, a) for r, a in by_priority(own.get("category_alias", []))), tuple(section(r, a) for r, a in ordered), tuple(section(r, a) for r, a in own.get("category_type", [])),
+            tuple((r.regex, record_type(r.tipo_registro)) for r, _ in own.get("continuation", []) if r.tipo_registro), tuple((r.regex, r.campo.removesuffix("_col")) for r, _ in own.get("header_alias", []) if r.campo), layouts, tuple(labs),
         )
     roles = PackagingRules.__dataclass_fields__
     packaging = {t: PackagingRules(**{role: tuple(p for c, p in own.get("packaging_preservatives", []) if c == role) for role in roles}) for t, own in fields.items()}
     return Compiled([*templates.values()], detection, rows, fields, packaging)
 
 
+def known_patterns(rules: Compiled, template: str | None = None) -> list[str]:
+    """Every pattern that the rules know a line by, of one template or of all: what none of them explains is new."""
+    wanted = lambda t: template is None or t == template
+    found = [d.regex for d in rules.detection if wanted(d.template_id)]
+    for t, own in rules.rows.items():
+        if wanted(t):
+            found += [r.regex for r in (*own.categories, *own.subcategories, *own.types)] + [p for p, _ in (*own.continuations, *own.header_aliases)]
+    found += [p for t, groups in rules.fields.items() if wanted(t) for own in groups.values() for _, p in own]
+    return sorted({*found})
+
+
 def output_tabs(tables: dict[str, DataFrame]) -> list[str]:
     """Outputs that the schemas name, in the engine's order, the reconciliation last."""
     named = {r[0] for r in tables["schema"].select("nome").distinct().collect()}

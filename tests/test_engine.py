@@ -1,8 +1,12 @@
 import json
+import zipfile
+from collections import Counter
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
 
+from tabularium import __main__ as command
 from tabularium.functions.text import text_hash
 from tabularium.operators import classify as C
 from tabularium.operators import duplicates as D
@@ -10,7 +14,7 @@ from tabularium.operators.sections import section_matches, validation_keys
 from tabularium.operators.validate import validate
 from tabularium.plans import batch, taxonomy
 from tabularium.plans.contracts import RESULTS, RESULTS_CONTRACT
-from tabularium.sources import documents, sinks
+from tabularium.sources import documents, sinks, workbook
 from tabularium.streaming import incremental
 
 def test_classification_statuses(spark):
@@ -110,22 +114,82 @@ def test_taxonomy_checks(spark):
         taxonomy.check_output_model(tables(spark))
 
 
+TABLE = [["Resultados"], ["Análise", "Resultado", "Unidade"], ["Ferro", "< 0,50 mg/L", "mg/L"], ["Zinco", "1,2 x 10 3", "mg/L"]]
+REPORT = "Laudo de água\nAmostra: 12\nCliente: Rio\nNota: ok"
+PAGES = "doc_id string, page_no int, text string, tables array<array<array<string>>>, path string, erro string"
+
+
+def report_pages(spark):
+    rows = [("a", 1, REPORT, [TABLE], "/in/a.pdf", None), ("b", 1, "outro", [], "/in/b.pdf", None), ("c", 1, REPORT.replace("de ", "de  "), [TABLE], "/in/c.pdf", None), ("d", None, None, None, "/in/d.pdf", "ValueError: damaged")]
+    rows += [("e", n, "Laudo de água" if n == 4 else "outro", [], "/in/e.pdf", None) for n in range(1, 5)]  # in scope by its fourth page only
+    return spark.createDataFrame(rows, PAGES)
+
+
 def test_batch_end_to_end(spark, tmp_path):
     rules = taxonomy.compile_rules(tables(spark))
     assert rules.templates[0].template_id == "template_laudo_agua_v1" and len(batch.signature(rules)) == 64
-    table = [["Resultados"], ["Análise", "Resultado", "Unidade"], ["Ferro", "< 0,5 mg/L", "mg/L"], ["Zinco", "1,2 x 10 3", "mg/L"]]
-    pages = spark.createDataFrame([("a", 1, "Laudo de água\nAmostra: 12\nCliente: Rio\nNota: ok", [table], "/in/a.pdf"), ("b", 1, "outro", [], "/in/b.pdf"), ("c", 1, "Laudo de  água\nAmostra: 12\nCliente: Rio\nNota: ok", [table], "/in/c.pdf")], "doc_id string, page_no int, text string, tables array<array<array<string>>>, path string")
-    out = batch.run(pages, rules)
+    assert set(taxonomy.known_patterns(rules)) == {"água|agua", "resultados", r"amostra:\s*(\d+)", r"cliente:\s*(\w+)", r"nota:\s*(\w+)"}
+    out = batch.run(report_pages(spark), rules)
     results = {r.parameter: r for r in out["results_extract"].collect()}
     assert set(results) == {"Ferro", "Zinco"} and out["results_extract"].columns == RESULTS
     assert (results["Ferro"].acm_resultado_tratado, results["Ferro"].acm_qualificador, results["Zinco"].acm_resultado_tratado, results["Zinco"].id_amostra) == (0.5, "<", 1200.0, "12")
-    assert {r.status for r in out["classification_audit"].collect()} == {"winner", "below_minimum"}
+    assert Counter(r.status for r in out["classification_audit"].collect()) == {"winner": 2, "below_minimum": 2}
     done = out["document_reconciliation_audit"].collect()
-    assert [(r.nome_do_arquivo, r.resultados_extraidos, r.status) for r in done] == [("a.pdf", 2, "ok")]
-    assert out["notes"].first().valor == "ok" and out["validation_errors"].count() == 0
-    sinks.save({"client": out["client"]}, str(tmp_path / "out.jsonl"), "jsonl", "01/02/2024 00:00:00")
-    line = json.loads(spark.read.text(str(tmp_path / "out.jsonl")).first()[0])
-    assert line["arquivo"] == {"nome_do_arquivo": "a.pdf"} and line["tabelas"]["client"][0]["cliente"] == "Rio"
+    assert [(r.nome_do_arquivo, r.resultados_extraidos, r.tabelas_auditadas, r.secoes_auditadas, r.status) for r in done] == [("a.pdf", 2, 1, 1, "ok")]
+    assert out["notes"].first().texto == "ok" and out["validation_errors"].count() == 0
+    assert [r.status for r in out["table_extraction_audit"].collect()] == ["ok"] and {r.status for r in out["field_extraction_audit"].collect()} == {"ok"}
+    assert {r.nome_do_arquivo: (r.tipo_duplicidade, r.arquivo_referencia) for r in out["duplicate_audit"].collect()} == {"a.pdf": ("duplicado_textual", "c.pdf"), "c.pdf": ("duplicado_textual", "a.pdf")}
+    assert {r.nome_do_arquivo: (r.status, r.resultados) for r in out["resumo"].collect()} == {"a.pdf": ("identificado", 2), "b.pdf": ("fora_escopo", 0), "c.pdf": ("duplicado", 0), "d.pdf": ("erro", 0), "e.pdf": ("fora_escopo", 0)}
+    assert {r.path[-5:]: r.status for r in batch.classify_batch(report_pages(spark), rules, 0).collect()} == {"a.pdf": "identificado", "b.pdf": "fora_escopo", "c.pdf": "identificado", "d.pdf": "erro", "e.pdf": "identificado"}
+    sinks.save({"client": out["client"], "results_extract": out["results_extract"].select("nome_do_arquivo", "parameter", "resultado", "acm_resultado_tratado", "id_amostra")}, str(tmp_path / "out.jsonl"), "jsonl", "01/02/2024 00:00:00", order={"results_extract": ["parameter"]})
+    line = spark.read.text(str(tmp_path / "out.jsonl")).first()[0]
+    assert '"acm_resultado_tratado":0.50,"id_amostra":12' in line and '"acm_resultado_tratado":1200.0' in line
+    assert json.loads(line)["arquivo"] == {"nome_do_arquivo": "a.pdf"} and json.loads(line)["tabelas"]["client"][0]["cliente"] == "Rio"
+
+
+def test_command_line(spark, tmp_path):
+    for name, df in tables(spark).items():
+        df.write.json(str(tmp_path / "rules" / f"{name}.json"))
+    report_pages(spark).write.parquet(str(tmp_path / "pages"))
+    own = ["--pages", str(tmp_path / "pages"), "--taxonomy", str(tmp_path / "rules"), "--output", str(tmp_path / "out")]
+    assert command.main(["classify", *own, "--classify-pages", "0"]) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).where("status = 'identificado'").count() == 3
+    assert command.main(["document", "--input", str(tmp_path / "none.pdf"), "--decoder", "json:loads", "--taxonomy", str(tmp_path / "rules"), "--output", "x"]) == 1
+    args = command.arguments(["extract", "--input", "x", "y", "--output", "z"])
+    assert (args.classify_pages, args.preclassify_pages, args.input, args.kind) == (3, 3, ["x", "y"], "parquet")
+
+
+def test_workbook(spark, tmp_path):
+    df = spark.createDataFrame([("a.pdf", "12", "0,50 mg/L", 0.5, "01/02/2024"), ("b <&>", None, "x", None, "ontem")], "nome_do_arquivo string, id_amostra string, resultado string, acm_resultado_tratado double, data_coleta string")
+    sinks.save({"sample": df}, str(tmp_path / "out.xlsx"), "xlsx", "01/02/2024 10:30:00")
+    with zipfile.ZipFile(tmp_path / "out.xlsx") as z:
+        for name in z.namelist():
+            ElementTree.fromstring(z.read(name))
+        sheet, styles = z.read("xl/worksheets/sheet1.xml").decode(), z.read("xl/styles.xml").decode()
+    assert f'<c r="B2" s="{workbook.INTEGER}"><v>12</v></c>' in sheet and f'<c r="D2" s="{workbook.PLACES + 2}"><v>0.5</v></c>' in sheet and f'<c r="E2" s="{workbook.DATE}"><v>45323.0</v></c>' in sheet
+    assert "b &lt;&amp;&gt;" in sheet and ">ontem<" in sheet and 'formatCode="0.00"' in styles and '<autoFilter ref="A1:F3"/>' in sheet
+
+
+def test_rows_without_a_document_go_to_all(spark):
+    own = spark.createDataFrame([("a", 1), ("b", 2)], "nome_do_arquivo string, n int")
+    loose = spark.createDataFrame([(None, 7), ("a", 8)], "nome_do_arquivo string, n int")
+    got = sinks.unfiled({"own": own, "loose": loose}, "nome_do_arquivo")["loose"]
+    assert sorted(map(tuple, got.collect())) == [("a", 7), ("a", 8), ("b", 7)]
+
+
+def test_store_of_extractions(spark, tmp_path):
+    docs = spark.createDataFrame([("h1",), ("h2",)], "hash_arquivo string")
+    assert batch.load_extraction(spark, str(tmp_path / "store"), "s") is None and batch.new_documents(docs, None, "s").count() == 2
+    batch.store_extraction(docs.limit(1), str(tmp_path / "store"), "s")
+    store = spark.read.parquet(str(tmp_path / "store"))
+    assert batch.new_documents(docs, store, "s").count() == 1 and batch.new_documents(docs, store, "other").count() == 2
+    assert batch.load_extraction(spark, str(tmp_path / "store"), "s").count() == 1
+
+
+def test_config_path(monkeypatch):
+    for own, want in ((None, "base/config/taxonomy"), ("other", "base/config/other"), ("my/rules", "base/my/rules"), ("/abs/rules", "/abs/rules")):
+        monkeypatch.setenv("TAXONOMY_FILE", own) if own else monkeypatch.delenv("TAXONOMY_FILE", raising=False)
+        assert taxonomy.resolve("base") == want
 
 
 def test_json_keeps_the_scale_of_the_source(spark):
@@ -137,15 +201,20 @@ def test_sources_isolate_failures_and_reuse_hashes(spark, tmp_path):
     for name, body in (("a.pdf", b"one"), ("b.PDF.txt", b"no"), ("c.pdf", b"bad")):
         (tmp_path / name).write_bytes(body)
     listed = documents.files(spark, str(tmp_path))
-    first = documents.hashes(listed)
-    assert first.count() == 2 and documents.hashes(listed, first).count() == 2
+    first = documents.hashes(listed, str(tmp_path))
+    assert listed.columns == ["path", "length", "modificationTime"]
+    assert first.count() == 2 and documents.hashes(listed, str(tmp_path), cache=first).count() == 2
+    # what the cache has is not read again
+    stale = first.withColumn("hash_arquivo", F.when(F.col("path").endswith("a.pdf"), "cached").otherwise(F.col("hash_arquivo"))).where(F.col("path").endswith("a.pdf"))
+    got = {r.path.rsplit("/", 1)[1]: r.hash_arquivo for r in documents.hashes(listed, str(tmp_path), cache=stale).collect()}
+    assert got["a.pdf"] == "cached" and len(got["c.pdf"]) == 64
 
     def extract(content):
         if content == b"bad":
             raise ValueError("damaged")
         return [(content.decode(), [[["x"]]])]
 
-    got = {r.path.rsplit("/", 1)[1]: (r.text, r.erro) for r in documents.pages(listed, extract).collect()}
+    got = {r.path.rsplit("/", 1)[1]: (r.text, r.erro) for r in documents.pages(documents.contents(listed, str(tmp_path)), extract).collect()}
     assert got == {"a.pdf": ("one", None), "c.pdf": (None, "ValueError: damaged")}
 
 
