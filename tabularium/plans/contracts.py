@@ -6,19 +6,35 @@ from dataclasses import dataclass, field
 
 # Column names of the outputs, in order.
 PREFIX = ["nome_do_arquivo", "id_taxonomia", "nome_taxonomia", "versao_template", "acm_data_hora_extracao"]
-RESULTS = [*PREFIX, *"""id_amostra tipo categoria subcategoria codigo_laudo acm_codigo_laudo codigo_laudo_substituido parameter
-    resultado unidade acm_resultado_tratado acm_qualificador acm_unidade local data_inicio acm_data_inicio conama
-    acm_conama_operador acm_conama_minimo acm_conama_maximo acm_conama_unidade copam_cerh acm_copam_cerh_operador
-    acm_copam_cerh_minimo acm_copam_cerh_maximo acm_copam_cerh_unidade ld acm_ld_minimo acm_ld_maximo acm_ld_unidade lq
-    acm_lq_minimo acm_lq_maximo acm_lq_unidade referencia incerteza acm_incerteza_valor acm_incerteza_unidade numero_cq
-    duplicata faixa_aceitacao acm_faixa_aceitacao_operador acm_faixa_aceitacao_minimo acm_faixa_aceitacao_maximo
-    acm_faixa_aceitacao_unidade variacao_percentual quantidade_adicionada recuperacao_percentual""".split()]
-SAMPLE = [*PREFIX, *"""id_amostra identificacao_amostra tipo_amostra criterio_conformidade data_coleta data_publicacao
-    data_recebimento observacoes localizacao latitude longitude latitude_real longitude_real
-    condicoes_climaticas_nas_ultimas_24_horas condicoes_climaticas_no_momento_da_coleta tipo_coleta responsavel_amostra
-    planejamento_amostragem descricao_nao_conformidade codigo_laudo_substituido""".split()]
-CLIENT = [*PREFIX, *"id_amostra proposta_comercial cliente cnpj_cpf contato telefone endereco".split()]
-PACKAGING = [*PREFIX, *"id_amostra identificacao_amostra embalagem volume preservacao metodos".split()]
+RESULTS = [
+    *PREFIX,
+    "id_amostra", "tipo", "categoria", "subcategoria", "codigo_laudo", "acm_codigo_laudo",
+    "codigo_laudo_substituido", "parameter", "resultado", "unidade", "acm_resultado_tratado",
+    "acm_qualificador", "acm_unidade", "local", "data_inicio", "acm_data_inicio", "conama",
+    "acm_conama_operador", "acm_conama_minimo", "acm_conama_maximo", "acm_conama_unidade", "copam_cerh",
+    "acm_copam_cerh_operador", "acm_copam_cerh_minimo", "acm_copam_cerh_maximo", "acm_copam_cerh_unidade", "ld",
+    "acm_ld_minimo", "acm_ld_maximo", "acm_ld_unidade", "lq", "acm_lq_minimo", "acm_lq_maximo",
+    "acm_lq_unidade", "referencia", "incerteza", "acm_incerteza_valor", "acm_incerteza_unidade", "numero_cq",
+    "duplicata", "faixa_aceitacao", "acm_faixa_aceitacao_operador", "acm_faixa_aceitacao_minimo",
+    "acm_faixa_aceitacao_maximo", "acm_faixa_aceitacao_unidade", "variacao_percentual", "quantidade_adicionada",
+    "recuperacao_percentual",
+]
+SAMPLE = [
+    *PREFIX,
+    "id_amostra", "identificacao_amostra", "tipo_amostra", "criterio_conformidade", "data_coleta",
+    "data_publicacao", "data_recebimento", "observacoes", "localizacao", "latitude", "longitude",
+    "latitude_real", "longitude_real", "condicoes_climaticas_nas_ultimas_24_horas",
+    "condicoes_climaticas_no_momento_da_coleta", "tipo_coleta", "responsavel_amostra",
+    "planejamento_amostragem", "descricao_nao_conformidade", "codigo_laudo_substituido",
+]
+CLIENT = [
+    *PREFIX,
+    "id_amostra", "proposta_comercial", "cliente", "cnpj_cpf", "contato", "telefone", "endereco",
+]
+PACKAGING = [
+    *PREFIX,
+    "id_amostra", "identificacao_amostra", "embalagem", "volume", "preservacao", "metodos",
+]
 NOTES = [*PREFIX, "id_amostra", "pagina", "texto"]
 VALIDATION_KEY = [*PREFIX, "id_amostra", "pagina", "chave_validacao"]
 REVISION_REASON = [*PREFIX, "id_amostra", "pagina", "motivo_revisao"]
@@ -26,7 +42,11 @@ TABLES = {
     "results_extract": RESULTS, "sample": SAMPLE, "client": CLIENT, "packaging_preservatives": PACKAGING, "notes": NOTES,
     "general_considerations": NOTES, "conformity_statement": NOTES, "validation_key": VALIDATION_KEY, "revision_reason": REVISION_REASON,
 }
-LAYOUT_FIELDS = "resultado unidade data_inicio conama copam_cerh ld lq referencia incerteza numero_cq duplicata faixa_aceitacao variacao_percentual quantidade_adicionada recuperacao_percentual".split()
+LAYOUT_FIELDS = [
+    "resultado", "unidade", "data_inicio", "conama", "copam_cerh", "ld", "lq", "referencia", "incerteza",
+    "numero_cq", "duplicata", "faixa_aceitacao", "variacao_percentual", "quantidade_adicionada",
+    "recuperacao_percentual",
+]
 TIPO_LABELS = {"AMOSTRA": "Amostra", "BRANCO": "Branco", "DUPLICATA": "Duplicata", "RECUPERACAO": "Recuperação"}
 OPERATORS = ["max", "min", "<", ">", "<=", ">=", "="]
 DATE = r"^\d{2}/\d{2}/\d{4}$"
