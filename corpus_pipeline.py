@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a table that the next one reads as ``docs``; all but the last return
 the columns of ``docs``. ``run`` writes every stage to the shared scratch folder and reads it again.
+
+Defined results: rows are judged each by its own text, so a doc_id may stand on several rows, and a repeated row is one
+document for the two dedup stages. A null or empty text has no language and goes with the first stage. Other columns are
+carried along whatever their names (those that start with ``__tb_`` are the operators' own). An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -14,7 +19,10 @@ from tabularium.llm.common import stash
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told (null text, or no letter in it) go."""
+    """Documents in none of the languages learnt go: no letter in them, or no likelier in any language than by chance.
+
+    A null lang becomes the predicted one.
+    """
     return language.keep_identified(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
@@ -46,7 +54,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Fingerprints, learnt languages and the packing are beyond SQL; tests/llm holds the stages against brute force.
+#: Fingerprints, learnt languages and the packing are beyond SQL; tests/llm/test_pipeline.py holds ``run`` against brute force.
 ORACLE_SQL = None
 
 
