@@ -163,7 +163,10 @@ def _matches(text: Column, rule: Rule, rank: int) -> Column:
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, spans: str = "spans") -> DataFrame:
-    """``docs`` with ``spans``: array of (start, rank, end, kind) by start, then by the rules' order."""
+    """``docs`` with ``spans``: array of (start, rank, end, kind) by start, then by the rules' order.
+
+    A column of that name is replaced.
+    """
     queries = {r: q for r, rule in enumerate(rules) if (q := trigram_query(rule.pattern)) != ANY}
     trigrams = sorted({t for q in queries.values() for c in q for t in c})
     flagged = docs

@@ -98,12 +98,14 @@ def thin(rows: DataFrame, key: str, by: str, most: int) -> DataFrame:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, most: int) -> list[tuple[str, int]]:
     """(text, label) of at most about ``most`` documents a class that ``learn`` admits; of contrary labels the larger counts.
 
-    The sampled ids are bounded by ``2 * most`` and so are broadcast to the scan of the texts.
+    The sampled ids are bounded by about ``2 * most`` and so are broadcast to the scan of the texts. Of several texts of
+    one id the one that sorts first counts, so that no more texts than ids come to the driver.
     """
     ids = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & learn).groupBy("doc_id").agg(F.max(label).alias("__tb_label"))
     chosen = thin(ids, "doc_id", "__tb_label", most)
-    found = docs.select("doc_id", clean_text().alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "__tb_label").collect()
-    return [(t, int(v)) for _, t, v in sorted(found, key=lambda r: (r[0], r[1]))]
+    joined = docs.select("doc_id", clean_text().alias("text")).join(F.broadcast(chosen), "doc_id")
+    found = joined.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("__tb_label").alias("__tb_label")).collect()
+    return [(t, int(v)) for _, t, v in sorted(found, key=lambda r: r[0])]
 
 
 def score_texts(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[np.ndarray]]], columns: str) -> DataFrame:

@@ -114,11 +114,21 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+SPEC_RULES = [  # kind, pattern, group that is measured, characters at least
+    ("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE, 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 0, 20),
+    ("hex", r"[0-9a-f]+", 0, 0, 24),
+    ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0, 0),
+    ("pem", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 0, 0),
+]
+
+
+def spec_matches(text):
+    return sorted((m.start(), rank, m.end(), kind) for rank, (kind, p, flags, group, least) in enumerate(SPEC_RULES) for m in re.finditer(p, text, flags) if len(m.group(group)) >= least)
+
+
 def spec_spans(text):
-    out = []
-    for rank, rule in enumerate(secrets.RULES):
-        out += [(m.start(), rank, m.end(), rule.kind) for m in re.finditer(rule.pattern, text) if len(m.group(rule.group)) >= rule.least]
-    return ",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(out))
+    return ",".join(f"{k}:{s}:{e}" for s, _, e, k in spec_matches(text))
 
 
 SECRETS = ["secret=token = abcdefgh", "é token: 'abc.def' AKIA" + "A" * 16, "apikey=12345 API_KEY = zzzzzz password=pass", "f" * 24 + " " + "f" * 23, "passwd==aaaaaa token", "tokentoken=aaaaaaa", None, "", "ghp_" + "a" * 36, "-----BEGIN RSA PRIVATE KEY-----", "a secret=" + "x" * 50_000]
@@ -356,6 +366,68 @@ def test_quality_reads_texts_without_spaces_whole():
     assert predicted.tolist() == [y for _, y in sample[40:]]
 
 
+def spec_quality(model, text):
+    """A text's score by the docstring, a word and a passage at a time."""
+    own = [w[k : k + quality.PART] for w in (text or "").split() for k in range(0, len(w), quality.PART)]
+    bags = [own[k : k + quality.PASSAGE] for k in range(0, len(own), quality.PASSAGE)] or [[]]
+    width, raw, rows = quality.HASHED + quality.SHAPES, [], []
+    for bag in bags:
+        features = [quality.word_features([w])[0].astype(float) for w in bag]
+        mean = np.sum(features, axis=0) / len(bag) if bag else np.zeros(width)
+        h = (np.array([*mean, len({*bag}) / max(len(bag), 1), len(bag) / quality.PASSAGE]) - model.mean) / model.spread
+        rows.append(h)
+        raw.append(float((np.tanh(h @ model.v) / (1 + np.exp(-(h @ model.u)))) @ model.w))
+    weight = np.exp(np.array(raw) - max(raw))
+    pooled = (weight / weight.sum()) @ np.array(rows)
+    return 1 / (1 + np.exp(-(pooled @ model.head + model.bias[0])))
+
+
+def spec_toxicity(model, text):
+    """Mean over words of the mean of their buckets' projections."""
+    logits = []
+    for w in (text or "").split():
+        core = w.lower().strip("".join({c for c in w if not c.isalnum()}) or None)
+        marked = f"<{core}>".encode()
+        grams = [zlib.crc32(marked)] + [zlib.crc32(marked[i : i + n], 7) for n in (3, 4, 5) for i in range(len(marked) - n + 1)]
+        logits.append(np.mean([float(model.projected[g % toxicity.BUCKETS]) for g in grams]))
+    return 1 / (1 + np.exp(-(sum(logits) / max(len(logits), 1) + model.bias)))
+
+
+AWKWARD = [None, "", " \n\t", "x", "Hello!! WORLD?? 123", "中文" * 5000, "é" * 300 + " scum", "idiot " * 4000, "mor0n ,scum. tie tie", "mor0n ,scum. tie tie"]
+
+
+def test_quality_and_toxicity_by_brute_force(spark):
+    sample = [(" ".join(np.random.default_rng(i).choice(["river", "STONE!!", "idiot", "moon", "a1"], 90)) + (" scum IDIOT!!" if i % 2 else ""), i % 2) for i in range(60)]
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(AWKWARD)], "doc_id long, text string, score int")
+    for module, spec in ((quality, spec_quality), (toxicity, spec_toxicity)):
+        model = module.fit(sample)
+        got = {r.doc_id: r for r in module.score(df.select("doc_id", "text"), model).collect()}
+        for i, text in enumerate(AWKWARD):
+            assert abs(got[i].score - spec(model, text)) < 1e-4 and got[i].predicted == int(got[i].score >= module.THRESHOLD), (module.__name__, i)
+
+
+def test_models_on_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    assert quality.classify(none, labels).count() == toxicity.classify(none, labels).count() == language.identify(none, path).count() == language.keep_identified(none, path).count() == 0
+    assert near_dedup.drop_near_duplicates(none).count() == secrets.redact(none).count() == 0
+
+
+def test_language_learns_from_long_words_and_rejects_chance(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rng = np.random.default_rng(3)
+    own = {"en": ["the", "house", "water", "town", "with"], "xx": ["zukar", "mobelin", "trasko", "venudi"]}
+    rows = [(i, "".join(rng.choice(own[lang], 60)) if lang == "xx" else " ".join(rng.choice(own[lang], 60)), lang, i) for i, lang in enumerate(["en", "xx"] * 20)]
+    chance = "".join(rng.choice([*"bcdfghjklmnpqrstvwxz"], 400))
+    df = spark.createDataFrame([*rows, (90, chance, None, 1), (91, "the house with water", None, 2), (91, "the house with water", None, 2), (92, None, "en", 3)], "doc_id long, text string, lang string, score int")
+    got = {r.doc_id: r.lang_pred for r in language.identify(df, path).collect()}
+    assert all(got[i] == lang for i, _, lang, _ in rows)  # words of several hundred letters are learnt from too
+    kept = language.keep_identified(df, path)
+    assert kept.columns == df.columns
+    assert Counter((r.doc_id, r.lang) for r in kept.collect()) == Counter([(i, lang) for i, _, lang, _ in rows] + [(91, "en")] * 2)
+
+
 def test_fold_is_crc32(spark):
     got = spark.range(50).select("id", words.fold(F.col("id"), 5, 0).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in got)
