@@ -67,8 +67,9 @@ def table_audit(states: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
 
     # the table has a header: which columns it maps
     columns = F.filter(F.transform("cab", lambda c: collapse(F.coalesce(c, F.lit("")))), lambda c: c != "")
-    named = by_template(rules, lambda r: F.transform(F.col("colunas"), lambda c: F.struct(c.alias("c"), header_field(r, c, parameter=True).alias("f"))), "array<struct<c:string,f:string>>")
-    own = tables.where("cab is not null").withColumn("colunas", columns).withColumn("nomes", named)
+    named = by_template(rules, lambda r: F.transform("dobradas", lambda x: F.struct(x["c"].alias("c"), header_field(r, x["n"], parameter=True).alias("f"))), "array<struct<c:string,f:string>>")
+    own = tables.where("cab is not null").withColumn("colunas", columns)
+    own = own.withColumn("dobradas", F.transform("colunas", lambda c: F.struct(c.alias("c"), fold(c).alias("n")))).withColumn("nomes", named)
     unmapped = F.transform(F.filter("nomes", lambda x: x["f"].isNull()), lambda x: x["c"])
     absent = F.filter("esperados", lambda f: (f != "parameter") & ~F.exists("nomes", lambda x: F.coalesce(x["f"] == f, F.lit(False))))
     own = own.withColumn("sem", unmapped).withColumn("ausentes", absent)

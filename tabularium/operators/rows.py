@@ -153,9 +153,8 @@ def is_header(cells: Column) -> Column:
     return (F.size(cells) >= 2) & at(1).isin(HEADER_FIRST) & at(2).isin(HEADER_SECOND)
 
 
-def header_field(rules: RuleSet, value: Column, parameter: bool = False) -> Column:
-    """Field that a header cell names: by the rules' aliases, by exact ones, by patterns; with ``parameter`` that one too."""
-    text = fold(value)
+def header_field(rules: RuleSet, text: Column, parameter: bool = False) -> Column:
+    """Field that a header cell's folded text names: by the rules' aliases, by exact ones, by patterns; with ``parameter`` that one too."""
     options = [(matches(text, p), F.lit(f)) for p, f in rules.header_aliases]
     options += [(text == word, F.lit(f)) for word, f in EXACT_ALIASES.items()]
     options += [(F.rlike(text, F.lit(p)), F.lit(f)) for f, p in PATTERN_ALIASES.items()]
@@ -163,11 +162,10 @@ def header_field(rules: RuleSet, value: Column, parameter: bool = False) -> Colu
     return F.when(text != "", first_of([o for o, f in zip(options, names) if parameter or f != "parameter"], "string"))
 
 
-def header_layout(rules: RuleSet, cells: Column) -> Column:
-    """Field -> 0-based column (the last that names it); null without a result column."""
-    names = F.transform(cells, lambda c: F.coalesce(header_field(rules, c), F.lit("")))
-    entries = F.transform(F.array(*map(F.lit, LAYOUT_FIELDS)), lambda f: F.struct(f.alias("f"), (F.size(cells) - F.array_position(F.reverse(names), f)).cast("int").alias("i")))
-    found = F.map_from_entries(F.filter(entries, lambda e: e["i"] < F.size(cells)))
+def header_layout(names: Column) -> Column:
+    """Fields by header cell -> field -> 0-based column (the last that names it); null without a result column."""
+    entries = F.transform(F.array(*map(F.lit, LAYOUT_FIELDS)), lambda f: F.struct(f.alias("f"), (F.size(names) - F.array_position(F.reverse(names), f)).cast("int").alias("i")))
+    found = F.map_from_entries(F.filter(entries, lambda e: e["i"] < F.size(names)))
     return F.when(F.map_contains_key(found, "resultado"), found)
 
 
@@ -204,7 +202,9 @@ def events(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
     waiting = left_to_next_page(own, rules).withColumns({"tabela_indice": F.lit(0), "linha": F.lit(0)})
     found = heads.unionByName(rows, allowMissingColumns=True).unionByName(waiting, allowMissingColumns=True)
     header = F.col("secao").isNull() & F.coalesce(is_header(F.col("celulas")), F.lit(False))
-    return found.withColumn("cabecalho", header).withColumn("layout", F.when(header, by_template(rules, lambda r: header_layout(r, F.col("celulas")), "map<string,int>")))
+    found = found.withColumn("cabecalho", header).withColumn("dobradas", F.when(F.col("cabecalho"), F.transform("celulas", lambda c: fold(c))))
+    names = by_template(rules, lambda r: F.transform("dobradas", lambda c: F.coalesce(header_field(r, c), F.lit(""))), "array<string>")
+    return found.withColumn("nomes", F.when(F.col("dobradas").isNotNull(), names)).withColumn("layout", header_layout(F.col("nomes"))).drop("dobradas", "nomes")
 
 
 def carried(marked: DataFrame) -> DataFrame:
