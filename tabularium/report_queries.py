@@ -17,7 +17,7 @@ from .operators import packaging as P
 from .operators import rows as G
 from .operators import sections as S
 from .operators.validate import validate, validate_all
-from .plans import contracts, taxonomy
+from .plans import batch, contracts, taxonomy
 from .queries import ORACLE_SQL, QUERIES, query, table  # noqa: F401
 from .sources import documents, sinks
 
@@ -392,3 +392,51 @@ def json_lines(spark, sf_dir):
 def document_preview(spark, sf_dir):
     pages = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), (F.col("turn") + 1).alias("page_no"), "text")
     return documents.document_text(pages, most=3)
+
+
+# ---- the batch (O2-O6, E7, F4, F7, F10, J19, B9): a document for each supplier
+
+
+def batch_outputs(spark, sf_dir) -> dict[str, DataFrame]:
+    """By the key modulo 5: out of scope, copies of one text, no client line, no table, whole; some could not be read."""
+    rules = {
+        "item_taxonomia": [(1, 7, "Laudo de água")], "template": [(1, 1, "agua", "sim", "1", None, None, None, 1, 50.0)], "schema": [(1, 1, "results_extract", "nao")],
+        "item_schema": [(1, 1, "results_extract", "nome_do_arquivo", "texto", "nao")],
+        "item_template": [
+            (1, 1, "template_detection", "d", "água|agua", "rule_type=positive; peso=60", None), (2, 1, "category_alias", "Resultados", "resultados", None, None), (3, 1, "layout", "resultado_col", "x", "1", "Amostra"), (4, 1, "layout", "unidade_col", "x", "2", "Amostra"),
+            (5, 1, "metadata", "id_amostra", r"amostra:\s*(\d+)", None, None), (6, 1, "client", "cliente", r"cliente:\s*(\w+)", None, None), (7, 1, "notes", "texto", r"nota:\s*(\w+)", None, None),
+        ],
+    }
+    k = F.col("s_suppkey")
+    line = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    number = F.when(k % 5 == 1, "7").otherwise(k.cast("string"))
+    text = F.when(k % 5 == 0, line("outro ", k.cast("string"))).otherwise(F.concat_ws("\n", line("Laudo de água"), line("Amostra: ", number), F.when(k % 5 != 2, "Cliente: Rio"), F.lit("Nota: ok")))
+    row = lambda *cells: F.array(*map(F.lit, cells))
+    made = F.array(F.array(row("Resultados"), row("Análise", "Resultado", "Unidade"), row("Ferro", "< 0,5 mg/L", "mg/L"), row("Zinco", "1,2", "mg/L")))
+    broken = k % 10 == 9
+    pages = table(spark, sf_dir, "supplier").select(
+        k.alias("doc_id"), F.lit(1).alias("page_no"), F.when(~broken, text).alias("text"), F.when(~broken & ~(k % 5).isin(0, 3), made).alias("tables"), line("/in/", F.lpad(k.cast("string"), 9, "0"), ".pdf").alias("path"), F.when(broken, "ValueError: x").alias("erro")
+    )
+    compiled = taxonomy.compile_rules({n: spark.createDataFrame(r, taxonomy.SCHEMAS[n]) for n, r in rules.items()})
+    return batch.run(pages, compiled)
+
+
+_SUPPLIERS = "WITH s AS (SELECT s_suppkey AS k, s_suppkey % 5 AS m, s_suppkey % 10 = 9 AS broken, lpad(s_suppkey::VARCHAR, 9, '0') || '.pdf' AS f FROM supplier), c AS (SELECT min(f) AS first FROM s WHERE m = 1)"
+
+
+@query(
+    _SUPPLIERS
+    + """ SELECT f AS nome_do_arquivo, CASE WHEN broken THEN 'erro' WHEN m = 0 THEN 'fora_escopo' WHEN m = 1 AND f <> first THEN 'duplicado' ELSE 'identificado' END AS status, CASE WHEN m = 1 AND f <> first THEN first END AS duplicado_de,
+                 CASE WHEN NOT broken AND (m IN (2, 4) OR m = 1 AND f = first) THEN 2 ELSE 0 END::BIGINT AS resultados, CASE WHEN broken THEN 'ValueError: x' END AS erro FROM s, c"""
+)
+def batch_summary(spark, sf_dir):
+    return batch_outputs(spark, sf_dir)["resumo"].select("nome_do_arquivo", "status", "duplicado_de", "resultados", "erro")
+
+
+@query(
+    _SUPPLIERS
+    + """ SELECT f AS nome_do_arquivo, CASE m WHEN 1 THEN '7' ELSE k::VARCHAR END AS id_amostra, CASE m WHEN 3 THEN 0 ELSE 2 END::BIGINT AS resultados_extraidos, 1::BIGINT AS registros_sample, 1::BIGINT AS registros_client, CASE m WHEN 3 THEN 0 ELSE 1 END::BIGINT AS tabelas_auditadas,
+                 0::BIGINT AS erros_validacao, CASE m WHEN 3 THEN 'erro' ELSE 'ok' END AS status FROM s, c WHERE NOT broken AND m > 0 AND (m <> 1 OR f = first)"""
+)
+def batch_reconciliation(spark, sf_dir):
+    return batch_outputs(spark, sf_dir)["document_reconciliation_audit"].select("nome_do_arquivo", "id_amostra", "resultados_extraidos", "registros_sample", "registros_client", "tabelas_auditadas", "erros_validacao", "status")
