@@ -82,7 +82,8 @@ def search(hashes: Hashes, ids: np.ndarray, rows: np.ndarray, query_ids: np.ndar
     trees = [c[o] for c, o in zip(codes, orders)]
     units = queries / lengths(queries)[:, None]
     wanted = hashes.codes(np.column_stack([units, np.zeros(len(units))]))
-    enough = share * len(ids)
+    # so many copies hold at least k rows besides the query's own, for no row is in a tree twice
+    enough = max(share * len(ids), TREES * (k + 1))
     low, high = np.zeros((2, TREES, len(queries)), np.int64)
     open_ = np.ones(len(queries), bool)
     for depth in range(BITS, -1, -1):  # ascend in all trees at once
