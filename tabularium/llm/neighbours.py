@@ -31,7 +31,7 @@ from .common import stash
 TREES = 32
 BITS = 24
 #: Share of a block's rows that the ascent gathers, copies of a row from several trees counted each time.
-CANDIDATES = 1.25
+CANDIDATES = 1.0
 SAMPLE = 20_000
 #: Rows of a block, and the bytes of its vectors that bound them for long vectors.
 LEAST_BLOCK, MOST_BLOCK, MOST_BYTES = 4096, 65536, 1 << 26
