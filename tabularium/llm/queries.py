@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language, line_dedup, near_dedup, neighbours, packing, quality, secrets, toxicity
+from . import bpe, exact_dedup, language, line_dedup, near_dedup, neighbours, packing, quality, secrets, toxicity, vector_codes
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +53,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_secrets, op3_language, op4_near_dedup, op5_neighbours, op6_exact_dedup, op7_toxicity, op8_line_dedup, op9_packing, op10_bpe)}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_secrets, op3_language, op4_near_dedup, op5_neighbours, op6_exact_dedup, op7_toxicity, op8_line_dedup, op9_packing, op10_bpe, op11_vector_codes)}
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -85,7 +89,30 @@ def _secret_spans_sql() -> str:
 
 _WRITTEN = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank)"
 
+
+def _vector_codes_sql() -> str:
+    """Four rounds spelt out; inner products are exact, for the components are integers far below 2**26."""
+    far = "list_dot_product(x, x) - 2 * list_dot_product(x, e.c) + list_dot_product(e.c, e.c)"
+    ctes = [
+        "k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS i, vec_id, label, len(embedding) // 4 AS w, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        "p AS MATERIALIZED (SELECT i, part, list_slice(v, part * w + 1, part * w + w) AS x FROM k, range(4) AS r(part))",
+        "b0 AS MATERIALIZED (SELECT part, i - 1 AS entry, x AS c FROM p WHERE i <= 256)",
+    ]
+    for n in range(5):
+        ctes.append(f"a{n} AS MATERIALIZED (SELECT i, p.part, any_value(x) AS x, min(({far})::BIGINT * 256 + entry) AS m FROM p JOIN b{n} e ON p.part = e.part GROUP BY i, p.part)")
+        if n < 4:
+            ctes.append(f"u{n} AS (SELECT part, m % 256 AS entry, unnest(range(1, len(x) + 1)) AS pos, unnest(x)::BIGINT AS s FROM a{n})")
+            ctes.append(f"m{n} AS (SELECT part, entry, list(floor(s / n) ORDER BY pos) AS c FROM (SELECT part, entry, pos, sum(s)::DOUBLE AS s, count(*) AS n FROM u{n} GROUP BY ALL) GROUP BY ALL)")
+            ctes.append(f"b{n + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m{n}.c, b.c) AS c FROM b{n} b LEFT JOIN m{n} USING (part, entry))")
+    return (
+        f"WITH {', '.join(ctes)}, h AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda y: y::BIGINT), ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b4),"
+        " f AS (SELECT i, string_agg(printf('%02x', m % 256), '' ORDER BY part) AS code, sum(m // 256)::BIGINT AS error FROM a4 GROUP BY i)"
+        " SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM k JOIN f USING (i), h"
+    )
+
+
 ORACLE_SQL = {
+    "op11_vector_codes": _vector_codes_sql(),
     "op2_secrets": f"""
         WITH {_secret_spans_sql()}
         SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
