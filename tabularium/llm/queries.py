@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language, line_dedup, near_dedup, neighbours, packing, quality, secrets, toxicity, vector_codes
+from . import bpe, exact_dedup, language, line_dedup, minhash, near_dedup, neighbours, packing, quality, secrets, toxicity, vector_codes
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_secrets, op3_language, op4_near_dedup, op5_neighbours, op6_exact_dedup, op7_toxicity, op8_line_dedup, op9_packing, op10_bpe, op11_vector_codes)}
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_secrets, op3_language, op4_near_dedup, op5_neighbours, op6_exact_dedup, op7_toxicity, op8_line_dedup, op9_packing, op10_bpe, op11_vector_codes, op13_minhash_dedup)}
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
