@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language, line_dedup, minhash, near_dedup, neighbours, packing, quality, secrets, toxicity, vector_codes
+from . import bpe, exact_dedup, language, line_dedup, minhash, near_dedup, neighbours, packing, phrases, quality, secrets, toxicity, vector_codes
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,11 +57,15 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", "lang"))
+
+
 def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_secrets, op3_language, op4_near_dedup, op5_neighbours, op6_exact_dedup, op7_toxicity, op8_line_dedup, op9_packing, op10_bpe, op11_vector_codes, op13_minhash_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_secrets, op3_language, op4_near_dedup, op5_neighbours, op6_exact_dedup, op7_toxicity, op8_line_dedup, op9_packing, op10_bpe, op11_vector_codes, op12_collocations, op13_minhash_dedup)}
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -117,6 +121,18 @@ def _vector_codes_sql() -> str:
 
 ORACLE_SQL = {
     "op11_vector_codes": _vector_codes_sql(),
+    "op12_collocations": rf"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_NORM}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        w AS (SELECT row_number() OVER () AS k, lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+        i AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+        f AS (SELECT lang, size, array_to_string(ws[i : i + size - 1], ' ') AS phrase, count(*) AS f FROM i, range(1, 5) AS s(size) WHERE i + size - 1 <= len(ws) GROUP BY ALL),
+        c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE size > 1 AND f >= 30),
+        cut AS (SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * a) // (l.f + r.f)::HUGEINT AS score FROM c JOIN range(1, 4) AS s(k) ON k < c.size
+                JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(ws[1 : k], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(ws[k + 1 : c.size], ' ')),
+        best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inside AS (SELECT DISTINCT s.lang, s.phrase FROM c s JOIN c b ON b.lang = s.lang AND b.size > s.size AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * b.a >= 80 * s.a),
+        n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM best ANTI JOIN inside USING (lang, phrase) JOIN n USING (lang) QUALIFY rank <= 2000""",
     "op2_secrets": f"""
         WITH {_secret_spans_sql()}
         SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
