@@ -124,13 +124,16 @@ ORACLE_SQL = {
     "op12_collocations": rf"""
         WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_NORM}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
         w AS (SELECT row_number() OVER () AS k, lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
-        i AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
-        f AS (SELECT lang, size, array_to_string(ws[i : i + size - 1], ' ') AS phrase, count(*) AS f FROM i, range(1, 5) AS s(size) WHERE i + size - 1 <= len(ws) GROUP BY ALL),
-        c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE size > 1 AND f >= 30),
+        t AS (SELECT k, lang, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM w),
+        g AS (SELECT lang, w AS w1, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4 FROM t WINDOW o AS (PARTITION BY k ORDER BY i)),
+        e AS (SELECT lang, size, CASE size WHEN 1 THEN w1 WHEN 2 THEN w1 || ' ' || w2 WHEN 3 THEN w1 || ' ' || w2 || ' ' || w3 ELSE w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 END AS phrase FROM g, range(1, 5) AS s(size)),
+        f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM e WHERE phrase IS NOT NULL GROUP BY ALL HAVING count(*) >= 30),
+        c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE size > 1),
         cut AS (SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * a) // (l.f + r.f)::HUGEINT AS score FROM c JOIN range(1, 4) AS s(k) ON k < c.size
                 JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(ws[1 : k], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(ws[k + 1 : c.size], ' ')),
         best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
-        inside AS (SELECT DISTINCT s.lang, s.phrase FROM c s JOIN c b ON b.lang = s.lang AND b.size > s.size AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * b.a >= 80 * s.a),
+        part AS (SELECT lang, array_to_string(ws[i : i + m - 1], ' ') AS phrase, max(a) AS longest FROM c, range(2, 4) AS s(m), range(1, 4) AS q(i) WHERE m < size AND i + m - 1 <= size GROUP BY ALL),
+        inside AS (SELECT lang, phrase FROM c JOIN part USING (lang, phrase) WHERE 100 * longest::HUGEINT >= 80 * a::HUGEINT),
         n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang)
         SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM best ANTI JOIN inside USING (lang, phrase) JOIN n USING (lang) QUALIFY rank <= 2000""",
     "op2_secrets": f"""
