@@ -9,8 +9,10 @@ their whole sets.
 
 Only distinct sets become nodes, so copies are never expanded into pairs. Nor are the members of a band: the classes met in
 it are dealt into groups of about GROUP, each compared with one of its members, and what is linked becomes one class. That
-is repeated until no round finds a link. The pairs that are then left, of members of different classes in one band, are all
-compared by sketch, in blocks of BLOCK members, so that no link is lost; only those within the bound leave the join.
+is repeated as long as it unites a good part of what is left. Then every pair of members of different classes is compared
+by sketch, in the first band that the two have in common, in blocks of BLOCK members of a band; members with a partner
+within the bound get their sets, and a block gives the links of a spanning forest. So no link between classes is lost, and
+what leaves a task grows with its members, not with their pairs. Sets are made of the texts again where they are needed.
 
 Defined results: a null text counts as empty; a document without words has an empty set and is linked with nothing. A text
 with fewer words than a shingle has one, its whole sequence. Shingles are told apart by 64 bits of XXH64, sets by 128 of
@@ -38,7 +40,9 @@ PERCENT = 80
 MISS = 1e-7
 SEED = 42
 #: Members of a band that are compared with one of them; members of a block in the last, full comparison.
-GROUP, BLOCK = 256, 512
+GROUP, BLOCK = 256, 128
+#: Rounds go on while they link this share of the classes that they compare.
+WORTH = 0.1
 #: Shingles whose minima are taken at once.
 STEP = 512
 
@@ -129,35 +133,66 @@ def most_bits(samples: int = BANDS * ROWS, size: int = SKETCH, percent: int = PE
 WORDS = [f"__tb_s{i}" for i in range(SKETCH // 64)]
 
 
+#: Tell apart the rows of a table, but for those that are equal.
+ROW_KEY = ["__tb_k0", "__tb_k1"]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    slim = docs.select("doc_id", clean_text().alias("text"))
+    return slim.select("*", *(F.xxhash64(F.lit(i), "doc_id", "text").alias(k) for i, k in enumerate(ROW_KEY)))
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n (shingles), key (of the set), bands, the words of the sketch, and the set, of every row of (doc_id, text)."""
+    """doc_id, ROW_KEY, n (shingles), key (of the set), bands and the words of the sketch of every row of (doc_id, text)."""
     import pyarrow as pa
     from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
     from xxhash import xxh3_128_digest
 
-    whole = ArrayType(LongType())
+    names = ["doc_id", *ROW_KEY]
 
     def run(batches):
         worker_release()
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                own = [shingles(t) for t in part.column("text").to_pylist()]
-                full = [i for i, s in enumerate(own) if len(s)]
-                bands, sketch = np.zeros((len(own), BANDS), np.int64), np.zeros((len(own), len(WORDS)), np.int64)
-                if full:
-                    least = np.stack([minima(own[i]) for i in full])
-                    bands[full], sketch[full] = bands_of(least), sketches_of(least)
-                sizes = np.array([len(s) for s in own], np.int64)
-                flat = np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat))
-                each = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * BANDS, pa.int32()), pa.array(bands.ravel()))
-                keys = pa.array([xxh3_128_digest(s.tobytes()) for s in own], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes), keys, each, *(pa.array(sketch[:, i].copy()) for i in range(len(WORDS))), lists], names=["doc_id", "n", "key", "bands", *WORDS, "shingles"])
+                sizes, keys, least = [], [], []
+                for text in part.column("text").to_pylist():
+                    own = shingles(text)
+                    sizes.append(len(own))
+                    keys.append(xxh3_128_digest(own.tobytes()))
+                    if len(own):
+                        least.append(minima(own))
+                bands, sketch = np.zeros((len(sizes), BANDS), np.int64), np.zeros((len(sizes), len(WORDS)), np.int64)
+                if least:
+                    full = np.array(sizes) > 0
+                    bands[full], sketch[full] = bands_of(np.stack(least)), sketches_of(np.stack(least))
+                each = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1) * BANDS, pa.int32()), pa.array(bands.ravel()))
+                yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), each, *(pa.array(sketch[:, i].copy()) for i in range(len(WORDS)))], names=[*names, "n", "key", "bands", *WORDS])
+
+    slim = _keyed(docs)
+    fields = [StructField("n", LongType()), StructField("key", BinaryType()), StructField("bands", ArrayType(LongType())), *(StructField(w, LongType()) for w in WORDS)]
+    return slim.mapInArrow(run, StructType([*(slim.schema[c] for c in names), *fields]))
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, shingles) of the rows of ``docs`` that ``wanted`` (node, ROW_KEY) names; other texts don't leave the scan."""
+    import pyarrow as pa
 
-    slim = docs.select("doc_id", clean_text().alias("text"))
-    fields = [StructField("n", LongType()), StructField("key", BinaryType()), StructField("bands", whole), *(StructField(w, LongType()) for w in WORDS), StructField("shingles", whole)]
-    return slim.mapInArrow(run, StructType([slim.schema["doc_id"], *fields]))
+    def run(batches):
+        worker_release()
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                own = [shingles(t).view(np.int64) for t in part.column("text").to_pylist()]
+                ends = np.concatenate([[0], np.cumsum([len(s) for s in own])])
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(own) if own else np.zeros(0, np.int64)))], names=["node", "shingles"])
+
+    words = bloom_words(wanted.count())
+    bloom = stash(bloom_filter(wanted.select(F.xxhash64(*ROW_KEY).alias("h")), "h", words), "bloom")
+    probed = bloom_probe(_keyed(docs), bloom, F.xxhash64(*ROW_KEY), words, "__tb_maybe").where("__tb_maybe")
+    # rows that repeat a doc_id and a text are one
+    found = probed.select(*ROW_KEY, "text").join(wanted, ROW_KEY).select("node", "text").dropDuplicates(["node"])
+    return found.mapInArrow(run, "node long, shingles array<long>")
 
 
 def within(a: str, b: str) -> Column:
@@ -172,38 +207,68 @@ def _sizes_allow(a: Column, b: Column) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
-class _Confirm:
-    """Links among candidate pairs (a, b) of nodes: by size and sketch first, then on whole sets."""
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common * 100 >= (len(a) + len(b) - common) * PERCENT
 
-    def __init__(self, nodes: DataFrame, sets: DataFrame):
-        self.nodes, self.sets = nodes, sets
 
-    def _of(self, table: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-        """Rows of ``table`` for the nodes in ``ids`` (column node, distinct); few others leave the scan."""
-        words = bloom_words(ids.count())
-        bloom = stash(bloom_filter(ids.select(F.xxhash64("node").alias("h")), "h", words), "bloom")
-        return bloom_probe(table, bloom, F.xxhash64(key), words, "__tb_maybe").where("__tb_maybe").drop("__tb_maybe")
+class _Block:
+    """The members of one block of a band, or of two: which of their pairs are still to be compared."""
 
-    @staticmethod
-    def _ids(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    def __init__(self, table):
+        self.node, self.kind, self.size, self.deal = (table.column(c).to_numpy() for c in ("node", "class", "n", "deal"))
+        self.sketch = np.stack([table.column(w).to_numpy() for w in WORDS], 1).view(np.uint64)
+        self.bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        self.band, self.two = table.column("band")[0].as_py(), table.column("i")[0].as_py() != table.column("j")[0].as_py()
+        self.order = np.argsort(self.node, kind="stable")
+
+    def pairs(self):
+        """Pairs of positions of different classes, within the bound, whose first common band this is."""
+        most, at = most_bits(), self.order
+        for x, u in enumerate(at):
+            v = at[x + 1 :]
+            keep = (self.kind[v] != self.kind[u]) & (np.minimum(self.size[v], self.size[u]) * 100 >= np.maximum(self.size[v], self.size[u]) * PERCENT)
+            if self.two:
+                keep &= self.deal[v] != self.deal[u]
+            v = v[keep]
+            v = v[np.bitwise_count(self.sketch[v] ^ self.sketch[u]).sum(1) <= most]
+            same = self.bands[v] == self.bands[u]
+            yield from ((u, w) for w in v[self.bands[u][same.argmax(1)] == self.band].tolist())
+
+
+def _open(table):
+    """Rows of a block that have a partner to be compared with."""
+    import pyarrow as pa
+
+    met = {int(x) for pair in _Block(table).pairs() for x in pair}
+    return table.take(pa.array(sorted(met), pa.int64()))
 
-    @staticmethod
-    def _with(pairs: DataFrame, table: DataFrame, key: str, value: Column) -> DataFrame:
-        for side in "ab":
-            pairs = pairs.join(table.select(F.col(key).alias(side), value.alias(f"__tb_{side}")), side)
-        return pairs
 
-    def screened(self, pairs: DataFrame) -> DataFrame:
-        table = self._of(self.nodes.select("node", "n", *WORDS), self._ids(pairs), "node")
-        met = self._with(pairs, table, "node", F.struct("n", *WORDS))
-        return met.where(_sizes_allow(F.col("__tb_a.n"), F.col("__tb_b.n")) & within("__tb_a", "__tb_b")).select("a", "b")
+def _forest(table):
+    """Links (a, b) of a block's rows: each unites two of its classes."""
+    import pyarrow as pa
+
+    block, sets = _Block(table), table.column("shingles")
+    own, root = {}, {c: c for c in block.kind.tolist()}
+
+    def top(c):
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        table = self._of(self.sets.select("row", "shingles"), self._ids(pairs), "row")
-        met = self._with(pairs, table, "row", F.col("shingles"))
-        common = F.size(F.array_intersect("__tb_a", "__tb_b"))
-        return met.where(common * 100 >= (F.size("__tb_a") + F.size("__tb_b") - common) * PERCENT).select("a", "b")
+    def of(i):
+        if i not in own:
+            own[i] = sets[i].values.to_numpy()
+        return own[i]
+
+    links = []
+    for u, v in block.pairs():
+        a, b = top(int(block.kind[u])), top(int(block.kind[v]))
+        if a != b and _similar(of(u), of(v)):
+            root[a] = b
+            links.append((int(block.node[u]), int(block.node[v])))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
 
 def _dealt(members: DataFrame, tops: DataFrame, total: int, size: int, by: str, turn: int) -> DataFrame:
@@ -213,54 +278,64 @@ def _dealt(members: DataFrame, tops: DataFrame, total: int, size: int, by: str,
     return found.withColumn("deals", groups).withColumn("deal", F.pmod(F.xxhash64(F.lit(turn), by), groups).cast("int")).drop("met")
 
 
-def _several(members: DataFrame, what: str) -> DataFrame:
-    """(band, met) of the bands that hold two or more of ``what``."""
-    return members.select("band", what).distinct().groupBy("band").agg(F.count("*").alias("met")).where("met > 1")
+def _several(members: DataFrame) -> DataFrame:
+    """(band, met) of the bands that hold two classes or more."""
+    return members.select("band", "class").distinct().groupBy("band").agg(F.count("*").alias("met")).where("met > 1")
 
 
-def classes(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, root) of every node with a link; ``nodes``: node, n, bands, WORDS; ``sets``: row (as node), shingles."""
-    confirm, links, labels = _Confirm(nodes, sets), None, None
+def classes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, root) of every node with a link; ``nodes``: node, ROW_KEY, n, bands, WORDS."""
+    links, labels, turn = None, None, 0
     members = stash(nodes.select("node", F.explode("bands").alias("band")), "members")
-    turn = 0
+    total = members.count()
     tops = stash(members.groupBy("band").agg(F.count("*").alias("met")).where("met > 1"), "bands")
-    members = stash(_dealt(members, tops, members.count(), GROUP, "node", turn).select("band", "node"), "members").withColumn("class", F.col("node"))
+    members = stash(lookup(members, tops, "band", "met", total).where("met is not null").select("band", "node", F.col("node").alias("class")), "members")
 
-    def classed() -> DataFrame:
-        """Members of bands that still hold several classes."""
-        now = members.drop("class").join(labels.withColumnRenamed("root", "class"), "node", "left").withColumn("class", F.coalesce("class", "node"))
-        now = stash(now.select("band", "node", "class"), "classed")
-        tops = stash(_several(now, "class"), "bands")
-        return stash(_dealt(now, tops, max(1, now.count()), GROUP, "node", turn).select("band", "node", "class"), "members")
+    def sets_of(rows: DataFrame) -> DataFrame:
+        """Sets of the distinct nodes in a column ``node``."""
+        ids = rows.select("node").distinct()
+        return stash(shingle_sets(docs, nodes.select("node", *ROW_KEY).join(ids, "node")), "sets")
 
     while True:
         turn += 1
-        one = members.groupBy("band", "class").agg(F.min("node").alias("node"))
-        tops = stash(_several(one, "class"), "bands")
-        dealt = stash(_dealt(one, tops, max(1, members.count()), GROUP, "class", turn), "dealt")
+        one = stash(members.groupBy("band", "class").agg(F.min("node").alias("node")), "one")
+        tops = stash(_several(one), "bands")
+        dealt = stash(_dealt(one, tops, max(1, one.count()), GROUP, "class", turn), "dealt")
         pivots = dealt.groupBy("band", "deal").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node"))["node"].alias("pivot"))
         met = dealt.join(pivots, ["band", "deal"]).where("node <> pivot")
-        pairs = stash(met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "pairs")
-        new = stash(confirm.links(stash(confirm.screened(pairs), "screened")), "links")
-        if new.isEmpty():
+        pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+        about = nodes.select("node", F.struct("n", *WORDS).alias("s"))
+        for side in "ab":
+            pairs = pairs.join(about.select(F.col("node").alias(side), F.col("s").alias(f"s{side}")), side)
+        screened = stash(pairs.where(_sizes_allow(F.col("sa.n"), F.col("sb.n")) & within("sa", "sb")).select("a", "b"), "screened")
+        sets = sets_of(screened.select(F.explode(F.array("a", "b")).alias("node")))
+        for side in "ab":
+            screened = screened.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s{side}")), side)
+        common = F.size(F.array_intersect("sa", "sb"))
+        new = stash(screened.where(common * 100 >= (F.size("sa") + F.size("sb") - common) * PERCENT).select("a", "b"), "links")
+        found = new.count()
+        if found:
+            links = new if links is None else links.unionByName(new)
+            labels = stash(components(links), "labels")
+            now = members.drop("class").join(labels.withColumnRenamed("root", "class"), "node", "left").withColumn("class", F.coalesce("class", "node"))
+            now = stash(now.select("band", "node", "class"), "classed")
+            tops = stash(_several(now), "bands")
+            members = stash(lookup(now, tops, "band", "met", max(1, now.count())).where("met is not null").select("band", "node", "class"), "members")
+        if not found or found < WORTH * dealt.select("class").distinct().count():
             break
-        links = new if links is None else links.unionByName(new)
-        labels = components(links)
-        members = classed()
-    if links is None:
+    if not found:
+        members = stash(members.join(stash(_several(members).select("band"), "bands"), "band"), "members")
+    if labels is None:
         labels = components(nodes.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b")))
-    # members of different classes of one band that were not compared yet: every pair, by sketch, in blocks
-    tops = stash(_several(members, "class").join(members.groupBy("band").agg(F.count("*").alias("rows")), "band").select("band", F.col("rows").alias("met")), "bands")
-    if tops.isEmpty():
+    if members.isEmpty():
         return labels
-    told = confirm._of(nodes, members.select("node").distinct(), "node").select("node", "n", F.struct(*WORDS).alias("s"))
-    dealt = stash(_dealt(told.join(members, "node"), tops, max(1, members.count()), BLOCK, "node", turn), "dealt")
-    named = lambda x: [F.col("node").alias(x), F.col("class").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}")]
-    first = dealt.select("band", *named("a"), F.col("deal").alias("i"), F.explode(F.expr("sequence(deal, deals - 1)")).alias("j"))
-    second = dealt.select("band", *named("b"), F.explode(F.expr("sequence(0, deal)")).alias("i"), F.col("deal").alias("j"))
-    apart = (F.col("ca") != F.col("cb")) & ((F.col("i") < F.col("j")) | (F.col("a") < F.col("b"))) & _sizes_allow(F.col("na"), F.col("nb")) & within("sa", "sb")
-    rest = first.join(second, ["band", "i", "j"]).where(apart)
-    new = stash(confirm.links(stash(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")), "links")
+    # what is left: every pair of different classes of a band
+    tops = stash(members.groupBy("band").agg(F.count("*").alias("met")), "bands")
+    told = _dealt(members, tops, members.count(), BLOCK, "node", turn).join(nodes.select("node", "n", "bands", *WORDS), "node")
+    blocks = told.withColumn("k", F.explode(F.expr("sequence(0, deals - 1)"))).select(*told.columns, F.least("deal", "k").alias("i"), F.greatest("deal", "k").alias("j")).drop("deals")
+    left = stash(blocks.groupBy("band", "i", "j").applyInArrow(_open, blocks.schema), "open")
+    rest = left.join(sets_of(left), "node")
+    new = stash(rest.groupBy("band", "i", "j").applyInArrow(_forest, "a long, b long"), "links")
     if new.isEmpty():
         return labels
     return components(new if links is None else links.unionByName(new))
@@ -268,22 +343,19 @@ def classes(nodes: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of (doc_id, text)."""
-    sets = stash(signatures(docs).withColumn("row", F.monotonically_increasing_id()), "sets")
-    total = sets.count()
-    groups = sets.where("n > 0").groupBy("key").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-    named = lookup(sets.where("n > 0").drop("shingles"), stash(groups, "groups"), "key", "copies", total)
-    # only the first row of each set keeps what the candidate search needs
-    first = F.col("row") == F.col("node")
-    slim = [F.when(first, F.col(c)).alias(c) for c in ("bands", *WORDS)]
-    placed = stash(named.select("doc_id", "n", "node", "least", "copies", first.alias("first"), *slim), "placed")
-    nodes = placed.where("first")
-    roots = stash(classes(nodes.select("node", "n", "bands", *WORDS), sets), "roots")
+    rows = stash(signatures(docs).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    total, full = rows.count(), rows.where("n > 0")
+    groups = stash(full.groupBy("key").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.count("*").alias("copies")), "groups")
+    slim = full.select("doc_id", "n", "key", "row")
+    placed = lookup(slim, groups, "key", "copies", total).select("doc_id", "n", "node")
+    nodes = stash(full.drop("key", "doc_id").join(groups.select(F.col("node").alias("row"), "least", "copies"), "row").withColumnRenamed("row", "node"), "nodes")
+    roots = stash(classes(nodes, docs), "roots")
     about = nodes.select("node", "least", "copies").join(roots, "node", "left")
     linked = about.where("root is not null")
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
     linked = lookup(linked, least, "root", "members", total).select("node", "copies", "component_id")
     alone = about.where("root is null").select("node", "copies", F.col("least").alias("component_id"))
-    found = lookup(placed.select("doc_id", "n", "node"), stash(linked.unionByName(alone), "named"), "node", "copies", total)
-    empty = sets.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    found = lookup(placed, stash(linked.unionByName(alone), "named"), "node", "copies", total)
+    empty = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     every = found.select("doc_id", "n", "component_id").unionByName(empty)
     return every.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
