@@ -11,8 +11,10 @@ Only distinct fingerprints enter the join, so copies are never expanded into pai
 cluster; a document's component is the smallest doc_id that it can reach.
 
 Defined results: a null text counts as empty. A text with one or two words has one shingle, its whole sequence; one
-without words has fingerprint zero, and links like any other. Repeated rows share a fingerprint. A null doc_id is
-ignored as a component's name unless there is no other. An empty table gives an empty result.
+without words has fingerprint zero, and links like any other. Texts of any length are read whole, BLOCK shingles at a
+time. A bit that exactly half the shingles set is zero. Repeated rows share a fingerprint. A null doc_id is ignored as a
+component's name unless there is no other. Columns besides doc_id and text are ignored, whatever their names. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ on the number of documents. Pieces find their slots by their place in the order
 gives without putting one length into one task.
 
 Defined results: a null or empty text is one piece that holds only the end mark. A text longer than ``capacity`` is cut
-into full pieces and a rest. Repeated rows are packed as documents of their own. An empty table gives an empty result.
+into full pieces and a rest. Pieces of equal length may change places; the number of sequences is the same. Repeated rows
+are packed as documents of their own, and a null doc_id stays null. Columns besides doc_id and text are ignored, whatever
+their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations

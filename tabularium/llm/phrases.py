@@ -6,9 +6,10 @@ of single words, of pairs, of fours. Neighbours in that order have a common pref
 words long are the n-grams of the shard, and their lengths the counts. Counts are merged over all shards.
 
 A phrase is frequent only if both phrases within it that are a word shorter are, so lengths are counted one after another:
-pass n merges the hashes of n-grams whose parts a Bloom filter of the frequent (n - 1)-grams holds, and the pass after it sends
-as text what the filter of length n holds. The filters are of bounded size (``MOST_WORDS``); a full one lets more n-grams
-pass, and no result changes, for what counts in the end are the texts and their merged counts.
+the words first, from the texts; then shards without their rare words are written, and pass n over the shards merges the
+hashes of n-grams whose parts a Bloom filter of the frequent (n - 1)-grams holds, and sends as text the (n - 1)-grams that the
+filter holds. The filters are of bounded size (``MOST_WORDS``); a full one lets more n-grams pass, and no result changes, for
+what counts in the end are the texts and their merged counts.
 
 Defined results: a null text is empty, a null lang is ``und``. A-Z are lower-cased, texts are split at PIECES and pieces at
 spaces and tabs; texts without words add nothing. Texts of any length are read whole, in several shards if need be. Every
@@ -94,17 +95,33 @@ class Shard:
         seeds = {lang: xxh64_intdigest(lang.encode(), SEED) for lang in self.index}
         return np.array([0, *(xxh64_intdigest(w, seeds[lang]) for w, lang in zip(self.words[1:], self.langs[1:]))], np.uint64)
 
-    def text(self, at: int, n: int, ids: np.ndarray) -> str:
-        return b" ".join(self.words[i] for i in ids[at : at + n].tolist()).decode()
+    def pruned(self, frequent: Filter) -> dict:
+        """The shard as a row of SHARDS: rare words are breaks, and breaks beside breaks are gone."""
+        h = self.hashes()
+        keep = frequent.holds(h)
+        keep[0] = False
+        kept = np.flatnonzero(keep)
+        new = np.zeros(len(h), np.int32)
+        new[kept] = np.arange(1, len(kept) + 1)
+        ids = new[np.array(self.ids, np.int64)]
+        ids = ids[np.append(True, (ids[1:] != 0) | (ids[:-1] != 0))]
+        return {"ids": ids.tobytes(), "hashes": h[kept].tobytes(), "words": [self.words[i].decode() for i in kept], "langs": [self.langs[i] for i in kept]}
 
 
 def suffix_array(ids: np.ndarray, starts: np.ndarray, depth: int = LONGEST) -> np.ndarray:
-    """``starts`` in the order of their first ``depth`` words (a power of two), by prefix doubling; ids end in ``depth`` zeros."""
+    """``starts`` in the order of their first ``depth`` words (a power of two), by prefix doubling; ids end in ``depth`` zeros.
+
+    Ranks are made only of the places that the next doubling looks at.
+    """
     rank, known = ids.astype(np.int64), 1
     while known < depth:
-        ahead = np.zeros_like(rank)
-        ahead[:-known] = rank[known:]
-        rank = np.unique(rank * (rank.max(initial=0) + 1) + ahead, return_inverse=True)[1]
+        wanted = np.zeros(len(ids), bool)
+        for ahead in range(0, depth - known, 2 * known):
+            wanted[starts + ahead] = True
+        at = np.flatnonzero(wanted)
+        pair = rank[at] * (rank.max(initial=0) + 1) + rank[at + known]
+        rank = np.zeros_like(rank)
+        rank[at] = np.unique(pair, return_inverse=True)[1] if 2 * known < depth else pair
         known *= 2
     return starts[np.argsort(rank[starts], kind="stable")]
 
@@ -125,30 +142,30 @@ def intervals(lcp: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(lcp)))
 
 
-def shard_grams(shard: Shard, n: int, filters: list[Filter]) -> tuple[list, list]:
+SHARDS = "ids binary, hashes binary, words array<string>, langs array<string>"
+GRAMS = "lang string, phrase string, hash long, count long"
+
+
+def shard_grams(row: dict, n: int, filters: list[Filter]) -> tuple[list, list]:
     """The hashed n-grams of a shard, (hash, count), and the texts of its frequent (n - 1)-grams, (lang, text, count).
 
-    ``filters``: of lengths 1 to n - 1. Beyond LONGEST words only texts are given. The empty phrase counts all words.
+    ``filters``: of lengths 1 to n - 1; that of the words has been used. Beyond LONGEST words only texts are given.
     """
-    ids = np.concatenate([np.array(shard.ids, np.int64), np.zeros(LONGEST, np.int64)])
-    h = shard.hashes()
-    if n == 1:
-        counts, total = np.bincount(ids, minlength=len(h)), dict.fromkeys(shard.index, 0)
-        for lang, c in zip(shard.langs[1:], counts[1:].tolist()):
-            total[lang] += c
-        return [h[1:], counts[1:]], [(lang, "", c) for lang, c in total.items()]
+    ids = np.concatenate([np.frombuffer(row["ids"], np.int32).astype(np.int64), np.zeros(LONGEST, np.int64)])
+    h = np.concatenate([np.zeros(1, np.uint64), np.frombuffer(row["hashes"], np.uint64)])
     # gram[k]: hash of the (k + 1)-gram at each place; live[k]: it has all its words, and the filters hold it
-    gram, live = [h[ids]], [(ids != 0) & filters[0].holds(h)[ids]]
+    gram, live = [h[ids]], [ids != 0]
     for k in range(1, min(n, LONGEST)):
         ahead, after = np.zeros_like(gram[0]), np.zeros_like(live[0])
         ahead[:-k], after[:-1] = gram[0][k:], live[k - 1][1:]
         gram.append(_join(gram[k - 1], ahead))
         both = live[k - 1] & after
         live.append(both & filters[k].holds(gram[k]) if k < n - 1 else both)
-    array = suffix_array(ids, np.nonzero(live[n - 2])[0])
-    lcp = prefixes(ids, array)
+    array = suffix_array(ids, np.flatnonzero(live[n - 2]), 2 if n == 2 else LONGEST)
+    lcp = prefixes(ids, array, min(n, LONGEST))
     first, counts = intervals(lcp, n - 1)
-    texts = [(shard.langs[ids[at]], shard.text(at, n - 1, ids), c) for at, c in zip(array[first].tolist(), counts.tolist())]
+    words, langs = row["words"], row["langs"]
+    texts = [(langs[own[0] - 1], " ".join([words[i - 1] for i in own]), c) for own, c in zip(ids[array[first][:, None] + np.arange(n - 1)].tolist(), counts.tolist())]
     if n > LONGEST:
         return [np.zeros(0, np.uint64), np.zeros(0, np.int64)], texts
     first, counts = intervals(lcp, n)
@@ -156,38 +173,77 @@ def shard_grams(shard: Shard, n: int, filters: list[Filter]) -> tuple[list, list
     return [gram[n - 1][array[first[kept]]], counts[kept]], texts
 
 
-def _pass(docs: DataFrame, n: int, filters: list) -> DataFrame:
-    """(lang, phrase, hash, count): hashes of n-grams, and texts of the (n - 1)-grams that the last filter holds."""
+def _gram_batch(h: np.ndarray, counts: np.ndarray, texts: list):
     import pyarrow as pa
 
+    none = [None] * len(h)
+    hashes = pa.concat_arrays([pa.nulls(len(texts), pa.int64()), pa.array(h.view(np.int64))])
+    numbers = np.concatenate([np.array([t[2] for t in texts], np.int64), counts.astype(np.int64)])
+    return pa.RecordBatch.from_arrays([pa.array([t[0] for t in texts] + none, pa.string()), pa.array([t[1] for t in texts] + none, pa.string()), hashes, pa.array(numbers)], names=["lang", "phrase", "hash", "count"])
+
+
+def _shards(batches, size: int):
+    """The texts of a partition as shards of up to ``size`` words."""
+    import pyarrow as pa
+
+    shard = Shard()
+    for batch in batches:
+        for raw, lang in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("lang").to_pylist()):
+            for piece in raw.lower().translate(_TO_BREAK).split(b"\n"):
+                # white space that is left in a piece is spaces and tabs
+                shard.add(piece.split(), lang)
+                if len(shard.ids) > size:
+                    yield shard
+                    shard.index.clear()  # ids and shard know each other
+                    shard = Shard()
+    if len(shard.words) > 1:
+        yield shard
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(lang, phrase, hash, count): hashes of the words, and of each language the empty phrase with the count of all words."""
     size = SHARD
 
     def run(batches):
         worker_release()
-        held = [Filter(f.value) for f in filters]
+        for shard in _shards(batches, size):
+            h, counts, total = shard.hashes(), np.bincount(np.array(shard.ids, np.int64), minlength=len(shard.words)), dict.fromkeys(shard.index, 0)
+            for lang, c in zip(shard.langs[1:], counts[1:].tolist()):
+                total[lang] += c
+            yield _gram_batch(h[1:], counts[1:], [(lang, "", c) for lang, c in total.items()])
 
-        def out(shard):
-            (h, counts), texts = shard_grams(shard, n, held)
-            langs = [t[0] for t in texts] + [None] * len(h)
-            phrases = [t[1] for t in texts] + [None] * len(h)
-            hashes = pa.concat_arrays([pa.nulls(len(texts), pa.int64()), pa.array(h.view(np.int64))])
-            numbers = np.concatenate([np.array([t[2] for t in texts], np.int64), counts.astype(np.int64)])
-            return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.string()), hashes, pa.array(numbers)], names=["lang", "phrase", "hash", "count"])
+    return docs.mapInArrow(run, GRAMS)
+
+
+def pruned_shards(docs: DataFrame, frequent) -> DataFrame:
+    """SHARDS of the texts without the words that the filter of frequent ones does not hold."""
+    import pyarrow as pa
 
-        shard = Shard()
+    size = SHARD
+
+    def run(batches):
+        worker_release()
+        held = Filter(frequent.value)
+        for shard in _shards(batches, size):
+            row = shard.pruned(held)
+            yield pa.RecordBatch.from_arrays([pa.array([row["ids"]], pa.binary()), pa.array([row["hashes"]], pa.binary()), pa.array([row["words"]], pa.list_(pa.string())), pa.array([row["langs"]], pa.list_(pa.string()))], names=["ids", "hashes", "words", "langs"])
+
+    return docs.mapInArrow(run, SHARDS)
+
+
+def gram_counts(shards: DataFrame, n: int, filters: list) -> DataFrame:
+    """(lang, phrase, hash, count): hashes of n-grams, and texts of the (n - 1)-grams that the last filter holds."""
+
+    def run(batches):
+        worker_release()
+        held = [Filter(f.value) for f in filters]
         for batch in batches:
-            for raw, lang in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("lang").to_pylist()):
-                for piece in raw.lower().translate(_TO_BREAK).split(b"\n"):
-                    # white space that is left in a piece is spaces and tabs
-                    shard.add(piece.split(), lang)
-                    if len(shard.ids) > size:
-                        yield out(shard)
-                        shard.index.clear()  # ids and shard know each other
-                        shard = Shard()
-        if len(shard.words) > 1:
-            yield out(shard)
+            for at in range(batch.num_rows):
+                (row,) = batch.slice(at, 1).to_pylist()
+                (h, counts), texts = shard_grams(row, n, held)
+                yield _gram_batch(h, counts, texts)
 
-    return docs.mapInArrow(run, "lang string, phrase string, hash long, count long")
+    return shards.mapInArrow(run, GRAMS)
 
 
 def _filter(frequent: DataFrame):
@@ -204,17 +260,17 @@ def _filter(frequent: DataFrame):
 def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, f) of every phrase of up to LONGEST words with f >= ``least``; and (lang, n), the words of a language."""
     slim = docs.select(clean_text().alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    filters, found = [], None
-    for n in range(1, LONGEST + 2):
-        counted = _pass(slim, n, filters).groupBy("lang", "phrase", "hash").agg(F.sum("count").alias("f"))
-        merged = stash(counted.where((F.col("f") >= least) | (F.col("phrase") == "")), f"grams{n}")
-        if n == 1:
-            totals = merged.where("phrase = ''").select("lang", F.col("f").alias("n"))
-        else:
-            own = merged.where("phrase is not null").select("lang", "phrase", F.lit(n - 1).alias("size"), "f")
-            found = own if found is None else found.unionByName(own)
+    merge = lambda grams, n: stash(grams.groupBy("lang", "phrase", "hash").agg(F.sum("count").alias("f")).where((F.col("f") >= least) | (F.col("phrase") == "")), f"grams{n}")
+    counted = merge(word_counts(slim), 1)
+    totals = counted.where("phrase = ''").select("lang", F.col("f").alias("n"))
+    filters, found = [_filter(counted.where("phrase is null").select("hash"))], None
+    shards = stash(pruned_shards(slim, filters[0]), "shards")
+    for n in range(2, LONGEST + 2):
+        counted = merge(gram_counts(shards, n, filters), n)
+        own = counted.where("phrase is not null").select("lang", "phrase", F.lit(n - 1).alias("size"), "f")
+        found = own if found is None else found.unionByName(own)
         if n <= LONGEST:
-            filters.append(_filter(merged.where("phrase is null").select("hash")))
+            filters.append(_filter(counted.where("phrase is null").select("hash")))
     return found, totals
 
 

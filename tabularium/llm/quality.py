@@ -8,7 +8,10 @@ the attention-weighted mean of the passages are learnt together from the documen
 
 Defined results: a null text counts as empty, and an empty text is one passage of zeros. With nothing to learn from, or
 one class only, every score is the share of label 1 among the labelled documents there are, else 0.5. Repeated rows are
-scored alike.
+scored alike. Texts of any length are read whole, in as many passages as they have. A score that equals the threshold
+counts as label 1. Of several labels of one doc_id the larger counts, of several texts the one that sorts first is learnt
+from; a null doc_id is scored but not learnt from. Columns besides doc_id, text and the label are ignored, whatever their
+names. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -9,7 +9,13 @@ scoring a word is one number; nothing else about it is kept.
 
 Defined results: a null text counts as empty; a text without words gets the model's score for the zero vector. With
 nothing to learn from, or one class only, every score is the share of toxic documents among those there are, else 0.
-Repeated rows are scored alike.
+Repeated rows are scored alike. Texts of any length are read whole. A score that equals the threshold counts as toxic. Of
+several labels of one doc_id the larger counts, of several texts the one that sorts first is learnt from; a null doc_id is
+scored but not learnt from. Columns besides doc_id, text and the label are ignored, whatever their names. An empty table
+gives an empty result.
+
+A bound besides the sample's: n-grams that fewer than MIN_TEXTS labelled texts hold, or fewer than 1 % of the smaller class,
+are not fitted; their vectors stay zero.
 """
 
 from __future__ import annotations
