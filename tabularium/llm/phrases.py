@@ -31,7 +31,7 @@ SUBSUMED = 80
 #: Characters that end a piece.
 PIECES = b".,;:!?\n\x0b\x0c\r"
 #: Words of a shard.
-SHARD = 1_000_000
+SHARD = 300_000
 #: 64-bit words of a filter of frequent n-grams, 32 MB at most; 16 bits an n-gram below that.
 MOST_WORDS = 1 << 22
 SEED = 42
