@@ -15,7 +15,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .plans import batch, taxonomy
+from .plans import batch, store, taxonomy
 from .session import session
 from .sources import documents, sinks
 
@@ -32,25 +32,27 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--taxonomy", default=None, help="folder of the rule tables; else TAXONOMY_FILE, else config/taxonomy")
     p.add_argument("--taxonomy-kind", default="json", choices=["json", "csv", "parquet"])
     p.add_argument("--output", required=True)
+    p.add_argument("--store", help="folder of decoded documents: what it has under the same rules is not decoded again")
     p.add_argument("--kind", default="parquet", choices=["parquet", "csv", "json", "jsonl", "xlsx"])
     p.add_argument("--classify-pages", type=int, default=3, help="pages that classify mode reads; 0: all")
     p.add_argument("--preclassify-pages", type=int, default=3, help="pages that decide whether a document is read in full; 0: always")
     return p.parse_args(argv)
 
 
-def read_pages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+def read_pages(spark: SparkSession, args: argparse.Namespace, rules: taxonomy.Compiled) -> tuple[DataFrame, DataFrame | None]:
+    """The pages, and the files that were not read because another has their bytes."""
     if args.pages:
-        return spark.read.parquet(args.pages)
+        return spark.read.parquet(args.pages), None
     if not args.decoder or not args.input:
         raise SystemExit("give --pages, or --input and --decoder")
     module, name = args.decoder.split(":")
-    decode = getattr(importlib.import_module(module), name)
+    extract = getattr(importlib.import_module(module), name)
     if args.mode == "document":
         read = spark.read.format("binaryFile").load(args.input[0]).select("path", "content")
-    else:
-        read = documents.contents(documents.files(spark, *args.input, pattern=args.pattern), *args.input, pattern=args.pattern)
-    hashed = read.select("path", F.sha2("content", 256).alias("hash_arquivo"))
-    return documents.pages(read, decode).withColumn("doc_id", F.col("path")).join(hashed, "path")
+        hashed = read.select("path", F.sha2("content", 256).alias("hash_arquivo"))
+        return documents.pages(read, extract).withColumn("doc_id", F.col("path")).join(hashed, "path"), None
+    kept = store.Store(spark, args.store, store.signature(rules)) if args.store else None
+    return store.read_files(spark, args.input, extract, args.pattern, kept)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -60,8 +62,12 @@ def main(argv: list[str] | None = None) -> int:
     tables = taxonomy.load(spark, args.taxonomy or taxonomy.resolve("."), args.taxonomy_kind)
     taxonomy.check(spark, tables)
     rules = taxonomy.compile_rules(tables)
+    for fault in rules.faults:
+        log.warning("regra em quarentena: %s", fault)
+    if args.mode == "extract":
+        taxonomy.check_output_model(tables)
     try:
-        pages = read_pages(spark, args)
+        pages, copies = read_pages(spark, args, rules)
     except Exception as error:
         if args.mode != "document" or "PATH_NOT_FOUND" not in str(error):
             raise
@@ -69,11 +75,11 @@ def main(argv: list[str] | None = None) -> int:
         return 1
     stamp = datetime.now(UTC).strftime("%d/%m/%Y %H:%M:%S")
     if args.mode == "classify":
-        made = {"classification_report": batch.classify_batch(pages, rules, args.classify_pages)}
+        made = {"classification_report": batch.classify_batch(pages, rules, args.classify_pages, copies)}
         made["classification_report"].write.mode("overwrite").option("header", "true").format("csv" if args.kind in ("csv", "xlsx") else "parquet").save(args.output)
         counts = made["classification_report"].groupBy("status").count().collect()
     else:
-        made = batch.run(pages, rules, args.preclassify_pages if args.mode == "extract" else 0)
+        made = batch.run(pages, rules, args.preclassify_pages if args.mode == "extract" else 0, taxonomy.output_tabs(tables) if args.mode == "extract" else None, copies)
         report = made.pop("resumo").persist()
         counts = report.groupBy("status").count().collect()
         if args.mode == "document":

@@ -8,10 +8,6 @@ from functools import cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Put before a rule's pattern: ignore case, let only \n end lines, and use Unicode classes, as the rules expect.
-FLAGS = "(?idU)"
-DOTALL_FLAGS = "(?idsU)"
-
 # Markers of an empty configuration cell and of a measure that is not there.
 CONFIG_MARKERS = ["na", "nan", "none", "nao_aplicavel", "nao_se_aplica", "nao_aplica"]
 MEASURE_MARKERS = ["", "NA", "ND", "N/A", "NAN"]
@@ -95,16 +91,6 @@ def scaled_number(x: Column) -> Column:
     return F.when(F.rlike(t, F.lit(pattern)), number * F.pow(F.lit(10.0), F.coalesce(power, F.lit(0))))
 
 
-def first_group(text: Column, pattern: str, group: int = 1) -> Column:
-    """First match's group across lines, collapsed; null without a match."""
-    p = DOTALL_FLAGS + pattern
-    return F.when(F.rlike(text, F.lit(p)), collapse(F.regexp_extract(text, p, group)))
-
-
 def text_hash(text: Column) -> Column:
     return F.sha2(F.lower(collapse(F.coalesce(text, F.lit("")))), 256)
 
-
-def java_pattern(pattern: str) -> str:
-    """A Python pattern in Java's dialect."""
-    return FLAGS + pattern.replace("(?P<", "(?<").replace(r"\Z", r"\z")

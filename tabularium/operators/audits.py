@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean, collapse, fold, java_pattern
+from ..functions.patterns import Rule, rule
+from ..functions.text import clean, collapse, fold, nonblank
 from ..plans.contracts import LAYOUT_FIELDS
 from .rows import MEASURED, RuleSet, base_layout, by_template, header_field, is_header, layout_in_force
+from .sections import judged, known, note_of
 
 # How a page's text names the columns of a table whose header is not in the table.
 PAGE_HEADER = {
@@ -46,23 +48,32 @@ def page_headers(tables: DataFrame, keys: list[str]) -> DataFrame:
     return best.select(*keys, F.col("m.titulo").alias("titulo"), F.transform(F.array_sort(F.col("m.achados")), lambda x: x["campo"]).alias("nomeados"))
 
 
-def confident(rows: Column, at: Column, wanted: Column) -> Column:
-    """Whether enough of a table's rows reach the wanted columns, and have a result where ``at`` puts it."""
+def confidence(rows: Column, at: Column, wanted: Column) -> Column:
+    """struct(sure, detalhe): whether enough of a table's rows reach the wanted columns and have a result where ``at`` puts it."""
     data = F.filter(rows, lambda r: F.exists(r, lambda c: F.coalesce(collapse(c) != "", F.lit(False))))
     last = F.array_max(F.transform(F.filter(wanted, lambda f: F.map_contains_key(at, f)), lambda f: F.try_element_at(at, f)))
-    share = lambda cond: F.size(F.filter(data, cond)) >= F.size(data) * CONFIDENT
     value = F.try_element_at(at, F.lit("resultado"))
-    valued = value.isNull() | share(lambda r: F.rlike(F.coalesce(F.get(r, value), F.lit("")), F.lit(MEASURED)))
-    return F.coalesce((F.size(data) > 0) & share(lambda r: F.size(r) > last) & valued, F.lit(False))
+    wide = lambda d, end: F.size(F.filter(d, lambda r: F.size(r) > end))
+    valued = lambda d, v: F.coalesce(F.size(F.filter(d, lambda r: F.rlike(F.coalesce(F.get(r, v), F.lit("")), F.lit(MEASURED)))), F.lit(0))
+    facts = F.transform(F.array(F.struct(data.alias("d"), last.alias("fim"), value.alias("v"))), lambda x: F.struct(F.size(x["d"]).alias("n"), x["fim"].alias("fim"), x["v"].alias("v"), wide(x["d"], x["fim"]).alias("w"), F.when(x["v"].isNotNull(), valued(x["d"], x["v"])).otherwise(0).alias("r")))
+
+    def judge(x: Column) -> Column:
+        sure = (x["n"] > 0) & (x["w"] >= x["n"] * CONFIDENT) & (x["v"].isNull() | (x["r"] >= x["n"] * CONFIDENT))
+        of = lambda k, said: [x[k].cast("string"), F.lit("/"), x["n"].cast("string"), F.lit(said)]
+        told = F.concat(F.lit("Compatibilidade do layout: "), *of("w", " linhas com colunas suficientes; "), *of("r", " linhas com valor na coluna de resultado."))
+        detail = F.when(x["fim"].isNull(), "Layout sem posicoes cadastradas para os campos esperados.").when(x["n"] == 0, "Tabela sem linhas de dados avaliaveis.").otherwise(told)
+        return F.struct(F.coalesce(sure, F.lit(False)).alias("sure"), detail.alias("detalhe"))
+
+    return F.transform(facts, judge)[0]
 
 
 def table_audit(states: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
-    """Header, mapped, unmapped and absent columns, and status of each table that is read (``states``: ``rows.sections``)."""
+    """Header, mapped, unmapped and absent columns, status and remarks of each table that is read (``states``: ``rows.sections``)."""
     keys = ["doc_id", "page_no", "tabela_indice"]
-    tables = states.where(F.col("lida") & (F.col("linha") == 0)).withColumn("esperados", expected_fields(rules))
+    tables = states.where(F.col("linha") == 0).withColumn("esperados", expected_fields(rules))
     header = F.try_element_at(F.filter(F.slice("linhas", 1, 3), is_header), F.lit(1))
     tables = tables.withColumn("cab", header).withColumn("proprio", F.coalesce(F.col("vigente.tipo") == F.col("tipo_registro"), F.lit(False)))
-    shown = ["categoria", "subcategoria", "tipo_registro", "local"]
+    shown, none, mode = ["categoria", "subcategoria", "tipo_registro"], F.lit(None).cast("string"), F.lit("contrato_e_descoberta").alias("modo_auditoria")
     texts = lambda x: F.array_join(x, "; ")
 
     # the table has a header: which columns it maps
@@ -76,9 +87,11 @@ def table_audit(states: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
     some, gone = F.size("sem") > 0, F.size("ausentes") > 0
     status = F.when(some & gone, "alerta_descoberta_com_opcional_ausente").when(some, "alerta_descoberta").when(gone, "ok_com_opcional_ausente").otherwise("ok")
     mapped = texts(F.transform(F.filter("nomes", lambda x: x["f"].isNotNull()), lambda x: F.concat(x["c"], F.lit(" -> "), x["f"])))
+    said = lambda before, x: F.concat(F.lit(before), x, F.lit("."))
+    remarks = F.concat_ws(" ", F.when(gone, said("Campos esperados ausentes no cabecalho: ", texts(F.col("ausentes")))), F.when(some, said("Colunas sem mapeamento: ", texts(F.col("sem")))), F.when(F.col("continua").isNotNull(), F.lit("Tabela reconhecida como continuacao de QA/QC.")))
     with_header = own.select(
-        *keys, *shown, F.array_join("colunas", " | ").alias("cabecalho_detectado"), mapped.alias("colunas_mapeadas"), texts(F.col("sem")).alias("colunas_sem_mapeamento"),
-        texts(F.col("esperados")).alias("campos_esperados"), texts(F.col("ausentes")).alias("campos_opcionais_ausentes"), F.lit(False).alias("usou_fallback"), status.alias("status"),
+        *keys, *shown, mode, F.array_join("colunas", " | ").alias("cabecalho_detectado"), texts(F.col("colunas")).alias("colunas_detectadas"), mapped.alias("colunas_mapeadas"), texts(F.col("sem")).alias("colunas_sem_mapeamento"),
+        texts(F.col("esperados")).alias("campos_esperados"), none.alias("campos_obrigatorios_ausentes"), texts(F.col("ausentes")).alias("campos_opcionais_ausentes"), F.lit(False).alias("usou_fallback"), status.alias("status"), F.nullif(remarks, F.lit("")).alias("observacao"),
     )
 
     # it has none: the page's text may name the columns, else the layout in force tells
@@ -88,48 +101,101 @@ def table_audit(states: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
     place = F.map_from_entries(F.transform("nomeados", lambda f, i: F.struct(f, i)))
     first = F.create_map(F.lit("parameter"), F.lit(0))
     bare = bare.withColumn("at", F.when(by_page, place).otherwise(F.map_concat(first, F.map_filter(layout_in_force(rules), lambda k, v: k != "parameter"))))
-    sure = confident(F.col("linhas"), F.col("at"), F.coalesce("nomeados", "esperados"))
+    bare = bare.withColumn("confia", confidence(F.col("linhas"), F.col("at"), F.coalesce("nomeados", "esperados")))
+    sure = F.col("confia.sure")
     named_by_text = F.col("titulo").isNotNull()
     status = F.when(named_by_text & sure, "fallback_cabecalho_texto_layout_confiavel").when(named_by_text, "fallback_cabecalho_texto_layout_incompleto").when(sure, "fallback_layout_confiavel").otherwise("fallback")
     placed = F.transform(F.array_sort(F.transform(F.map_entries("at"), lambda e: F.struct(e["value"].alias("v"), e["key"].alias("k")))), lambda e: e["k"])
-    none = F.lit(None).cast("string")
+    heading = F.nullif(collapse(F.col("titulo")), F.lit(""))
+    remarks = F.concat_ws(
+        " ", F.lit("Tabela processada sem cabecalho detectado na malha extraida pelo PDF."), F.when(named_by_text, said("Cabecalho contextual encontrado no texto da pagina: ", heading)),
+        F.when(named_by_text, said("Campos encontrados no texto da pagina: ", texts(F.col("nomeados")))), F.col("confia.detalhe"), F.lit("Foi usado o layout cadastrado na taxonomia."),
+    )
     without = bare.select(
-        *keys, *shown, F.nullif(collapse(F.col("titulo")), F.lit("")).alias("cabecalho_detectado"), none.alias("colunas_mapeadas"), none.alias("colunas_sem_mapeamento"),
-        texts(F.coalesce("nomeados", placed)).alias("campos_esperados"), none.alias("campos_opcionais_ausentes"), F.lit(True).alias("usou_fallback"), status.alias("status"),
+        *keys, *shown, mode, heading.alias("cabecalho_detectado"), none.alias("colunas_detectadas"), none.alias("colunas_mapeadas"), none.alias("colunas_sem_mapeamento"),
+        texts(F.coalesce("nomeados", placed)).alias("campos_esperados"), none.alias("campos_obrigatorios_ausentes"), none.alias("campos_opcionais_ausentes"), F.lit(True).alias("usou_fallback"), status.alias("status"), remarks.alias("observacao"),
     )
     return with_header.unionByName(without).withColumnRenamed("page_no", "pagina")
 
 
-def known_sections(docs: DataFrame, sections: dict[str, tuple[list[str], list[str]]], extracted: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Status of each section (name -> title patterns, patterns to ignore) in each document.
+# What the section audit says of a status.
+SECTION_NOTES = {
+    "ok": "Secao reconhecida e dados extraidos.",
+    "ignorada": "Secao encontrada apenas com conteudo explicitamente ignorado pela taxonomia.",
+    "encontrada_sem_extracao": "A secao foi encontrada, mas nenhum registro foi gerado.",
+    "extraida_sem_titulo": "Foram gerados registros sem localizar a regra de inicio da secao.",
+    "ausente": "Secao opcional nao encontrada no documento.",
+    "tabela_nao_mapeada": "Estrutura tabular sem correspondencia nas regras conhecidas da taxonomia.",
+}
+SECTION_HIT = "array<struct<secao:string,achados:array<struct<regra:int,pos:int,titulo:string,padrao:string>>,ignora:boolean>>"
+SECTION_COLUMNS = ["pagina", "tabela_indice", "objeto_tipo", "secao", "titulo_detectado", "modo_auditoria", "regra_encontrada", "ocorrencias_detectadas", "registros_extraidos", "status", "observacao"]
 
-    ``extracted``: (key, secao, registros), the records that each section gave.
-    """
-    body = F.coalesce(F.col(text), F.lit(""))
 
-    def count(patterns: list[str]) -> Column:
-        found = F.lit(0)
-        for p in patterns:
-            found = found + F.regexp_count(body, F.lit(java_pattern(p)))
-        return found
+def known_sections(pages: DataFrame, sections: dict, extracted: DataFrame, key: str = "doc_id", text: str = "text", page: str = "page_no") -> DataFrame:
+    """Each section (name -> title patterns, patterns to ignore) in each document: where its title is met first and by which rule.
 
-    each = [F.struct(F.lit(name).alias("secao"), count(titles).cast("long").alias("ocorrencias"), (count(ignored) > 0).alias("ignorada")) for name, (titles, ignored) in sections.items()]
-    rows = docs.select(key, F.explode(F.array(*each)).alias("s")).select(key, "s.*").join(extracted, [key, "secao"], "left")
+    ``sections`` is such a mapping, or one for each template. ``extracted``: (key, secao, registros), the records that each
+    section gave. A match carries its rule, page, place and title; ``min`` by page picks the first, so that nothing but
+    the matches is shuffled. Without a column ``page`` everything is on page 1.
+    """
+    body, at = F.coalesce(F.col(text), F.lit("")), F.col(page) if page in pages.columns else F.lit(1)
+    per_template = bool(sections) and all(isinstance(v, dict) for v in sections.values())
+
+    def titles_of(i: int, r: Rule) -> Column:
+        return F.transform(r.wholes(body), lambda m, k: F.struct(F.lit(i).alias("regra"), k.alias("pos"), clean(m, 300).alias("titulo"), F.lit(r.pattern).alias("padrao")))
+
+    def hits(own: list) -> Column:
+        each = []
+        for name, (titles, ignored) in own:
+            found = [titles_of(i, r) for i, r in enumerate(map(rule, titles))]
+            matched = F.filter(F.concat(*found), lambda m: m["titulo"].isNotNull()) if found else F.array()
+            skip = F.lit(False)
+            for p in ignored:
+                skip = skip | rule(p).found(body)
+            each.append(F.struct(F.lit(name).alias("secao"), matched.cast("array<struct<regra:int,pos:int,titulo:string,padrao:string>>").alias("achados"), skip.alias("ignora")))
+        return (F.array(*each) if each else F.array()).cast(SECTION_HIT)
+
+    by = {t: [*own.items()] for t, own in sections.items()} if per_template else [*sections.items()]
+    rows = pages.select(key, at.alias("pagina"), F.explode(judged(by, hits, F.array().cast(SECTION_HIT))).alias("s")).select(key, "pagina", "s.*")
+    first = F.min(F.when(F.size("achados") > 0, F.struct("pagina", F.col("achados")[0].alias("m")))).alias("f")
+    met = rows.groupBy(key, "secao").agg(F.sum(F.size("achados")).cast("long").alias("ocorrencias"), F.max("ignora").alias("ignorada"), first).join(extracted, [key, "secao"], "left")
     n, seen = F.coalesce("registros", F.lit(0)).cast("long"), F.col("ocorrencias") > 0
-    status = F.when(seen & (n > 0), "ok").when(seen & F.col("ignorada"), "nao_aplicavel").when(seen, "encontrada_sem_extracao").when(n > 0, "extraida_sem_titulo").otherwise("nao_aplicavel")
-    return rows.select(key, "secao", "ocorrencias", n.alias("registros"), status.alias("status"))
+    why = F.when(seen & (n > 0), "ok").when(seen & F.col("ignorada"), "ignorada").when(seen, "encontrada_sem_extracao").when(n > 0, "extraida_sem_titulo").otherwise("ausente")
+    told = met.withColumn("registros", n).withColumn("status", why).withColumn("observacao", note_of(SECTION_NOTES))
+    status = F.when(F.col("status").isin("ignorada", "ausente"), "nao_aplicavel").otherwise(F.col("status"))
+    return told.select(
+        key, F.col("f.pagina").alias("pagina"), F.lit(None).cast("int").alias("tabela_indice"), F.lit("secao").alias("objeto_tipo"), "secao", F.col("f.m.titulo").alias("titulo_detectado"), F.lit("conhecida").alias("modo_auditoria"),
+        F.col("f.m.padrao").alias("regra_encontrada"), F.col("ocorrencias").alias("ocorrencias_detectadas"), F.col("registros").alias("registros_extraidos"), status.alias("status"), "observacao",
+    )
 
 
-def unmapped_tables(pages: DataFrame, audited: DataFrame, known: list[str], key: str = "doc_id") -> DataFrame:
-    """Tables that no audit row and no known pattern explains: two rows or more with two filled cells or more.
+def discovered_headings(found: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Audit rows of ``sections.headings``."""
+    none = F.lit(None).cast("string")
+    said = F.concat(F.lit("Possivel titulo sem regra na taxonomia; paginas: "), F.array_join(F.col("paginas").cast("array<string>"), ", "), F.lit("."))
+    return found.select(
+        key, "pagina", F.lit(None).cast("int").alias("tabela_indice"), F.lit("secao").alias("objeto_tipo"), none.alias("secao"), F.col("original").alias("titulo_detectado"), F.lit("descoberta").alias("modo_auditoria"), none.alias("regra_encontrada"),
+        F.col("ocorrencias").alias("ocorrencias_detectadas"), F.lit(0).cast("long").alias("registros_extraidos"), F.lit("secao_nao_mapeada").alias("status"), said.alias("observacao"),
+    )
+
 
-    ``pages``: key, page_no, tables; ``audited``: key, page_no, tabela_indice.
+def unmapped_tables(pages: DataFrame, audited: DataFrame, patterns: list[str] | dict[str, list[str]], key: str = "doc_id") -> DataFrame:
+    """Audit rows of tables that no audit row and no known pattern explains: two rows or more with two filled cells or more.
+
+    ``pages``: key, page_no, tables; ``audited``: key, page_no, tabela_indice. Patterns are tried on the table's text as it
+    stands and folded. The tables are filtered by their own content before they meet the audit.
     """
-    tables = pages.select(key, "page_no", F.posexplode("tables").alias("i", "linhas")).withColumn("tabela_indice", F.col("i") + 1)
-    cells = F.transform("linhas", lambda r: F.transform(F.coalesce(r, F.array().cast("array<string>")), lambda c: F.coalesce(clean(c, 300), F.lit(""))))
+    by = ["template_id"] if isinstance(patterns, dict) else []
+    tables = pages.select(key, *by, "page_no", F.posexplode("tables").alias("i", "linhas")).withColumn("tabela_indice", F.col("i") + 1)
+    cells = F.transform("linhas", lambda r: F.transform(F.coalesce(r, F.array().cast("array<string>")), lambda c: F.coalesce(nonblank(c), F.lit(""))))
     full = F.filter(cells, lambda r: F.size(F.filter(r, lambda c: c != "")) >= 2)
-    text = clean(F.array_join(F.flatten(cells), " "), 2000)
-    rows = tables.join(audited, [key, "page_no", "tabela_indice"], "left_anti").select(key, "page_no", "tabela_indice", text.alias("texto"), full.alias("cheias")).where(F.col("texto").isNotNull() & (F.size("cheias") >= 2))
-    for p in known:
-        rows = rows.where(~F.rlike("texto", F.lit(java_pattern(p))))
-    return rows.select(key, "page_no", "tabela_indice", F.array_join(F.col("cheias")[0], " | ").substr(1, 300).alias("titulo_detectado"), F.lit("tabela_nao_mapeada").alias("status"))
+    shortened = F.transform(F.flatten(cells), lambda c: c.substr(1, 300))
+    rows = tables.select(key, *by, "page_no", "tabela_indice", clean(F.array_join(shortened, " "), 2000).alias("texto"), full.alias("cheias")).where(F.col("texto").isNotNull() & (F.size("cheias") >= 2))
+    rows = rows.where(~judged(patterns, lambda p: known(p, F.col("texto"), fold(F.col("texto"))), F.lit(False)))
+    rows = rows.join(audited, [key, "page_no", "tabela_indice"], "left_anti")
+    title = clean(F.array_join(F.transform(F.col("cheias")[0], lambda c: c.substr(1, 300)), " | "), 300)
+    none = F.lit(None).cast("string")
+    return rows.select(
+        key, F.col("page_no").alias("pagina"), "tabela_indice", F.lit("tabela").alias("objeto_tipo"), none.alias("secao"), title.alias("titulo_detectado"), F.lit("descoberta").alias("modo_auditoria"), none.alias("regra_encontrada"),
+        F.lit(1).cast("long").alias("ocorrencias_detectadas"), F.lit(0).cast("long").alias("registros_extraidos"), F.lit("tabela_nao_mapeada").alias("status"), F.lit(SECTION_NOTES["tabela_nao_mapeada"]).alias("observacao"),
+    )

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import java_pattern
+from ..functions.patterns import java_pattern, literal_text, literals
 
 
 @dataclass(frozen=True)
@@ -51,9 +51,9 @@ def _first(labels: list[tuple[Column, str]]) -> Column:
     return F.coalesce(F.lit(None).cast("string"), *(F.when(c, F.lit(name)) for c, name in labels))
 
 
-def template_score(template: Template, rules: list[DetectionRule], hits: str) -> Column:
-    """struct(template_id, score, score_minimo, prioridade, status, matched) from ``hits``, a column of one boolean a rule."""
-    own = [(r, F.col(hits)[i]) for i, r in enumerate(rules) if r.template_id == template.template_id]
+def template_score(template: Template, rules: list[DetectionRule], hits: list[Column]) -> Column:
+    """struct(template_id, score, score_minimo, prioridade, status, matched) from ``hits``, one boolean for each rule."""
+    own = [(r, hit) for r, hit in zip(rules, hits) if r.template_id == template.template_id]
     of = lambda kind: [(r, hit) for r, hit in own if r.rule_type == kind]
     none = F.array().cast("array<string>")
     missing = _first([(~hit, r.label) for r, hit in of("required")])
@@ -80,16 +80,36 @@ def template_score(template: Template, rules: list[DetectionRule], hits: str) ->
     )
 
 
+#: Rules whose outcomes share a column, one bit each.
+BITS = 62
+
+
+def prefiltered(r: DetectionRule, body: Column, plain: Column, where: Column) -> Column:
+    """Whether a rule's pattern is met; it is tried only on texts that hold one of the literals that it cannot do without."""
+    hit = F.coalesce(F.rlike(haystack(r.source, body, where), F.lit(java_pattern(r.regex))), F.lit(False))
+    needed = literals(r.regex) if r.source == "text" else None
+    if not needed:
+        return hit
+    return F.when(reduce(Column.__or__, (F.contains(plain, F.lit(x)) for x in needed)), hit).otherwise(F.lit(False))
+
+
 def classify(docs: DataFrame, templates: list[Template], rules: list[DetectionRule], text: str = "text", path: str | None = None) -> DataFrame:
     """``docs`` with ``scores`` (one struct a template, the winner marked) and ``template_id`` (null: out of scope).
 
-    Every rule's pattern is evaluated once a document, into an array of booleans that all else is derived from.
+    Every rule's pattern stands once in the plan: outcomes are bits of a few long values that a generator of one row gives,
+    for what a generator gives is neither repeated where it is used nor moved below it with a filter. Patterns meet only
+    texts with one of their literals.
     """
     where = F.coalesce(F.col(path), F.lit("")) if path else F.lit("")
     body = F.coalesce(F.col(text), F.lit(""))
-    hit = [F.coalesce(F.rlike(haystack(r.source, body, where), F.lit(java_pattern(r.regex))), F.lit(False)) for r in rules]
-    found = docs.withColumn("__hits", F.array(*hit) if hit else F.array().cast("array<boolean>"))
-    scored = found.withColumn("__scores", F.array(*(template_score(t, rules, "__hits") for t in templates))).drop("__hits")
+    masks = {}
+    for at in range(0, len(rules), BITS):
+        own = rules[at : at + BITS]
+        bits = [F.when(prefiltered(r, body, F.col("__plain"), where), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, r in enumerate(own)]
+        masks[f"h{at // BITS}"] = reduce(Column.bitwiseOR, bits)
+    found = docs.withColumn("__plain", literal_text(body)).select("*", F.explode_outer(F.array(F.struct(*(m.alias(n) for n, m in masks.items())))).alias("__hits")).drop("__plain") if masks else docs
+    hits = [F.getbit(F.col(f"__hits.h{i // BITS}"), F.lit(i % BITS)) == 1 for i in range(len(rules))]
+    scored = found.withColumn("__scores", F.array(*(template_score(t, rules, hits) for t in templates))).drop("__hits")
     candidates = F.filter("__scores", lambda s: s["status"] == "candidate")
     best = F.array_max(F.transform(candidates, lambda s: F.struct(s["score"], (-s["prioridade"]).alias("p"), s["template_id"])))
     won = scored.withColumn("template_id", best["template_id"])
@@ -99,7 +119,8 @@ def classify(docs: DataFrame, templates: list[Template], rules: list[DetectionRu
 
 def classification_audit(classified: DataFrame, *keys: str) -> DataFrame:
     """One row for each document and template, rejected documents included."""
-    rows = classified.select(*keys, F.explode("scores").alias("s"))
+    # an outer generator: for the other kind the optimizer adds a filter that repeats all of ``scores``
+    rows = classified.select(*keys, F.explode_outer("scores").alias("s")).where("s.template_id is not null")
     return rows.select(*keys, "s.template_id", "s.score", "s.score_minimo", "s.prioridade", "s.status", F.array_join("s.matched", "; ").alias("regras"))
 
 

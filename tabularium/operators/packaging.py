@@ -7,14 +7,14 @@ sample that a page names is good for the pages after it until some rows are foun
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import DOTALL_FLAGS, nonblank
-from .rows import row_text
+from ..functions.patterns import rule
+from ..functions.text import nonblank
+from .rows import first_of, row_text
 
 COLUMNS = ["id_amostra", "identificacao_amostra", "embalagem", "volume", "preservacao", "metodos"]
 CELLS = ["embalagem", "volume", "preservacao", "metodos"]
@@ -37,25 +37,20 @@ class PackagingRules:
         return all((self.section_start, self.table_header, self.container_value, self.volume_value))
 
 
-def _pattern(p: str) -> str:
-    return DOTALL_FLAGS + p.replace("(?P<", "(?<")
-
-
 def any_of(patterns: tuple[str, ...], text: Column) -> Column:
     found = F.lit(False)
     for p in patterns:
-        found = found | F.coalesce(F.rlike(text, F.lit(_pattern(p))), F.lit(False))
+        found = found | F.coalesce(rule(p).found(text), F.lit(False))
     return found
 
 
 def named_sample(patterns: tuple[str, ...], text: Column) -> Column:
     """What the first pattern that matches says: its first group, or the whole match where that is empty."""
     found = None
-    for p in patterns:
-        whole = F.regexp_extract(text, _pattern(p), 0)
-        value = F.coalesce(F.nullif(F.regexp_extract(text, _pattern(p), 1), F.lit("")), whole) if re.compile(p).groups else whole
-        cond = F.rlike(text, F.lit(_pattern(p)))
-        found = F.when(cond, nonblank(value)) if found is None else found.when(cond, nonblank(value))
+    for r in map(rule, patterns):
+        whole = F.regexp_extract(text, r.java, 0)
+        value = nonblank(F.coalesce(F.nullif(F.regexp_extract(text, r.java, 1), F.lit("")), whole) if r.groups else whole)
+        found = F.when(r.found(text), value) if found is None else found.when(r.found(text), value)
     return F.lit(None).cast("string") if found is None else found
 
 
@@ -73,23 +68,20 @@ def table_facts(rules: PackagingRules, rows: Column, in_text: Column) -> Column:
     return F.struct(section.alias("propria"), header.alias("cabecalho"), F.when(header.isNotNull(), F.try_element_at(named, F.lit(1))).alias("acima"), usable.alias("validas"))
 
 
-def _one(pages: DataFrame, rules: PackagingRules) -> DataFrame:
-    body = F.coalesce(F.col("text"), F.lit(""))
-    tables = F.transform(F.coalesce("tables", F.array().cast("array<array<array<string>>>")), lambda t: F.transform(F.coalesce(t, F.array().cast("array<array<string>>")), lambda r: F.coalesce(r, F.array().cast("array<string>"))))
-    read = pages.select("doc_id", "page_no", any_of(rules.section_start, body).alias("inicia"), named_sample(rules.sample_identification, body).alias("aqui"), any_of(rules.table_header, body).alias("no_texto"), tables.alias("t"))
-    return read.withColumn("t", F.transform("t", lambda rows: table_facts(rules, rows, F.col("no_texto"))).cast(TABLE))
-
-
 def extract_packaging(pages: DataFrame, rules: dict[str, PackagingRules]) -> DataFrame:
-    """Container rows (doc_id, COLUMNS, in order of pagina, tabela_indice, linha) of ``pages`` (doc_id, template_id, page_no, text, tables)."""
-    found = None
-    for template, own in rules.items():
-        if own.complete():
-            part = _one(pages.where(F.col("template_id") == template), own)
-            found = part if found is None else found.unionByName(part)
-    if found is None:
+    """Container rows (doc_id, COLUMNS, in order of pagina, tabela_indice, linha) of ``pages`` (doc_id, template_id, page_no, text, tables).
+
+    The pages are read once; each is judged by its own template's rules.
+    """
+    own = {t: r for t, r in rules.items() if r.complete()}
+    if not own:
         nothing = [F.lit(None).cast("string").alias(c) for c in COLUMNS]
         return pages.limit(0).select("doc_id", F.col("page_no").alias("pagina"), F.lit(0).alias("tabela_indice"), F.lit(0).alias("linha"), *nothing)
+    body = F.coalesce(F.col("text"), F.lit(""))
+    by = lambda make: first_of([(F.col("template_id") == t, make(r)) for t, r in own.items()], None)
+    tables = F.transform(F.coalesce("tables", F.array().cast("array<array<array<string>>>")), lambda t: F.transform(F.coalesce(t, F.array().cast("array<array<string>>")), lambda r: F.coalesce(r, F.array().cast("array<string>"))))
+    read = pages.where(F.col("template_id").isin([*own])).select("doc_id", "template_id", "page_no", by(lambda r: any_of(r.section_start, body)).alias("inicia"), by(lambda r: named_sample(r.sample_identification, body)).alias("aqui"), by(lambda r: any_of(r.table_header, body)).alias("no_texto"), tables.alias("t"))
+    found = read.withColumn("t", by(lambda r: F.transform("t", lambda rows: table_facts(r, rows, F.col("no_texto"))).cast(TABLE)))
     gives = lambda active: F.exists("t", lambda t: (F.size(t["validas"]) > 0) & F.when(t["cabecalho"].isNotNull(), active | t["propria"]).otherwise(active))
     order = Window.partitionBy("doc_id").orderBy("page_no")
     staged = found.withColumn("espera", F.coalesce(F.lag(F.col("inicia") & ~gives(F.lit(True))).over(order), F.lit(False)))

@@ -1,17 +1,15 @@
 """Sections and result rows of page tables, as DataFrame stages.
 
-1. ``events`` explodes pages into their tables and rows and marks them: what a row's text says of the section (patterns of
-   the rules, as columns), whether it is a header, which quality-control continuation a table's first row names. What a
-   page's text leaves to the next page becomes an event at that page's start.
-2. ``carried`` carries the section over a document's events by windows: the last section named, the quality-control type,
-   and the last header's layout. A general title leaves a section with a subcategory as it is; that is a matter of runs
-   of the same category, so it takes no fold.
-3. ``sections`` settles which tables are read. Titles and headers inside a table count only if it is read, and that may
-   hang on what earlier tables said, so stages 2 and 3 are repeated until no table changes: each round is right for at
-   least one more table of every document, and documents as they are settle in the first or second.
-4. ``result_rows`` filters and projects the rows of the tables that are read.
-
-Everything is partitioned by document; a document is bounded. Rules are configuration and become literal patterns.
+1. ``events`` takes from the pages what can change the section: a small struct for each page, each table, each row that names
+   a section or is a header, and each page whose text names a section for the next one. Cells stay where they are.
+2. ``folded`` gathers a document's events in order and folds them once: the section named last, the quality-control type,
+   the layout of the last header, the report's code, and which tables are read. Titles and headers inside a table count
+   only if it is read, which hangs on what came before; a fold knows that when it gets there.
+3. ``sections`` joins what was in force, by ranges of rows, with the tables that are read.
+4. ``result_rows`` filters and projects their rows.
+
+Everything is partitioned by document; the events of a document are bounded by its tables. Rules are configuration and
+become literal patterns.
 """
 
 from __future__ import annotations
@@ -23,10 +21,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import cell, collapse, fold, java_pattern
+from ..functions.patterns import line_rule
+from ..functions.text import cell, collapse, fold
 from ..plans.contracts import LAYOUT_FIELDS
-from ..sources.scratch import settle
-from .sections import report_code
+from .sections import LINE_ENDS, report_code
 
 # Header words, header cells, and lines that are no results.
 HEADER_FIRST, HEADER_SECOND = ["analise", "parametros"], ["resultado", "numero do cq", "unidade"]
@@ -75,11 +73,13 @@ class RuleSet:
 
 
 def matches(text: Column, pattern: str) -> Column:
-    return F.rlike(text, F.lit(java_pattern(pattern)))
+    return line_rule(pattern).found(text)
 
 
-def first_of(options: list[tuple[Column, Column]], kind: str) -> Column:
-    """The value of the first condition that holds, else null."""
+def first_of(options: list[tuple[Column, Column]], kind: str | None) -> Column:
+    """The value of the first condition that holds, else null; ``kind`` None: of the values' own type."""
+    if kind is None:
+        return F.coalesce(*(F.when(c, v) for c, v in options))
     return F.coalesce(F.lit(None).cast(kind), *(F.when(c, v.cast(kind)) for c, v in options))
 
 
@@ -128,21 +128,26 @@ def titled(df: DataFrame, text: Column, rules: dict[str, RuleSet], types: bool,
     return read.withColumn(name, mark).drop("texto", "raw", "norm", "after")
 
 
-def left_to_next_page(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
-    """doc_id, template_id, page_no, secao: the last section that the text of the page before names.
+def named_on_page(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
+    """doc_id, template_id, page_no, secao: the last section that a page's text names.
 
     A title without subcategory does not displace one with a subcategory of the same category.
     """
-    lines = pages.select("doc_id", "template_id", "page_no", F.posexplode(F.split(F.coalesce("text", F.lit("")), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")).alias("n", "line"))
+    lines = pages.select("doc_id", "template_id", "page_no", F.posexplode(F.split(F.coalesce("text", F.lit("")), LINE_ENDS)).alias("n", "line"))
     named = titled(lines, F.col("line"), rules, False, "secao").where("secao is not null")
     order = Window.partitionBy("doc_id", "page_no").orderBy("n")
     changes = F.coalesce(F.lag("secao.categoria").over(order) != F.col("secao.categoria"), F.lit(True)).cast("int")
     runs = named.withColumn("run", changes).withColumn("run", F.sum("run").over(order))
     rank = F.struct("run", F.col("secao.subcategoria").isNotNull(), "n")
-    last = runs.groupBy("doc_id", "page_no").agg(F.max_by("secao", rank).alias("secao"))
+    last = runs.groupBy("doc_id", "template_id", "page_no").agg(F.max_by("secao", rank).alias("secao"))
+    return last.withColumn("secao", F.col("secao").withField("geral", F.lit(False)))
+
+
+def left_to_next_page(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
+    """doc_id, template_id, page_no, secao: the last section that the text of the page before names."""
+    last = named_on_page(pages, rules).drop("template_id")
     every = pages.select("doc_id", "template_id", "page_no").join(last, ["doc_id", "page_no"], "left")
-    shifted = every.withColumn("secao", F.lag("secao").over(Window.partitionBy("doc_id").orderBy("page_no")))
-    return shifted.where("secao is not null").withColumn("secao", F.col("secao").withField("geral", F.lit(False)))
+    return every.withColumn("secao", F.lag("secao").over(Window.partitionBy("doc_id").orderBy("page_no"))).where("secao is not null")
 
 
 # ---- headers and layouts
@@ -180,63 +185,134 @@ def base_layout(rules: RuleSet, tipo: Column) -> Column:
 
 # ---- stages
 
+#: The place of what a page's text leaves to the next page: after the page's tables.
+END = 2**31 - 1
+LAYOUT = "array<struct<f:string,i:int>>"
+EVENT = {
+    "page_no": "int", "tabela_indice": "int", "linha": "int", "template_id": "string", "secao": SECTION, "continua": "string", "cabecalho": "boolean", "medidas": "array<int>", "layout": LAYOUT, "codigo": "string",
+}
+FORCE = f"struct<layout:{LAYOUT},tipo:string>"
+PLACE = f"struct<page_no:int,tabela_indice:int,linha:int,categoria:string,subcategoria:string,tipo_registro:string,local:string,vigente:{FORCE},continua:string,codigo_laudo:string,ate:int>"
+STATE = f"struct<ultima:string,base:{SECTION},presa:boolean,qualidade:string,outra:string,vigente:{FORCE},lida:boolean,codigo:string,pendente:{SECTION},fora:array<{PLACE}>>"
 
-def events(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
-    """One row for each table (``linha`` 0, with its rows in ``linhas``), each row of a table, and each section left to a page.
 
-    ``pages``: doc_id, template_id, page_no, text, tables. A first row that names a section belongs to the table's own
-    event and not to its rows.
-    """
+def numbered_tables(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
+    """Tables of the pages in scope, with the section that their first row names and the rows after it (``linhas``)."""
     own = pages.where(F.col("template_id").isin([*rules]))
     tables = own.select("doc_id", "template_id", "page_no", "text", F.posexplode("tables").alias("t", "todas")).where(F.size("todas") > 0)
     tables = tables.withColumn("todas", F.transform("todas", lambda r: F.coalesce(r, F.array().cast("array<string>"))))
     tables = titled(tables, row_text(F.get("todas", F.lit(0))), rules, True, "secao")
-    tables = tables.withColumn("linhas", F.when(F.col("secao").isNull(), F.col("todas")).otherwise(F.slice("todas", 2, F.size("todas"))))
+    return tables.withColumn("linhas", F.when(F.col("secao").isNull(), F.col("todas")).otherwise(F.slice("todas", 2, F.size("todas")))).withColumn("tabela_indice", F.col("t") + 1).drop("todas", "t")
+
+
+def _measured(rows: Column) -> Column:
+    """For each column, how many of the first rows have a name and a value in it; too narrow rows count for none."""
+    first = F.filter(F.slice(rows, 1, LOOKED_AT), lambda r: (F.size(r) >= WIDE) & (fold(F.get(r, F.lit(0))) != ""))
+    flags = F.transform(first, lambda r: F.transform(r, lambda c: F.rlike(F.trim(F.coalesce(c, F.lit(""))), F.lit(MEASURED))))
+    width = F.coalesce(F.array_max(F.transform(flags, lambda r: F.size(r))), F.lit(0))
+    count = lambda i: F.size(F.filter(flags, lambda r: F.coalesce(F.get(r, i), F.lit(False))))
+    return F.when(width > 0, F.transform(F.sequence(F.lit(0), width - 1), count)).otherwise(F.array().cast("array<int>"))
+
+
+def events(pages: DataFrame, tables: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
+    """doc_id and EVENT of all that can change the section: pages, tables, marks inside tables, titles left to the next page.
+
+    ``pages``: doc_id, template_id, page_no, text, tables, and optionally codigo_inicial, the report's code by other rules.
+    """
+    own = pages.where(F.col("template_id").isin([*rules]))
+    started = F.col("codigo_inicial") if "codigo_inicial" in pages.columns else F.lit(None).cast("string")
+    begins = own.select("doc_id", "template_id", "page_no", F.lit(0).alias("tabela_indice"), F.lit(0).alias("linha"), F.coalesce(report_code(F.coalesce("text", F.lit(""))), F.when(F.col("page_no") <= 1, started)).alias("codigo"))
+    waiting = named_on_page(own, rules).withColumns({"tabela_indice": F.lit(END), "linha": F.lit(0)})
+
     first = F.try_element_at("linhas", F.lit(1))
     spoken = F.array_join(F.transform(first, lambda c: F.coalesce(c, F.lit(""))), " ")
     goes_on = F.when(F.size(first) >= 2, by_template(rules, lambda r: first_of([(matches(spoken, p), F.lit(t)) for p, t in r.continuations], "string"), "string"))
-    keys = ["doc_id", "template_id", "page_no", (F.col("t") + 1).alias("tabela_indice")]
-    heads = tables.select(*keys, F.lit(0).alias("linha"), "secao", goes_on.alias("continua"), "linhas", "text", F.lit(None).cast("array<string>").alias("celulas"))
-    rows = tables.select(*keys, F.posexplode("linhas").alias("n", "celulas"))
-    rows = titled(rows, row_text(F.col("celulas")), rules, True, "secao").withColumn("linha", F.col("n") + 1).drop("n")
-    waiting = left_to_next_page(own, rules).withColumns({"tabela_indice": F.lit(0), "linha": F.lit(0)})
-    found = heads.unionByName(rows, allowMissingColumns=True).unionByName(waiting, allowMissingColumns=True)
+    headed = F.exists(F.slice("linhas", 1, HEADER_ROWS), lambda r: F.coalesce(is_header(r), F.lit(False)))
+    heads = tables.select("doc_id", "template_id", "page_no", "tabela_indice", F.lit(0).alias("linha"), "secao", goes_on.alias("continua"), headed.alias("cabecalho"), _measured(F.col("linhas")).alias("medidas"))
+
+    rows = tables.select("doc_id", "template_id", "page_no", "tabela_indice", F.posexplode("linhas").alias("n", "celulas"))
+    rows = titled(rows, row_text(F.col("celulas")), rules, True, "secao").withColumn("linha", F.col("n") + 1)
     header = F.col("secao").isNull() & F.coalesce(is_header(F.col("celulas")), F.lit(False))
-    found = found.withColumn("cabecalho", header).withColumn("dobradas", F.when(F.col("cabecalho"), F.transform("celulas", lambda c: fold(c))))
+    rows = rows.where(F.col("secao").isNotNull() | header)
+    rows = rows.withColumn("dobradas", F.when(F.col("secao").isNull(), F.transform("celulas", lambda c: fold(c))))
     names = by_template(rules, lambda r: F.transform("dobradas", lambda c: F.coalesce(header_field(r, c), F.lit(""))), "array<string>")
-    return found.withColumn("nomes", F.when(F.col("dobradas").isNotNull(), names)).withColumn("layout", header_layout(F.col("nomes"))).drop("dobradas", "nomes")
-
-
-def carried(marked: DataFrame) -> DataFrame:
-    """Add the section in force at each event, after it: categoria, subcategoria, tipo_registro, local; and ``vigente``.
-
-    ``marked`` has ``vale``: whether the event's title or header counts. ``vigente`` is the last header's layout and the
-    type of record that it was read for.
+    rows = rows.withColumn("nomes", F.when(F.col("dobradas").isNotNull(), names))
+    marks = rows.withColumn("layout", F.transform(F.map_entries(header_layout(F.col("nomes"))), lambda e: F.struct(e["key"].alias("f"), e["value"].alias("i"))))
+    found = None
+    for part in (begins, heads, marks, waiting):
+        own = part.select("doc_id", *(F.col(c).cast(kind).alias(c) if c in part.columns else F.lit(None).cast(kind).alias(c) for c, kind in EVENT.items()))
+        found = own if found is None else found.unionByName(own)
+    return found
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def result_column(rules: dict[str, RuleSet], template: Column, tipo: Column) -> Column:
+    """0-based column of the result in the layout of a type of record; 1 where the layout has none."""
+    of = lambda layout: F.lit(layout.get("resultado", 1))
+    each = lambda r: F.coalesce(F.lit(None).cast("int"), *(F.when(tipo == t, of(own)) for t, own in r.layouts.items() if own), of(r.layouts.get("AMOSTRA", {})))
+    return F.coalesce(*(F.when(template == t, each(r)) for t, r in rules.items()), F.lit(1)) if rules else F.lit(1)
+
+
+def _step(rules: dict[str, RuleSet]) -> Callable[[Column, Column], Column]:
+    def step(acc: Column, e: Column) -> Column:
+        page, end, head = e["tabela_indice"] == 0, e["tabela_indice"] == END, e["linha"] == 0
+        counts = head | acc["lida"]
+        said = F.when(end, F.lit(None).cast(SECTION)).when(page, acc["pendente"]).when(counts, e["secao"])
+
+        def after(s: Column) -> Column:
+            # a general title leaves a section of its category with a subcategory as it is
+            starts = s.isNotNull() & (~s["geral"] | F.coalesce(acc["ultima"] != s["categoria"], F.lit(True)))
+            fresh = lambda x: F.when(~starts, x)
+            goes_on = e["continua"]
+            return _let(
+                F.struct(
+                    F.when(starts | (s.isNotNull() & ~acc["presa"]), s).otherwise(acc["base"]).alias("base"), F.coalesce(s["categoria"], acc["ultima"]).alias("ultima"),
+                    F.coalesce(fresh(acc["qualidade"]), F.when(goes_on.isin(QA_TYPES), goes_on)).alias("qualidade"), F.coalesce(goes_on, fresh(acc["outra"])).alias("outra"),
+                    (F.coalesce(fresh(acc["presa"]), F.lit(False)) | s["subcategoria"].isNotNull() | goes_on.isNotNull()).alias("presa"),
+                ),
+                lambda b: _let(tipo_of(b), lambda tipo: judge(b, tipo)),
+            )
+
+        def tipo_of(b: Column) -> Column:
+            own = b["base"]["tipo_registro"]
+            return F.when(own.isin(QA_TYPES), own).otherwise(F.coalesce(b["qualidade"], b["outra"], own, F.lit("AMOSTRA")))
+
+        def judge(b: Column, tipo: Column) -> Column:
+            header = F.when(counts & e["layout"].isNotNull(), F.struct(e["layout"].alias("layout"), tipo.alias("tipo")).cast(FORCE)).otherwise(acc["vigente"])
+            place = lambda force: F.filter(F.when(force["tipo"] == tipo, force["layout"]), lambda x: x["f"] == "resultado")[0]["i"]
+            at = F.coalesce(place(header), result_column(rules, e["template_id"], tipo))
+            good = F.coalesce(F.get(e["medidas"], at), F.lit(0)) >= ENOUGH
+            read = b["base"]["categoria"].isNotNull() & (e["continua"].isNotNull() | F.coalesce(e["cabecalho"], F.lit(False)) | ((tipo == "AMOSTRA") & good))
+            lida = F.when(page | end, F.lit(False)).when(head, F.coalesce(read, F.lit(False))).otherwise(acc["lida"])
+            code = F.coalesce(e["codigo"], acc["codigo"])
+            goes_on, base = b["outra"].isNotNull(), b["base"]
+            out = F.struct(
+                e["page_no"], e["tabela_indice"], e["linha"], base["categoria"], F.when(goes_on, F.coalesce(base["subcategoria"], base["categoria"])).otherwise(base["subcategoria"]), tipo,
+                F.when(goes_on, F.lit("laboratorio")).otherwise(base["local"]), header, e["continua"], code, F.lit(None).cast("int"),
+            ).cast(PLACE)
+            pending = F.when(end, e["secao"]).when(~page, acc["pendente"])
+            return F.struct(b["ultima"], base, b["presa"], b["qualidade"], b["outra"], header, lida, code, pending, F.when(lida, F.concat(acc["fora"], F.array(out))).otherwise(acc["fora"])).cast(STATE)
+
+        return _let(said, after)
+
+    return step
+
+
+def folded(found: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
+    """What is in force in the tables that are read: doc_id, page_no, tabela_indice, and from row ``linha`` to before ``ate``
+    (null: the end) categoria, subcategoria, tipo_registro, local, vigente, continua, codigo_laudo. Row 0 is the table's start.
     """
-    whole = Window.partitionBy("doc_id").orderBy(*ORDER)
-    named = marked.withColumn("s", F.when(F.col("vale"), F.col("secao")))
-    before = F.last("s.categoria", True).over(whole.rowsBetween(Window.unboundedPreceding, -1))
-    starts = F.col("s").isNotNull() & (~F.col("s.geral") | F.coalesce(before != F.col("s.categoria"), F.lit(True)))
-    named = named.withColumn("starts", starts).withColumn("run", F.sum(F.col("starts").cast("int")).over(whole))
-    run = Window.partitionBy("doc_id", "run").orderBy(*ORDER)
-    # once a subcategory is known in a run, general titles of the same category change nothing
-    known = F.coalesce(F.col("s.subcategoria").isNotNull() | F.col("continua").isNotNull(), F.lit(False))
-    locked = F.coalesce(F.max(known).over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))
-    named = named.withColumn("base", F.when(F.col("s").isNotNull() & (F.col("starts") | ~locked), F.col("s")))
-    named = named.withColumn("base", F.last("base", True).over(run))
-    quality = F.first(F.when(F.col("continua").isin(QA_TYPES), F.col("continua")), True).over(run)
-    other = F.last("continua", True).over(run)
-    goes_on = other.isNotNull()
-    done = named.withColumns(
-        {
-            "categoria": F.col("base.categoria"),
-            "subcategoria": F.when(goes_on, F.coalesce("base.subcategoria", "base.categoria")).otherwise(F.col("base.subcategoria")),
-            "tipo_registro": F.when(F.col("base.tipo_registro").isin(QA_TYPES), F.col("base.tipo_registro")).otherwise(F.coalesce(quality, other, "base.tipo_registro", F.lit("AMOSTRA"))),
-            "local": F.when(goes_on, "laboratorio").otherwise(F.col("base.local")),
-        }
-    )
-    header = F.when(F.col("vale") & F.col("layout").isNotNull(), F.struct(F.col("layout"), F.col("tipo_registro").alias("tipo")))
-    return done.withColumn("vigente", F.last(header, True).over(whole)).drop("s", "starts", "run", "base")
+    nothing = F.lit(None)
+    start = F.struct(nothing.cast("string"), nothing.cast(SECTION), F.lit(False), nothing.cast("string"), nothing.cast("string"), nothing.cast(FORCE), F.lit(False), nothing.cast("string"), nothing.cast(SECTION), F.array().cast(f"array<{PLACE}>")).cast(STATE)
+    gathered = found.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(*EVENT))).alias("e"))
+    places = gathered.select("doc_id", F.aggregate("e", start, _step(rules))["fora"].alias("fora"))
+    same = lambda x, y: (x["page_no"] == y["page_no"]) & (x["tabela_indice"] == y["tabela_indice"])
+    ended = F.transform("fora", lambda x, i: x.withField("ate", _let(F.get("fora", i + 1), lambda y: F.when(same(x, y), y["linha"]))))
+    return places.select("doc_id", F.explode(ended).alias("x")).select("doc_id", "x.*").withColumn("vigente", F.struct(F.map_from_entries("vigente.layout").alias("layout"), F.col("vigente.tipo").alias("tipo")))
 
 
 def layout_in_force(rules: dict[str, RuleSet]) -> Column:
@@ -244,51 +320,28 @@ def layout_in_force(rules: dict[str, RuleSet]) -> Column:
     return F.coalesce(own, by_template(rules, lambda r: base_layout(r, F.col("tipo_registro")), "map<string,int>"))
 
 
-def _read(states: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
-    """Add ``lida``: whether the event's table is read, by the section in force at its own event."""
-    table = Window.partitionBy("doc_id", "page_no", "tabela_indice")
-    of_head = lambda x: F.max(F.when(F.col("linha") == 0, x)).over(table)
-    at = of_head(F.coalesce(F.try_element_at(layout_in_force(rules), F.lit("resultado")), F.lit(1)))
-    judged = states.withColumn("at", at)
-    value = F.trim(F.coalesce(F.try_element_at("celulas", F.col("at") + 1), F.lit("")))
-    good = (F.size("celulas") >= WIDE) & (F.size("celulas") > F.col("at")) & (fold(F.get("celulas", F.lit(0))) != "") & F.rlike(value, F.lit(MEASURED))
-    count = lambda cond, upto: F.sum(F.when(F.col("linha").between(1, upto) & cond, 1).otherwise(0)).over(table)
-    head = (F.col("linha") == 0) & F.col("categoria").isNotNull()
-    headed = count(F.coalesce(is_header(F.col("celulas")), F.lit(False)), HEADER_ROWS) > 0
-    measured = of_head(F.col("tipo_registro") == "AMOSTRA") & (count(F.coalesce(good, F.lit(False)), LOOKED_AT) >= ENOUGH)
-    read = F.coalesce(F.max(head).over(table), F.lit(False)) & (of_head(F.col("continua").isNotNull()) | headed | measured)
-    return judged.withColumn("lida", F.coalesce(read, F.lit(False))).drop("at")
-
-
 def sections(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
-    """``events`` with the section in force, ``vigente`` and ``lida``, written to the shared folder (``settle``)."""
-    found = settle(events(pages, rules), "events")
-    inside = (F.col("linha") > 0) & (F.col("secao").isNotNull() | F.col("layout").isNotNull())
-    used = found.withColumn("vale", F.lit(True))
-    while True:
-        now = settle(_read(carried(used), rules), "sections")
-        # a mark inside a table counts if the table is read; it was used as ``vale``
-        if now.where(inside & (F.col("vale") != F.col("lida"))).isEmpty():
-            return now
-        used = now.withColumn("vale", F.when(F.col("linha") == 0, F.lit(True)).otherwise(F.col("lida"))).select(*found.columns, "vale")
+    """``folded`` with the tables that are read: template_id, text and linhas, the rows after one that names the section."""
+    tables = numbered_tables(pages, rules)
+    force = folded(events(pages, tables, rules), rules)
+    return tables.drop("secao").join(force, ["doc_id", "page_no", "tabela_indice"])
 
 
 RECORD = ["codigo_laudo", "categoria", "subcategoria", "tipo_registro", "local", "parametro", *(f for f in LAYOUT_FIELDS if f != "unidade"), "unidade_resultado"]
 
 
-def result_rows(states: DataFrame, pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
+def result_rows(states: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
     """doc_id, pagina, tabela_indice, seq and RECORD of each result, in order; ``states`` as ``sections`` gives them.
 
     The report's code is that of the page, or the last one before it.
     """
-    code = F.last(report_code(F.coalesce("text", F.lit(""))), True).over(Window.partitionBy("doc_id").orderBy("page_no"))
-    codes = pages.select("doc_id", "page_no", code.alias("codigo_laudo"))
-    rows = states.where(F.col("lida") & (F.col("linha") > 0) & F.col("secao").isNull() & ~F.col("cabecalho"))
+    upto = F.coalesce("ate", F.size("linhas") + 1) - F.col("linha") - 1
+    rows = states.withColumn("colunas", layout_in_force(rules)).select("*", F.posexplode(F.slice("linhas", F.col("linha") + 1, upto)).alias("n", "celulas")).drop("linhas", "text")
     text, cells = row_text(F.col("celulas")), F.col("celulas")
     likely = (F.size(F.filter(cells, lambda c: c != "")) >= 2) & F.rlike(text, F.lit(r"(?U)\d")) & ~matches(text, NO_RESULT)
-    rows = rows.where(likely).withColumn("colunas", layout_in_force(rules)).withColumn("parametro", cell(cells, F.lit(0)))
+    rows = rows.where(likely & ~F.coalesce(is_header(cells), F.lit(False))).withColumn("parametro", cell(cells, F.lit(0)))
     at = lambda f: cell(cells, F.try_element_at("colunas", F.lit(f)))
-    rows = rows.withColumns({("unidade_resultado" if f == "unidade" else f): at(f) for f in LAYOUT_FIELDS})
+    rows = rows.withColumn("linha", F.col("linha") + 1 + F.col("n")).withColumns({("unidade_resultado" if f == "unidade" else f): at(f) for f in LAYOUT_FIELDS})
     rows = rows.where(F.col("parametro").isNotNull() & F.rlike("resultado", F.lit(r"(?U)\d")))
     seq = F.row_number().over(Window.partitionBy("doc_id").orderBy(*ORDER))
-    return rows.join(codes, ["doc_id", "page_no"], "left").select("doc_id", F.col("page_no").alias("pagina"), "tabela_indice", seq.alias("seq"), *RECORD)
+    return rows.select("doc_id", F.col("page_no").alias("pagina"), "tabela_indice", seq.alias("seq"), *RECORD)

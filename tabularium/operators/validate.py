@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.measures import has_loose_unit, is_complex_note, known_unit
 from ..functions.text import is_blank_measure, scaled_number
 from ..plans.contracts import LINEAGE, UNIT_FIELDS, Contract
+from ..sources.scratch import settle
 
 ERROR = "struct<field:string,type:string,message:string,value:string>"
 
@@ -69,6 +70,29 @@ def row_error(c: Contract, get) -> Column:
     return F.coalesce(F.lit(None).cast(ERROR), *checks)
 
 
+#: Row numbers of a sheet begin below its header.
+FIRST_ROW = 2
+
+
+def sheet_rows(df: DataFrame, *order: str, name: str = "__n") -> DataFrame:
+    """``df`` in order, with ``name``: each row's number in the whole sheet.
+
+    The rows are dealt out by ranges of ``order`` and sorted within them, so that a row's number is its place in its range
+    plus the sizes of the ranges before; those sizes, one a range, are all that comes to the driver.
+    """
+    low = (1 << 33) - 1
+    dealt = settle(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__place", F.monotonically_increasing_id()), "sheet")
+    part, before, offsets = F.shiftrightunsigned("__place", 33), 0, []
+    for r in dealt.groupBy(part.alias("p")).count().orderBy("p").collect():
+        offsets.append((r.p, before))
+        before += r["count"]
+    if not offsets:
+        return dealt.withColumn(name, F.lit(None).cast("long")).drop("__place")
+    first = df.sparkSession.createDataFrame(offsets, "__p long, __before long")
+    numbered = dealt.withColumn("__p", part).join(F.broadcast(first), "__p")
+    return numbered.withColumn(name, F.col("__before") + F.col("__place").bitwiseAND(F.lit(low)) + FIRST_ROW).drop("__p", "__before", "__place")
+
+
 def validate(df: DataFrame, contract: Contract, sheet: str, row_number: str | None = None, parameter: str | None = None) -> DataFrame:
     """sheet, row_number, nome_do_arquivo, id_amostra, parameter, field, type, message, value: one row an error.
 

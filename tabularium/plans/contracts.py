@@ -42,6 +42,22 @@ TABLES = {
     "results_extract": RESULTS, "sample": SAMPLE, "client": CLIENT, "packaging_preservatives": PACKAGING, "notes": NOTES,
     "general_considerations": NOTES, "conformity_statement": NOTES, "validation_key": VALIDATION_KEY, "revision_reason": REVISION_REASON,
 }
+TABLE_AUDIT = [
+    *PREFIX,
+    "pagina", "tabela_indice", "categoria", "subcategoria", "tipo_registro", "modo_auditoria", "cabecalho_detectado",
+    "colunas_detectadas", "colunas_mapeadas", "colunas_sem_mapeamento", "campos_esperados", "campos_obrigatorios_ausentes",
+    "campos_opcionais_ausentes", "usou_fallback", "status", "observacao",
+]
+SECTION_AUDIT = [
+    *PREFIX,
+    "pagina", "tabela_indice", "objeto_tipo", "secao", "titulo_detectado", "modo_auditoria", "regra_encontrada",
+    "ocorrencias_detectadas", "registros_extraidos", "status", "observacao",
+]
+FIELD_AUDIT = [
+    *PREFIX,
+    "schema_origem", "campo", "pagina", "regra_encontrada", "ocorrencias_detectadas", "valor_extraido",
+    "campos_detectados_no_valor", "status", "observacao",
+]
 LAYOUT_FIELDS = [
     "resultado", "unidade", "data_inicio", "conama", "copam_cerh", "ld", "lq", "referencia", "incerteza",
     "numero_cq", "duplicata", "faixa_aceitacao", "variacao_percentual", "quantidade_adicionada",

@@ -9,12 +9,13 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import FALSE_WORDS, TRUE_WORDS, is_config_marker, java_pattern, token
+from ..functions.patterns import faults
+from ..functions.text import FALSE_WORDS, TRUE_WORDS, is_config_marker, token
 from ..operators.classify import DetectionRule, Template
 from ..operators.packaging import PackagingRules
 from ..operators.rows import RuleSet, SectionRule
@@ -34,7 +35,7 @@ FOREIGN_KEYS = [
     ("template", "id_item_taxonomia", "item_taxonomia"), ("item_template", "id_template", "template"), ("schema", "id_item_taxonomia", "item_taxonomia"), ("item_schema", "id_schema", "schema"),
 ]
 RULE_TYPES = ["required", "positive", "negative"]
-CONFIG_ONLY = ["template_detection", "template_required", "template_positive", "template_negative", "layout", "header_alias", "continuation", "category_alias", "subcategory_alias", "category_type", "metadata"]
+CONFIG_ONLY = ["template_detection", "template_required", "template_positive", "template_negative", "layout", "header_alias", "continuation", "category_alias", "subcategory_alias", "category_type", "metadata", "section_discovery_ignore"]
 RECORD_TYPES = {"amostra": "AMOSTRA", "branco": "BRANCO", "duplicata": "DUPLICATA", "recuperacao": "RECUPERACAO"}
 
 
@@ -120,19 +121,19 @@ def problems(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def bad_patterns(spark: SparkSession, tables: dict[str, DataFrame]) -> list[tuple[str, str]]:
-    """Patterns that Python or Java rejects."""
-    java = spark._jvm.java.util.regex.Pattern
+    """(table, pattern) of the patterns that cannot be run, judged by the very strings that run (``patterns.rule``)."""
     bad = []
     for name in ("template", "item_template"):
-        for (pattern,) in tables[name].select("regex").where("regex is not null").distinct().limit(MOST_RULES + 1).collect():
-            try:
-                re.compile(pattern)
-                java.compile(java_pattern(pattern))
-            except Exception:  # a pattern error of either engine
-                bad.append((name, pattern))
+        distinct = tables[name].select("regex").where("regex is not null").distinct().limit(MOST_RULES + 1).collect()
+        if len(distinct) > MOST_RULES:
+            raise TaxonomyError(f"{name}: mais de {MOST_RULES} regras")
+        bad += [(name, pattern) for (pattern,) in distinct if faults(pattern)]
     return sorted(bad)
 
 
+FAULTS = "tabela string, id int, schema string, campo string, regex string, erro string"
+
+
 def check(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
     """Raise TaxonomyError unless the tables have their columns, rows, and no problem."""
     for name, ddl in SCHEMAS.items():
@@ -191,16 +192,32 @@ class Compiled:
     rows: dict[str, RuleSet]
     fields: dict[str, dict[str, list[tuple[str, str]]]]  # template -> group -> (campo, pattern)
     packaging: dict[str, PackagingRules]
+    faults: list[tuple] = field(default_factory=list)  # rules that cannot be run, as rows of FAULTS
+
+    def quarantine(self, spark: SparkSession) -> DataFrame:
+        """The rules that were left out because they cannot be run."""
+        return spark.createDataFrame(self.faults, FAULTS)
 
 
 def compile_rules(tables: dict[str, DataFrame]) -> Compiled:
-    """Everything that the operators take, by template; rules that lack what they need are left out."""
+    """Everything that the operators take, by template; rules that lack what they need are left out.
+
+    So are those whose pattern cannot be run: each is a row of ``faults``, and costs nothing but itself.
+    """
+    lost: list[tuple] = []
     known = [t for t in template_identities(tables).orderBy("id").collect() if t.ativo]
     templates = {t.template_id: Template(t.template_id, t.score_minimo, t.prioridade or 999, t.theme_id, t.id_taxonomia, t.nome_taxonomia, t.versao_template) for t in known}
     by_id = {t.id: t.template_id for t in known}
     items = tables["item_template"].where(~is_config_marker(F.col("regex")) | F.col("schema").isin("layout")).orderBy("id").limit(MOST_RULES + 1).collect()
     if len(items) > MOST_RULES:
         raise TaxonomyError(f"mais de {MOST_RULES} regras")
+    def runs(table: str, ident: int, schema: str | None, campo: str | None, regex: str | None) -> bool:
+        if schema == "layout" or regex is None or (why := faults(regex)) is None:
+            return True
+        lost.append((table, ident, schema, campo, regex, why))
+        return False
+
+    items = [r for r in items if runs("item_template", r.id, r.schema, r.campo, r.regex)]
     detection, fields = [], {}
     groups: dict[str, dict[str, list]] = {t: {} for t in templates}
     for r in items:
@@ -212,10 +229,10 @@ def compile_rules(tables: dict[str, DataFrame]) -> Compiled:
             detection.append(DetectionRule(t, kind, r.regex, weight(attrs.get("peso")), attrs.get("descricao"), attrs.get("source", "text")))
         else:
             groups[t].setdefault(r.schema, []).append((r, attrs))
-            if r.campo and r.schema not in ("layout", "header_alias", "continuation"):
-                fields.setdefault(t, {}).setdefault(r.schema, []).append((r.campo, r.regex))
+            if (r.campo or r.schema == IGNORED) and r.schema not in ("layout", "header_alias", "continuation"):
+                fields.setdefault(t, {}).setdefault(r.schema, []).append((r.campo or "", r.regex))
     with_detail = {d.template_id for d in detection}
-    detection += [DetectionRule(t.template_id, "positive", t.regex, 80.0) for t in known if t.template_id not in with_detail and t.regex]
+    detection += [DetectionRule(t.template_id, "positive", t.regex, 80.0) for t in known if t.template_id not in with_detail and t.regex and runs("template", t.id, None, None, t.regex)]
 
     def section(r, attrs: dict) -> SectionRule:
         return SectionRule(r.regex, attrs.get("categoria") or r.campo, attrs.get("subcategoria"), attrs.get("local", "laboratorio"), record_type(r.tipo_registro) or "AMOSTRA", attrs.get("extrair_subcategoria", "").lower() in TRUE_WORDS)
@@ -238,17 +255,21 @@ def compile_rules(tables: dict[str, DataFrame]) -> Compiled:
         )
     roles = PackagingRules.__dataclass_fields__
     packaging = {t: PackagingRules(**{role: tuple(p for c, p in own.get("packaging_preservatives", []) if c == role) for role in roles}) for t, own in fields.items()}
-    return Compiled([*templates.values()], detection, rows, fields, packaging)
+    return Compiled([*templates.values()], detection, rows, fields, packaging, lost)
+
+
+#: Rules of lines that are no headings; tables are not judged by them.
+IGNORED = "section_discovery_ignore"
 
 
-def known_patterns(rules: Compiled, template: str | None = None) -> list[str]:
+def known_patterns(rules: Compiled, template: str | None = None, ignored: bool = True) -> list[str]:
     """Every pattern that the rules know a line by, of one template or of all: what none of them explains is new."""
     wanted = lambda t: template is None or t == template
     found = [d.regex for d in rules.detection if wanted(d.template_id)]
     for t, own in rules.rows.items():
         if wanted(t):
             found += [r.regex for r in (*own.categories, *own.subcategories, *own.types)] + [p for p, _ in (*own.continuations, *own.header_aliases)]
-    found += [p for t, groups in rules.fields.items() if wanted(t) for own in groups.values() for _, p in own]
+    found += [p for t, groups in rules.fields.items() if wanted(t) for g, own in groups.items() if ignored or g != IGNORED for _, p in own]
     return sorted({*found})
 
 

@@ -206,17 +206,28 @@ _SMALL = "[" + ", ".join(f"'{w}'" for w in S.SMALL_WORDS) + "]"
 
 
 @query(
-    rf"""WITH l AS (SELECT page_id, trim(regexp_replace(unnest(string_split(regexp_replace(coalesce(html, ''), '<[^>]*>', chr(10), 'g'), chr(10))), '[\t\n\x0B\f\r ]+', ' ', 'g')) AS line FROM pages),
-            w AS (SELECT *, regexp_extract_all(line, '([A-Za-zÀ-ÿ]+)', 1) AS ws FROM l),
-            t AS (SELECT *, list_filter(ws, lambda x: NOT list_contains({_SMALL}, strip_accents(lower(x)))) AS tw FROM w)
-       SELECT page_id, lower(strip_accents(line)) AS titulo, count(*) AS ocorrencias FROM t
+    rf"""WITH raw AS (SELECT page_id, 'RESULTADOS ANALÍTICOS' || chr(10) || 'Métodos de Análise' || chr(10) || regexp_replace(coalesce(html, ''), '<[^>]*>', chr(10), 'g') AS text,
+                         lower(strip_accents(trim(regexp_replace(regexp_extract(coalesce(html, ''), '(?is)<title>(.*?)</title>', 1), '\s+', ' ', 'g')))) AS titulo_da_pagina FROM pages),
+            l AS (SELECT page_id, titulo_da_pagina, trim(regexp_replace(unnest(string_split(text, chr(10))), '[	
+ ]+', ' ', 'g'))[:100] AS line FROM raw),
+            w AS (SELECT *, lower(strip_accents(trim(line))) AS norm, regexp_extract_all(line, '([A-Za-zÀ-ÿ]+)', 1) AS ws FROM l),
+            t AS (SELECT *, list_filter(ws, lambda x: NOT list_contains({_SMALL}, strip_accents(lower(x)))) AS tw, regexp_extract_all(norm, '[a-zà-ÿ]+') AS nw, regexp_extract_all(titulo_da_pagina, '[a-zà-ÿ]+') AS pw FROM w)
+       SELECT page_id, norm AS titulo, min(line) = max(line) AS uma_grafia, 1 AS pagina, count(*) AS ocorrencias FROM t
        WHERE length(line) BETWEEN 3 AND 100 AND NOT regexp_matches(line, '[0-9:]') AND NOT regexp_matches(line, '[.,;]$') AND len(ws) BETWEEN 1 AND 10 AND NOT regexp_matches(line, '(?i)^[IVXLCDM]+$')
-         AND (len(ws) > 1 OR upper(line) = line) AND (upper(line) = line OR (len(tw) > 0 AND len(list_filter(tw, lambda x: NOT regexp_matches(x, '^[A-ZÀ-Þ]'))) = 0)) AND NOT regexp_matches(line, 'licen[sc]e', 'i')
+         AND (len(ws) > 1 OR upper(line) = line) AND (upper(line) = line OR (len(tw) > 0 AND len(list_filter(tw, lambda x: NOT regexp_matches(x, '^[A-ZÀ-Þ]'))) = 0))
+         AND NOT regexp_matches(line, 'licen[sc]e', 'i') AND NOT contains(norm, 'resultados analiticos')
+         AND NOT (page_id % 2 = 0 AND titulo_da_pagina <> '' AND (contains(titulo_da_pagina, norm) OR (len(nw) > 0 AND list_has_all(pw, nw))))
        GROUP BY ALL"""
 )
 def heading_discovery(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("html", "<[^>]*>", "\n").alias("text"))
-    return S.headings(pages, ["licen[sc]e"], "page_id")
+    """Every second page has its title as a table of one row, a word a cell; a rule for folded text knows one line of all pages."""
+    html = F.coalesce("html", F.lit(""))
+    title = X.collapse(F.regexp_extract(html, "(?is)<title>(.*?)</title>", 1))
+    cells = F.array(F.array(F.split(title, " ")))
+    text = F.concat(F.lit("RESULTADOS ANALÍTICOS\nMétodos de Análise\n"), F.regexp_replace(html, "<[^>]*>", "\n"))
+    pages = table(spark, sf_dir, "pages").select("page_id", text.alias("text"), F.when(F.col("page_id") % 2 == 0, cells).alias("tables"))
+    found = S.headings(pages, ["licen[sc]e", "resultados analiticos"], "page_id")
+    return found.select("page_id", "titulo", F.lit(True).alias("uma_grafia"), "pagina", "ocorrencias")
 
 
 AUDITED = [("sample", "licenca", r"licen[sc]ed under:?\s*(the [a-z]+)"), ("sample", "versao", r"version:?\s*([0-9.]+)"), ("client", "token", r'token = "([0-9a-f]*)"'), ("client", "resto", r"the:?\s*(apache.{0,60})")]
@@ -226,8 +237,9 @@ AUDITED = [("sample", "licenca", r"licen[sc]ed under:?\s*(the [a-z]+)"), ("sampl
     r"""WITH r(schema_origem, campo, pattern, label) AS (VALUES ('sample', 'licenca', 'licen[sc]ed under:?\s*(the [a-z]+)', NULL), ('sample', 'versao', 'version:?\s*([0-9.]+)', NULL), ('client', 'token', 'token = "([0-9a-f]*)"', NULL), ('client', 'resto', 'the:?\s*(apache.{0,60})', NULL)),
            v AS (SELECT doc_id, r.*, len(regexp_extract_all(coalesce(text, ''), '(?is)' || pattern)) AS n,
                         CASE WHEN regexp_matches(coalesce(text, ''), '(?is)' || pattern) THEN nullif(trim(regexp_replace(regexp_extract(coalesce(text, ''), '(?is)' || pattern, 1), '\s+', ' ', 'g')), '') END AS valor FROM documents, r)
-       SELECT doc_id, schema_origem, campo, n AS ocorrencias_detectadas, valor[:500] AS valor_extraido, NULL::VARCHAR AS campos_detectados_no_valor,
-              CASE WHEN n > 0 AND valor IS NULL THEN 'encontrado_sem_extracao' WHEN n = 0 AND valor IS NOT NULL THEN 'extraido_sem_correspondencia' WHEN n > 0 THEN 'ok' ELSE 'nao_aplicavel' END AS status FROM v"""
+       SELECT doc_id, schema_origem, campo, CASE WHEN n > 0 THEN 1 END AS pagina, pattern AS regra_encontrada, n AS ocorrencias_detectadas, valor[:500] AS valor_extraido, NULL::VARCHAR AS campos_detectados_no_valor,
+              CASE WHEN n > 0 AND valor IS NULL THEN 'encontrado_sem_extracao' WHEN n = 0 AND valor IS NOT NULL THEN 'extraido_sem_correspondencia' WHEN n > 0 THEN 'ok' ELSE 'nao_aplicavel' END AS status,
+              CASE WHEN n > 0 AND valor IS NULL THEN 'A regra foi encontrada no PDF, mas o campo de saida ficou vazio.' END AS observacao FROM v"""
 )
 def field_audit_status(spark, sf_dir):
     return S.field_audit(table(spark, sf_dir, "documents"), AUDITED)

@@ -6,6 +6,8 @@ within it, and what the page text and the table titles say hangs on the keys. Th
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,10 +18,11 @@ from .operators import normalize as N
 from .operators import packaging as P
 from .operators import rows as G
 from .operators import sections as S
-from .operators.validate import validate, validate_all
-from .plans import batch, contracts, taxonomy
+from .operators.validate import sheet_rows, validate, validate_all
+from .plans import batch, contracts, store, taxonomy
 from .queries import ORACLE_SQL, QUERIES, query, table  # noqa: F401
 from .sources import documents, sinks
+from .sources.scratch import shared_folder
 
 # ---- reports with page tables (G1-G16, J1-J5, C11-C12 as rule sets)
 
@@ -86,22 +89,24 @@ _READ = (
 )
 def extract_rows(spark, sf_dir):
     pages = report_pages(spark, sf_dir)
-    found = G.result_rows(G.sections(pages, RULES), pages, RULES)
+    found = G.result_rows(G.sections(pages, RULES), RULES)
     return found.select("doc_id", "pagina", "tabela_indice", "seq", "categoria", "subcategoria", "tipo_registro", "local", "parametro", "resultado", "unidade_resultado", "lq", "codigo_laudo")
 
 
 @query(
     f"""WITH {_READ},
        t AS (SELECT DISTINCT k, pagina, s, sub, cq, linhas, medidas, pagina = 1 AND k % 3 <> 0 AS headed, pagina = 2 AND NOT cq AND s <> 'P' AND k % 3 <> 0 AS own, pagina = 1 AND k % 8 = 0 AS named FROM f)
-       SELECT k AS doc_id, pagina, CASE WHEN headed THEN 'Análise | Resultado | Unidade | LQ' WHEN named THEN 'Parâmetros Resultados Unidade' END AS cabecalho_detectado,
-              CASE WHEN headed THEN 'Análise -> parameter; Resultado -> resultado; Unidade -> unidade; LQ -> lq' END AS colunas_mapeadas,
-              CASE WHEN named AND NOT headed THEN 'parameter; resultado; unidade' ELSE 'parameter; resultado; unidade; lq' END AS campos_esperados, NOT headed AS usou_fallback,
+       SELECT k AS doc_id, pagina, 'contrato_e_descoberta' AS modo_auditoria, CASE WHEN headed THEN 'Análise | Resultado | Unidade | LQ' WHEN named THEN 'Parâmetros Resultados Unidade' END AS cabecalho_detectado,
+              CASE WHEN headed THEN 'Análise; Resultado; Unidade; LQ' END AS colunas_detectadas, CASE WHEN headed THEN 'Análise -> parameter; Resultado -> resultado; Unidade -> unidade; LQ -> lq' END AS colunas_mapeadas,
+              CASE WHEN named AND NOT headed THEN 'parameter; resultado; unidade' ELSE 'parameter; resultado; unidade; lq' END AS campos_esperados, NULL::VARCHAR AS campos_obrigatorios_ausentes, NOT headed AS usou_fallback,
               CASE WHEN headed THEN 'ok' WHEN named AND medidas >= 0.8 * linhas THEN 'fallback_cabecalho_texto_layout_confiavel' WHEN named THEN 'fallback_cabecalho_texto_layout_incompleto'
-                   WHEN medidas >= 0.8 * linhas THEN 'fallback_layout_confiavel' ELSE 'fallback' END AS status FROM t"""
+                   WHEN medidas >= 0.8 * linhas THEN 'fallback_layout_confiavel' ELSE 'fallback' END AS status,
+              CASE WHEN NOT headed THEN 'Tabela processada sem cabecalho detectado na malha extraida pelo PDF. ' || CASE WHEN named THEN 'Cabecalho contextual encontrado no texto da pagina: Parâmetros Resultados Unidade. Campos encontrados no texto da pagina: parameter; resultado; unidade. ' ELSE '' END
+                   || 'Compatibilidade do layout: ' || linhas || '/' || linhas || ' linhas com colunas suficientes; ' || medidas || '/' || linhas || ' linhas com valor na coluna de resultado. Foi usado o layout cadastrado na taxonomia.' END AS observacao FROM t"""
 )
 def table_audit(spark, sf_dir):
     found = A.table_audit(G.sections(report_pages(spark, sf_dir), RULES), RULES)
-    return found.select("doc_id", "pagina", "cabecalho_detectado", "colunas_mapeadas", "campos_esperados", "usou_fallback", "status")
+    return found.select("doc_id", "pagina", "modo_auditoria", "cabecalho_detectado", "colunas_detectadas", "colunas_mapeadas", "campos_esperados", "campos_obrigatorios_ausentes", "usou_fallback", "status", "observacao")
 
 
 @query(
@@ -113,27 +118,36 @@ def section_left_to_next_page(spark, sf_dir):
 
 @query(
     f"""WITH {_LINES}, t AS (SELECT k, pagina, count(*) AS linhas, min_by(p, n) AS p, min_by(q, n) AS q FROM r GROUP BY ALL)
-       SELECT k AS doc_id, pagina AS page_no, 1 AS tabela_indice,
+       SELECT k AS doc_id, pagina, 1 AS tabela_indice, 'tabela' AS objeto_tipo, NULL::VARCHAR AS secao,
               (CASE WHEN pagina = 1 AND k % 3 <> 0 THEN 'Análise | Resultado | Unidade | LQ' ELSE CASE WHEN pagina = 2 AND k % 7 = 0 THEN 'CQ-' ELSE 'P' END || p || ' | ' || q || ',5 | mg/L | 0,1 | x' END) AS titulo_detectado,
-              'tabela_nao_mapeada' AS status FROM t JOIN (SELECT DISTINCT k, s FROM r) USING (k)
-       WHERE linhas + (pagina = 1 AND k % 3 <> 0)::INT >= 2 AND NOT (pagina = 2 AND k % 2 = 0) AND NOT (pagina = 1 AND s = 'O')"""
+              'descoberta' AS modo_auditoria, NULL::VARCHAR AS regra_encontrada, 1::BIGINT AS ocorrencias_detectadas, 0::BIGINT AS registros_extraidos, 'tabela_nao_mapeada' AS status,
+              'Estrutura tabular sem correspondencia nas regras conhecidas da taxonomia.' AS observacao FROM t JOIN (SELECT DISTINCT k, s FROM r) USING (k)
+       WHERE linhas + (pagina = 1 AND k % 3 <> 0)::INT >= 2 AND NOT (pagina = 2 AND k % 2 = 0) AND NOT (pagina = 1 AND s IN ('O', 'F'))"""
 )
 def unmapped_tables(spark, sf_dir):
+    """One rule knows a title as it stands, one is written for folded text."""
     pages = report_pages(spark, sf_dir)
     audited = pages.where((F.col("page_no") == 2) & (F.col("doc_id") % 2 == 0)).select("doc_id", "page_no", F.lit(1).alias("tabela_indice"))
-    return A.unmapped_tables(pages, audited, ["metais"])
+    return A.unmapped_tables(pages, audited, ["metais", "resultados analiticos"])
 
 
 @query(
-    """WITH t AS (SELECT p_partkey AS k, p_size % 4 AS titulos, p_partkey % 3 = 0 AS ignora, p_partkey % 5 AS registros FROM part)
-       SELECT k AS doc_id, 'notas' AS secao, titulos::BIGINT AS ocorrencias, registros::BIGINT AS registros,
-              CASE WHEN titulos > 0 AND registros > 0 THEN 'ok' WHEN titulos > 0 AND ignora THEN 'nao_aplicavel' WHEN titulos > 0 THEN 'encontrada_sem_extracao' WHEN registros > 0 THEN 'extraida_sem_titulo' ELSE 'nao_aplicavel' END AS status FROM t"""
+    r"""WITH t AS (SELECT p_partkey AS k, p_size % 4 AS titulos, p_partkey % 3 = 0 AS ignora, p_partkey % 5 AS registros, CASE WHEN p_size % 2 = 0 THEN 2 ELSE 1 END AS pagina FROM part)
+       SELECT k AS doc_id, CASE WHEN titulos > 0 THEN pagina END AS pagina, NULL::INT AS tabela_indice, 'secao' AS objeto_tipo, 'notas' AS secao, CASE WHEN titulos > 0 THEN 'NOTAS' END AS titulo_detectado, 'conhecida' AS modo_auditoria,
+              CASE WHEN titulos > 0 THEN 'notas\n' END AS regra_encontrada, titulos::BIGINT AS ocorrencias_detectadas, registros::BIGINT AS registros_extraidos,
+              CASE WHEN titulos > 0 AND registros > 0 THEN 'ok' WHEN titulos > 0 AND ignora THEN 'nao_aplicavel' WHEN titulos > 0 THEN 'encontrada_sem_extracao' WHEN registros > 0 THEN 'extraida_sem_titulo' ELSE 'nao_aplicavel' END AS status,
+              CASE WHEN titulos > 0 AND registros > 0 THEN 'Secao reconhecida e dados extraidos.' WHEN titulos > 0 AND ignora THEN 'Secao encontrada apenas com conteudo explicitamente ignorado pela taxonomia.'
+                   WHEN titulos > 0 THEN 'A secao foi encontrada, mas nenhum registro foi gerado.' WHEN registros > 0 THEN 'Foram gerados registros sem localizar a regra de inicio da secao.' ELSE 'Secao opcional nao encontrada no documento.' END AS observacao FROM t"""
 )
 def known_sections(spark, sf_dir):
-    part = table(spark, sf_dir, "part").withColumn("doc_id", F.col("p_partkey"))
-    docs = part.select("doc_id", F.concat(F.repeat(F.lit("NOTAS\n"), (F.col("p_size") % 4).cast("int")), F.when(F.col("doc_id") % 3 == 0, "Sem  notas").otherwise("")).alias("text"))
+    """Two pages a document; the titles are on the second where their number is even."""
+    part, none = table(spark, sf_dir, "part").withColumn("doc_id", F.col("p_partkey")), F.lit("")
+    titles, even = F.repeat(F.lit("NOTAS\n"), (F.col("p_size") % 4).cast("int")), F.col("p_size") % 2 == 0
+    first = F.struct(F.lit(1).alias("page_no"), F.concat(F.when(~even, titles).otherwise(none), F.when(F.col("doc_id") % 3 == 0, "Sem  notas").otherwise("")).alias("text"))
+    second = F.struct(F.lit(2).alias("page_no"), F.when(even, titles).alias("text"))
+    pages = part.select("doc_id", F.explode(F.array(first, second)).alias("p")).select("doc_id", "p.*")
     extracted = part.where("doc_id % 5 > 0").select("doc_id", F.lit("notas").alias("secao"), (F.col("doc_id") % 5).alias("registros"))
-    return A.known_sections(docs, {"notas": ([r"notas\n"], [r"sem\s+notas"])}, extracted)
+    return A.known_sections(pages, {"notas": ([r"notas\n"], [r"sem\s+notas"])}, extracted)
 
 
 # ---- packaging (H3, H4) and header fields
@@ -187,18 +201,23 @@ def validation_keys(spark, sf_dir):
 
 
 @query(
-    """WITH v(m, campo, n, valor, dentro, status) AS (VALUES (0, 'cliente', 1, 'Rio', NULL, 'ok'), (0, 'contato', 1, 'Ana', NULL, 'ok'), (0, 'local', 0, NULL, NULL, 'nao_aplicavel'),
+    r"""WITH v(m, campo, n, valor, dentro, status) AS (VALUES (0, 'cliente', 1, 'Rio', NULL, 'ok'), (0, 'contato', 1, 'Ana', NULL, 'ok'), (0, 'local', 0, NULL, NULL, 'nao_aplicavel'),
             (1, 'cliente', 1, 'Rio Contato: Ana', 'contato', 'possivel_contaminacao'), (1, 'contato', 1, 'Ana', NULL, 'ok'), (1, 'local', 0, NULL, NULL, 'nao_aplicavel'),
             (2, 'cliente', 0, NULL, NULL, 'nao_aplicavel'), (2, 'contato', 1, 'Local:', 'local', 'possivel_contaminacao'), (2, 'local', 1, NULL, NULL, 'encontrado_sem_extracao'),
             (3, 'cliente', 0, NULL, NULL, 'nao_aplicavel'), (3, 'contato', 0, NULL, NULL, 'nao_aplicavel'), (3, 'local', 0, NULL, NULL, 'nao_aplicavel'),
             (4, 'cliente', 2, 'A', NULL, 'ok'), (4, 'contato', 0, NULL, NULL, 'nao_aplicavel'), (4, 'local', 1, 'poço', NULL, 'ok'))
-       SELECT o_orderkey AS doc_id, campo, n::BIGINT AS ocorrencias_detectadas, valor AS valor_extraido, dentro AS campos_detectados_no_valor, status FROM orders JOIN v ON o_orderkey % 5 = m"""
+       SELECT o_orderkey AS doc_id, campo, CASE WHEN n > 0 THEN 2 END AS pagina, CASE campo WHEN 'cliente' THEN 'Cliente:\s*([^\n]*)' WHEN 'contato' THEN 'Contato:\s*([^\n]*)' ELSE 'Local:\s*(\w*)' END AS regra_encontrada, n::BIGINT AS ocorrencias_detectadas, valor AS valor_extraido,
+              dentro AS campos_detectados_no_valor, status, CASE status WHEN 'possivel_contaminacao' THEN 'O valor extraido contem regra associada a outro campo.' WHEN 'encontrado_sem_extracao' THEN 'A regra foi encontrada no PDF, mas o campo de saida ficou vazio.' END AS observacao
+       FROM orders JOIN v ON o_orderkey % 5 = m"""
 )
 def field_audit_contamination(spark, sf_dir):
+    """The first page of a document says nothing."""
     texts = ["Cliente: Rio\nContato: Ana", "Cliente: Rio Contato: Ana", "Contato: \nLocal: ", None, "Cliente: A\ncliente: B\nLOCAL: poço"]
     text = F.element_at(F.array(*map(F.lit, texts)), (F.col("o_orderkey") % 5 + 1).cast("int"))
     rules = [("client", "cliente", r"Cliente:\s*([^\n]*)"), ("client", "contato", r"Contato:\s*([^\n]*)"), ("sample", "local", r"Local:\s*(\w*)")]
-    return S.field_audit(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), text.alias("text")), rules).drop("schema_origem")
+    both = F.array(F.struct(F.lit(1).alias("page_no"), F.lit("capa").alias("text")), F.struct(F.lit(2).alias("page_no"), text.alias("text")))
+    pages = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.explode(both).alias("p")).select("doc_id", "p.*")
+    return S.field_audit(pages, rules).drop("schema_origem")
 
 
 @query(
@@ -333,28 +352,95 @@ def template_identities(spark, sf_dir):
     return taxonomy.template_identities(rule_tables(spark, sf_dir)).select("id", "template_id", "theme_id", "id_taxonomia", "versao_template", "prioridade", "score_minimo", "ativo")
 
 
-@query("SELECT * FROM (VALUES ('results_extract', 'lq_minimo', 1, true), ('results_extract', 'lq', 2, false), ('outro', 'b', 1, false), ('notes', 'c', 1, false)) AS t(schema, campo, ordem, obrigatorio)")
+@query(
+    """WITH i AS (SELECT s_suppkey AS id, 's' || s_nationkey % 3 AS schema, 'c' || s_suppkey % 40 AS campo, CASE s_suppkey % 4 WHEN 0 THEN ' Sim' WHEN 1 THEN 'nao' WHEN 2 THEN NULL ELSE '1' END AS nulo FROM supplier),
+            f AS (SELECT * FROM i QUALIFY row_number() OVER (PARTITION BY schema, campo ORDER BY id) = 1)
+       SELECT schema, campo, row_number() OVER (PARTITION BY schema ORDER BY id)::INT AS ordem, coalesce(nulo = 'nao', false) AS obrigatorio FROM f"""
+)
 def output_fields(spark, sf_dir):
-    return taxonomy.output_fields(rule_tables(spark, sf_dir)["item_schema"])
+    """The fields of three outputs; of fields that are there twice the first counts."""
+    k = F.col("s_suppkey").cast("int")
+    nulls = F.when(k % 4 == 0, " Sim").when(k % 4 == 1, "nao").when(k % 4 == 3, "1")
+    items = table(spark, sf_dir, "supplier").select(k.alias("id"), F.lit(1).alias("id_schema"), F.concat(F.lit("s"), (F.col("s_nationkey") % 3).cast("string")).alias("schema"), F.concat(F.lit("c"), (k % 40).cast("string")).alias("campo"), F.lit("t").alias("tipo"), nulls.alias("nulo"))
+    return taxonomy.output_fields(items)
+
+
+def rules_of(spark, items: DataFrame) -> taxonomy.Compiled:
+    """The rules in ``items`` (as item_template), all of one template."""
+    fixed = {"item_taxonomia": [(1, 7, "Laudo de água")], "template": [(1, 1, "x", "sim", "1", None, None, None, 1, 50.0)], "schema": [(1, 1, "notes", "nao")], "item_schema": [(1, 1, "notes", "texto", "t", "nao")]}
+    return taxonomy.compile_rules({n: spark.createDataFrame(r, taxonomy.SCHEMAS[n]) for n, r in fixed.items()} | {"item_template": items})
 
 
 @query(
-    """WITH p AS (SELECT p_partkey AS k, p_size AS z, p_partkey % 3 AS t FROM part WHERE p_partkey < 60)
+    """WITH p AS (SELECT s_suppkey AS k, s_nationkey AS z, s_suppkey % 3 AS t FROM supplier)
        SELECT CASE t WHEN 0 THEN 'AMOSTRA' WHEN 1 THEN 'BRANCO' ELSE 'OUTRO TIPO' END AS tipo, CASE k % 2 WHEN 0 THEN 'resultado' ELSE 'lq' END AS campo, max_by(z, k)::INT AS coluna FROM p GROUP BY ALL"""
 )
 def compiled_layouts(spark, sf_dir):
     """The layouts of a compiled rule table: of two rules for one field the later one counts."""
-    part = table(spark, sf_dir, "part").where("p_partkey < 60")
-    k = F.col("p_partkey").cast("int")
+    k = F.col("s_suppkey").cast("int")
     tipo = F.when(k % 3 == 0, " Amostra").when(k % 3 == 1, "BRANCO").otherwise("outro tipo")
-    rows = part.select(k.alias("id"), F.lit(1).alias("id_template"), F.lit("layout").alias("schema"), F.when(k % 2 == 0, "resultado_col").otherwise("lq").alias("campo"), F.lit(None).cast("string").alias("regex"), F.col("p_size").cast("string").alias("coluna_origem"), tipo.alias("tipo_registro"))
-    extra = spark.createDataFrame([(100, 1, "layout", "inventado", None, "3", "Amostra"), (101, 1, "layout", "lq", None, "x", "Amostra"), (102, 9, "layout", "lq", None, "3", "Amostra")], taxonomy.SCHEMAS["item_template"])
-    fixed = {"item_taxonomia": [(1, 7, "Laudo de água")], "template": [(1, 1, "x", "sim", "1", None, None, None, 1, 50.0)], "schema": [(1, 1, "notes", "nao")], "item_schema": [(1, 1, "notes", "texto", "t", "nao")]}
-    tables = {n: spark.createDataFrame(r, taxonomy.SCHEMAS[n]) for n, r in fixed.items()} | {"item_template": rows.unionByName(extra)}
-    layouts = taxonomy.compile_rules(tables).rows["template_laudo_agua_v1"].layouts
+    rows = table(spark, sf_dir, "supplier").select(k.alias("id"), F.lit(1).alias("id_template"), F.lit("layout").alias("schema"), F.when(k % 2 == 0, "resultado_col").otherwise("lq").alias("campo"), F.lit(None).cast("string").alias("regex"), F.col("s_nationkey").cast("string").alias("coluna_origem"), tipo.alias("tipo_registro"))
+    extra = spark.createDataFrame([(-1, 1, "layout", "inventado", None, "3", "Amostra"), (-2, 1, "layout", "lq", None, "x", "Amostra"), (-3, 9, "layout", "lq", None, "3", "Amostra")], taxonomy.SCHEMAS["item_template"])
+    layouts = rules_of(spark, rows.unionByName(extra)).rows["template_laudo_agua_v1"].layouts
     return spark.createDataFrame([(t, f, i) for t, own in layouts.items() for f, i in own.items()], "tipo string, campo string, coluna int")
 
 
+@query(
+    r"""SELECT s_suppkey::INT AS id, 'notes' AS schema, 'texto' AS campo, CASE s_suppkey % 4 WHEN 1 THEN 'nota (' WHEN 2 THEN '(a)?(?(1)b|' || s_suppkey || ')' ELSE '(?<=a+)x' END AS regex,
+              CASE s_suppkey % 4 WHEN 2 THEN 'java' ELSE 'python' END AS motor FROM supplier WHERE s_suppkey % 4 <> 0"""
+)
+def rule_quarantine(spark, sf_dir):
+    """Rules that one of the engines cannot run are rows of a table, and the others are compiled."""
+    k = F.col("s_suppkey").cast("int")
+    patterns = F.when(k % 4 == 0, r"nota \((?P<numero_1>\d+)\)").when(k % 4 == 1, "nota (").when(k % 4 == 2, F.concat(F.lit("(a)?(?(1)b|"), k.cast("string"), F.lit(")"))).otherwise("(?<=a+)x")
+    none = F.lit(None).cast("string")
+    rules = rules_of(spark, table(spark, sf_dir, "supplier").select(k.alias("id"), F.lit(1).alias("id_template"), F.lit("notes").alias("schema"), F.lit("texto").alias("campo"), patterns.alias("regex"), none.alias("coluna_origem"), none.alias("tipo_registro")))
+    motor = F.when(F.col("erro").startswith("python"), "python").otherwise("java")
+    return rules.quarantine(spark).select("id", "schema", "campo", "regex", motor.alias("motor"))
+
+
+@query(
+    """SELECT k AS doc_id, texto, valor, min(n)::INT AS pagina FROM (
+         SELECT l_orderkey AS k, l_linenumber AS n, unnest(['escapado', 'nomeado', 'opcional', 'sem_grupo']) AS texto, unnest(['nota (x)', 'n' || l_partkey % 4, CASE WHEN l_partkey % 2 = 0 THEN 'aviso' ELSE 'b' || l_partkey % 3 END, 'fim']) AS valor FROM lineitem) GROUP BY ALL"""
+)
+def section_rule_forms(spark, sf_dir):
+    """Escaped brackets, named groups, groups that take no part in a match, and no group at all."""
+    p = F.col("l_partkey")
+    text = F.concat(F.lit("Nota (x) num=n"), (p % 4).cast("string"), F.when(p % 2 == 0, " aviso").otherwise(F.concat(F.lit(" aviso: b"), (p % 3).cast("string"))), F.lit(" fim"))
+    pages = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").cast("int").alias("page_no"), F.lower(text).alias("text"))
+    rules = [("escapado", r"nota \(x\)"), ("nomeado", r"num=(?P<o_numero>\w+)"), ("opcional", r"aviso(?:: (\w+))?"), ("sem_grupo", "fim")]
+    return S.section_matches(pages, rules).select("doc_id", F.col("campo").alias("texto"), "valor", "pagina")
+
+
+# ---- row numbers of a whole sheet (V1), documents read once
+
+
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) + 1 AS linha FROM orders")
+def sheet_row_numbers(spark, sf_dir):
+    return sheet_rows(table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey"), "o_orderdate", "o_orderkey", name="linha").select("o_orderkey", "linha")
+
+
+@query(
+    r"""WITH d AS (SELECT lpad(doc_id::VARCHAR, 12, '0') AS path, sha256(coalesce(text, '')) AS hash_arquivo, coalesce(text, '') AS text FROM documents),
+            f AS (SELECT hash_arquivo, min(path) AS path, any_value(text) AS text, count(*) AS n FROM d GROUP BY 1)
+       SELECT path, hash_arquivo, len(string_split(text, chr(10) || chr(10)))::BIGINT AS paginas, n - 1 AS copias, 0::BIGINT AS lidas_de_novo FROM f"""
+)
+def documents_read_once(spark, sf_dir):
+    """Documents as files of pages parted by empty lines, read twice with a store: the second time decodes none of them."""
+    text = F.coalesce("text", F.lit(""))
+    read = table(spark, sf_dir, "documents").select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("path"), F.encode(text, "UTF-8").alias("content"))
+    hashed = read.select("path", F.sha2("content", 256).alias("hash_arquivo"))
+    kept = store.Store(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}", "rules")
+    extract = lambda content: [(page, []) for page in content.decode().split("\n\n")]
+    store.decode(hashed, lambda wanted: read.join(wanted.select("path"), "path"), extract, kept)
+    runs = kept.runs()
+    pages, copies = store.decode(hashed, lambda wanted: read.join(wanted.select("path"), "path"), extract, kept)
+    again = len(kept.runs()) - len(runs)
+    of = copies.groupBy(F.col("canonico").alias("path")).agg(F.count("*").alias("n"))
+    found = pages.groupBy("path", "hash_arquivo").agg(F.count("*").alias("paginas")).join(of, "path", "left")
+    return found.select("path", "hash_arquivo", "paginas", F.coalesce("n", F.lit(0)).alias("copias"), F.lit(again).cast("long").alias("lidas_de_novo"))
+
+
 # ---- text functions, sources and sinks
 
 

@@ -12,7 +12,7 @@ from tabularium.operators import classify as C
 from tabularium.operators import duplicates as D
 from tabularium.operators.sections import section_matches, validation_keys
 from tabularium.operators.validate import validate
-from tabularium.plans import batch, taxonomy
+from tabularium.plans import batch, store, taxonomy
 from tabularium.plans.contracts import RESULTS, RESULTS_CONTRACT
 from tabularium.sources import documents, sinks, workbook
 from tabularium.streaming import incremental
@@ -127,7 +127,7 @@ def report_pages(spark):
 
 def test_batch_end_to_end(spark, tmp_path):
     rules = taxonomy.compile_rules(tables(spark))
-    assert rules.templates[0].template_id == "template_laudo_agua_v1" and len(batch.signature(rules)) == 64
+    assert rules.templates[0].template_id == "template_laudo_agua_v1" and len(store.signature(rules)) == 64
     assert set(taxonomy.known_patterns(rules)) == {"água|agua", "resultados", r"amostra:\s*(\d+)", r"cliente:\s*(\w+)", r"nota:\s*(\w+)"}
     out = batch.run(report_pages(spark), rules)
     results = {r.parameter: r for r in out["results_extract"].collect()}
@@ -177,13 +177,51 @@ def test_rows_without_a_document_go_to_all(spark):
     assert sorted(map(tuple, got.collect())) == [("a", 7), ("a", 8), ("b", 7)]
 
 
-def test_store_of_extractions(spark, tmp_path):
-    docs = spark.createDataFrame([("h1",), ("h2",)], "hash_arquivo string")
-    assert batch.load_extraction(spark, str(tmp_path / "store"), "s") is None and batch.new_documents(docs, None, "s").count() == 2
-    batch.store_extraction(docs.limit(1), str(tmp_path / "store"), "s")
-    store = spark.read.parquet(str(tmp_path / "store"))
-    assert batch.new_documents(docs, store, "s").count() == 1 and batch.new_documents(docs, store, "other").count() == 2
-    assert batch.load_extraction(spark, str(tmp_path / "store"), "s").count() == 1
+def test_a_second_run_decodes_nothing(spark, tmp_path):
+    calls, kept = tmp_path / "calls", str(tmp_path / "store")
+    calls.mkdir()
+    (tmp_path / "in").mkdir()
+    for name, body in (("a.pdf", REPORT), ("b.pdf", REPORT), ("c.pdf", "outro"), ("d.pdf", "bad"), ("e.pdf", REPORT + " ")):
+        (tmp_path / "in" / name).write_text(body)
+    folder = str(calls)
+
+    def extract(content):
+        import pathlib
+        import uuid
+
+        (pathlib.Path(folder) / uuid.uuid4().hex).write_bytes(content)
+        if content == b"bad":
+            raise ValueError("damaged")
+        return [(content.decode(), [TABLE])]
+
+    def run(sign):
+        before = len([*calls.iterdir()])
+        pages, copies = store.read_files(spark, [str(tmp_path / "in")], extract, store=store.Store(spark, kept, sign))
+        out = batch.run(pages, taxonomy.compile_rules(tables(spark)), copies=copies)
+        rows = {n: sorted(map(str, out[n].drop("acm_data_hora_extracao").collect())) for n in ("results_extract", "sample", "resumo", "duplicate_audit", "section_extraction_audit")}
+        return len([*calls.iterdir()]) - before, rows, out
+
+    first, made, out = run("s")
+    assert first == 4  # one call a hash: a.pdf stands for b.pdf
+    assert {r.nome_do_arquivo: (r.status, r.duplicado_de) for r in out["resumo"].collect()} == {"a.pdf": ("identificado", None), "b.pdf": ("duplicado", "a.pdf"), "c.pdf": ("fora_escopo", None), "d.pdf": ("erro", None), "e.pdf": ("duplicado", "a.pdf")}
+    assert {r.nome_do_arquivo: r.tipo_duplicidade for r in out["duplicate_audit"].collect()} == {"a.pdf": "duplicado_exato_arquivo", "b.pdf": "duplicado_exato_arquivo", "e.pdf": "duplicado_textual"}
+    again, same, _ = run("s")
+    assert again == 1 and same == made  # what failed is tried again, nothing else
+    (tmp_path / "in" / "f.pdf").write_text("outro texto")
+    assert run("s")[0] == 2
+    assert run("other rules")[0] == 5
+    own = store.Store(spark, kept, "s")
+    assert len(own.runs()) == 3  # the second run added the empty set of what it could decode
+    count = own.pages().count()
+    own.compact()
+    assert len(own.runs()) == 1 and own.pages().count() == count == 4
+
+
+def test_pages_of_a_run_that_died_are_not_read(spark, tmp_path):
+    kept = store.Store(spark, str(tmp_path / "store"), "s")
+    assert kept.runs() == [] and kept.pages().count() == 0 and kept.known_files() is None
+    spark.createDataFrame([("h", 1, "x", None)], store.PAGES).write.parquet(str(tmp_path / "store" / "pages" / "s" / "dead"))
+    assert kept.pages().count() == 0 and kept.missing(spark.createDataFrame([("h",)], "hash_arquivo string")).count() == 1
 
 
 def test_config_path(monkeypatch):

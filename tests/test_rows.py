@@ -20,7 +20,7 @@ def read(spark):
     def run(pages, rules=RULES):
         rows = [("d", "t", i, text, tables) for i, (text, tables) in enumerate(pages, 1)] + [("other", "u", 1, "Resultados analíticos", [[HEADER, METAL("x", "1")]])]
         df = spark.createDataFrame(rows, "doc_id string, template_id string, page_no int, text string, tables array<array<array<string>>>")
-        return G.result_rows(G.sections(df, {"t": rules}), df, {"t": rules}).orderBy("seq").collect()
+        return G.result_rows(G.sections(df, {"t": rules}), {"t": rules}).orderBy("seq").collect()
 
     return run
 
