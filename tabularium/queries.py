@@ -11,6 +11,7 @@ from .operators import classify as C
 from .operators import duplicates as D
 from .operators import normalize as N
 from .operators import reconcile as R
+from .operators import rule_table as T
 from .operators import sections as S
 from .operators.validate import validate
 from .plans.contracts import Contract
@@ -104,6 +105,28 @@ def preclassify_semi(spark, sf_dir):
     return kept.select(F.col("doc_id").alias("conv_id"), (F.col("page_no") - 1).alias("turn"))
 
 
+# ---- rules as a table (C11, C14, E2): a rule for each word that passages of benchmark hold
+
+
+def word_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-z]{5,}"), F.lit(0)))).alias("w")).distinct()
+    n = F.length("w") % 3
+    regex = F.when(n == 0, F.concat(F.col("w"), F.lit("[a-z]? "))).when(n == 1, F.concat(F.col("w"), F.lit("[,.]"))).otherwise(F.concat(F.col("w"), F.lit(" (the|der|le|la) ")))
+    return words.select(F.xxhash64("w").alias("rule_id"), regex.alias("regex"), F.col("w").alias("palavra"))
+
+
+@query(
+    r"""WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z]{5,}')) AS w FROM benchmark),
+            d AS (SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents),
+            h AS (SELECT w, contains(t, w) AND CASE length(w) % 3 WHEN 0 THEN regexp_matches(t, w || '[a-z]? ') WHEN 1 THEN regexp_matches(t, w || '[,.]') ELSE regexp_matches(t, w || ' (the|der|le|la) ') END AS hit FROM d, w WHERE contains(t, w))
+       SELECT w AS palavra, count(*) AS documentos FROM h WHERE hit GROUP BY w"""
+)
+def rule_table_hits(spark, sf_dir):
+    rules = word_rules(spark, sf_dir)
+    hits = T.rule_hits(table(spark, sf_dir, "documents"), rules)
+    return hits.groupBy("rule_id").agg(F.count("*").alias("documentos")).join(rules.select("rule_id", "palavra"), "rule_id").select("palavra", "documentos")
+
+
 # ---- texts, duplicates
 
 _HASHED = r"SELECT doc_id, source, text, sha256(lower(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')))) AS hash_texto FROM documents"
