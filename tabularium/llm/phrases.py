@@ -6,7 +6,7 @@ of single words, of pairs, of fours. Neighbours in that order have a common pref
 words long are the n-grams of the shard, and their lengths the counts. Counts are merged over all shards.
 
 A phrase is frequent only if both phrases within it that are a word shorter are, so lengths are counted one after another:
-the words first, from the texts; then shards without their rare words are written, and pass n over the shards merges the
+the words first; then the texts are written without their rare words, and pass n over what is left of them merges the
 hashes of n-grams whose parts a Bloom filter of the frequent (n - 1)-grams holds, and sends as text the (n - 1)-grams that the
 filter holds. The filters are of bounded size (``MOST_WORDS``); a full one lets more n-grams pass, and no result changes, for
 what counts in the end are the texts and their merged counts.
@@ -31,7 +31,9 @@ SUBSUMED = 80
 #: Characters that end a piece.
 PIECES = b".,;:!?\n\x0b\x0c\r"
 #: Words of a shard.
-SHARD = 300_000
+SHARD = 500_000
+#: Texts that are pruned at once.
+TEXTS = 64
 #: 64-bit words of a filter of frequent n-grams, 32 MB at most; 16 bits an n-gram below that.
 MOST_WORDS = 1 << 22
 SEED = 42
@@ -95,18 +97,6 @@ class Shard:
         seeds = {lang: xxh64_intdigest(lang.encode(), SEED) for lang in self.index}
         return np.array([0, *(xxh64_intdigest(w, seeds[lang]) for w, lang in zip(self.words[1:], self.langs[1:]))], np.uint64)
 
-    def pruned(self, frequent: Filter) -> dict:
-        """The shard as a row of SHARDS: rare words are breaks, and breaks beside breaks are gone."""
-        h = self.hashes()
-        keep = frequent.holds(h)
-        keep[0] = False
-        kept = np.flatnonzero(keep)
-        new = np.zeros(len(h), np.int32)
-        new[kept] = np.arange(1, len(kept) + 1)
-        ids = new[np.array(self.ids, np.int64)]
-        ids = ids[np.append(True, (ids[1:] != 0) | (ids[:-1] != 0))]
-        return {"ids": ids.tobytes(), "hashes": h[kept].tobytes(), "words": [self.words[i].decode() for i in kept], "langs": [self.langs[i] for i in kept]}
-
 
 def suffix_array(ids: np.ndarray, starts: np.ndarray, depth: int = LONGEST) -> np.ndarray:
     """``starts`` in the order of their first ``depth`` words (a power of two), by prefix doubling; ids end in ``depth`` zeros.
@@ -142,17 +132,16 @@ def intervals(lcp: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(lcp)))
 
 
-SHARDS = "ids binary, hashes binary, words array<string>, langs array<string>"
 GRAMS = "lang string, phrase string, hash long, count long"
 
 
-def shard_grams(row: dict, n: int, filters: list[Filter]) -> tuple[list, list]:
+def shard_grams(shard: Shard, n: int, filters: list[Filter]) -> tuple[list, list]:
     """The hashed n-grams of a shard, (hash, count), and the texts of its frequent (n - 1)-grams, (lang, text, count).
 
-    ``filters``: of lengths 1 to n - 1; that of the words has been used. Beyond LONGEST words only texts are given.
+    ``filters``: of lengths 1 to n - 1; that of the words has been used on the texts. Beyond LONGEST words only texts are given.
     """
-    ids = np.concatenate([np.frombuffer(row["ids"], np.int32).astype(np.int64), np.zeros(LONGEST, np.int64)])
-    h = np.concatenate([np.zeros(1, np.uint64), np.frombuffer(row["hashes"], np.uint64)])
+    ids = np.concatenate([np.array(shard.ids, np.int64), np.zeros(LONGEST, np.int64)])
+    h = shard.hashes()
     # gram[k]: hash of the (k + 1)-gram at each place; live[k]: it has all its words, and the filters hold it
     gram, live = [h[ids]], [ids != 0]
     for k in range(1, min(n, LONGEST)):
@@ -164,8 +153,8 @@ def shard_grams(row: dict, n: int, filters: list[Filter]) -> tuple[list, list]:
     array = suffix_array(ids, np.flatnonzero(live[n - 2]), 2 if n == 2 else LONGEST)
     lcp = prefixes(ids, array, min(n, LONGEST))
     first, counts = intervals(lcp, n - 1)
-    words, langs = row["words"], row["langs"]
-    texts = [(langs[own[0] - 1], " ".join([words[i - 1] for i in own]), c) for own, c in zip(ids[array[first][:, None] + np.arange(n - 1)].tolist(), counts.tolist())]
+    words, langs = shard.words, shard.langs
+    texts = [(langs[own[0]], b" ".join([words[i] for i in own]).decode(), c) for own, c in zip(ids[array[first][:, None] + np.arange(n - 1)].tolist(), counts.tolist())]
     if n > LONGEST:
         return [np.zeros(0, np.uint64), np.zeros(0, np.int64)], texts
     first, counts = intervals(lcp, n)
@@ -215,35 +204,49 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, GRAMS)
 
 
-def pruned_shards(docs: DataFrame, frequent) -> DataFrame:
-    """SHARDS of the texts without the words that the filter of frequent ones does not hold."""
+def pruned_texts(docs: DataFrame, frequent) -> DataFrame:
+    """(text, lang) without the words that the filter of frequent ones does not hold: each is the end of a piece."""
     import pyarrow as pa
 
-    size = SHARD
-
     def run(batches):
         worker_release()
         held = Filter(frequent.value)
-        for shard in _shards(batches, size):
-            row = shard.pruned(held)
-            yield pa.RecordBatch.from_arrays([pa.array([row["ids"]], pa.binary()), pa.array([row["hashes"]], pa.binary()), pa.array([row["words"]], pa.list_(pa.string())), pa.array([row["langs"]], pa.list_(pa.string()))], names=["ids", "hashes", "words", "langs"])
-
-    return docs.mapInArrow(run, SHARDS)
-
-
-def gram_counts(shards: DataFrame, n: int, filters: list) -> DataFrame:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                shard, ends, langs = Shard(), [], part.column("lang").to_pylist()
+                for raw, lang in zip(part.column("text").cast(pa.binary()).to_pylist(), langs):
+                    for piece in raw.lower().translate(_TO_BREAK).split(b"\n"):
+                        shard.add(piece.split(), lang)
+                    ends.append(len(shard.ids))
+                kept = held.holds(shard.hashes())
+                kept[0] = False
+                said = [w if k else b"\n" for w, k in zip(shard.words, kept.tolist())]
+                ids = np.array(shard.ids, np.int64)
+                # of breaks beside each other one is enough
+                need = np.append(True, kept[ids[1:]] | kept[ids[:-1]])
+                texts, start = [], 0
+                for end in ends:
+                    texts.append(b" ".join(map(said.__getitem__, ids[start:end][need[start:end]].tolist())).decode())
+                    start = end
+                shard.index.clear()
+                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(langs, pa.string())], names=["text", "lang"])
+
+    return docs.mapInArrow(run, "text string, lang string")
+
+
+def gram_counts(docs: DataFrame, n: int, filters: list) -> DataFrame:
     """(lang, phrase, hash, count): hashes of n-grams, and texts of the (n - 1)-grams that the last filter holds."""
+    size = SHARD
 
     def run(batches):
         worker_release()
         held = [Filter(f.value) for f in filters]
-        for batch in batches:
-            for at in range(batch.num_rows):
-                (row,) = batch.slice(at, 1).to_pylist()
-                (h, counts), texts = shard_grams(row, n, held)
-                yield _gram_batch(h, counts, texts)
+        for shard in _shards(batches, size):
+            (h, counts), texts = shard_grams(shard, n, held)
+            yield _gram_batch(h, counts, texts)
 
-    return shards.mapInArrow(run, GRAMS)
+    return docs.mapInArrow(run, GRAMS)
 
 
 def _filter(frequent: DataFrame):
@@ -264,9 +267,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
     counted = merge(word_counts(slim), 1)
     totals = counted.where("phrase = ''").select("lang", F.col("f").alias("n"))
     filters, found = [_filter(counted.where("phrase is null").select("hash"))], None
-    shards = stash(pruned_shards(slim, filters[0]), "shards")
+    left = stash(pruned_texts(slim, filters[0]), "left")
     for n in range(2, LONGEST + 2):
-        counted = merge(gram_counts(shards, n, filters), n)
+        counted = merge(gram_counts(left, n, filters), n)
         own = counted.where("phrase is not null").select("lang", "phrase", F.lit(n - 1).alias("size"), "f")
         found = own if found is None else found.unionByName(own)
         if n <= LONGEST:
