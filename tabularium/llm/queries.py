@@ -124,7 +124,7 @@ ORACLE_SQL = {
     "op12_collocations": rf"""
         WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_NORM}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
         w AS (SELECT row_number() OVER () AS k, lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
-        t AS (SELECT k, lang, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM w),
+        t AS MATERIALIZED (SELECT k, lang, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM w),
         g AS (SELECT lang, w AS w1, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4 FROM t WINDOW o AS (PARTITION BY k ORDER BY i)),
         e AS (SELECT lang, size, CASE size WHEN 1 THEN w1 WHEN 2 THEN w1 || ' ' || w2 WHEN 3 THEN w1 || ' ' || w2 || ' ' || w3 ELSE w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 END AS phrase FROM g, range(1, 5) AS s(size)),
         f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM e WHERE phrase IS NOT NULL GROUP BY ALL HAVING count(*) >= 30),
@@ -134,8 +134,9 @@ ORACLE_SQL = {
         best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
         part AS (SELECT lang, array_to_string(ws[i : i + m - 1], ' ') AS phrase, max(a) AS longest FROM c, range(2, 4) AS s(m), range(1, 4) AS q(i) WHERE m < size AND i + m - 1 <= size GROUP BY ALL),
         inside AS (SELECT lang, phrase FROM c JOIN part USING (lang, phrase) WHERE 100 * longest::HUGEINT >= 80 * a::HUGEINT),
-        n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang)
-        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM best ANTI JOIN inside USING (lang, phrase) JOIN n USING (lang) QUALIFY rank <= 2000""",
+        n AS MATERIALIZED (SELECT lang, count(*) AS n FROM t GROUP BY lang),
+        kept AS MATERIALIZED (SELECT b.* FROM best b LEFT JOIN inside i ON b.lang = i.lang AND b.phrase = i.phrase WHERE i.phrase IS NULL)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM kept JOIN n USING (lang) QUALIFY rank <= 2000""",
     "op2_secrets": f"""
         WITH {_secret_spans_sql()}
         SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
