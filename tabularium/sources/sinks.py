@@ -22,18 +22,23 @@ def decimals(source: Column, index: int) -> Column:
     """Decimal places of the i-th number of a text, the last one's if there are fewer; an exponent belongs to its number."""
     bare = F.regexp_replace(source, r"(?i)\s*x\s*10\s*[+-]?\d+", "")
     numbers = F.regexp_extract_all(bare, F.lit(f"({NUMBER})"), 1)
-    number = F.try_element_at(numbers, F.least(F.lit(index + 1), F.size(numbers)))
-    return F.when(F.size(numbers) > 0, F.char_length(F.regexp_extract(number, r"[,.](\d+)$", 1)))
+    number = lambda n: F.try_element_at(n, F.least(F.lit(index + 1), F.size(n)))
+    return F.transform(F.array(numbers), lambda n: F.when(F.size(n) > 0, F.char_length(F.regexp_extract(number(n), r"[,.](\d+)$", 1))))[0]
 
 
 def scaled(value: Column, source: Column, index: int = 0) -> Column:
     """A JSON number token with the source's decimal places, half to even."""
-    places = decimals(source, index)
-    exact = value.cast("string").cast("decimal(38,18)")  # of the shortest text of the number
-    text = value.cast("string")
-    for p in range(MOST_PLACES + 1):
-        text = F.when(places == p, F.bround(exact, p).cast(f"decimal(38,{p})").cast("string")).otherwise(text)
-    return F.when(value.isNotNull(), text)
+    exact = lambda v: v.cast("string").cast("decimal(38,18)")  # noqa: E731  # of the shortest text of the number
+
+    def token(x: Column) -> Column:
+        text = F.when(F.lit(False), F.lit(""))
+        for p in range(MOST_PLACES + 1):
+            text = text.when(x["p"] == p, F.bround(x["e"], p).cast(f"decimal(38,{p})").cast("string"))
+        return text.otherwise(x["v"])
+
+    # the places are counted once for a value, not once for each number of places that is tried
+    facts = F.struct(decimals(source, index).alias("p"), exact(value).alias("e"), value.cast("string").alias("v"))
+    return F.when(value.isNotNull(), F.transform(F.array(facts), token)[0])
 
 
 def json_pair(name: str, value: Column, token: bool = False) -> Column:
@@ -48,8 +53,10 @@ def json_records(df: DataFrame, key: str, tokens: dict[str, Column] | None = Non
     pairs = [json_pair(c, tokens.get(c, F.col(c)), c in tokens) for c in df.columns if c != key]
     row = F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
     place = F.struct(*(F.col(c) for c in order)) if order else row
-    rows = F.transform(F.array_sort(F.collect_list(F.struct(place.alias("o"), row.alias("r")))), lambda x: x["r"])
-    return df.groupBy(key).agg(F.concat(F.lit("["), F.array_join(rows, ","), F.lit("]")).alias("json"))
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("o", "r"))), lambda x: x["r"])
+    # the rows are written out before they are dealt, as columns: within the aggregate each would be interpreted
+    made = df.select(key, place.alias("o"), row.alias("r")).repartition(F.col(key))
+    return made.groupBy(key).agg(F.concat(F.lit("["), F.array_join(rows, ","), F.lit("]")).alias("json"))
 
 
 def jsonl(tables: dict[str, DataFrame], key: str = "nome_do_arquivo", tokens: dict[str, dict[str, Column]] | None = None, order: dict[str, list[str]] | None = None) -> DataFrame:
