@@ -16,11 +16,16 @@ DATES = ["data_coleta", "data_recebimento", "data_publicacao"]
 
 
 def parse_date(x: Column) -> Column:
-    """ISO dates and times, else day-first ones; null if neither."""
+    """ISO dates and times, else day-first ones; null if neither.
+
+    The colons and the T tell which one form can fit, so a text is tried once: a form that does not fit costs an exception.
+    """
     t = F.trim(x.cast("string"))
-    iso = F.coalesce(F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss")), F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss")), F.try_to_timestamp(t, F.lit("yyyy-MM-dd")))
-    pt = F.coalesce(F.try_to_timestamp(t, F.lit("dd/MM/yyyy HH:mm:ss")), F.try_to_timestamp(t, F.lit("dd/MM/yyyy HH:mm")), F.try_to_timestamp(t, F.lit("dd/MM/yyyy")))
-    return F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}"), iso).otherwise(pt)
+    colons, tee = F.char_length(t) - F.char_length(F.replace(t, F.lit(":"), F.lit(""))), F.upper(t).contains("T")
+    form = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}"), F.when(tee & (colons == 2), "yyyy-MM-dd'T'HH:mm:ss").when(~tee & (colons == 2), "yyyy-MM-dd HH:mm:ss").when(~tee & (colons == 0), "yyyy-MM-dd"))
+    form = form.when(t.rlike(r"^\d{2}/\d{2}/"), F.when(colons == 2, "dd/MM/yyyy HH:mm:ss").when(colons == 1, "dd/MM/yyyy HH:mm").when(colons == 0, "dd/MM/yyyy"))
+    of = lambda f: F.when(form == f, F.try_to_timestamp(t, F.lit(f)))
+    return F.coalesce(*map(of, ["yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm", "dd/MM/yyyy"]))
 
 
 def temporal_status(*dates: Column) -> Column:
@@ -86,7 +91,8 @@ def reconcile(results: DataFrame, sample: DataFrame, client: DataFrame, packagin
         F.min("place").alias("place"), *(F.sum(c).alias(c) for c in counts), *(first(c) for c in IDENTITY), *((F.min(f"least_{c}") != F.max(f"most_{c}")).alias(f"diverge_{c}") for c in IDENTITY),
         F.min("dates").alias("d"),
     ).where("place < 3")
-    wide = wide.withColumn("coerencia_temporal", F.when(F.col("d").isNotNull(), temporal_status(*(parse_date(F.col("d")[d]) for d in DATES))))
+    wide = wide.withColumns({f"__{d}": parse_date(F.col("d")[d]) for d in DATES})
+    wide = wide.withColumn("coerencia_temporal", F.when(F.col("d").isNotNull(), temporal_status(*(F.col(f"__{d}") for d in DATES))))
     diverges = {c: F.coalesce(F.col(f"diverge_{c}"), F.lit(False)) for c in IDENTITY}
     n = {c: F.col(c) for c in counts}
     temporal = F.coalesce("coerencia_temporal", F.lit("nao_avaliado"))
