@@ -33,8 +33,11 @@ def collapse(x: Column) -> Column:
 def fold(x: Column) -> Column:
     """Without accents, in lower case, white space collapsed; null gives the empty text."""
     source, base = fold_tables()
-    plain = F.regexp_replace(F.translate(F.coalesce(x, F.lit("")), source, base), r"\p{Mn}+", "")
-    return F.replace(F.lower(collapse(plain)), F.lit("ß"), F.lit("ss"))
+    text = F.coalesce(x, F.lit(""))
+    plain = F.regexp_replace(F.translate(text, source, base), r"\p{Mn}+", "")
+    full = F.replace(F.lower(collapse(plain)), F.lit("ß"), F.lit("ss"))
+    # ASCII has no accents: the letters need not be looked up one by one
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(collapse(text))).otherwise(full)
 
 
 def token(x: Column) -> Column:

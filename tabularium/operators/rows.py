@@ -1,7 +1,7 @@
 """Sections and result rows of page tables, as DataFrame stages.
 
 1. ``events`` takes from the pages what can change the section: a small struct for each page, each table, each row that names
-   a section or is a header, and each page whose text names a section for the next one. Cells stay where they are.
+   a section or is a header, and each line of a page's text that names a section for the next one. Cells stay where they are.
 2. ``folded`` gathers a document's events in order and folds them once: the section named last, the quality-control type,
    the layout of the last header, the report's code, and which tables are read. Titles and headers inside a table count
    only if it is read, which hangs on what came before; a fold knows that when it gets there.
@@ -15,7 +15,7 @@ become literal patterns.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -128,26 +128,27 @@ def titled(df: DataFrame, text: Column, rules: dict[str, RuleSet], types: bool,
     return read.withColumn(name, mark).drop("texto", "raw", "norm", "after")
 
 
-def named_on_page(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
-    """doc_id, template_id, page_no, secao: the last section that a page's text names.
+def named_last(before: Column, said: Column) -> Column:
+    """Of two sections that lines of a page name, the one that counts: a title without subcategory does not displace one with a
+    subcategory of the same category."""
+    keeps = (before["categoria"] == said["categoria"]) & before["subcategoria"].isNotNull() & said["subcategoria"].isNull()
+    return F.when(said.isNull() | F.coalesce(keeps, F.lit(False)), before).otherwise(said)
 
-    A title without subcategory does not displace one with a subcategory of the same category.
-    """
+
+def named_on_page(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
+    """doc_id, template_id, page_no, secao of every page: the last section that its text names (``named_last``), null without one."""
     lines = pages.select("doc_id", "template_id", "page_no", F.posexplode(F.split(F.coalesce("text", F.lit("")), LINE_ENDS)).alias("n", "line"))
-    named = titled(lines, F.col("line"), rules, False, "secao").where("secao is not null")
-    order = Window.partitionBy("doc_id", "page_no").orderBy("n")
-    changes = F.coalesce(F.lag("secao.categoria").over(order) != F.col("secao.categoria"), F.lit(True)).cast("int")
-    runs = named.withColumn("run", changes).withColumn("run", F.sum("run").over(order))
-    rank = F.struct("run", F.col("secao.subcategoria").isNotNull(), "n")
-    last = runs.groupBy("doc_id", "template_id", "page_no").agg(F.max_by("secao", rank).alias("secao"))
-    return last.withColumn("secao", F.col("secao").withField("geral", F.lit(False)))
+    named = titled(lines, F.col("line"), rules, False, "secao")
+    said = F.array_sort(F.collect_list(F.when(F.col("secao").isNotNull(), F.struct("n", "secao"))))
+    gathered = named.groupBy("doc_id", "template_id", "page_no").agg(said.alias("s"))
+    last = F.aggregate("s", F.lit(None).cast(SECTION), lambda acc, x: named_last(acc, x["secao"].withField("geral", F.lit(False))))
+    return gathered.select("doc_id", "template_id", "page_no", last.alias("secao"))
 
 
 def left_to_next_page(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
     """doc_id, template_id, page_no, secao: the last section that the text of the page before names."""
-    last = named_on_page(pages, rules).drop("template_id")
-    every = pages.select("doc_id", "template_id", "page_no").join(last, ["doc_id", "page_no"], "left")
-    return every.withColumn("secao", F.lag("secao").over(Window.partitionBy("doc_id").orderBy("page_no"))).where("secao is not null")
+    order = Window.partitionBy("doc_id").orderBy("page_no")
+    return named_on_page(pages, rules).withColumn("secao", F.lag("secao").over(order)).where("secao is not null")
 
 
 # ---- headers and layouts
@@ -214,35 +215,62 @@ def _measured(rows: Column) -> Column:
     return F.when(width > 0, F.transform(F.sequence(F.lit(0), width - 1), count)).otherwise(F.array().cast("array<int>"))
 
 
-def events(pages: DataFrame, tables: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
+def events(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
     """doc_id and EVENT of all that can change the section: pages, tables, marks inside tables, titles left to the next page.
 
     ``pages``: doc_id, template_id, page_no, text, tables, and optionally codigo_inicial, the report's code by other rules.
+    They are read once: a page becomes its parts (itself, its tables, its text), and a part the lines that may say something.
     """
     own = pages.where(F.col("template_id").isin([*rules]))
     started = F.col("codigo_inicial") if "codigo_inicial" in pages.columns else F.lit(None).cast("string")
-    begins = own.select("doc_id", "template_id", "page_no", F.lit(0).alias("tabela_indice"), F.lit(0).alias("linha"), F.coalesce(report_code(F.coalesce("text", F.lit(""))), F.when(F.col("page_no") <= 1, started)).alias("codigo"))
-    waiting = named_on_page(own, rules).withColumns({"tabela_indice": F.lit(END), "linha": F.lit(0)})
-
-    first = F.try_element_at("linhas", F.lit(1))
-    spoken = F.array_join(F.transform(first, lambda c: F.coalesce(c, F.lit(""))), " ")
-    goes_on = F.when(F.size(first) >= 2, by_template(rules, lambda r: first_of([(matches(spoken, p), F.lit(t)) for p, t in r.continuations], "string"), "string"))
-    headed = F.exists(F.slice("linhas", 1, HEADER_ROWS), lambda r: F.coalesce(is_header(r), F.lit(False)))
-    heads = tables.select("doc_id", "template_id", "page_no", "tabela_indice", F.lit(0).alias("linha"), "secao", goes_on.alias("continua"), headed.alias("cabecalho"), _measured(F.col("linhas")).alias("medidas"))
-
-    rows = tables.select("doc_id", "template_id", "page_no", "tabela_indice", F.posexplode("linhas").alias("n", "celulas"))
-    rows = titled(rows, row_text(F.col("celulas")), rules, True, "secao").withColumn("linha", F.col("n") + 1)
-    header = F.col("secao").isNull() & F.coalesce(is_header(F.col("celulas")), F.lit(False))
-    rows = rows.where(F.col("secao").isNotNull() | header)
-    rows = rows.withColumn("dobradas", F.when(F.col("secao").isNull(), F.transform("celulas", lambda c: fold(c))))
+    own = own.withColumn("codigo", F.coalesce(report_code(F.coalesce("text", F.lit(""))), F.when(F.col("page_no") <= 1, started)))
+    grid = "array<array<string>>"
+    part = lambda at, rows, lines: F.struct(at.cast("int").alias("tabela_indice"), rows.cast(grid).alias("todas"), lines.cast("array<string>").alias("linhas_texto"))
+    none = F.lit(None)
+    of_tables = F.transform(F.coalesce("tables", F.array().cast(f"array<{grid}>")), lambda t, i: part(i + 1, F.transform(t, lambda r: F.coalesce(r, F.array().cast("array<string>"))), none))
+    of_tables = F.filter(of_tables, lambda x: F.coalesce(F.size(x["todas"]), F.lit(0)) > 0)
+    lines = F.split(F.coalesce("text", F.lit("")), LINE_ENDS)
+    parts = own.select("doc_id", "template_id", "page_no", "codigo", F.explode(F.concat(F.array(part(F.lit(0), none, none)), of_tables, F.array(part(F.lit(END), none, lines)))).alias("x"))
+    parts = parts.select("doc_id", "template_id", "page_no", "codigo", "x.*")
+    page, table, end = F.col("tabela_indice") == 0, F.col("todas").isNotNull(), F.col("tabela_indice") == END
+
+    # a table: the section that its first row names, what it continues, its header and its measured columns
+    parts = titled(parts, F.when(table, row_text(F.get("todas", F.lit(0)))), rules, True, "secao")
+    parts = parts.withColumn("linhas", F.when(F.col("secao").isNull(), F.col("todas")).otherwise(F.slice("todas", 2, F.size("todas"))))
+    parts = parts.withColumn("primeira", F.when(table, F.try_element_at("linhas", F.lit(1))))
+    spoken = F.array_join(F.transform("primeira", lambda c: F.coalesce(c, F.lit(""))), " ")
+    goes_on = F.when(F.size("primeira") >= 2, by_template(rules, lambda r: first_of([(matches(F.col("falada"), p), F.lit(t)) for p, t in r.continuations], "string"), "string"))
+    parts = parts.withColumn("falada", spoken).withColumn("continua", goes_on)
+    parts = parts.withColumn("cabecalho", F.when(table, F.exists(F.slice("linhas", 1, HEADER_ROWS), lambda r: F.coalesce(is_header(r), F.lit(False)))))
+    parts = parts.withColumn("medidas", F.when(table, _measured(F.col("linhas"))))
+
+    # its rows, and the lines of the text
+    unit = lambda i, text, cells: F.struct(i.cast("int").alias("linha"), text.cast("string").alias("t"), cells.cast("array<string>").alias("celulas"))
+    rows = F.when(table, F.transform("linhas", lambda r, i: unit(i + 1, row_text(r), r)))
+    said = F.when(end, F.transform("linhas_texto", lambda line, i: unit(i + 1, line, none)))
+    first = F.array(unit(F.lit(0), none, none))
+    units = F.when(page, first).when(end, said).otherwise(F.concat(first, rows))
+    kept = ["doc_id", "template_id", "page_no", "tabela_indice"]
+    heads = ["secao", "continua", "cabecalho", "medidas"]
+    found = parts.select(*kept, "codigo", F.struct(*heads).alias("cab"), F.explode(units).alias("u")).select(*kept, "codigo", "cab", "u.*")
+    head = F.col("linha") == 0
+    found = titled(found, F.col("t"), {t: replace(r, types=()) for t, r in rules.items()}, False, "titulo")
+    typed = by_template(rules, lambda r: record_type(r, "t"), SECTION)
+    found = found.withColumn("raw", F.when(F.col("titulo").isNull() & table_row(), collapse(F.coalesce("t", F.lit("")))))
+    found = found.withColumn("titulo", F.when(table_row(), F.coalesce("titulo", typed)).otherwise(F.col("titulo").withField("geral", F.lit(False))))
+    header = F.col("titulo").isNull() & table_row() & F.coalesce(is_header(F.col("celulas")), F.lit(False))
+    found = found.withColumn("titulo", F.when(head, F.col("cab.secao")).otherwise(F.col("titulo"))).withColumn("nomeia", header)
+    found = found.where(head | F.col("titulo").isNotNull() | F.col("nomeia"))
+    found = found.withColumn("dobradas", F.when(F.col("nomeia"), F.transform("celulas", lambda c: fold(c))))
     names = by_template(rules, lambda r: F.transform("dobradas", lambda c: F.coalesce(header_field(r, c), F.lit(""))), "array<string>")
-    rows = rows.withColumn("nomes", F.when(F.col("dobradas").isNotNull(), names))
-    marks = rows.withColumn("layout", F.transform(F.map_entries(header_layout(F.col("nomes"))), lambda e: F.struct(e["key"].alias("f"), e["value"].alias("i"))))
-    found = None
-    for part in (begins, heads, marks, waiting):
-        own = part.select("doc_id", *(F.col(c).cast(kind).alias(c) if c in part.columns else F.lit(None).cast(kind).alias(c) for c, kind in EVENT.items()))
-        found = own if found is None else found.unionByName(own)
-    return found
+    found = found.withColumn("nomes", F.when(F.col("dobradas").isNotNull(), names)).withColumn("disposto", header_layout(F.col("nomes")))
+    found = found.withColumn("layout", F.transform(F.map_entries("disposto"), lambda e: F.struct(e["key"].alias("f"), e["value"].alias("i"))))
+    own = {"secao": F.col("titulo"), "codigo": F.when(F.col("tabela_indice") == 0, F.col("codigo"))} | {c: F.when(head, F.col(f"cab.{c}")) for c in heads[1:]}
+    return found.select("doc_id", *(own.get(c, F.col(c)).cast(kind).alias(c) for c, kind in EVENT.items()))
+
+
+def table_row() -> Column:
+    return (F.col("linha") > 0) & (F.col("tabela_indice") < END)
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -294,7 +322,7 @@ def _step(rules: dict[str, RuleSet]) -> Callable[[Column, Column], Column]:
                 e["page_no"], e["tabela_indice"], e["linha"], base["categoria"], F.when(goes_on, F.coalesce(base["subcategoria"], base["categoria"])).otherwise(base["subcategoria"]), tipo,
                 F.when(goes_on, F.lit("laboratorio")).otherwise(base["local"]), header, e["continua"], code, F.lit(None).cast("int"),
             ).cast(PLACE)
-            pending = F.when(end, e["secao"]).when(~page, acc["pendente"])
+            pending = F.when(end, named_last(acc["pendente"], e["secao"])).when(~page, acc["pendente"])
             return F.struct(b["ultima"], base, b["presa"], b["qualidade"], b["outra"], header, lida, code, pending, F.when(lida, F.concat(acc["fora"], F.array(out))).otherwise(acc["fora"])).cast(STATE)
 
         return _let(said, after)
@@ -323,7 +351,7 @@ def layout_in_force(rules: dict[str, RuleSet]) -> Column:
 def sections(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
     """``folded`` with the tables that are read: template_id, text and linhas, the rows after one that names the section."""
     tables = numbered_tables(pages, rules)
-    force = folded(events(pages, tables, rules), rules)
+    force = folded(events(pages, rules), rules)
     return tables.drop("secao").join(force, ["doc_id", "page_no", "tabela_indice"])
 
 
