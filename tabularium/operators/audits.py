@@ -30,22 +30,22 @@ def expected_fields(rules: dict[str, RuleSet]) -> Column:
     return F.concat(F.array(F.lit("parameter")), F.filter(F.array(*map(F.lit, LAYOUT_FIELDS)), lambda f: F.map_contains_key(base, f)))
 
 
-def page_headers(tables: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys``, titulo, nomeados: the lines of the page that name most of the fields in ``esperados``, and those in order.
+def page_header(tables: DataFrame, wanted: Column) -> DataFrame:
+    """``tables`` with titulo, nomeados: the lines of the page that name most of the fields in ``esperados``, and those in order.
 
-    Windows of up to HEADER_LINES lines with text are tried; of equals the shortest text wins, then the first. Tables
-    without such a window are left out.
+    Windows of up to HEADER_LINES lines with text are tried; of equals the shortest text wins, then the first. Both are null
+    without such a window, and where ``wanted`` does not hold. A table's windows stay in its row, so nothing is shuffled.
     """
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), r"\R"), lambda x: F.trim(x) != "")
-    counted = tables.withColumn("linhas_texto", lines).select(*keys, "esperados", "linhas_texto", F.posexplode("linhas_texto").alias("i", "_"))
-    windows = counted.select(*keys, "esperados", "linhas_texto", "i", F.explode(F.array(*map(F.lit, range(1, HEADER_LINES + 1)))).alias("n")).where(F.col("i") + F.col("n") <= F.size("linhas_texto"))
-    windows = windows.withColumn("titulo", F.array_join(F.expr("slice(linhas_texto, i + 1, n)"), " ")).withColumn("norm", fold(F.col("titulo")))
-    places = F.array(*(F.struct(F.regexp_instr("norm", F.lit(p)).alias("em"), F.lit(f).alias("campo")) for f, p in PAGE_HEADER.items()))
-    windows = windows.withColumn("achados", F.filter(places, lambda x: (x["em"] > 0) & F.array_contains("esperados", x["campo"])))
-    usable = windows.where((F.size("achados") >= HEADER_FIELDS) & F.exists("achados", lambda x: x["campo"] == "parameter"))
-    rank = F.struct(-F.size("achados"), F.char_length("titulo"), "i", "n")
-    best = usable.groupBy(*keys).agg(F.min_by(F.struct("titulo", "achados"), rank).alias("m"))
-    return best.select(*keys, F.col("m.titulo").alias("titulo"), F.transform(F.array_sort(F.col("m.achados")), lambda x: x["campo"]).alias("nomeados"))
+    starts = F.when(F.size("__linhas") > 0, F.sequence(F.lit(0), F.size("__linhas") - 1))
+    sizes = lambda i: F.filter(F.array(*map(F.lit, range(1, HEADER_LINES + 1))), lambda n: i + n <= F.size("__linhas"))
+    each = lambda i: F.transform(sizes(i), lambda n: F.struct(i.alias("i"), n.alias("n"), F.array_join(F.slice("__linhas", i + 1, n), " ").alias("titulo")))
+    named = lambda w, norm: F.filter(F.array(*(F.struct(F.regexp_instr(norm, F.lit(p)).alias("em"), F.lit(f).alias("campo")) for f, p in PAGE_HEADER.items())), lambda x: (x["em"] > 0) & F.array_contains("esperados", x["campo"]))
+    ranked = lambda w, found: F.struct((-F.size(found)).alias("k"), F.char_length(w["titulo"]).alias("c"), w["i"].alias("i"), w["n"].alias("n"), w["titulo"].alias("titulo"), found.alias("achados"))
+    found = F.transform("__janelas", lambda w: F.transform(F.array(fold(w["titulo"])), lambda norm: F.transform(F.array(named(w, norm)), lambda x: ranked(w, x))[0])[0])
+    usable = F.filter(found, lambda w: (F.size(w["achados"]) >= HEADER_FIELDS) & F.exists(w["achados"], lambda x: x["campo"] == "parameter"))
+    staged = tables.withColumn("__linhas", F.when(wanted, lines)).withColumn("__janelas", F.flatten(F.transform(starts, each))).withColumn("__m", F.array_min(usable))
+    return staged.withColumn("titulo", F.col("__m.titulo")).withColumn("nomeados", F.transform(F.array_sort("__m.achados"), lambda x: x["campo"])).drop("__linhas", "__janelas", "__m")
 
 
 def confidence(rows: Column, at: Column, wanted: Column) -> Column:
@@ -69,39 +69,34 @@ def confidence(rows: Column, at: Column, wanted: Column) -> Column:
 
 def table_audit(states: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
     """Header, mapped, unmapped and absent columns, status and remarks of each table that is read (``states``: ``rows.sections``)."""
-    keys = ["doc_id", "page_no", "tabela_indice"]
     tables = states.where(F.col("linha") == 0).withColumn("esperados", expected_fields(rules))
     header = F.try_element_at(F.filter(F.slice("linhas", 1, 3), is_header), F.lit(1))
     tables = tables.withColumn("cab", header).withColumn("proprio", F.coalesce(F.col("vigente.tipo") == F.col("tipo_registro"), F.lit(False)))
     shown, none, mode = ["categoria", "subcategoria", "tipo_registro"], F.lit(None).cast("string"), F.lit("contrato_e_descoberta").alias("modo_auditoria")
     texts = lambda x: F.array_join(x, "; ")
 
-    # the table has a header: which columns it maps
+    # a table with a header: which columns it maps. All tables go one way, so that the sections are made and read once
+    has = F.col("cab").isNotNull()
     columns = F.filter(F.transform("cab", lambda c: collapse(F.coalesce(c, F.lit("")))), lambda c: c != "")
     named = by_template(rules, lambda r: F.transform("dobradas", lambda x: F.struct(x["c"].alias("c"), header_field(r, x["n"], parameter=True).alias("f"))), "array<struct<c:string,f:string>>")
-    own = tables.where("cab is not null").withColumn("colunas", columns)
+    own = tables.withColumn("colunas", columns)
     own = own.withColumn("dobradas", F.transform("colunas", lambda c: F.struct(c.alias("c"), fold(c).alias("n")))).withColumn("nomes", named)
     unmapped = F.transform(F.filter("nomes", lambda x: x["f"].isNull()), lambda x: x["c"])
-    absent = F.filter("esperados", lambda f: (f != "parameter") & ~F.exists("nomes", lambda x: F.coalesce(x["f"] == f, F.lit(False))))
+    absent = F.when(has, F.filter("esperados", lambda f: (f != "parameter") & ~F.exists("nomes", lambda x: F.coalesce(x["f"] == f, F.lit(False)))))
     own = own.withColumn("sem", unmapped).withColumn("ausentes", absent)
     some, gone = F.size("sem") > 0, F.size("ausentes") > 0
-    status = F.when(some & gone, "alerta_descoberta_com_opcional_ausente").when(some, "alerta_descoberta").when(gone, "ok_com_opcional_ausente").otherwise("ok")
+    own_status = F.when(some & gone, "alerta_descoberta_com_opcional_ausente").when(some, "alerta_descoberta").when(gone, "ok_com_opcional_ausente").otherwise("ok")
     mapped = texts(F.transform(F.filter("nomes", lambda x: x["f"].isNotNull()), lambda x: F.concat(x["c"], F.lit(" -> "), x["f"])))
     said = lambda before, x: F.concat(F.lit(before), x, F.lit("."))
-    remarks = F.concat_ws(" ", F.when(gone, said("Campos esperados ausentes no cabecalho: ", texts(F.col("ausentes")))), F.when(some, said("Colunas sem mapeamento: ", texts(F.col("sem")))), F.when(F.col("continua").isNotNull(), F.lit("Tabela reconhecida como continuacao de QA/QC.")))
-    with_header = own.select(
-        *keys, *shown, mode, F.array_join("colunas", " | ").alias("cabecalho_detectado"), texts(F.col("colunas")).alias("colunas_detectadas"), mapped.alias("colunas_mapeadas"), texts(F.col("sem")).alias("colunas_sem_mapeamento"),
-        texts(F.col("esperados")).alias("campos_esperados"), none.alias("campos_obrigatorios_ausentes"), texts(F.col("ausentes")).alias("campos_opcionais_ausentes"), F.lit(False).alias("usou_fallback"), status.alias("status"), F.nullif(remarks, F.lit("")).alias("observacao"),
-    )
+    own_remarks = F.concat_ws(" ", F.when(gone, said("Campos esperados ausentes no cabecalho: ", texts(F.col("ausentes")))), F.when(some, said("Colunas sem mapeamento: ", texts(F.col("sem")))), F.when(F.col("continua").isNotNull(), F.lit("Tabela reconhecida como continuacao de QA/QC.")))
 
-    # it has none: the page's text may name the columns, else the layout in force tells
-    bare = tables.where("cab is null")
-    bare = bare.join(page_headers(bare.where(~F.col("proprio")).select(*keys, "esperados", "text"), keys), keys, "left")
+    # one without: the page's text may name the columns, else the layout in force tells
+    bare = page_header(own, ~has & ~F.col("proprio"))
     by_page = F.array_contains("nomeados", "parameter") & F.array_contains("nomeados", "resultado")
     place = F.map_from_entries(F.transform("nomeados", lambda f, i: F.struct(f, i)))
     first = F.create_map(F.lit("parameter"), F.lit(0))
-    bare = bare.withColumn("at", F.when(by_page, place).otherwise(F.map_concat(first, F.map_filter(layout_in_force(rules), lambda k, v: k != "parameter"))))
-    bare = bare.withColumn("confia", confidence(F.col("linhas"), F.col("at"), F.coalesce("nomeados", "esperados")))
+    bare = bare.withColumn("at", F.when(~has, F.when(by_page, place).otherwise(F.map_concat(first, F.map_filter(layout_in_force(rules), lambda k, v: k != "parameter")))))
+    bare = bare.withColumn("confia", F.when(~has, confidence(F.col("linhas"), F.col("at"), F.coalesce("nomeados", "esperados"))))
     sure = F.col("confia.sure")
     named_by_text = F.col("titulo").isNotNull()
     status = F.when(named_by_text & sure, "fallback_cabecalho_texto_layout_confiavel").when(named_by_text, "fallback_cabecalho_texto_layout_incompleto").when(sure, "fallback_layout_confiavel").otherwise("fallback")
@@ -111,11 +106,12 @@ def table_audit(states: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
         " ", F.lit("Tabela processada sem cabecalho detectado na malha extraida pelo PDF."), F.when(named_by_text, said("Cabecalho contextual encontrado no texto da pagina: ", heading)),
         F.when(named_by_text, said("Campos encontrados no texto da pagina: ", texts(F.col("nomeados")))), F.col("confia.detalhe"), F.lit("Foi usado o layout cadastrado na taxonomia."),
     )
-    without = bare.select(
-        *keys, *shown, mode, heading.alias("cabecalho_detectado"), none.alias("colunas_detectadas"), none.alias("colunas_mapeadas"), none.alias("colunas_sem_mapeamento"),
-        texts(F.coalesce("nomeados", placed)).alias("campos_esperados"), none.alias("campos_obrigatorios_ausentes"), none.alias("campos_opcionais_ausentes"), F.lit(True).alias("usou_fallback"), status.alias("status"), remarks.alias("observacao"),
+    either = lambda name, with_header, without: F.when(has, with_header).otherwise(without).alias(name)
+    return bare.select(
+        "doc_id", F.col("page_no").alias("pagina"), "tabela_indice", *shown, mode, either("cabecalho_detectado", F.array_join("colunas", " | "), heading), either("colunas_detectadas", texts(F.col("colunas")), none),
+        either("colunas_mapeadas", mapped, none), either("colunas_sem_mapeamento", texts(F.col("sem")), none), either("campos_esperados", texts(F.col("esperados")), texts(F.coalesce("nomeados", placed))),
+        none.alias("campos_obrigatorios_ausentes"), either("campos_opcionais_ausentes", texts(F.col("ausentes")), none), (~has).alias("usou_fallback"), either("status", own_status, status), either("observacao", F.nullif(own_remarks, F.lit("")), remarks),
     )
-    return with_header.unionByName(without).withColumnRenamed("page_no", "pagina")
 
 
 # What the section audit says of a status.

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tabularium.operators import audits as A
 from tabularium.operators import reconcile as R
 from tabularium.operators import rows as G
 from tabularium.sources import sinks
@@ -44,3 +45,9 @@ def test_pages_are_read_once(spark):
 def test_the_section_left_is_that_named_last(spark):
     left = lambda text: [(r.secao.categoria, r.secao.subcategoria) for r in G.left_to_next_page(pages(spark, text, ""), RULES).collect()]
     assert left("Sub\nSecao") == [("c", "s")] and left("Sub\nOutra\nSecao") == [("c", None)] and left("Secao\nSub\nx") == [("c", "s")] and left("x") == []
+
+
+def test_sections_are_made_once_for_the_audit(spark):
+    df = spark.createDataFrame([("d", "t", 1, "Parâmetro Resultado\nUnidade", [[["Secao"], ["a", "1"]]])], "doc_id string, template_id string, page_no int, text string, tables array<array<array<string>>>")
+    shown = plan(A.table_audit(G.sections(df, RULES), RULES))
+    assert shown.count("Join Inner") == 1 and shown.count("Join") == 1 and "Union" not in shown
