@@ -30,12 +30,13 @@ def collapse(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"(?U)\s+", " "))
 
 
-def fold(x: Column) -> Column:
-    """Without accents, in lower case, white space collapsed; null gives the empty text."""
+def fold(x: Column, sharp: bool = True) -> Column:
+    """Without accents, in lower case, white space collapsed; null gives the empty text. Without ``sharp`` an ß stays one."""
     source, base = fold_tables()
     text = F.coalesce(x, F.lit(""))
     plain = F.regexp_replace(F.translate(text, source, base), r"\p{Mn}+", "")
-    full = F.replace(F.lower(collapse(plain)), F.lit("ß"), F.lit("ss"))
+    full = F.lower(collapse(plain))
+    full = F.replace(full, F.lit("ß"), F.lit("ss")) if sharp else full
     # ASCII has no accents: the letters need not be looked up one by one
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(collapse(text))).otherwise(full)
 

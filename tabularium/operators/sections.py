@@ -122,35 +122,36 @@ def known(patterns: list[str], raw: Column, folded: Column) -> Column:
     return found
 
 
-def table_texts(tables: Column) -> Column:
+def table_texts(tables: Column, sharp: bool = True) -> Column:
     """Distinct folded texts of a page's cells, and of its rows' cells joined."""
     rows = F.flatten(F.transform(F.coalesce(tables, F.array().cast("array<array<array<string>>>")), lambda t: F.coalesce(t, F.array().cast("array<array<string>>"))))
-    cells = F.transform(rows, lambda r: F.filter(F.transform(F.coalesce(r, F.array().cast("array<string>")), lambda c: fold(clean(c, 300))), lambda c: c != ""))
+    cells = F.transform(rows, lambda r: F.filter(F.transform(F.coalesce(r, F.array().cast("array<string>")), lambda c: fold(clean(c, 300), sharp)), lambda c: c != ""))
     joined = F.filter(F.transform(cells, lambda r: F.array_join(r, " ")), lambda r: r != "")
     return F.array_distinct(F.concat(F.flatten(cells), joined))
 
 
-def headings(pages: DataFrame, patterns: list[str] | dict[str, list[str]], key: str = "doc_id", text: str = "text", page: str = "page_no") -> DataFrame:
+def headings(pages: DataFrame, patterns: list[str] | dict[str, list[str]], key: str = "doc_id", text: str = "text", page: str = "page_no", sharp: bool = True) -> DataFrame:
     """Lines that look like headings and that no known pattern explains.
 
-    (key, titulo: folded, original: as it is first met, pagina: where that is, paginas: all of them, ocorrencias). Where
+    (key, titulo: folded, original: as it is first met, pagina: where that is, paginas: all of them, ocorrencias,
+    uma_grafia: whether it is written alike everywhere). Where
     ``pages`` has ``tables``, a line is left out that a cell or a row of the page's tables holds, or whose words all stand in
-    them. Without a column ``page`` everything is on page 1.
+    them. Without a column ``page`` everything is on page 1. ``sharp``: as ``fold`` has it.
     """
     at = F.col(page) if page in pages.columns else F.lit(1)
     own = ["template_id"] if isinstance(patterns, dict) else []
-    seen = table_texts(F.col("tables")) if "tables" in pages.columns else F.array().cast("array<string>")
+    seen = table_texts(F.col("tables"), sharp) if "tables" in pages.columns else F.array().cast("array<string>")
     staged = pages.select(key, *own, at.alias("pagina"), F.split(F.coalesce(F.col(text), F.lit("")), LINE_ENDS).alias("linhas"), seen.alias("textos"))
     lines = staged.select(key, *own, "pagina", "textos", F.posexplode("linhas").alias("n", "linha")).withColumn("linha", clean(F.col("linha"), 100))
-    found = lines.where(is_heading(F.col("linha"))).withColumn("titulo", fold(F.col("linha")))
+    found = lines.where(is_heading(F.col("linha"))).withColumn("titulo", fold(F.col("linha"), sharp))
     # a heading's words are compared with those of the page's tables only where it has any
     words = F.regexp_extract_all("titulo", F.lit(WORD), F.lit(0))
     there = F.regexp_extract_all(F.array_join("textos", " "), F.lit(WORD), F.lit(0))
     inside = F.exists("textos", lambda v: F.contains(v, F.col("titulo"))) | ((F.size(words) > 0) & (F.size(F.array_except(words, there)) == 0))
     fresh = found.where(~F.when(F.size("textos") > 0, inside).otherwise(False)).where(~judged(patterns, lambda p: known(p, F.col("linha"), F.col("titulo")), F.lit(False)))
     first = F.min_by(F.struct("linha", "pagina"), F.struct("pagina", "n")).alias("f")
-    got = fresh.groupBy(key, "titulo").agg(first, F.array_sort(F.collect_set("pagina")).alias("paginas"), F.count("*").alias("ocorrencias"))
-    return got.select(key, "titulo", F.col("f.linha").alias("original"), F.col("f.pagina").alias("pagina"), "paginas", "ocorrencias")
+    got = fresh.groupBy(key, "titulo").agg(first, F.array_sort(F.collect_set("pagina")).alias("paginas"), F.count("*").alias("ocorrencias"), (F.min("linha") == F.max("linha")).alias("uma_grafia"))
+    return got.select(key, "titulo", F.col("f.linha").alias("original"), F.col("f.pagina").alias("pagina"), "paginas", "ocorrencias", "uma_grafia")
 
 
 def label_of(pattern: str) -> str | None:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tabularium.operators import audits as A
 from tabularium.operators import reconcile as R
 from tabularium.operators import rows as G
+from tabularium.queries import QUERIES
 from tabularium.sources import sinks
 
 RULES = {"t": G.RuleSet(categories=(G.SectionRule("^secao", "c"), G.SectionRule("^outra", "d")), subcategories=(G.SectionRule("^sub", "c", "s"),))}
@@ -51,3 +52,10 @@ def test_sections_are_made_once_for_the_audit(spark):
     df = spark.createDataFrame([("d", "t", 1, "Parâmetro Resultado\nUnidade", [[["Secao"], ["a", "1"]]])], "doc_id string, template_id string, page_no int, text string, tables array<array<array<string>>>")
     shown = plan(A.table_audit(G.sections(df, RULES), RULES))
     assert shown.count("Join Inner") == 1 and shown.count("Join") == 1 and "Union" not in shown
+
+
+def test_a_heading_in_two_spellings(spark, tmp_path):
+    rows = [(1, "<p>MÉTODOS DE ANÁLISE</p>"), (3, "<p>Outro Texto</p><p>Straße Groß</p>")]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {(r.page_id, r.titulo): (r.uma_grafia, r.ocorrencias) for r in QUERIES["heading_discovery"](spark, str(tmp_path)).collect()}
+    assert got == {(1, "metodos de analise"): (False, 2), (3, "metodos de analise"): (True, 1), (3, "outro texto"): (True, 1), (3, "straße groß"): (True, 1)}
