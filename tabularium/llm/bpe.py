@@ -1,7 +1,7 @@
 """Exact BPE encoding and decoding over a minimal acyclic transducer of frequent words.
 
-The lexicon's words are the tokenizer's own whole words and the MOST_WORDS most frequent ones of a bounded sample of the
-documents; it decides how fast a word is encoded, never how. Each word is compiled, with the ids that its exact merges
+The lexicon's words are the tokenizer's own whole words, and runs that a caller adds (``frequent_runs``; the queries add
+none); it decides how fast a word is encoded, never how. Each word is compiled, with the ids that its exact merges
 give, into a shared-suffix automaton (``compile_lexicon``). Arcs carry additive numbers whose sum along a word is the
 word's place in the table of id sequences, so that equal suffixes stay one state though their outputs differ. The
 compiled bytes (about 2 MB for 100,000 words; they never grow with the data) are broadcast; each Python worker maps them
@@ -400,7 +400,7 @@ def _map(docs: DataFrame, tokenizer: str, columns: str, row) -> DataFrame:
     types = [to_arrow_type(f.dataType) for f in added]
     names = added.fieldNames()
     slim = docs.select("doc_id", clean_text().alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(compiled_lexicon(tokenizer, tuple(frequent_runs(slim))))
+    shared = docs.sparkSession.sparkContext.broadcast(compiled_lexicon(tokenizer))
 
     def run(batches):
         encoder = worker_encoder(tokenizer, shared.value)
