@@ -80,7 +80,9 @@ def extract_packaging(pages: DataFrame, rules: dict[str, PackagingRules]) -> Dat
     body = F.coalesce(F.col("text"), F.lit(""))
     by = lambda make: first_of([(F.col("template_id") == t, make(r)) for t, r in own.items()], None)
     tables = F.transform(F.coalesce("tables", F.array().cast("array<array<array<string>>>")), lambda t: F.transform(F.coalesce(t, F.array().cast("array<array<string>>")), lambda r: F.coalesce(r, F.array().cast("array<string>"))))
-    read = pages.where(F.col("template_id").isin([*own])).select("doc_id", "template_id", "page_no", by(lambda r: any_of(r.section_start, body)).alias("inicia"), by(lambda r: named_sample(r.sample_identification, body)).alias("aqui"), by(lambda r: any_of(r.table_header, body)).alias("no_texto"), tables.alias("t"))
+    # dealt by document before the patterns run: the windows keep that, and a small input file is no longer one task's work
+    dealt = pages.where(F.col("template_id").isin([*own])).select("doc_id", "template_id", "page_no", "text", "tables").repartition("doc_id")
+    read = dealt.select("doc_id", "template_id", "page_no", by(lambda r: any_of(r.section_start, body)).alias("inicia"), by(lambda r: named_sample(r.sample_identification, body)).alias("aqui"), by(lambda r: any_of(r.table_header, body)).alias("no_texto"), tables.alias("t"))
     found = read.withColumn("t", by(lambda r: F.transform("t", lambda rows: table_facts(r, rows, F.col("no_texto"))).cast(TABLE)))
     gives = lambda active: F.exists("t", lambda t: (F.size(t["validas"]) > 0) & F.when(t["cabecalho"].isNotNull(), active | t["propria"]).otherwise(active))
     order = Window.partitionBy("doc_id").orderBy("page_no")

@@ -38,3 +38,11 @@ def test_the_sample_is_carried_until_rows_are_found(found):
 
 def test_labels():
     assert label_of(r"Cliente:\s*(.+)") == "Cliente:" and label_of("abc") is None
+
+
+def test_pages_are_dealt_by_document_before_the_patterns_run(spark):
+    df = spark.createDataFrame([(1, "t", 1, "embalagens", [[["x"]]])], "doc_id int, template_id string, page_no int, text string, tables array<array<array<string>>>")
+    plan = extract_packaging(df, {"t": PackagingRules(("embalagens",), ("recipiente",), (), ("vidro",), ("ml",))})._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = [i for i, line in enumerate(plan) if "Exchange hashpartitioning(doc_id" in line]
+    # one exchange, which the windows keep, and below it (later in the text) no pattern
+    assert len(dealt) == 1 and any("RLIKE" in line for line in plan[: dealt[0]]) and not any("RLIKE" in line for line in plan[dealt[0] :])
