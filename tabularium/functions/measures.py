@@ -13,7 +13,8 @@ UNITS = (
     "µS/cm", "uS/cm", "µg/L", "ug/L", r"mg\s*Pt(?:\s*-?\s*Co)?\s*/\s*L", "mL/L", "mg/L", "UNT", "NTU", "NMP/mL",
     "UFC/mL", "mg/kg", "°C", "pH", "mV", "‰", "%", "Pt/Co", "(?<![A-Za-zÀ-ÿ/])m(?![A-Za-zÀ-ÿ/])",
 )
-UNIT = "(?iu)(?:" + "|".join(UNITS) + ")"
+#: Every unit begins with one of the letters looked for first, so that most places are passed at once.
+UNIT = "(?iu)(?=[PMNUµ°‰%])(?:" + "|".join(UNITS) + ")"
 LOOSE_UNIT = r"(?iu)[+-]?[\d.,]+(?:\s*x\s*10\s*[+-]?\d+)?\s+([A-Za-zÀ-ÿµ°‰%][A-Za-zÀ-ÿ0-9µ°‰%/()._-]*)"
 NOT_UNITS = ["a", "e", "x", "para"]
 SIGN = r"^\s*(<=|>=|<|>|=)"
@@ -39,45 +40,55 @@ def _without_unit(x: Column, unit: Column) -> Column:
     return F.when(unit.isNull(), x).otherwise(collapse(cut))
 
 
-def _staged(df: DataFrame, names: list[str], *stages: dict) -> DataFrame:
-    """Add columns ``<name>__<key>`` for every name, a stage at a time: a stage's columns are there for the next."""
-    for stage in stages:
-        df = df.withColumns({f"{n}__{key}": make(n) for n in names for key, make in stage.items()})
-    return df
+def _staged(cells: Column, *stages: dict) -> Column:
+    """An array of structs, a stage at a time: a stage's fields are there for the next; what is made by None is dropped."""
+
+    def add(kept: list[str], stage: dict):
+        return lambda x: F.struct(*(x[k].alias(k) for k in kept), *(make(x).alias(k) for k, make in stage.items() if make))
+
+    known = [*stages[0]]
+    for stage in stages[1:]:
+        kept = [k for k in known if k not in stage]
+        cells, known = F.transform(cells, add(kept, stage)), kept + [k for k, make in stage.items() if make]
+    return cells
 
 
 def parse_measures(df: DataFrame, texts: dict[str, Column], both: tuple[str, ...] = ()) -> DataFrame:
     """``df`` with a struct(operador, minimo, maximo, unidade) of the text of each name.
 
-    For names in ``both`` a single value sets both bounds whatever its operator.
+    For names in ``both`` a single value sets both bounds whatever its operator. The texts are worked on as one array, so that
+    the generated code does not grow with them: Java does not compile a method of more than 8,000 bytes.
     """
-    c = lambda n, key: F.col(f"{n}__{key}")
-    blank_to_null = lambda x: F.nullif(x, F.lit(""))
-    capital = lambda n: F.when(F.rlike(c(n, "bare"), F.lit("(?i)^m")), fold(c(n, "bare")))
-    named = lambda n: F.when(F.rlike(c(n, "word"), F.lit(r"^(max\.|max |maximo)")), "max").when(F.rlike(c(n, "word"), F.lit(r"^(min\.|min |minimo)")), "min")
-
-    def measure(n: str) -> Column:
-        ranged, single = c(n, "low") != "", c(n, "number") != ""
-        operator = F.when(ranged, c(n, "sign")).otherwise(F.coalesce(c(n, "sign"), F.when(single, blank_to_null(F.regexp_extract(c(n, "rest"), SINGLE, 1)))))
-        of = lambda *signs: F.lit(False) if n in both else F.coalesce(operator.isin(*signs), F.lit(False))
-        number = pt_number(c(n, "number"))
-        low = F.when(ranged, pt_number(c(n, "low"))).when(single & ~of("max", "<", "<="), number)
-        high = F.when(ranged, pt_number(c(n, "high"))).when(single & ~of("min", ">", ">="), number)
-        unless = lambda x, name: F.when(~c(n, "blank"), x).alias(name)
-        return F.struct(unless(operator, "operador"), unless(low, "minimo"), unless(high, "maximo"), unless(c(n, "unit"), "unidade"))
-
-    names = [*texts]
+    blank_to_null = lambda x: F.when(x != "", x)
+    named = lambda w: F.when(F.rlike(w, F.lit(r"^(max\.|max |maximo)")), "max").when(F.rlike(w, F.lit(r"^(min\.|min |minimo)")), "min")
+
+    def measure(x: Column) -> Column:
+        ranged, single, operator = x["low"] != "", x["number"] != "", x["operator"]
+        of = lambda *signs: ~x["both"] & F.coalesce(operator.isin(*signs), F.lit(False))
+        low = F.when(ranged, pt_number(x["low"])).when(single & ~of("max", "<", "<="), x["value"])
+        high = F.when(ranged, pt_number(x["high"])).when(single & ~of("min", ">", ">="), x["value"])
+        return F.struct(operator.alias("operador"), low.alias("minimo"), high.alias("maximo"), x["unit"].alias("unidade"))
+
+    if not texts:
+        return df
+    # a blank text has no parts: it is null from here on
+    cells = F.array(*(F.struct(t.cast("string").alias("cell"), F.lit(n in both).alias("both")) for n, t in texts.items()))
     staged = _staged(
-        df, names,
-        {"text": lambda n: collapse(F.coalesce(texts[n], F.lit("")))},
-        {"unit": lambda n: known_unit(c(n, "text")), "blank": lambda n: F.upper(c(n, "text")).isin(MEASURE_MARKERS)},
-        {"bare": lambda n: _without_unit(c(n, "text"), c(n, "unit"))},
-        {"word": capital},
-        {"sign": lambda n: F.coalesce(named(n), blank_to_null(F.regexp_extract(c(n, "bare"), SIGN, 1)))},
-        {"rest": lambda n: F.when(c(n, "sign").isNotNull(), F.regexp_replace(c(n, "bare"), PREFIX, "")).otherwise(c(n, "bare"))},
-        {"low": lambda n: F.regexp_extract(c(n, "rest"), RANGE, 1), "high": lambda n: F.regexp_extract(c(n, "rest"), RANGE, 2), "number": lambda n: F.regexp_extract(c(n, "rest"), SINGLE, 2)},
+        cells, {"cell": None, "both": None},
+        {"whole": lambda x: collapse(F.coalesce(x["cell"], F.lit(""))), "cell": None},
+        {"text": lambda x: F.when(~F.upper(x["whole"]).isin(MEASURE_MARKERS), x["whole"]), "whole": None},
+        {"found": lambda x: F.regexp_extract(x["text"], UNIT, 0)},
+        {"unit": lambda x: blank_to_null(x["found"]), "found": None},
+        {"bare": lambda x: _without_unit(x["text"], x["unit"]), "text": None},
+        {"word": lambda x: F.when(F.rlike(x["bare"], F.lit("(?i)^m")), fold(x["bare"])), "mark": lambda x: F.regexp_extract(x["bare"], SIGN, 1)},
+        {"sign": lambda x: F.coalesce(named(x["word"]), blank_to_null(x["mark"])), "word": None, "mark": None},
+        {"rest": lambda x: F.when(x["sign"].isNotNull(), F.regexp_replace(x["bare"], PREFIX, "")).otherwise(x["bare"]), "bare": None},
+        {"low": lambda x: F.regexp_extract(x["rest"], RANGE, 1), "high": lambda x: F.regexp_extract(x["rest"], RANGE, 2), "number": lambda x: F.regexp_extract(x["rest"], SINGLE, 2)},
+        {"value": lambda x: pt_number(blank_to_null(x["number"])), "before": lambda x: F.when((x["low"] == "") & x["sign"].isNull() & (x["number"] != ""), F.regexp_extract(x["rest"], SINGLE, 1))},
+        {"operator": lambda x: F.coalesce(x["sign"], blank_to_null(x["before"])), "sign": None, "before": None, "rest": None},
     )
-    return staged.select(*df.columns, *(measure(n).alias(n) for n in names))
+    parsed = df.withColumn("__medidas", F.transform(staged, measure))
+    return parsed.select(*df.columns, *(F.col("__medidas")[i].alias(n) for i, n in enumerate(texts)))
 
 
 def parse_results(df: DataFrame, texts: dict[str, tuple[Column, Column]]) -> DataFrame:
@@ -85,18 +96,22 @@ def parse_results(df: DataFrame, texts: dict[str, tuple[Column, Column]]) -> Dat
 
     The sign of a value and the whole exponent of ``x 10 n`` count.
     """
-    c = lambda n, key: F.col(f"{n}__{key}")
-    mark = lambda n: F.coalesce(F.nullif(F.regexp_extract(c(n, "text"), r"^\s*([<>])", 1), F.lit("")), F.nullif(F.regexp_extract(c(n, "text"), RESULT, 1), F.lit("")))
-    value = lambda n: pt_number(c(n, "number")) * F.pow(F.lit(10.0), F.coalesce(c(n, "power").try_cast("int"), F.lit(0)))
-    unless = lambda n, x, name: F.when(~c(n, "blank"), x).alias(name)
-    names = [*texts]
+    if not texts:
+        return df
+    blank_to_null = lambda x: F.when(x != "", x)
+    # an empty text is no number: casting it would raise and catch an exception for each row
+    value = lambda x: pt_number(blank_to_null(x["number"])) * F.pow(F.lit(10.0), F.coalesce(blank_to_null(x["power"]).try_cast("int"), F.lit(0)))
+    cells = F.array(*(F.struct(t.cast("string").alias("cell"), beside.cast("string").alias("beside")) for t, beside in texts.values()))
     staged = _staged(
-        df, names,
-        {"text": lambda n: collapse(F.coalesce(texts[n][0], F.lit(""))), "beside": lambda n: texts[n][1]},
-        {"blank": lambda n: F.upper(c(n, "text")).isin(MEASURE_MARKERS), "number": lambda n: F.regexp_extract(c(n, "text"), RESULT, 2), "power": lambda n: F.regexp_extract(c(n, "text"), RESULT, 3)},
+        cells, {"cell": None, "beside": None},
+        {"whole": lambda x: collapse(F.coalesce(x["cell"], F.lit(""))), "cell": None},
+        {"blank": lambda x: F.upper(x["whole"]).isin(MEASURE_MARKERS)},
+        {"text": lambda x: F.when(~x["blank"], x["whole"]), "whole": None},
+        {"number": lambda x: F.regexp_extract(x["text"], RESULT, 2), "power": lambda x: F.regexp_extract(x["text"], RESULT, 3), "first": lambda x: F.regexp_extract(x["text"], r"^\s*([<>])", 1), "found": lambda x: F.regexp_extract(x["text"], UNIT, 0)},
+        {"mark": lambda x: F.coalesce(blank_to_null(x["first"]), blank_to_null(F.regexp_extract(x["text"], RESULT, 1))), "unit": lambda x: F.when(x["blank"], x["beside"]).when(x["found"] != "", x["found"]).otherwise(known_unit(x["beside"]))},
     )
-    unit = lambda n: F.when(c(n, "blank"), c(n, "beside")).otherwise(F.coalesce(known_unit(c(n, "text")), known_unit(c(n, "beside")))).alias("unidade")
-    return staged.select(*df.columns, *(F.struct(unless(n, value(n), "valor"), unless(n, mark(n), "qualificador"), unit(n)).alias(n) for n in names))
+    parsed = df.withColumn("__medidas", F.transform(staged, lambda x: F.struct(value(x).alias("valor"), x["mark"].alias("qualificador"), x["unit"].alias("unidade"))))
+    return parsed.select(*df.columns, *(F.col("__medidas")[i].alias(n) for i, n in enumerate(texts)))
 
 
 def is_complex_note(x: Column) -> Column:

@@ -38,6 +38,8 @@ def results_extract(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     written = lambda name: F.when(F.trim(have(name)) != "", have(name))
     parsed = parse_measures(rows, {f"__{f}": have(f) for f in measured}, both=("__faixa_aceitacao",))
     parsed = parse_results(parsed, {"__resultado": (have("resultado"), original("unidade_resultado"))})
+    # a note is looked at once for its four columns
+    parsed = parsed.withColumns({f"__{f}_nota": F.coalesce(is_complex_note(have(f)), F.lit(False)) for f in ("conama", "copam_cerh")})
     part = lambda f, p: F.col(f"__{f}.{p}")
     values: dict[str, Column] = {
         "acm_data_hora_extracao": F.lit(None).cast("string"), "tipo": tipo_label(have("tipo_registro")), "parameter": have("parametro"), "unidade": have("unidade_resultado"),
@@ -49,8 +51,7 @@ def results_extract(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         **{f"acm_faixa_aceitacao_{p}": part("faixa_aceitacao", p) for p in ("operador", "minimo", "maximo", "unidade")},
     }
     for f in ("conama", "copam_cerh"):
-        note = F.coalesce(is_complex_note(have(f)), F.lit(False))
-        values |= {f"acm_{f}_{p}": F.when(~note, part(f, p)) for p in ("operador", "minimo", "maximo", "unidade")}
+        values |= {f"acm_{f}_{p}": F.when(~F.col(f"__{f}_nota"), part(f, p)) for p in ("operador", "minimo", "maximo", "unidade")}
     out = parsed.select(*(values.get(name, have(name)).alias(name) for name in RESULTS), *keep)
     strip = [f.name for f in out.schema if f.dataType.simpleString() == "string" and f.name in RESULTS and f.name not in KEPT]
     return out.withColumns({name: F.trim(name) for name in strip}).select(*RESULTS, *keep)

@@ -65,3 +65,9 @@ def test_small_text_functions(spark):
     df = spark.createDataFrame([("  Água  Bruta ", "1.234,5", "3,5 x 10 2")], "a string, n string, s string")
     r = df.select(X.fold(F.col("a")).alias("f"), X.token(F.col("a")).alias("t"), X.pt_number(F.col("n")).alias("n"), X.scaled_number(F.col("s")).alias("s"), X.cell(F.array(F.lit(" x  y "), F.lit(None)), F.lit(0)).alias("c"), X.cell(F.array(F.lit("x")), F.lit(3)).alias("out")).first()
     assert (r.f, r.t, r.n, r.s, r.c, r.out) == ("agua bruta", "agua_bruta", 1234.5, 350.0, "x y", None)
+
+
+def test_the_plan_does_not_grow_with_the_measures(spark):
+    df = spark.createDataFrame([("< 1,5 mg/L",)], "t string")
+    plans = [M.parse_measures(df, {f"m{i}": F.col("t") for i in range(n)})._jdf.queryExecution().optimizedPlan().toString() for n in (1, 7)]
+    assert plans[0].count("regexp_extract(") == plans[1].count("regexp_extract(") > 0
