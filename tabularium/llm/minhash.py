@@ -10,9 +10,11 @@ their whole sets.
 Only distinct sets become nodes, so copies are never expanded into pairs. Nor are the members of a band: the classes met in
 it are dealt into groups of about GROUP, each compared with one of its members, and what is linked becomes one class. That
 is repeated as long as it unites a good part of what is left. Then every pair of members of different classes is compared
-by sketch, in the first band that the two have in common, in blocks of BLOCK members of a band; members with a partner
-within the bound get their sets, and a block gives the links of a spanning forest. So no link between classes is lost, and
-what leaves a task grows with its members, not with their pairs. Sets are made of the texts again where they are needed.
+by sketch, in the first band that the two have in common; members with a partner within the bound get their sets, and a
+block gives the links of a spanning forest. So no link between classes is lost. A block is as large as a task holds, BLOCK
+members for the sketches and about WEIGHT shingles for the sets, so a band is one block, and its members stand once, unless it
+is beyond that; then each of its blocks meets each other one. What leaves a task grows with its members, not with their
+pairs. Sets are made of the texts again where they are needed.
 
 Defined results: a null text counts as empty; a document without words has an empty set and is linked with nothing. A text
 with fewer words than a shingle has one, its whole sequence. Shingles are told apart by 64 bits of XXH64, sets by 128 of
@@ -39,8 +41,9 @@ SKETCH = 1024
 PERCENT = 80
 MISS = 1e-7
 SEED = 42
-#: Members of a band that are compared with one of them; members of a block in the last, full comparison.
-GROUP, BLOCK = 256, 128
+#: Members of a band that are compared with one of them; members of a block in the last, full comparison (2 MB of sketches and
+#: bands), and shingles of a block whose sets are compared (32 MB).
+GROUP, BLOCK, WEIGHT = 256, 4096, 1 << 22
 #: Rounds go on while they link this share of the classes that they compare.
 WORTH = 0.1
 #: Shingles whose minima are taken at once.
@@ -237,11 +240,11 @@ class _Block:
 
 
 def _open(table):
-    """Rows of a block that have a partner to be compared with."""
+    """(band, node, class) of a block's rows that have a partner to be compared with."""
     import pyarrow as pa
 
     met = {int(x) for pair in _Block(table).pairs() for x in pair}
-    return table.take(pa.array(sorted(met), pa.int64()))
+    return table.select(["band", "node", "class"]).take(pa.array(sorted(met), pa.int64()))
 
 
 def _forest(table):
@@ -271,11 +274,16 @@ def _forest(table):
     return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
 
-def _dealt(members: DataFrame, tops: DataFrame, total: int, size: int, by: str, turn: int) -> DataFrame:
-    """``members`` of bands in ``tops`` (band, met), with ``deal``: a group of about ``size`` of the band's ``met``, and how many there are."""
-    found = lookup(members, tops, "band", "met", total).where("met is not null")
-    groups = F.ceil(F.col("met") / size).cast("int")
-    return found.withColumn("deals", groups).withColumn("deal", F.pmod(F.xxhash64(F.lit(turn), by), groups).cast("int")).drop("met")
+def _dealt(members: DataFrame, tops: DataFrame, deals: Column, total: int, by: str, turn: int) -> DataFrame:
+    """``members`` of the bands in ``tops`` (band, met), with ``deals``, the groups of their band, and ``deal``, their own one."""
+    found = lookup(members, tops.select("band", "met", F.ceil(deals).cast("int").alias("deals")), "band", "met", total).where("met is not null")
+    return found.withColumn("deal", F.pmod(F.xxhash64(F.lit(turn), by), "deals").cast("int")).drop("met")
+
+
+def _blocks(dealt: DataFrame) -> DataFrame:
+    """Blocks (band, i, j) of dealt members: each group of a band meets each group once. Members of a band of one group stand once."""
+    told = dealt.withColumn("k", F.explode(F.expr("sequence(0, deals - 1)")))
+    return told.select(*dealt.columns, F.least("deal", "k").alias("i"), F.greatest("deal", "k").alias("j")).drop("deals")
 
 
 def _several(members: DataFrame) -> DataFrame:
@@ -300,7 +308,7 @@ def classes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         turn += 1
         one = stash(members.groupBy("band", "class").agg(F.min("node").alias("node")), "one")
         tops = stash(_several(one), "bands")
-        dealt = stash(_dealt(one, tops, max(1, one.count()), GROUP, "class", turn), "dealt")
+        dealt = stash(_dealt(one, tops, F.col("met") / GROUP, max(1, one.count()), "class", turn), "dealt")
         pivots = dealt.groupBy("band", "deal").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node"))["node"].alias("pivot"))
         met = dealt.join(pivots, ["band", "deal"]).where("node <> pivot")
         pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
@@ -331,10 +339,12 @@ def classes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         return labels
     # what is left: every pair of different classes of a band
     tops = stash(members.groupBy("band").agg(F.count("*").alias("met")), "bands")
-    told = _dealt(members, tops, members.count(), BLOCK, "node", turn).join(nodes.select("node", "n", "bands", *WORDS), "node")
-    blocks = told.withColumn("k", F.explode(F.expr("sequence(0, deals - 1)"))).select(*told.columns, F.least("deal", "k").alias("i"), F.greatest("deal", "k").alias("j")).drop("deals")
-    left = stash(blocks.groupBy("band", "i", "j").applyInArrow(_open, blocks.schema), "open")
-    rest = left.join(sets_of(left), "node")
+    about = nodes.select("node", "n", "bands", *WORDS)
+    blocks = _blocks(_dealt(members, tops, F.col("met") / BLOCK, members.count(), "node", turn).join(about, "node"))
+    left = stash(blocks.groupBy("band", "i", "j").applyInArrow(_open, "band long, node long, class long").distinct(), "open")
+    found = left.join(about, "node")
+    tops = stash(found.groupBy("band").agg(F.count("*").alias("met"), F.sum("n").alias("n")), "bands")
+    rest = _blocks(_dealt(found, tops, F.col("n") / WEIGHT, max(1, left.count()), "node", turn)).join(sets_of(left), "node")
     new = stash(rest.groupBy("band", "i", "j").applyInArrow(_forest, "a long, b long"), "links")
     if new.isEmpty():
         return labels

@@ -68,6 +68,24 @@ def test_groups_and_blocks_lose_nothing(spark, monkeypatch):
     assert got(spark, rows) == brute(rows)
 
 
+def test_blocks_of_a_few_shingles_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(M, "WEIGHT", 200)
+    rows = corpus(80, 5)
+    assert got(spark, rows) == brute(rows)
+
+
+def test_members_of_a_crowd_stand_once(spark, monkeypatch):
+    """A crowd in one band that is not linked: what a block is handed grows with the members, not with their square."""
+    rng, handed = np.random.default_rng(3), spark.sparkContext.accumulator(0)
+    common = rng.integers(-(2**62), 2**62)
+    rows = [(i, i, -i, 100, [int(common), *map(int, rng.integers(-(2**62), 2**62, M.BANDS - 1))], *map(int, rng.integers(-(2**62), 2**62, len(M.WORDS)))) for i in range(700)]
+    nodes = spark.createDataFrame(rows, f"node long, {M.ROW_KEY[0]} long, {M.ROW_KEY[1]} long, n long, bands array<long>, " + ", ".join(f"{w} long" for w in M.WORDS))
+    opened = M._open
+    monkeypatch.setattr(M, "_open", lambda table: (handed.add(table.num_rows), opened(table))[1])
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert M.classes(nodes, docs).count() == 0 and handed.value == 700
+
+
 def test_odd_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert M.near_duplicates(empty).collect() == [] and M.near_duplicates(empty).columns == ["doc_id", "n_shingles", "component_id", "kept"]
