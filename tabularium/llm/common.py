@@ -5,6 +5,7 @@ Internal columns start with ``__tb_`` so that they never clash with columns of a
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -19,6 +20,9 @@ HOT_SHARE = 1 / 1000
 #: Bits of a Bloom filter are held in rows (word, 64 bits). At most this many words are ever broadcast (about 40 MB hashed).
 MAX_WORDS = 1 << 20
 
+#: Rows of a batch that a Python worker holds as Python objects at once.
+PART_ROWS = 1000
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``. Where none is set, one of this machine, if no other runs tasks."""
@@ -52,14 +56,24 @@ _kept: dict = {}
 def worker_keep(owner, make):
     """What an operator keeps in a Python worker from task to task; only one owner's things are kept at a time."""
     if owner not in _kept:
-        _kept.clear()
+        worker_release()
         _kept[owner] = make()
     return _kept[owner]
 
 
 def worker_release() -> None:
-    """Let go of what another operator left in this Python worker."""
-    _kept.clear()
+    """Let go of what another operator left in this Python worker, and let the system have the memory."""
+    if _kept:
+        _kept.clear()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc, which else keeps what lies between live blocks
+            trim(0)
+
+
+def parts(batches):
+    """The rows of Arrow batches in slices of PART_ROWS, so that a task never holds a whole batch as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(at, PART_ROWS)
 
 
 def clean_text(name: str = "text") -> Column:

@@ -22,8 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import clean_text, worker_keep
-from .words import WordTable, fold, score_texts, segment_sums, slices, thin
+from .common import clean_text, parts, worker_keep
+from .words import TABLE, WordTable, fold, score_texts, segment_sums, slices, thin
 
 LETTERS = regex.compile(r"\p{L}+")
 START = "▁"
@@ -34,6 +34,8 @@ CHANCE = "\0"
 LONG = 40
 #: Documents of each language that the model is fitted on, at most about.
 SAMPLE = 600
+#: Words that a worker keeps in a stage of the pipeline, whose executors hold other stages' things too.
+STAGE_TABLE = 250_000
 
 
 def vocabulary(path: str) -> list[str]:
@@ -162,11 +164,11 @@ class Model:
         even[len(self.pieces) :] = self.table[len(self.pieces) :, 0]
         return Model([*self.languages, CHANCE], np.append(self.prior, 0.0), self.pieces, np.column_stack([self.table, even]))
 
-    def scorer(self):
+    def scorer(self, most: int = TABLE):
         lattice, width = Lattice(self.pieces), len(self.languages)
 
         # runs that differ in marks and case share their words
-        known = WordTable(lambda new: word_logs(new, lattice, self.table), width)
+        known = WordTable(lambda new: word_logs(new, lattice, self.table), width, most)
 
         def rows(runs: list[str]) -> np.ndarray:
             """For a run of non-space: a flag for letters, and the sum of its words' logarithms by language."""
@@ -175,7 +177,7 @@ class Model:
             sums = segment_sums(known.take([w for ws in own for w in ws]), counts)
             return np.concatenate([(counts > 0)[:, None], sums], axis=1)
 
-        words = WordTable(rows, width + 1)
+        words = WordTable(rows, width + 1, most)
 
         def score(texts: list[str | None]):
             names, scores = [], []
@@ -243,11 +245,9 @@ def keep_identified(docs: DataFrame, vocabulary_path: str, folds: int = 4, held:
 
     def run(batches):
         model = shared.value
-        score = worker_keep(key, model.scorer) if model else None
-        for batch in batches:
+        score = worker_keep(key, lambda: model.scorer(STAGE_TABLE)) if model else None
+        for batch in parts(batches):
             texts = batch.column("text").to_pylist()
-            if not texts:
-                continue
             if score:
                 found = score(texts)[0]
                 keep = pa.array([n not in ("und", CHANCE) for n in found], pa.bool_())

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom_filter, bloom_probe, bloom_words, clean_text, lookup, stash, worker_release
+from .common import bloom_filter, bloom_probe, bloom_words, clean_text, lookup, parts, stash, worker_release
 from .components import components
 
 SHINGLE = 3
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, *keys: str) -> DataFrame:
 
     def run(batches):
         worker_release()
-        for b in batches:
+        for b in parts(batches):
             yield pa.RecordBatch.from_arrays([*map(b.column, names), pa.array([*map(fingerprint, b.column("text").to_pylist())], pa.int64())], names=[*names, "fp"])
 
     slim = docs.select(*names, clean_text().alias("text"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import compiled_lexicon, worker_encoder
-from .common import clean_text, stash
+from .common import clean_text, parts, stash
 
 CAPACITY = 2048
 END_MARK = b"\0\0\0\0"
@@ -148,7 +148,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
 
     def run(batches):
         encoder = worker_encoder(tokenizer, shared.value)
-        for batch in batches:
+        for batch in parts(batches):
             row, piece, length, crc = [], [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 ids = encoder.encode(text) + END_MARK

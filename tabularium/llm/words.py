@@ -24,8 +24,8 @@ SLICE_WORDS = 60_000
 class WordTable:
     """Rows of numbers by word. ``compute`` gets a list of new words and returns their rows."""
 
-    def __init__(self, compute: Callable[[list[str]], np.ndarray], width: int):
-        self.compute, self.width = compute, width
+    def __init__(self, compute: Callable[[list[str]], np.ndarray], width: int, most: int = TABLE):
+        self.compute, self.width, self.most = compute, width, most
         self.clear()
 
     def clear(self) -> None:
@@ -34,7 +34,7 @@ class WordTable:
 
     def of(self, words: list[str]) -> np.ndarray:
         """Positions in ``rows``, valid until the next call."""
-        if len(self.index) > TABLE:
+        if len(self.index) > self.most:
             self.clear()
         found = [*map(self.index.get, words)]
         if None in found:
