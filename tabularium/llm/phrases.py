@@ -38,7 +38,11 @@ TEXTS = 64
 MOST_WORDS = 1 << 22
 SEED = 42
 
-_TO_BREAK = bytes.maketrans(PIECES, b"\n" * len(PIECES))
+#: What stands for a break: no word has it.
+BREAK = b"."
+_TO_BREAK = bytes.maketrans(PIECES, BREAK * len(PIECES))
+#: Bytes of a text, at most about, whose words are listed at once.
+STRETCH = 1 << 20
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -67,6 +71,7 @@ class _Ids(dict):
     """Ids of the words of one language; a new word gets the shard's next one."""
 
     def __init__(self, shard: Shard, lang: str):
+        super().__init__({BREAK: 0})
         self.shard, self.lang = shard, lang
 
     def __missing__(self, word: bytes) -> int:
@@ -86,6 +91,7 @@ class Shard:
         self.langs: list[str] = [""]
 
     def add(self, words: list[bytes], lang: str) -> None:
+        """Words and breaks, as ``stretches`` gives them; a break follows."""
         if lang not in self.index:
             self.index[lang] = _Ids(self, lang)
         self.ids.extend(map(self.index[lang].__getitem__, words))
@@ -132,6 +138,17 @@ def intervals(lcp: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(lcp)))
 
 
+def stretches(raw: bytes):
+    """Lists of the words of a text, lower-cased, with BREAK between pieces; a long text is cut at a break after some STRETCH bytes."""
+    raw, at = raw.lower().translate(_TO_BREAK), 0
+    while at < len(raw):
+        end = raw.find(BREAK, at + STRETCH) if len(raw) - at > STRETCH else -1
+        part = raw[at:] if end < 0 else raw[at:end]
+        # white space that is left in a piece is spaces and tabs
+        yield part.replace(BREAK, b" . ").split()
+        at += len(part) + 1
+
+
 GRAMS = "lang string, phrase string, hash long, count long"
 
 
@@ -178,9 +195,8 @@ def _shards(batches, size: int):
     shard = Shard()
     for batch in batches:
         for raw, lang in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("lang").to_pylist()):
-            for piece in raw.lower().translate(_TO_BREAK).split(b"\n"):
-                # white space that is left in a piece is spaces and tabs
-                shard.add(piece.split(), lang)
+            for words in stretches(raw):
+                shard.add(words, lang)
                 if len(shard.ids) > size:
                     yield shard
                     shard.index.clear()  # ids and shard know each other
@@ -216,12 +232,12 @@ def pruned_texts(docs: DataFrame, frequent) -> DataFrame:
                 part = batch.slice(at, TEXTS)
                 shard, ends, langs = Shard(), [], part.column("lang").to_pylist()
                 for raw, lang in zip(part.column("text").cast(pa.binary()).to_pylist(), langs):
-                    for piece in raw.lower().translate(_TO_BREAK).split(b"\n"):
-                        shard.add(piece.split(), lang)
+                    for words in stretches(raw):
+                        shard.add(words, lang)
                     ends.append(len(shard.ids))
                 kept = held.holds(shard.hashes())
                 kept[0] = False
-                said = [w if k else b"\n" for w, k in zip(shard.words, kept.tolist())]
+                said = [w if k else BREAK for w, k in zip(shard.words, kept.tolist())]
                 ids = np.array(shard.ids, np.int64)
                 # of breaks beside each other one is enough
                 need = np.append(True, kept[ids[1:]] | kept[ids[:-1]])

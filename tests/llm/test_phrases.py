@@ -105,3 +105,20 @@ def test_a_full_filter_holds_more_never_less():
     for k in range(4):
         np.bitwise_or.at(words, (inside >> np.uint64(40)) & np.uint64(1023), np.uint64(1) << ((inside >> np.uint64(6 * k)) & np.uint64(63)))
     assert P.Filter(words).holds(inside).all() and P.Filter(words).holds(outside).mean() < 0.2
+
+
+def test_words_of_a_text_are_listed_at_once(monkeypatch):
+    text = b"One two.\x0bTHREE\tfour,, \xc3\x89t\xc3\xa9 five;six " + b"seven!" * 9
+    pieces = [p.split() for p in text.lower().translate(bytes.maketrans(P.PIECES, b"\n" * len(P.PIECES))).split(b"\n")]
+    for stretch in (1 << 20, 20, 1):
+        monkeypatch.setattr(P, "STRETCH", stretch)
+        shard, lists = P.Shard(), [*P.stretches(text)]
+        for words in lists:
+            shard.add(words, "en")
+        said = [shard.words[i] for i in shard.ids if i]
+        assert said == [w for p in pieces for w in p]
+        # breaks stand between the same words
+        runs = b" ".join(shard.words[i] or b"\n" for i in shard.ids).split(b"\n")
+        assert [r.split() for r in runs if r.split()] == [p for p in pieces if p]
+        assert len(lists) == 1 or stretch < len(text)
+    assert [*P.stretches(b"")] == []
