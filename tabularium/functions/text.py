@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 from functools import cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Markers of an empty configuration cell and of a measure that is not there.
@@ -41,6 +41,12 @@ def fold(x: Column, sharp: bool = True) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(collapse(text))).otherwise(full)
 
 
+def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are worked out once a row: unlike a projection's, a generator's are not copied into the filters that follow."""
+    made = df.withColumn("__once", F.explode(F.array(F.struct(*(value.alias(name) for name, value in columns.items())))))
+    return made.withColumns({name: F.col("__once")[name] for name in columns}).drop("__once")
+
+
 def token(x: Column) -> Column:
     """An identifier: folded, everything but letters and digits turned to single underscores."""
     return F.regexp_replace(F.regexp_replace(fold(x), r"[^a-z0-9]+", "_"), r"^_+|_+$", "")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.patterns import Rule, rule
-from ..functions.text import clean, collapse, fold, nonblank
+from ..functions.text import clean, collapse, fold, nonblank, once
 from ..plans.contracts import LAYOUT_FIELDS
 from .rows import MEASURED, RuleSet, base_layout, by_template, header_field, is_header, layout_in_force
 from .sections import judged, known, note_of
@@ -184,10 +184,12 @@ def unmapped_tables(pages: DataFrame, audited: DataFrame, patterns: list[str] |
     by = ["template_id"] if isinstance(patterns, dict) else []
     tables = pages.select(key, *by, "page_no", F.posexplode("tables").alias("i", "linhas")).withColumn("tabela_indice", F.col("i") + 1)
     cells = F.transform("linhas", lambda r: F.transform(F.coalesce(r, F.array().cast("array<string>")), lambda c: F.coalesce(nonblank(c), F.lit(""))))
-    full = F.filter(cells, lambda r: F.size(F.filter(r, lambda c: c != "")) >= 2)
-    shortened = F.transform(F.flatten(cells), lambda c: c.substr(1, 300))
-    rows = tables.select(key, *by, "page_no", "tabela_indice", clean(F.array_join(shortened, " "), 2000).alias("texto"), full.alias("cheias")).where(F.col("texto").isNotNull() & (F.size("cheias") >= 2))
-    rows = rows.where(~judged(patterns, lambda p: known(p, F.col("texto"), fold(F.col("texto"))), F.lit(False)))
+    full = F.filter("celulas", lambda r: F.size(F.filter(r, lambda c: c != "")) >= 2)
+    shortened = F.transform(F.flatten("celulas"), lambda c: c.substr(1, 300))
+    rows = once(once(tables, {"celulas": cells}), {"texto": clean(F.array_join(shortened, " "), 2000), "cheias": full})
+    rows = rows.select(key, *by, "page_no", "tabela_indice", "texto", "cheias").where(F.col("texto").isNotNull() & (F.size("cheias") >= 2))
+    rows = once(rows, {"dobrado": fold(F.col("texto"))})
+    rows = rows.where(~judged(patterns, lambda p: known(p, F.col("texto"), F.col("dobrado")), F.lit(False)))
     rows = rows.join(audited, [key, "page_no", "tabela_indice"], "left_anti")
     title = clean(F.array_join(F.transform(F.col("cheias")[0], lambda c: c.substr(1, 300)), " | "), 300)
     none = F.lit(None).cast("string")
