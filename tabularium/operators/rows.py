@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import line_rule
-from ..functions.text import cell, collapse, fold
+from ..functions.text import cell, collapse, fold, once
 from ..plans.contracts import LAYOUT_FIELDS
 from .sections import LINE_ENDS, report_code
 
@@ -120,12 +120,12 @@ def record_type(rules: RuleSet, text: str, raw: str = "raw") -> Column:
 
 def titled(df: DataFrame, text: Column, rules: dict[str, RuleSet], types: bool, name: str) -> DataFrame:
     """Add ``name``: what ``text`` says of the section, as a title or (with ``types``) as a type of record."""
-    read = df.withColumn("texto", text).withColumn("raw", collapse(F.coalesce("texto", F.lit(""))))
-    read = read.withColumn("norm", fold(F.col("raw"))).withColumn("after", F.when(F.col("raw").contains(" - "), fold(F.regexp_extract("raw", r"(?s)^.*? - (.*)$", 1))))
+    read = once(once(df, {"texto": text}), {"raw": collapse(F.coalesce("texto", F.lit("")))})
+    read = once(read, {"norm": fold(F.col("raw")), "after": F.when(F.col("raw").contains(" - "), fold(F.regexp_extract("raw", r"(?s)^.*? - (.*)$", 1)))})
     mark = by_template(rules, title, SECTION)
     if types:
         mark = F.coalesce(mark, by_template(rules, lambda r: record_type(r, "texto"), SECTION))
-    return read.withColumn(name, mark).drop("texto", "raw", "norm", "after")
+    return once(read, {name: mark}).drop("texto", "raw", "norm", "after")
 
 
 def named_last(before: Column, said: Column) -> Column:
@@ -256,10 +256,10 @@ def events(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
     head = F.col("linha") == 0
     found = titled(found, F.col("t"), {t: replace(r, types=()) for t, r in rules.items()}, False, "titulo")
     typed = by_template(rules, lambda r: record_type(r, "t"), SECTION)
-    found = found.withColumn("raw", F.when(F.col("titulo").isNull() & table_row(), collapse(F.coalesce("t", F.lit("")))))
-    found = found.withColumn("titulo", F.when(table_row(), F.coalesce("titulo", typed)).otherwise(F.col("titulo").withField("geral", F.lit(False))))
+    found = once(found, {"raw": F.when(F.col("titulo").isNull() & table_row(), collapse(F.coalesce("t", F.lit(""))))})
+    found = once(found.withColumnRenamed("titulo", "dito"), {"titulo": F.when(table_row(), F.coalesce("dito", typed)).otherwise(F.col("dito").withField("geral", F.lit(False)))}).drop("dito")
     header = F.col("titulo").isNull() & table_row() & F.coalesce(is_header(F.col("celulas")), F.lit(False))
-    found = found.withColumn("titulo", F.when(head, F.col("cab.secao")).otherwise(F.col("titulo"))).withColumn("nomeia", header)
+    found = once(found, {"nomeia": header}).withColumn("titulo", F.when(head, F.col("cab.secao")).otherwise(F.col("titulo")))
     found = found.where(head | F.col("titulo").isNotNull() | F.col("nomeia"))
     found = found.withColumn("dobradas", F.when(F.col("nomeia"), F.transform("celulas", lambda c: fold(c))))
     names = by_template(rules, lambda r: F.transform("dobradas", lambda c: F.coalesce(header_field(r, c), F.lit(""))), "array<string>")

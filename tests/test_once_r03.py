@@ -33,3 +33,9 @@ def test_filter_of_unmapped_tables_makes_no_texts(spark):
     found = A.unmapped_tables(own, own.limit(0).select("doc_id", "page_no", F.lit(1).alias("tabela_indice")), ["resultados"])
     assert [(r["doc_id"], r["titulo_detectado"]) for r in found.collect()] == [(2, "x y | 1")]
     assert not [f for f in filters(found) if "regexp_replace" in f]
+
+
+def test_filter_of_events_makes_no_titles(spark):
+    found = G.events(pages(spark), RULES)
+    assert [r["secao"]["categoria"] for r in found.where("secao is not null").orderBy("tabela_indice").collect()] == ["Resultados"] * 2
+    assert filters(found) and not [f for f in filters(found) if "regexp_replace" in f]
