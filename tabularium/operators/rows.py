@@ -208,11 +208,16 @@ def numbered_tables(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:
 
 def _measured(rows: Column) -> Column:
     """For each column, how many of the first rows have a name and a value in it; too narrow rows count for none."""
-    first = F.filter(F.slice(rows, 1, LOOKED_AT), lambda r: (F.size(r) >= WIDE) & (fold(F.get(r, F.lit(0))) != ""))
+    filled = lambda c: F.coalesce(F.rlike(c, F.lit("[!-~]")), F.lit(False)) | (fold(c) != "")
+    first = F.filter(F.slice(rows, 1, LOOKED_AT), lambda r: (F.size(r) >= WIDE) & filled(F.get(r, F.lit(0))))
     flags = F.transform(first, lambda r: F.transform(r, lambda c: F.rlike(F.trim(F.coalesce(c, F.lit(""))), F.lit(MEASURED))))
-    width = F.coalesce(F.array_max(F.transform(flags, lambda r: F.size(r))), F.lit(0))
-    count = lambda i: F.size(F.filter(flags, lambda r: F.coalesce(F.get(r, i), F.lit(False))))
-    return F.when(width > 0, F.transform(F.sequence(F.lit(0), width - 1), count)).otherwise(F.array().cast("array<int>"))
+
+    def counted(shown: Column) -> Column:
+        width = F.coalesce(F.array_max(F.transform(shown, lambda r: F.size(r))), F.lit(0))
+        count = lambda i: F.size(F.filter(shown, lambda r: F.coalesce(F.get(r, i), F.lit(False))))
+        return F.when(width > 0, F.transform(F.sequence(F.lit(0), width - 1), count)).otherwise(F.array().cast("array<int>"))
+
+    return _let(flags, counted)  # named, or every column's count would look through the cells again
 
 
 def events(pages: DataFrame, rules: dict[str, RuleSet]) -> DataFrame:

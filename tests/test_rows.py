@@ -1,6 +1,7 @@
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tabularium.operators import rows as G
 
@@ -80,3 +81,10 @@ def test_headers(read):
     # a header's layout holds for the tables after it; "Resultado (mg/L)" makes no header
     assert [(r.parametro, r.resultado, r.unidade_resultado) for r in got] == [("A", "7", "mg/L"), ("x", "5", "y"), ("x2", "6", "y")]
     assert read([("", None), ("", [None, [], [[]], [None]])]) == []
+
+
+def test_measured_cells_are_looked_at_once(spark):
+    df = spark.createDataFrame([([["a", "1", "x", "2", "y"], ["  ", "1", "1", "1", "1"], ["ß", "<3", None, "", "4"], ["b", "1"]],), ([],)], "rows array<array<string>>")
+    made = df.select(G._measured(F.col("rows")).alias("m"))
+    assert [r.m for r in made.collect()] == [[0, 2, 0, 1, 1], []]
+    assert made._jdf.queryExecution().optimizedPlan().toString().count(G.MEASURED) == 1
